@@ -194,3 +194,274 @@ def q_split_two_way(spark, sf_dir):
 def q_length_stats(spark, sf_dir):
     r = stats.length_stats(prepared(spark, sf_dir), "n_tokens")
     return r.select(F.col("n_rows").cast("long"), "min_len", "median_len", "max_len", round6("mean_len").alias("mean_len"))
+
+
+# ---------------------------------------------------------------- E: tokens
+
+from tunesmith.functions.text import ids_text  # noqa: E402
+from tunesmith.operators import packing, tokens  # noqa: E402
+
+VOCAB_K = S.VOCAB_K
+ENCODED_CTES = PREPARED_CTES + [S.TOK, S.VOCAB, S.ENC]
+
+
+def tokenized(spark, sf_dir):
+    return tokens.tokenize(prepared(spark, sf_dir))
+
+
+def vocab_of(spark, sf_dir):
+    return tokens.build_vocab(tokenized(spark, sf_dir), "tokens", VOCAB_K)
+
+
+def encoded(spark, sf_dir):
+    return tokens.encode(tokenized(spark, sf_dir), vocab_of(spark, sf_dir), "tokens", "input_ids")
+
+
+def padded_batch(spark, sf_dir):
+    e = tokens.truncate(encoded(spark, sf_dir), "input_ids", 32).withColumn("batch_id", F.floor(F.col("row_id") / 16).cast("long"))
+    return tokens.pad(e, "input_ids", "batch_id", pad_id=tokens.EOS_ID, side="right")
+
+
+@register(
+    "tokenize",
+    S.with_(*PREPARED_CTES, S.TOK) + "SELECT row_id, len(tokens)::BIGINT AS n_tokens, array_to_string(tokens, ' ') AS tokens_text FROM tok",
+)
+def q_tokenize(spark, sf_dir):
+    t = tokenized(spark, sf_dir)
+    return t.select("row_id", F.size("tokens").cast("long").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens_text"))
+
+
+@register("build_vocab", S.with_(*PREPARED_CTES, S.TOK, S.VOCAB) + "SELECT token, id::BIGINT AS id, n::BIGINT AS n FROM vocab")
+def q_build_vocab(spark, sf_dir):
+    v = vocab_of(spark, sf_dir)
+    return v.select("token", F.col("id").cast("long"), F.col("n").cast("long"))
+
+
+@register("encode", S.with_(*ENCODED_CTES) + "SELECT row_id, array_to_string(ids, ',') AS input_ids FROM enc")
+def q_encode(spark, sf_dir):
+    return encoded(spark, sf_dir).select("row_id", ids_text("input_ids").alias("input_ids"))
+
+
+@register(
+    "ids_to_tokens",
+    S.with_(*ENCODED_CTES)
+    + """SELECT e.row_id, array_to_string(list(v.token ORDER BY e.pos), ' ') AS id_tokens FROM (
+  SELECT row_id, unnest(ids) AS id, unnest(generate_series(1, len(ids))) AS pos FROM enc) e JOIN vocab v USING (id) GROUP BY e.row_id""",
+)
+def q_ids_to_tokens(spark, sf_dir):
+    t = tokens.ids_to_tokens(encoded(spark, sf_dir), vocab_of(spark, sf_dir))
+    return t.select("row_id", F.array_join("id_tokens", " ").alias("id_tokens"))
+
+
+@register(
+    "decode",
+    S.with_(*ENCODED_CTES)
+    + """SELECT e.row_id, coalesce(array_to_string(list(v.token ORDER BY e.pos) FILTER (WHERE e.id >= 4), ' '), '') AS decoded FROM (
+  SELECT row_id, unnest(ids) AS id, unnest(generate_series(1, len(ids))) AS pos FROM enc) e JOIN vocab v USING (id) GROUP BY e.row_id""",
+)
+def q_decode(spark, sf_dir):
+    d = tokens.decode(encoded(spark, sf_dir), vocab_of(spark, sf_dir))
+    return d.select("row_id", "decoded")
+
+
+@register(
+    "special_tokens",
+    S.with_(*PREPARED_CTES, S.TOK, S.VOCAB)
+    + """SELECT s.name, v.token, v.id::BIGINT AS id, (SELECT count(*) FROM vocab)::BIGINT AS vocab_size
+FROM (VALUES ('pad', 0), ('bos', 1), ('eos', 2), ('unk', 3)) s(name, want) LEFT JOIN vocab v ON v.id = s.want""",
+)
+def q_special_tokens(spark, sf_dir):
+    s = tokens.special_tokens(vocab_of(spark, sf_dir))
+    return s.select("name", "token", F.col("id").cast("long"), F.col("vocab_size").cast("long"))
+
+
+@register(
+    "token_stats",
+    f"""SELECT lang, count(*)::BIGINT AS n_texts, sum(len({S.tokenize('text')}))::BIGINT AS n_tokens,
+       sum(len({S.split_ws('text')}))::BIGINT AS n_words,
+       round(sum(len({S.tokenize('text')})) / sum(len({S.split_ws('text')})), 6) AS fertility,
+       round(avg(len({S.tokenize('text')})), 6) AS mean_tokens
+FROM documents GROUP BY lang""",
+)
+def q_token_stats(spark, sf_dir):
+    d = V.scan_parquet(spark, sf_dir, "documents")
+    s = tokens.token_stats(d, "text", ["lang"])
+    return s.select(
+        "lang", F.col("n_texts").cast("long"), F.col("n_tokens").cast("long"), F.col("n_words").cast("long"),
+        round6("fertility").alias("fertility"), round6("mean_tokens").alias("mean_tokens"),
+    )
+
+
+@register("truncate", S.with_(*ENCODED_CTES) + "SELECT row_id, array_to_string(ids[1:64], ',') AS input_ids FROM enc")
+def q_truncate(spark, sf_dir):
+    t = tokens.truncate(encoded(spark, sf_dir), "input_ids", 64)
+    return t.select("row_id", ids_text("input_ids").alias("input_ids"))
+
+
+@register(
+    "pad",
+    S.with_(*ENCODED_CTES, S.TRUNC_PAD)
+    + "SELECT row_id, batch_id::BIGINT AS batch_id, L::BIGINT AS padded_length, array_to_string(ids, ',') AS input_ids, array_to_string(mask, ',') AS attention_mask FROM padded",
+)
+def q_pad(spark, sf_dir):
+    p = padded_batch(spark, sf_dir)
+    return p.select(
+        "row_id", "batch_id", F.col("padded_length").cast("long"), ids_text("input_ids").alias("input_ids"), ids_text("attention_mask").alias("attention_mask")
+    )
+
+
+@register(
+    "causal_labels",
+    S.with_(*ENCODED_CTES, S.TRUNC_PAD)
+    + "SELECT row_id, array_to_string(list_transform(list_zip(ids, mask), lambda p: CASE WHEN p[2] = 0 THEN -100 ELSE p[1] END), ',') AS labels FROM padded",
+)
+def q_causal_labels(spark, sf_dir):
+    p = tokens.causal_labels(padded_batch(spark, sf_dir))
+    return p.select("row_id", ids_text("labels").alias("labels"))
+
+
+@register(
+    "collator_labels",
+    S.with_(*ENCODED_CTES, S.TRUNC_PAD)
+    + "SELECT row_id, array_to_string(list_transform(ids, lambda x: CASE WHEN x = 2 THEN -100 ELSE x END), ',') AS labels FROM padded",
+)
+def q_collator_labels(spark, sf_dir):
+    p = tokens.collator_labels(padded_batch(spark, sf_dir), pad_id=tokens.EOS_ID)
+    return p.select("row_id", ids_text("labels").alias("labels"))
+
+
+COMPLETION_SQL = S.with_(
+    *PREPARED_CTES,
+    S.TOK,
+    S.VOCAB,
+    f"""msg AS (
+  SELECT conv_id, turn, role,
+         {S.tokenize("CASE WHEN role IN ('system', 'user', 'assistant') THEN '<|im_start|>' || role || chr(10) ELSE '' END")} AS head,
+         {S.tokenize('text')} || {S.tokenize("CASE WHEN role IN ('system', 'user', 'assistant') THEN '<|im_end|>' || chr(10) ELSE '' END")} AS body
+  FROM conversations)""",
+    """tr AS (
+  SELECT conv_id, turn, 0 AS part, unnest(head) AS token, unnest(generate_series(1, len(head))) AS pos, 0 AS lab FROM msg
+  UNION ALL
+  SELECT conv_id, turn, 1 AS part, unnest(body) AS token, unnest(generate_series(1, len(body))) AS pos,
+         CASE WHEN role = 'assistant' THEN 1 ELSE 0 END AS lab FROM msg)""",
+) + """SELECT conv_id, count(*)::BIGINT AS n_tokens, count(*) FILTER (WHERE lab = 1)::BIGINT AS n_labeled,
+       array_to_string(list(CASE WHEN lab = 1 THEN coalesce(v.id, 3) ELSE -100 END ORDER BY turn, part, pos), ',') AS labels
+FROM tr LEFT JOIN vocab v USING (token) GROUP BY conv_id"""
+
+
+@register("completion_labels", COMPLETION_SQL)
+def q_completion_labels(spark, sf_dir):
+    conv = chat.assemble_conversations(V.turns(spark, sf_dir))
+    c = tokens.completion_labels(conv, vocab_of(spark, sf_dir), chat.CHATML)
+    return c.select(
+        "conv_id",
+        F.size("input_ids").cast("long").alias("n_tokens"),
+        F.size(F.filter("labels", lambda x: x != tokens.IGNORE_INDEX)).cast("long").alias("n_labeled"),
+        ids_text("labels").alias("labels"),
+    )
+
+
+@register(
+    "next_token_pairs",
+    S.with_(*ENCODED_CTES)
+    + """SELECT context_id::BIGINT AS context_id, next_id::BIGINT AS next_id, count(*)::BIGINT AS n FROM (
+  SELECT unnest(ids[1:len(ids) - 1]) AS context_id, unnest(ids[2:len(ids)]) AS next_id FROM enc WHERE len(ids) > 1) GROUP BY ALL""",
+)
+def q_next_token_pairs(spark, sf_dir):
+    p = tokens.next_token_pairs(encoded(spark, sf_dir))
+    return p.select(F.col("context_id").cast("long"), F.col("next_id").cast("long"), F.col("n").cast("long"))
+
+
+# ---------------------------------------------------------------- F: packing and batching
+
+BLOCK = 128
+
+
+@register(
+    "pack_sequences",
+    S.with_(
+        *ENCODED_CTES,
+        "s AS (SELECT row_id, ids || [2] AS s, len(ids) + 1 AS n FROM enc)",
+        "o AS (SELECT *, (sum(n) OVER (ORDER BY row_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n)::BIGINT AS st, (sum(n) OVER ())::BIGINT AS total FROM s)",
+        f"""p AS (SELECT *, unnest(generate_series(st // {BLOCK}, least((st + n - 1) // {BLOCK}, total // {BLOCK} - 1))) AS block_id FROM o
+       WHERE st // {BLOCK} <= least((st + n - 1) // {BLOCK}, total // {BLOCK} - 1))""",
+        f"pc AS (SELECT block_id, greatest(st, block_id * {BLOCK}) AS lo, least(st + n, (block_id + 1) * {BLOCK}) AS hi, s, st FROM p)",
+    )
+    + "SELECT block_id::BIGINT AS block_id, array_to_string(flatten(list(s[lo - st + 1:hi - st] ORDER BY lo)), ',') AS input_ids FROM pc GROUP BY block_id",
+)
+def q_pack_sequences(spark, sf_dir):
+    b = packing.pack_sequences(encoded(spark, sf_dir), "input_ids", "row_id", BLOCK, tokens.EOS_ID)
+    return b.select("block_id", ids_text("input_ids").alias("input_ids"))
+
+
+@register(
+    "padding_waste",
+    S.with_(*ENCODED_CTES)
+    + f"""SELECT count(*)::BIGINT AS n_rows, (count(*) * {BLOCK})::BIGINT AS allocated_tokens, sum(len(ids))::BIGINT AS real_tokens,
+       round(100.0 * (1.0 - sum(len(ids)) / greatest(count(*) * {BLOCK}, 1)), 6) AS waste_pct FROM enc""",
+)
+def q_padding_waste(spark, sf_dir):
+    w = packing.padding_waste(encoded(spark, sf_dir), "input_ids", BLOCK)
+    return w.select(F.col("n_rows").cast("long"), F.col("allocated_tokens").cast("long"), F.col("real_tokens").cast("long"), round6("waste_pct").alias("waste_pct"))
+
+
+@register(
+    "packing_efficiency",
+    S.with_(*ENCODED_CTES)
+    + f"""SELECT n_rows::BIGINT AS n_rows, real_tokens::BIGINT AS real_tokens, (real_tokens // {BLOCK})::BIGINT AS n_blocks,
+       (real_tokens // {BLOCK} * {BLOCK})::BIGINT AS packed_tokens,
+       round(least(100.0, 100.0 * real_tokens / greatest(real_tokens // {BLOCK} * {BLOCK}, 1)), 6) AS real_pct
+FROM (SELECT count(*) AS n_rows, sum(len(ids) + 1) AS real_tokens FROM enc)""",
+)
+def q_packing_efficiency(spark, sf_dir):
+    e = packing.packing_efficiency(encoded(spark, sf_dir), "input_ids", BLOCK)
+    return e.select(*[F.col(c).cast("long") for c in ("n_rows", "real_tokens", "n_blocks", "packed_tokens")], round6("real_pct").alias("real_pct"))
+
+
+@register(
+    "assign_batches",
+    S.with_(
+        *PREPARED_CTES[:3],
+        "e AS (SELECT row_id, unnest(range(2)) AS epoch FROM deduped)",
+        "r AS (SELECT epoch, row_id, row_number() OVER (PARTITION BY epoch ORDER BY md5(concat_ws('|', '42', CAST(epoch AS VARCHAR), CAST(row_id AS VARCHAR))), row_id) - 1 AS position FROM e)",
+    )
+    + "SELECT epoch::BIGINT AS epoch, row_id, position::BIGINT AS position, (position // 4)::BIGINT AS micro_batch, (position // 16)::BIGINT AS step FROM r",
+)
+def q_assign_batches(spark, sf_dir):
+    rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir)))
+    b = packing.assign_batches(rows, n_epochs=2, seed=42, per_device_batch=4, accumulation=4)
+    return b.select(F.col("epoch").cast("long"), "row_id", "position", "micro_batch", "step")
+
+
+@register(
+    "dynamic_padding_waste",
+    S.with_(
+        *PREPARED_CTES,
+        f"x AS (SELECT row_id, n_tokens AS len, {S.md5_key(42, 'row_id')} AS h FROM toklen)",
+        "rnd AS (SELECT (row_number() OVER (ORDER BY h, row_id) - 1) // 8 AS b, len FROM x)",
+        "srt AS (SELECT (row_number() OVER (ORDER BY len, h, row_id) - 1) // 8 AS b, len FROM x)",
+        """summ AS (SELECT 'random' AS ordering, b, max(len) AS m, count(*) AS c, sum(len) AS rl FROM rnd GROUP BY b
+  UNION ALL SELECT 'length_sorted' AS ordering, b, max(len) AS m, count(*) AS c, sum(len) AS rl FROM srt GROUP BY b)""",
+    )
+    + """SELECT ordering, count(*)::BIGINT AS n_batches, sum(rl)::BIGINT AS real_tokens, sum(m * c)::BIGINT AS padded_tokens,
+       round(100.0 * (1.0 - sum(rl) / greatest(sum(m * c), 1)), 6) AS waste_pct FROM summ GROUP BY ordering""",
+)
+def q_dynamic_padding_waste(spark, sf_dir):
+    w = packing.dynamic_padding_waste(prepared(spark, sf_dir), "n_tokens", batch_size=8)
+    return w.select(
+        F.col("order").alias("ordering"), F.col("n_batches").cast("long"), F.col("real_tokens").cast("long"),
+        F.col("padded_tokens").cast("long"), round6("waste_pct").alias("waste_pct"),
+    )
+
+
+@register(
+    "context_coverage",
+    S.with_(*PREPARED_CTES)
+    + """SELECT L::BIGINT AS context_length, count(*) FILTER (WHERE n_tokens <= L)::BIGINT AS rows_fit,
+       round(count(*) FILTER (WHERE n_tokens <= L) / count(*), 6) AS row_share,
+       round(sum(least(n_tokens, L)) / sum(n_tokens), 6) AS token_share
+FROM toklen, (VALUES (256), (512), (1024), (2048)) v(L) GROUP BY L""",
+)
+def q_context_coverage(spark, sf_dir):
+    c = packing.context_coverage(prepared(spark, sf_dir), "n_tokens", (256, 512, 1024, 2048))
+    return c.select("context_length", "rows_fit", round6("row_share").alias("row_share"), round6("token_share").alias("token_share"))

@@ -115,3 +115,28 @@ REQUESTS = """requests AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+VOCAB_K = 5000
+
+TOK = f"""tok AS (SELECT row_id, lang, source, text, n_tokens, {tokenize('text')} AS tokens FROM toklen)"""
+
+VOCAB = f"""vocab AS (
+  SELECT token, id, n FROM (
+    SELECT token, (row_number() OVER (ORDER BY n DESC, token) + 3)::INTEGER AS id, n::BIGINT AS n
+    FROM (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM tok) GROUP BY token ORDER BY n DESC, token LIMIT {VOCAB_K}))
+  UNION ALL SELECT * FROM (VALUES ('<pad>', 0, 0::BIGINT), ('<s>', 1, 0::BIGINT), ('</s>', 2, 0::BIGINT), ('<unk>', 3, 0::BIGINT)) v(token, id, n))"""
+
+ENC = """enc AS (
+  SELECT t.row_id, list(coalesce(v.id, 3) ORDER BY t.pos) AS ids FROM (
+    SELECT row_id, unnest(tokens) AS token, unnest(generate_series(1, len(tokens))) AS pos FROM tok) t
+  LEFT JOIN vocab v USING (token) GROUP BY t.row_id)"""
+
+TRUNC_PAD = """trunc AS (SELECT row_id, row_id // 16 AS batch_id, ids[1:32] AS ids FROM enc),
+padded AS (
+  SELECT row_id, batch_id, L,
+         ids || list_transform(range(L - len(ids)), lambda x: 2) AS ids,
+         list_transform(range(len(ids)), lambda x: 1) || list_transform(range(L - len(ids)), lambda x: 0) AS mask
+  FROM (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS L FROM trunc))"""
+
+ENCODED_CTES_NAMES = ("TOK", "VOCAB", "ENC")
