@@ -82,3 +82,14 @@ def ids_text(c) -> Column:
 
 def round6(c) -> Column:
     return F.round(col_(c).cast("double"), 6)
+
+
+def explode_values(c) -> Column:
+    """``explode_outer`` for arrays without null elements; callers drop the null row.
+
+    Plain ``explode`` makes the optimizer add a ``size(array) > 0`` filter in front
+    of the generator, inlining the whole array expression a second time; when that
+    array comes from a higher-order function over another computed array the copy
+    is re-evaluated per element (quadratic). explode_outer has no inferred filter.
+    """
+    return F.explode_outer(col_(c))

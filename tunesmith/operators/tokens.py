@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunesmith.functions.text import split_ws
+from tunesmith.functions.text import explode_values, split_ws
 from tunesmith.functions.text import tokenize as tokenize_col
 
 # Reserved tokens and their ids.
@@ -40,7 +40,7 @@ def build_vocab(df: DataFrame, tokens_col: str = "tokens", k: int = 32000) -> Da
     task reach the final merge; the window numbers those k rows only.
     """
     spark = df.sparkSession
-    counts = df.select(F.explode(tokens_col).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    counts = df.select(explode_values(tokens_col).alias("token")).filter(F.col("token").isNotNull()).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.col("n").desc(), F.col("token").asc()).limit(k)
     ranked = top.select(
         "token",

@@ -465,3 +465,356 @@ FROM toklen, (VALUES (256), (512), (1024), (2048)) v(L) GROUP BY L""",
 def q_context_coverage(spark, sf_dir):
     c = packing.context_coverage(prepared(spark, sf_dir), "n_tokens", (256, 512, 1024, 2048))
     return c.select("context_length", "rows_fit", round6("row_share").alias("row_share"), round6("token_share").alias("token_share"))
+
+
+# ---------------------------------------------------------------- I: evaluation scoring
+
+from tunesmith.functions.text import normalize_answer  # noqa: E402
+from tunesmith.operators import evals, prefs  # noqa: E402
+
+PRED_CTES = [S.INSTR_TURNS, S.PREDICTIONS]
+MODEL_CTES = [S.INSTR_TURNS, S.TWO_MODELS, S.SCORED_MODELS]
+
+
+def scored_models(spark, sf_dir):
+    return evals.score_table(V.two_models(spark, sf_dir))
+
+
+@register(
+    "normalize_answer",
+    S.with_(*PRED_CTES) + f"SELECT row_id, {S.normalize('answer')} AS answer_norm, {S.normalize('reference')} AS reference_norm FROM predictions",
+)
+def q_normalize_answer(spark, sf_dir):
+    p = V.predictions(spark, sf_dir)
+    return p.select("row_id", normalize_answer("answer").alias("answer_norm"), normalize_answer("reference").alias("reference_norm"))
+
+
+@register("exact_match", S.with_(*PRED_CTES) + f"SELECT row_id, (({S.normalize('answer')}) = ({S.normalize('reference')}))::DOUBLE AS em FROM predictions")
+def q_exact_match(spark, sf_dir):
+    return V.predictions(spark, sf_dir).select("row_id", evals.exact_match("answer", "reference").alias("em"))
+
+
+@register(
+    "token_f1",
+    S.with_(*PRED_CTES) + f"SELECT row_id, round({S.f1_of('_p', '_r')}, 6) AS f1 FROM (SELECT *, {S.words('answer')} AS _p, {S.words('reference')} AS _r FROM predictions)",
+)
+def q_token_f1(spark, sf_dir):
+    f = evals.with_token_f1(V.predictions(spark, sf_dir), "answer", "reference", "f1")
+    return f.select("row_id", round6("f1").alias("f1"))
+
+
+@register("heuristic_judge", S.with_(*PRED_CTES) + f"SELECT row_id, {S.judge_of('reference', 'answer')}::BIGINT AS judge FROM predictions")
+def q_heuristic_judge(spark, sf_dir):
+    return V.predictions(spark, sf_dir).select("row_id", evals.heuristic_judge("question", "reference", "answer").cast("long").alias("judge"))
+
+
+@register(
+    "parse_judge_reply",
+    """SELECT conv_id, turn, (CASE WHEN regexp_extract(reply, '[0-9]', 0) = '' THEN 3
+        ELSE least(5, greatest(1, CAST(regexp_extract(reply, '[0-9]', 0) AS INTEGER))) END)::BIGINT AS score
+FROM (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 'Score: ' || CAST(conv_id % 12 AS VARCHAR) || '/5' ELSE text END AS reply FROM conversations)""",
+)
+def q_parse_judge_reply(spark, sf_dir):
+    r = V.judge_replies(spark, sf_dir)
+    return r.select("conv_id", "turn", evals.parse_judge_reply("reply").cast("long").alias("score"))
+
+
+@register(
+    "score_table",
+    S.with_(*MODEL_CTES)
+    + """SELECT model, row_id, substr(question, 1, 60) AS question_preview, substr(reference, 1, 80) AS reference_preview,
+       substr(answer, 1, 80) AS answer_preview, em, round(f1, 6) AS f1, judge::BIGINT AS judge FROM scored_models""",
+)
+def q_score_table(spark, sf_dir):
+    s = scored_models(spark, sf_dir)
+    return s.select(
+        "model", "row_id", "question_preview", "reference_preview", "answer_preview", "em", round6("f1").alias("f1"), F.col("judge").cast("long")
+    )
+
+
+NGRAM_SQL = S.with_(
+    *PREPARED_CTES,
+    S.TOK,
+    S.two_way("tok"),
+    "tr AS (SELECT tokens FROM split2 WHERE split = 'train')",
+    "te AS (SELECT tokens FROM split2 WHERE split = 'test')",
+    "uni AS (SELECT w, count(*) AS c FROM (SELECT unnest(tokens) AS w FROM tr) GROUP BY w)",
+    "nv AS (SELECT sum(c) AS N, count(*) + 1 AS V FROM uni)",
+    "bi AS (SELECT a, b, count(*) AS cab FROM (SELECT unnest(tokens[1:len(tokens) - 1]) AS a, unnest(tokens[2:len(tokens)]) AS b FROM tr WHERE len(tokens) > 1) GROUP BY a, b)",
+    "tu AS (SELECT -ln((coalesce(u.c, 0) + 1) / (nv.N + nv.V)) AS nll FROM (SELECT unnest(tokens) AS w FROM te) t LEFT JOIN uni u USING (w), nv)",
+    """tb AS (SELECT -ln((coalesce(bi.cab, 0) + 1) / (coalesce(u.c, 0) + nv.V)) AS nll
+  FROM (SELECT unnest(tokens[1:len(tokens) - 1]) AS a, unnest(tokens[2:len(tokens)]) AS b FROM te WHERE len(tokens) > 1) t
+  LEFT JOIN bi USING (a, b) LEFT JOIN uni u ON u.w = t.a, nv)""",
+) + """SELECT 'unigram' AS model, count(*)::BIGINT AS n_tokens, round(exp(sum(nll) / count(*)), 6) AS perplexity FROM tu
+UNION ALL SELECT 'bigram' AS model, count(*)::BIGINT AS n_tokens, round(exp(sum(nll) / count(*)), 6) AS perplexity FROM tb"""
+
+
+@register("ngram_perplexity", NGRAM_SQL)
+def q_ngram_perplexity(spark, sf_dir):
+    t = splits.split_two_way(tokenized(spark, sf_dir))
+    r = evals.ngram_perplexity(t.filter(F.col("split") == "train"), t.filter(F.col("split") == "test"), "tokens")
+    return r.select("model", F.col("n_tokens").cast("long"), round6("perplexity").alias("perplexity"))
+
+
+@register(
+    "regression_suite",
+    S.with_(*MODEL_CTES)
+    + """SELECT count(*)::BIGINT AS n, count(*) FILTER (WHERE b.f1 IS NULL)::BIGINT AS missing_baseline,
+       count(*) FILTER (WHERE c.f1 IS NULL)::BIGINT AS missing_candidate,
+       count(*) FILTER (WHERE c.f1 - b.f1 > 0)::BIGINT AS wins, count(*) FILTER (WHERE c.f1 - b.f1 < 0)::BIGINT AS losses,
+       count(*) FILTER (WHERE c.f1 - b.f1 = 0)::BIGINT AS ties, round(avg(b.f1), 6) AS mean_baseline, round(avg(c.f1), 6) AS mean_candidate,
+       round(avg(c.f1 - b.f1), 6) AS mean_delta,
+       (avg(c.f1 - b.f1) >= -0.01 AND count(*) FILTER (WHERE c.f1 IS NULL) = 0) AS passed
+FROM (SELECT row_id, f1 FROM scored_models WHERE model = 'baseline') b
+FULL OUTER JOIN (SELECT row_id, f1 FROM scored_models WHERE model = 'candidate') c USING (row_id)""",
+)
+def q_regression_suite(spark, sf_dir):
+    s = scored_models(spark, sf_dir)
+    r = evals.regression_suite(s.filter(F.col("model") == "baseline"), s.filter(F.col("model") == "candidate"))
+    return r.select(
+        *[F.col(c).cast("long") for c in ("n", "missing_baseline", "missing_candidate", "wins", "losses", "ties")],
+        *[round6(c).alias(c) for c in ("mean_baseline", "mean_candidate", "mean_delta")],
+        "passed",
+    )
+
+
+@register(
+    "win_rate",
+    S.with_(*MODEL_CTES)
+    + """SELECT count(*)::BIGINT AS n, round(count(*) FILTER (WHERE c.judge > b.judge) / count(*), 6) AS win_rate,
+       round(count(*) FILTER (WHERE c.judge = b.judge) / count(*), 6) AS tie_rate,
+       round(count(*) FILTER (WHERE c.judge < b.judge) / count(*), 6) AS loss_rate
+FROM (SELECT row_id, judge FROM scored_models WHERE model = 'candidate') c JOIN (SELECT row_id, judge FROM scored_models WHERE model = 'baseline') b USING (row_id)""",
+)
+def q_win_rate(spark, sf_dir):
+    s = scored_models(spark, sf_dir)
+    w = evals.win_rate(s.filter(F.col("model") == "candidate"), s.filter(F.col("model") == "baseline"))
+    return w.select(F.col("n").cast("long"), *[round6(c).alias(c) for c in ("win_rate", "tie_rate", "loss_rate")])
+
+
+@register(
+    "randomize_ab_order",
+    S.with_(*MODEL_CTES)
+    + f"""SELECT row_id, swapped, CASE WHEN (v = 'first') = NOT swapped THEN 'a' ELSE 'b' END AS winner FROM (
+  SELECT row_id, swapped, CASE WHEN (CASE WHEN swapped THEN fb ELSE fa END) >= (CASE WHEN swapped THEN fa ELSE fb END) THEN 'first' ELSE 'second' END AS v
+  FROM (SELECT a.row_id, a.f1 AS fa, b.f1 AS fb, (('0x' || substr({S.md5_key(42, 'a.row_id')}, 32, 1))::INTEGER % 2 = 1) AS swapped
+        FROM (SELECT row_id, f1 FROM scored_models WHERE model = 'candidate') a JOIN (SELECT row_id, f1 FROM scored_models WHERE model = 'baseline') b USING (row_id)))""",
+)
+def q_randomize_ab_order(spark, sf_dir):
+    s = scored_models(spark, sf_dir)
+    a = s.filter(F.col("model") == "candidate").select("row_id", F.col("answer").alias("answer_a"), F.col("f1").alias("f1_a"))
+    b = s.filter(F.col("model") == "baseline").select("row_id", F.col("answer").alias("answer_b"), F.col("f1").alias("f1_b"))
+    r = evals.randomize_ab_order(a.join(b, "row_id"))
+    first_f1 = F.when(F.col("swapped"), F.col("f1_b")).otherwise(F.col("f1_a"))
+    second_f1 = F.when(F.col("swapped"), F.col("f1_a")).otherwise(F.col("f1_b"))
+    # stand-in judge with a position bias: ties go to the answer shown first
+    r = r.withColumn("verdict", F.when(first_f1 >= second_f1, "first").otherwise("second"))
+    return evals.unswap_verdict(r).select("row_id", "swapped", "winner")
+
+
+@register(
+    "judge_length_bias",
+    S.with_(*MODEL_CTES)
+    + """SELECT coalesce(judge, 0)::BIGINT AS score, count(*)::BIGINT AS n, round(avg(length(answer)), 6) AS mean_answer_chars,
+       CASE WHEN GROUPING(judge) = 1 THEN round((avg(judge::DOUBLE * length(answer)) - avg(judge::DOUBLE) * avg(length(answer)::DOUBLE))
+            / nullif(stddev_pop(judge::DOUBLE) * stddev_pop(length(answer)::DOUBLE), 0), 6) END AS corr_score_length
+FROM scored_models GROUP BY ROLLUP (judge)""",
+)
+def q_judge_length_bias(spark, sf_dir):
+    b = evals.judge_length_bias(scored_models(spark, sf_dir))
+    # the grand-total row (null score in the rollup) is reported as score 0
+    return b.select(F.coalesce(F.col("score"), F.lit(0)).cast("long").alias("score"), F.col("n").cast("long"), round6("mean_answer_chars").alias("mean_answer_chars"), round6("corr_score_length").alias("corr_score_length"))
+
+
+NGRAM_N = 8
+
+
+def _grams_sql(text: str) -> str:
+    w = S.split_ws(f"lower({text})")
+    return f"CASE WHEN len({w}) >= {NGRAM_N} THEN list_distinct(list_transform(range(1, len({w}) - {NGRAM_N} + 2), lambda i: array_to_string({w}[i:i + {NGRAM_N - 1}], ' '))) ELSE [] END"
+
+
+CONTAM_CTE = f"""bg AS (SELECT item_id, unnest({_grams_sql('text')}) AS gram FROM benchmark),
+sizes AS (SELECT item_id, count(*) AS item_grams FROM bg GROUP BY item_id),
+tg AS (SELECT doc_id, unnest({_grams_sql('text')}) AS gram FROM documents),
+hits AS (SELECT item_id, doc_id, count(*) AS shared_grams FROM tg JOIN bg USING (gram) GROUP BY item_id, doc_id),
+contam AS (SELECT h.item_id, h.doc_id, h.shared_grams, s.item_grams, h.shared_grams / s.item_grams AS coverage FROM hits h JOIN sizes s USING (item_id))"""
+
+
+def contamination(spark, sf_dir):
+    docs = V.scan_parquet(spark, sf_dir, "documents")
+    bench = V.scan_parquet(spark, sf_dir, "benchmark")
+    return evals.contamination_check(docs, bench, NGRAM_N)
+
+
+@register(
+    "contamination_check",
+    "WITH " + CONTAM_CTE + "\nSELECT item_id, doc_id, shared_grams::BIGINT AS shared_grams, item_grams::BIGINT AS item_grams, round(coverage, 6) AS coverage FROM contam",
+)
+def q_contamination_check(spark, sf_dir):
+    c = contamination(spark, sf_dir)
+    return c.select("item_id", "doc_id", F.col("shared_grams").cast("long"), F.col("item_grams").cast("long"), round6("coverage").alias("coverage"))
+
+
+@register(
+    "decontaminate",
+    "WITH " + CONTAM_CTE + "\nSELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM contam WHERE coverage > 0)",
+)
+def q_decontaminate(spark, sf_dir):
+    docs = V.scan_parquet(spark, sf_dir, "documents")
+    return evals.decontaminate(docs, contamination(spark, sf_dir)).select("doc_id", "lang")
+
+
+@register(
+    "behaviour_flags",
+    S.with_(S.INSTR_TURNS, S.TWO_MODELS)
+    + f"""SELECT model, count(*)::BIGINT AS n, count(*) FILTER (WHERE length({S.ustrip('answer')}) = 0)::BIGINT AS n_empty,
+       count(*) FILTER (WHERE upper(answer) = answer AND lower(answer) <> answer)::BIGINT AS n_shouting,
+       count(*) FILTER (WHERE regexp_matches(answer, '(?i)(i cannot|i can''t|i am unable|as an ai)'))::BIGINT AS n_refusal,
+       count(*) FILTER (WHERE regexp_matches(answer, '(?i)(password|api[ _-]?key|secret)'))::BIGINT AS n_unsafe,
+       count(*) FILTER (WHERE regexp_matches(answer, '(?i)(lorem ipsum|todo|tbd)'))::BIGINT AS n_placeholder
+FROM two_models GROUP BY model""",
+)
+def q_behaviour_flags(spark, sf_dir):
+    f = evals.behaviour_flags(V.two_models(spark, sf_dir))
+    return f.select("model", *[F.col(c).cast("long") for c in f.columns if c != "model"])
+
+
+# ---------------------------------------------------------------- J: preference data
+
+PREF_CTES = [S.INSTR_TURNS, S.PREFERENCES]
+VALID_PREFS = """valid AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sha256(prompt || '||' || chosen || '||' || rejected) ORDER BY row_id) AS _rn
+  FROM preferences WHERE prompt IS NOT NULL AND prompt <> '' AND chosen IS NOT NULL AND chosen <> '' AND rejected IS NOT NULL AND rejected <> ''
+    AND chosen <> rejected) WHERE _rn = 1)"""
+
+
+@register("validate_preferences", S.with_(*PREF_CTES, VALID_PREFS) + "SELECT row_id, prompt, chosen, rejected FROM valid")
+def q_validate_preferences(spark, sf_dir):
+    return prefs.validate_preferences(V.preferences(spark, sf_dir)).select("row_id", "prompt", "chosen", "rejected")
+
+
+@register("preference_split", S.with_(*PREF_CTES, VALID_PREFS, S.two_way("valid")) + "SELECT row_id, split FROM split2")
+def q_preference_split(spark, sf_dir):
+    v = prefs.validate_preferences(V.preferences(spark, sf_dir))
+    return prefs.preference_split(v).select("row_id", "split")
+
+
+@register(
+    "preference_truncate",
+    S.with_(
+        *PREF_CTES,
+        f"t AS (SELECT row_id, {S.tokenize('prompt')} AS p, {S.tokenize('chosen')} AS c, {S.tokenize('rejected')} AS r FROM preferences)",
+        "tp AS (SELECT row_id, p[greatest(len(p) - 32, 0) + 1:greatest(len(p) - 32, 0) + 32] AS p, c, r FROM t)",
+    )
+    + """SELECT row_id, array_to_string(p, ' ') AS prompt_tokens, array_to_string(c[1:greatest(64 - len(p), 0)], ' ') AS chosen_tokens,
+       array_to_string(r[1:greatest(64 - len(p), 0)], ' ') AS rejected_tokens FROM tp""",
+)
+def q_preference_truncate(spark, sf_dir):
+    from tunesmith.functions.text import tokenize as tok
+
+    p = V.preferences(spark, sf_dir).select("row_id", tok("prompt").alias("prompt_ids"), tok("chosen").alias("chosen_ids"), tok("rejected").alias("rejected_ids"))
+    t = prefs.preference_truncate(p, max_length=64)
+    return t.select(
+        "row_id",
+        F.array_join("prompt_ids", " ").alias("prompt_tokens"),
+        F.array_join("chosen_ids", " ").alias("chosen_tokens"),
+        F.array_join("rejected_ids", " ").alias("rejected_tokens"),
+    )
+
+
+SOFTPLUS = "(greatest({x}, 0.0) + ln(1 + exp(-abs({x}))))"
+
+
+@register(
+    "dpo_metrics",
+    S.with_(
+        S.LOGPROBS,
+        "m AS (SELECT (pi_chosen - ref_chosen) - (pi_rejected - ref_rejected) AS margin, 0.1 * (pi_chosen - ref_chosen) AS rc, 0.1 * (pi_rejected - ref_rejected) AS rr FROM logprobs)",
+    )
+    + f"""SELECT count(*)::BIGINT AS n, round(avg({SOFTPLUS.format(x='(-0.1 * margin)')}), 6) AS loss,
+       round(avg((margin > 0)::DOUBLE), 6) AS accuracy, round(avg(rc - rr), 6) AS reward_margin,
+       round(avg(rc), 6) AS reward_chosen, round(avg(rr), 6) AS reward_rejected FROM m""",
+)
+def q_dpo_metrics(spark, sf_dir):
+    d = prefs.dpo_metrics(V.logprobs(spark, sf_dir), beta=0.1)
+    return d.select(F.col("n").cast("long"), *[round6(c).alias(c) for c in d.columns if c != "n"])
+
+
+@register(
+    "orpo_metrics",
+    S.with_(
+        S.LOGPROBS,
+        "mm AS (SELECT pi_chosen / n_tokens AS mc, pi_rejected / n_tokens AS mr FROM logprobs)",
+        "o AS (SELECT -mc AS nll_chosen, (mc - ln(1 - exp(mc))) - (mr - ln(1 - exp(mr))) AS ratio FROM mm WHERE mc < 0 AND mr < 0)",
+    )
+    + f"""SELECT count(*)::BIGINT AS n, round(avg(nll_chosen), 6) AS nll_chosen, round(avg({SOFTPLUS.format(x='(-ratio)')}), 6) AS or_loss,
+       round(avg(nll_chosen + 0.1 * {SOFTPLUS.format(x='(-ratio)')}), 6) AS loss, round(avg((ratio > 0)::DOUBLE), 6) AS accuracy FROM o""",
+)
+def q_orpo_metrics(spark, sf_dir):
+    d = prefs.orpo_metrics(V.logprobs(spark, sf_dir), lam=0.1)
+    return d.select(F.col("n").cast("long"), *[round6(c).alias(c) for c in d.columns if c != "n"])
+
+
+@register(
+    "unpair_preferences",
+    S.with_(*PREF_CTES) + "SELECT row_id, chosen AS completion, true AS label FROM preferences UNION ALL SELECT row_id, rejected AS completion, false AS label FROM preferences",
+)
+def q_unpair_preferences(spark, sf_dir):
+    return prefs.unpair_preferences(V.preferences(spark, sf_dir)).select("row_id", "completion", "label")
+
+
+def _final_sql(x: str) -> str:
+    return f"coalesce(list_filter(string_split({x}, chr(10)), lambda l: trim(l) <> '')[-1], '')"
+
+
+@register(
+    "verifiable_reward",
+    S.with_(S.INSTR_TURNS, S.TWO_MODELS)
+    + f"""SELECT row_id, count(*)::BIGINT AS n_samples,
+       round(avg(({S.normalize(_final_sql('answer'))} = {S.normalize(_final_sql('reference'))})::DOUBLE), 6) AS mean_reward
+FROM two_models GROUP BY row_id""",
+)
+def q_verifiable_reward(spark, sf_dir):
+    r = prefs.verifiable_reward(V.two_models(spark, sf_dir))
+    return r.select("row_id", F.col("n_samples").cast("long"), round6("mean_reward").alias("mean_reward"))
+
+
+@register(
+    "distillation_rows",
+    S.with_(
+        "pr AS (SELECT conv_id, turn, text AS instruction FROM conversations WHERE role = 'user')",
+        "te AS (SELECT conv_id, turn - 1 AS turn, text AS output FROM conversations WHERE role = 'assistant')",
+        f"""ok AS (SELECT conv_id, turn, {S.ustrip('instruction')} AS instruction, {S.ustrip('output')} AS output FROM pr JOIN te USING (conv_id, turn)
+   WHERE instruction <> '' AND output <> '' AND length({S.ustrip('output')}) BETWEEN 1 AND 8000)""",
+        "okd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sha256(instruction || '||' || '' || '||' || output) ORDER BY conv_id, turn) AS _rn FROM ok) WHERE _rn = 1)",
+    )
+    + """SELECT conv_id, turn, 'ok' AS status, instruction, output FROM okd
+UNION ALL SELECT conv_id, turn, 'missing' AS status, instruction, NULL AS output FROM pr WHERE NOT EXISTS (SELECT 1 FROM te WHERE te.conv_id = pr.conv_id AND te.turn = pr.turn)""",
+)
+def q_distillation_rows(spark, sf_dir):
+    t = V.turns(spark, sf_dir)
+    prompts = t.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("instruction"))
+    teacher = t.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output"))
+    prompts = prompts.withColumn("row_id", F.col("conv_id") * 1000 + F.col("turn"))
+    d = prefs.distillation_rows(prompts, teacher)
+    return d.select("conv_id", "turn", "status", "instruction", "output")
+
+
+@register(
+    "rank_to_pairs",
+    S.with_(
+        *MODEL_CTES,
+        """allm AS (SELECT row_id, model, judge FROM scored_models
+  UNION ALL SELECT row_id, 'reference' AS model, 5 AS judge FROM instr_turns)""",
+        "ag AS (SELECT row_id, max(judge) AS hi, min(judge) AS lo FROM allm GROUP BY row_id)",
+    )
+    + """SELECT ag.row_id, (SELECT max(model) FROM allm a WHERE a.row_id = ag.row_id AND a.judge = ag.hi) AS chosen_model,
+       (SELECT min(model) FROM allm a WHERE a.row_id = ag.row_id AND a.judge = ag.lo) AS rejected_model,
+       hi::BIGINT AS chosen_score, lo::BIGINT AS rejected_score FROM ag WHERE hi > lo""",
+)
+def q_rank_to_pairs(spark, sf_dir):
+    s = scored_models(spark, sf_dir).select("row_id", "model", "answer", F.col("judge").cast("int"))
+    ref = V.instr_turns(spark, sf_dir).select("row_id", F.lit("reference").alias("model"), F.col("output").alias("answer"), F.lit(5).alias("judge"))
+    p = prefs.rank_to_pairs(s.unionByName(ref))
+    return p.select("row_id", "chosen_model", "rejected_model", F.col("chosen_score").cast("long"), F.col("rejected_score").cast("long"))

@@ -89,7 +89,7 @@ INSTR_TURNS = """instr_turns AS (
   WHERE u.role = 'user' AND a.role = 'assistant')"""
 
 EDITED = """CASE WHEN row_id % 7 = 0 THEN ''
-     WHEN row_id % 5 = 0 THEN upper(output) || ' !'
+     WHEN row_id % 5 = 0 THEN lower(output) || ' !'
      ELSE array_to_string(list_filter(string_split(output, ' '), lambda x, i: i % 4 <> 0), ' ') END"""
 
 PREDICTIONS = f"""predictions AS (
@@ -140,3 +140,36 @@ padded AS (
   FROM (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS L FROM trunc))"""
 
 ENCODED_CTES_NAMES = ("TOK", "VOCAB", "ENC")
+
+
+CANDIDATE = """CASE WHEN row_id % 3 = 0 THEN '' ELSE array_to_string(list_filter(string_split(output, ' '), lambda x, i: i % 2 = 1), ' ') END"""
+
+TWO_MODELS = f"""two_models AS (
+  SELECT 'baseline' AS model, row_id, instruction AS question, output AS reference, {EDITED} AS answer FROM instr_turns
+  UNION ALL
+  SELECT 'candidate' AS model, row_id, instruction AS question, output AS reference, {CANDIDATE} AS answer FROM instr_turns)"""
+
+
+def words(x: str) -> str:
+    return split_ws(normalize(x))
+
+
+def f1_of(p: str, r: str) -> str:
+    """F1 over two word-list columns p, r."""
+    ov = f"coalesce(list_sum(list_transform(list_distinct({p}), lambda t: least(len(list_filter({p}, lambda x: x = t)), len(list_filter({r}, lambda x: x = t))))), 0)"
+    return f"""(CASE WHEN len({p}) = 0 OR len({r}) = 0 THEN CASE WHEN len({p}) = len({r}) THEN 1.0 ELSE 0.0 END
+      WHEN {ov} = 0 THEN 0.0
+      ELSE 2 * ({ov} / len({p})) * ({ov} / len({r})) / (({ov} / len({p})) + ({ov} / len({r}))) END)"""
+
+
+def judge_of(reference: str, answer: str) -> str:
+    ref = f"list_distinct({split_ws(f'lower({reference})')})"
+    ans = f"list_distinct({split_ws(f'lower({answer})')})"
+    ov = f"(len(list_intersect({ref}, {ans})) / len({ref}))"
+    return f"""(CASE WHEN length({ustrip(answer)}) = 0 THEN 1 WHEN len({ref}) = 0 THEN 3
+      WHEN {ov} >= 0.6::DOUBLE THEN 5 WHEN {ov} >= 0.3::DOUBLE THEN 4 WHEN {ov} >= 0.1::DOUBLE THEN 3 ELSE 2 END)"""
+
+
+SCORED_MODELS = f"""scored_models AS (
+  SELECT *, (({normalize('answer')}) = ({normalize('reference')}))::DOUBLE AS em, {f1_of('_p', '_r')} AS f1, {judge_of('reference', 'answer')} AS judge
+  FROM (SELECT *, {words('answer')} AS _p, {words('reference')} AS _r FROM two_models))"""

@@ -40,12 +40,13 @@ def instr_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _edited_answer(output_col: str = "output", id_col: str = "row_id"):
     """Deterministic edit used to make predictions/rejected answers from references:
-    id % 7 = 0 -> ""; id % 5 = 0 -> upper-cased + " !"; else every 4th space-separated word removed."""
+    id % 7 = 0 -> ""; id % 5 = 0 -> lower-cased + " !"; else every 4th space-separated word removed.
+    (lower, not upper: Java upper-cases "ß" to "SS", other engines to "ẞ".)"""
     words = F.split(F.col(output_col), " ")
     kept = F.array_join(F.filter(words, lambda x, i: (i + 1) % 4 != 0), " ")
     return (
         F.when(F.col(id_col) % 7 == 0, F.lit(""))
-        .when(F.col(id_col) % 5 == 0, F.concat(F.upper(F.col(output_col)), F.lit(" !")))
+        .when(F.col(id_col) % 5 == 0, F.concat(F.lower(F.col(output_col)), F.lit(" !")))
         .otherwise(kept)
     )
 
@@ -108,3 +109,24 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").cast("long").alias("tokens"),
         (F.col("event_type") != F.lit("error")).alias("ok"),
     )
+
+
+def candidate_answer(output_col: str = "output", id_col: str = "row_id"):
+    """A second deterministic 'model': id % 3 = 0 -> ""; else every other word kept."""
+    words = F.split(F.col(output_col), " ")
+    return F.when(F.col(id_col) % 3 == 0, F.lit("")).otherwise(F.array_join(F.filter(words, lambda x, i: i % 2 == 0), " "))
+
+
+def two_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(model, row_id, question, reference, answer) for a baseline and a candidate model."""
+    t = instr_turns(spark, sf_dir)
+    base = t.select(F.lit("baseline").alias("model"), "row_id", F.col("instruction").alias("question"), F.col("output").alias("reference"), _edited_answer().alias("answer"))
+    cand = t.select(F.lit("candidate").alias("model"), "row_id", F.col("instruction").alias("question"), F.col("output").alias("reference"), candidate_answer().alias("answer"))
+    return base.unionByName(cand)
+
+
+def judge_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge replies derived from conversations: some rows carry a score-like reply."""
+    c = turns(spark, sf_dir)
+    reply = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("Score: "), (F.col("conv_id") % 12).cast("string"), F.lit("/5"))).otherwise(F.col("text"))
+    return c.select("conv_id", "turn", reply.alias("reply"))
