@@ -818,3 +818,336 @@ def q_rank_to_pairs(spark, sf_dir):
     ref = V.instr_turns(spark, sf_dir).select("row_id", F.lit("reference").alias("model"), F.col("output").alias("answer"), F.lit(5).alias("judge"))
     p = prefs.rank_to_pairs(s.unionByName(ref))
     return p.select("row_id", "chosen_model", "rejected_model", F.col("chosen_score").cast("long"), F.col("rejected_score").cast("long"))
+
+
+# ---------------------------------------------------------------- D: chat (templates, conversations)
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _chatml_sql(role: str, content: str) -> str:
+    """SQL twin of one ChatML message."""
+    pre = "CASE " + " ".join(f"WHEN {role} = {_lit(r)} THEN {_lit(p)}" for r, p in chat.CHATML.prefix.items()) + " ELSE '' END"
+    suf = "CASE " + " ".join(f"WHEN {role} = {_lit(r)} THEN {_lit(p)}" for r, p in chat.CHATML.suffix.items()) + " ELSE '' END"
+    return f"({pre} || {content} || {suf})"
+
+
+def turn_messages(spark, sf_dir):
+    return chat.to_chat_messages(V.instr_turns(spark, sf_dir))
+
+
+@register(
+    "render_chat",
+    S.with_(S.INSTR_TURNS) + f"SELECT row_id, {_chatml_sql(_lit('user'), 'instruction')} || {_chatml_sql(_lit('assistant'), 'output')} AS text FROM instr_turns",
+)
+def q_render_chat(spark, sf_dir):
+    return chat.render_chat(turn_messages(spark, sf_dir), chat.CHATML).select("row_id", "text")
+
+
+@register(
+    "render_generation_prompt",
+    S.with_(S.INSTR_TURNS) + f"SELECT row_id, {_chatml_sql(_lit('user'), 'instruction')} || {_lit(chat.CHATML.generation_prompt)} AS prompt FROM instr_turns",
+)
+def q_render_generation_prompt(spark, sf_dir):
+    return chat.render_generation_prompt(turn_messages(spark, sf_dir), chat.CHATML).select("row_id", "prompt")
+
+
+SYSTEM_TEXT = "You are a helpful assistant."
+
+
+@register(
+    "with_system_prompt",
+    f"""SELECT conv_id, (count(*) + CASE WHEN min_by(role, turn) = 'system' THEN 0 ELSE 1 END)::BIGINT AS n_messages,
+       CASE WHEN min_by(role, turn) = 'system' THEN min_by(text, turn) ELSE {_lit(SYSTEM_TEXT)} END AS first_content
+FROM conversations GROUP BY conv_id""",
+)
+def q_with_system_prompt(spark, sf_dir):
+    c = chat.with_system_prompt(chat.assemble_conversations(V.turns(spark, sf_dir)), SYSTEM_TEXT)
+    return c.select("conv_id", F.size("messages").cast("long").alias("n_messages"), F.col("messages")[0]["content"].alias("first_content"))
+
+
+@register(
+    "assemble_conversations",
+    f"""SELECT conv_id, count(*)::BIGINT AS n_messages, string_agg(role, ',' ORDER BY turn) AS roles,
+       string_agg({_chatml_sql('role', 'text')}, '' ORDER BY turn) AS text FROM conversations GROUP BY conv_id""",
+)
+def q_assemble_conversations(spark, sf_dir):
+    c = chat.assemble_conversations(V.turns(spark, sf_dir))
+    return c.select(
+        "conv_id",
+        F.size("messages").cast("long").alias("n_messages"),
+        F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"),
+        chat.render_messages(F.col("messages"), chat.CHATML).alias("text"),
+    )
+
+
+@register(
+    "history_per_turn",
+    """SELECT conv_id, turn, len(h)::BIGINT AS n_history, array_to_string(h, ',') AS history_roles, reply FROM (
+  SELECT conv_id, turn, role, text AS reply,
+         coalesce(list(role) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), []) AS h
+  FROM conversations) WHERE role = 'assistant'""",
+)
+def q_history_per_turn(spark, sf_dir):
+    h = chat.history_per_turn(V.turns(spark, sf_dir))
+    return h.select(
+        "conv_id", "turn", F.size("history").cast("long").alias("n_history"),
+        F.array_join(F.transform("history", lambda m: m["role"]), ",").alias("history_roles"), "reply",
+    )
+
+
+@register("turns_to_instructions", S.with_(S.INSTR_TURNS) + "SELECT row_id, instruction, output FROM instr_turns")
+def q_turns_to_instructions(spark, sf_dir):
+    return V.instr_turns(spark, sf_dir).select("row_id", "instruction", "output")
+
+
+@register(
+    "validate_conversations",
+    """SELECT conv_id, count(*)::BIGINT AS n_turns, min_by(role, turn) = 'system' AS has_system, max_by(role, turn) = 'user' AS ends_on_user,
+       count(*) FILTER (WHERE bad) = 0 AS valid_order, (count(*) FILTER (WHERE bad) = 0 AND max_by(role, turn) = 'assistant') AS trainable
+FROM (SELECT conv_id, turn, role,
+        coalesce((role = 'system' AND turn > 0) OR (turn = 0 AND role = 'assistant')
+          OR (prev = 'user' AND role <> 'assistant') OR (prev = 'assistant' AND role <> 'user') OR (prev = 'system' AND role <> 'user')
+          OR role NOT IN ('system', 'user', 'assistant'), false) AS bad
+      FROM (SELECT c.*, p.role AS prev FROM conversations c LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1))
+GROUP BY conv_id""",
+)
+def q_validate_conversations(spark, sf_dir):
+    return chat.validate_conversations(V.turns(spark, sf_dir)).select(
+        "conv_id", F.col("n_turns").cast("long"), "has_system", "ends_on_user", "valid_order", "trainable"
+    )
+
+
+@register(
+    "judge_prompts",
+    S.with_(*PRED_CTES)
+    + "SELECT row_id, "
+    + f"{_lit(chat.JUDGE_RUBRIC_PARTS[0])} || question || {_lit(chat.JUDGE_RUBRIC_PARTS[1])} || reference || {_lit(chat.JUDGE_RUBRIC_PARTS[2])} || answer || {_lit(chat.JUDGE_RUBRIC_PARTS[3])} AS judge_prompt FROM predictions",
+)
+def q_judge_prompts(spark, sf_dir):
+    return chat.judge_prompts(V.predictions(spark, sf_dir)).select("row_id", "judge_prompt")
+
+
+@register(
+    "preference_messages",
+    S.with_(*PREF_CTES)
+    + f"""SELECT row_id, {_chatml_sql(_lit('user'), 'prompt')} || {_chatml_sql(_lit('assistant'), 'chosen')} AS chosen_text,
+       {_chatml_sql(_lit('user'), 'prompt')} || {_chatml_sql(_lit('assistant'), 'rejected')} AS rejected_text FROM preferences""",
+)
+def q_preference_messages(spark, sf_dir):
+    return chat.preference_messages(V.preferences(spark, sf_dir)).select("row_id", "chosen_text", "rejected_text")
+
+
+# ---------------------------------------------------------------- B: remaining cleaning operators
+
+
+@register(
+    "length_outlier_filter",
+    S.with_(*PREPARED_CTES)
+    + """SELECT t.row_id, t.lang, t.n_tokens FROM toklen t JOIN (SELECT lang, quantile_cont(n_tokens, [0.01, 0.99]) AS b FROM toklen GROUP BY lang) q USING (lang)
+WHERE t.n_tokens BETWEEN q.b[1] AND q.b[2]""",
+)
+def q_length_outlier_filter(spark, sf_dir):
+    f = clean.length_outlier_filter(prepared(spark, sf_dir), "n_tokens", ["lang"], 0.01, 0.99)
+    return f.select("row_id", "lang", "n_tokens")
+
+
+FALLBACK_LINT = chat.ChatTemplate(name="fallback", prefix={"user": chat.FALLBACK_INSTRUCTION_HEADING}, eos=chat.DEFAULT_EOS)
+
+
+@register(
+    "format_lint",
+    S.with_(*PREPARED_CTES[:4])
+    + f"""SELECT count(*)::BIGINT AS n_rows, count(*) FILTER (WHERE NOT contains(text, {_lit(chat.FALLBACK_INSTRUCTION_HEADING)}))::BIGINT AS n_missing_markers,
+       count(*) FILTER (WHERE NOT ends_with(text, '</s>'))::BIGINT AS n_no_eos,
+       count(*) FILTER (WHERE contains(text, '<|im_start|>') OR contains(text, '<|im_end|>'))::BIGINT AS n_foreign_markers FROM rendered""",
+)
+def q_format_lint(spark, sf_dir):
+    rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir)))
+    flagged = clean.format_lint(chat.render_fallback(rows), FALLBACK_LINT, "text", other_markers=("<|im_start|>", "<|im_end|>"))
+    r = clean.format_lint_report(flagged)
+    return r.select(*[F.col(c).cast("long") for c in r.columns])
+
+
+@register("drop_columns", S.with_(*PREPARED_CTES[:4]) + "SELECT row_id, text FROM rendered")
+def q_drop_columns(spark, sf_dir):
+    rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir)))
+    return clean.drop_columns(chat.render_fallback(rows), ["row_id", "text"])
+
+
+@register(
+    "preview",
+    S.with_(*PRED_CTES)
+    + "SELECT row_id, substr(question, 1, 60) AS question_preview, substr(reference, 1, 80) AS reference_preview, substr(answer, 1, 80) AS answer_preview FROM predictions",
+)
+def q_preview(spark, sf_dir):
+    return clean.preview(V.predictions(spark, sf_dir)).select("row_id", "question_preview", "reference_preview", "answer_preview")
+
+
+# ---------------------------------------------------------------- G: remaining split operators
+
+
+@register(
+    "split_overlap_check",
+    S.with_(S.INSTR_DOCS, S.CLEANED, S.three_way("cleaned"))
+    + """SELECT count(*)::BIGINT AS n_leaking_keys, coalesce(sum(n_rows), 0)::BIGINT AS n_leaking_rows FROM (
+  SELECT sha256(instruction || '||' || input || '||' || output) AS k, count(DISTINCT split) AS n_splits, count(*) AS n_rows FROM split3 GROUP BY k)
+WHERE n_splits > 1""",
+)
+def q_split_overlap_check(spark, sf_dir):
+    s = splits.split_three_way(clean.clean_rows(V.instr_docs(spark, sf_dir))).withColumn("_key", clean.dedupe_key())
+    r = splits.split_overlap_summary(s, "_key")
+    return r.select(F.col("n_leaking_keys").cast("long"), F.col("n_leaking_rows").cast("long"))
+
+
+@register(
+    "group_split",
+    f"""SELECT doc_id, source, CASE WHEN u < 0.15::DOUBLE THEN 'test' WHEN u < 0.3::DOUBLE THEN 'val' ELSE 'train' END AS split FROM (
+  SELECT doc_id, source, ('0x' || substr({S.md5_key(42, 'source')}, 1, 13))::BIGINT / 4503599627370496.0 AS u FROM documents)""",
+)
+def q_group_split(spark, sf_dir):
+    d = V.scan_parquet(spark, sf_dir, "documents").select("doc_id", "source")
+    return splits.group_split(d, "source", 0.15, 0.15).select("doc_id", "source", "split")
+
+
+@register("spot_check", S.with_(*PREPARED_CTES[:4]) + f"SELECT row_id, text FROM rendered ORDER BY {S.md5_key(42, 'row_id')}, row_id LIMIT 20")
+def q_spot_check(spark, sf_dir):
+    rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir)))
+    return splits.spot_check(chat.render_fallback(rows).select("row_id", "text"), 20)
+
+
+@register("head_sample", S.with_(*PRED_CTES) + "SELECT row_id, question, reference FROM predictions ORDER BY row_id LIMIT 20")
+def q_head_sample(spark, sf_dir):
+    return splits.head_sample(V.predictions(spark, sf_dir).select("row_id", "question", "reference"), 20)
+
+
+# ---------------------------------------------------------------- H: remaining aggregations
+
+
+@register(
+    "length_histogram",
+    S.with_(*PREPARED_CTES) + "SELECT (n_tokens // 64)::BIGINT AS bin, (n_tokens // 64 * 64)::BIGINT AS bin_start, count(*)::BIGINT AS n_rows FROM toklen GROUP BY ALL",
+)
+def q_length_histogram(spark, sf_dir):
+    h = stats.length_histogram(prepared(spark, sf_dir), "n_tokens", 64)
+    return h.select("bin", F.col("bin_start").cast("long"), F.col("n_rows").cast("long"))
+
+
+@register(
+    "metric_means",
+    S.with_(*MODEL_CTES) + "SELECT model, count(*)::BIGINT AS n, round(avg(em), 6) AS exact_match, round(avg(f1), 6) AS token_f1 FROM scored_models GROUP BY model",
+)
+def q_metric_means(spark, sf_dir):
+    m = stats.metric_means(scored_models(spark, sf_dir), ["model"])
+    return m.select("model", F.col("n").cast("long"), round6("exact_match").alias("exact_match"), round6("token_f1").alias("token_f1"))
+
+
+@register(
+    "judge_summary",
+    S.with_(*MODEL_CTES)
+    + "SELECT model, count(*)::BIGINT AS n, round(avg(judge), 6) AS mean_score, "
+    + ", ".join(f"count(*) FILTER (WHERE judge = {s})::BIGINT AS n_score_{s}" for s in range(1, 6))
+    + " FROM scored_models GROUP BY model",
+)
+def q_judge_summary(spark, sf_dir):
+    j = stats.judge_summary(scored_models(spark, sf_dir), "judge", ["model"])
+    return j.select("model", F.col("n").cast("long"), round6("mean_score").alias("mean_score"), *[F.col(f"n_score_{s}").cast("long") for s in range(1, 6)])
+
+
+@register(
+    "corpus_perplexity",
+    S.with_(S.SCORED)
+    + """SELECT count(*)::BIGINT AS n_texts, sum(n_tokens)::BIGINT AS n_tokens, round(sum(nll * n_tokens) / greatest(sum(n_tokens), 1), 6) AS mean_nll,
+       round(exp(sum(nll * n_tokens) / greatest(sum(n_tokens), 1)), 6) AS perplexity FROM scored""",
+)
+def q_corpus_perplexity(spark, sf_dir):
+    p = stats.corpus_perplexity(V.scored_texts(spark, sf_dir))
+    return p.select(F.col("n_texts").cast("long"), F.col("n_tokens").cast("long"), round6("mean_nll").alias("mean_nll"), round6("perplexity").alias("perplexity"))
+
+
+@register(
+    "sliced_metrics",
+    """SELECT lang, source, GROUPING(lang, source)::BIGINT AS grouping_id, count(*)::BIGINT AS n, round(avg(quality), 6) AS quality,
+       round(avg(toxic), 6) AS toxic FROM documents JOIN labels USING (doc_id) GROUP BY ROLLUP (lang, source)""",
+)
+def q_sliced_metrics(spark, sf_dir):
+    d = V.scan_parquet(spark, sf_dir, "documents").join(V.scan_parquet(spark, sf_dir, "labels"), "doc_id")
+    m = stats.sliced_metrics(d, ["lang", "source"], {"quality": F.col("quality"), "toxic": F.col("toxic")})
+    return m.select("lang", "source", F.col("grouping_id").cast("long"), F.col("n").cast("long"), round6("quality").alias("quality"), round6("toxic").alias("toxic"))
+
+
+@register(
+    "metric_uncertainty",
+    S.with_(*MODEL_CTES)
+    + """SELECT model, count(f1)::BIGINT AS n, round(avg(f1), 6) AS mean, round(stddev_samp(f1) / sqrt(count(f1)), 6) AS std_error,
+       round(avg(f1) - 1.959963984540054 * stddev_samp(f1) / sqrt(count(f1)), 6) AS ci_low,
+       round(avg(f1) + 1.959963984540054 * stddev_samp(f1) / sqrt(count(f1)), 6) AS ci_high FROM scored_models GROUP BY model""",
+)
+def q_metric_uncertainty(spark, sf_dir):
+    u = stats.metric_uncertainty(scored_models(spark, sf_dir), "f1", ["model"])
+    return u.select("model", F.col("n").cast("long"), *[round6(c).alias(c) for c in ("mean", "std_error", "ci_low", "ci_high")])
+
+
+# ---------------------------------------------------------------- A: remaining sources and sinks
+
+from tunesmith.session import shared_scratch  # noqa: E402
+from tunesmith.sources import io  # noqa: E402
+
+
+@register("read_jsonl", S.with_(S.INSTR_DOCS, S.CLEANED) + "SELECT row_id, instruction, input, output FROM cleaned")
+def q_read_jsonl(spark, sf_dir):
+    """A1 + A2: cleaned rows written as JSON lines to the shared folder, then read back strictly."""
+    rows = clean.clean_rows(V.instr_docs(spark, sf_dir)).select("row_id", "instruction", "input", "output")
+    path = io.write_jsonl(rows, shared_scratch(spark, "jsonl"))
+    return io.read_jsonl(spark, path).select("row_id", "instruction", "input", "output")
+
+
+@register(
+    "write_jsonl",
+    S.with_(*PREPARED_CTES[:4]) + "SELECT row_id, text, lang, NULL::VARCHAR AS note FROM rendered",
+)
+def q_write_jsonl(spark, sf_dir):
+    """A2: nulls are written as JSON null (not dropped) and read back as null."""
+    rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir)))
+    out = chat.render_fallback(rows).select("row_id", "text", "lang", F.lit(None).cast("string").alias("note"))
+    path = io.write_jsonl(out, shared_scratch(spark, "jsonl"))
+    import pyspark.sql.types as T
+
+    schema = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("note", T.StringType())])
+    return io.read_jsonl(spark, path, schema).select("row_id", "text", "lang", "note")
+
+
+@register("load_sample_dataset", S.with_(S.INSTR_DOCS, S.CLEANED, S.two_way("cleaned")) + "SELECT row_id, split FROM split2")
+def q_load_sample_dataset(spark, sf_dir):
+    return io.load_sample_dataset(clean.clean_rows(V.instr_docs(spark, sf_dir)), 0.2, 42).select("row_id", "split")
+
+
+@register("load_preference_dataset", S.with_(*PREF_CTES, VALID_PREFS, S.two_way("valid")) + "SELECT row_id, split FROM split2")
+def q_load_preference_dataset(spark, sf_dir):
+    return io.load_preference_dataset(V.preferences(spark, sf_dir)).select("row_id", "split")
+
+
+@register(
+    "save_splits",
+    S.with_(*PREPARED_CTES[:4], S.three_way("rendered")) + "SELECT split, count(*)::BIGINT AS n_rows, sum(length(text))::BIGINT AS total_chars FROM split3 GROUP BY split",
+)
+def q_save_splits(spark, sf_dir):
+    rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir)))
+    s = splits.split_three_way(chat.render_fallback(rows))
+    path = io.save_splits(s, shared_scratch(spark, "splits"))
+    back = spark.read.parquet(path)
+    return back.groupBy("split").agg(F.count(F.lit(1)).cast("long").alias("n_rows"), F.sum(F.length("text")).cast("long").alias("total_chars"))
+
+
+@register(
+    "write_shards",
+    S.with_(*PREPARED_CTES[:3])
+    + f"SELECT (_rk % 4)::BIGINT AS shard, count(*)::BIGINT AS n_rows, sum(row_id)::BIGINT AS id_sum FROM (SELECT row_id, row_number() OVER (ORDER BY {S.md5_key(42, 'row_id')}, row_id) - 1 AS _rk FROM deduped) GROUP BY shard",
+)
+def q_write_shards(spark, sf_dir):
+    rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir))).select("row_id", "instruction", "output")
+    path = io.write_shards(rows, shared_scratch(spark, "shards"), 4)
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col("shard").cast("long").alias("shard")).agg(F.count(F.lit(1)).cast("long").alias("n_rows"), F.sum("row_id").cast("long").alias("id_sum"))
