@@ -93,3 +93,17 @@ def explode_values(c) -> Column:
     is re-evaluated per element (quadratic). explode_outer has no inferred filter.
     """
     return F.explode_outer(col_(c))
+
+
+def word_ngrams(words, n: int) -> Column:
+    """Distinct word n-grams (space-joined) of a word array; [] when it has fewer than n words.
+
+    Built from ``arrays_zip`` of n shifted slices, so the lambda only reads its own
+    struct argument. (A lambda that captures a computed array gets that array's
+    expression inlined into its body by the optimizer and re-evaluated per element.)
+    """
+    w = col_(words)
+    m = F.greatest(F.size(w) - n + 1, F.lit(0))
+    zipped = F.arrays_zip(*[F.slice(w, k + 1, m).alias(f"w{k}") for k in range(n)])
+    grams = F.transform(zipped, lambda s: F.concat_ws(" ", *[s[f"w{k}"] for k in range(n)]))
+    return F.when(F.size(w) >= n, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))

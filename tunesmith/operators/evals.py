@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunesmith.functions.text import col_, explode_values, normalize_answer, split_ws, tokenize, ustrip
+from tunesmith.functions.text import col_, explode_values, normalize_answer, split_ws, tokenize, ustrip, word_ngrams
 
 
 def answer_words(c) -> Column:
@@ -209,15 +209,9 @@ def judge_length_bias(scores: DataFrame, score_col: str = "judge", text_col: str
     )
 
 
-def ngrams_of_words(w: Column, n: int) -> Column:
-    """Distinct n-grams of a word-array *column* (none when it has fewer than n words)."""
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, n), " "))
-    return F.when(F.size(w) >= n, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
-
-
 def with_word_ngrams(df: DataFrame, text_col: str, n: int, out: str = "grams") -> DataFrame:
     """Distinct lower-cased whitespace-word n-grams of a text."""
-    return df.withColumn("_w", split_ws(F.lower(F.col(text_col)))).withColumn(out, ngrams_of_words(F.col("_w"), n)).drop("_w")
+    return df.withColumn("_w", split_ws(F.lower(F.col(text_col)))).withColumn(out, word_ngrams("_w", n)).drop("_w")
 
 
 def contamination_check(train: DataFrame, bench: DataFrame, n: int = 8, train_key: str = "doc_id", bench_key: str = "item_id", text_col: str = "text") -> DataFrame:

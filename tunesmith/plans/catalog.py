@@ -1151,3 +1151,54 @@ def q_write_shards(spark, sf_dir):
     path = io.write_shards(rows, shared_scratch(spark, "shards"), 4)
     back = spark.read.parquet(path)
     return back.groupBy(F.col("shard").cast("long").alias("shard")).agg(F.count(F.lit(1)).cast("long").alias("n_rows"), F.sum("row_id").cast("long").alias("id_sum"))
+
+
+# ---------------------------------------------------------------- C: near duplicates
+
+from tunesmith.operators import neardup  # noqa: E402
+
+NEARDUP_CTES = [
+    f"""g AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')))
+                  ELSE [array_to_string(w, ' ')] END AS grams
+  FROM (SELECT doc_id, {S.split_ws('lower(text)')} AS w FROM documents))""",
+    "sg AS (SELECT doc_id, grams, sha256(array_to_string(list_sort(grams), chr(1))) AS sig FROM g)",
+    "reps AS (SELECT sig, min(doc_id) AS rep, min_by(grams, doc_id) AS grams FROM sg GROUP BY sig)",
+    """pairs AS (SELECT id_a, id_b, inter, na + nb - inter AS uni FROM (
+  SELECT a.rep AS id_a, b.rep AS id_b, len(a.grams) AS na, len(b.grams) AS nb, len(list_intersect(a.grams, b.grams)) AS inter
+  FROM reps a JOIN reps b ON a.rep < b.rep AND 5 * least(len(a.grams), len(b.grams)) >= 4 * greatest(len(a.grams), len(b.grams)))
+  WHERE 5 * inter >= 4 * (na + nb - inter))""",
+]
+
+
+def _docs(spark, sf_dir):
+    return V.scan_parquet(spark, sf_dir, "documents")
+
+
+@register(
+    "near_dup_pairs",
+    S.with_(*NEARDUP_CTES) + "SELECT id_a, id_b, inter::BIGINT AS inter, uni::BIGINT AS \"union\", round(inter / uni, 6) AS jaccard FROM pairs",
+)
+def q_near_dup_pairs(spark, sf_dir):
+    p = neardup.near_dup_pairs(_docs(spark, sf_dir))
+    return p.select("id_a", "id_b", F.col("inter").cast("long"), F.col("union").cast("long"), round6("jaccard").alias("jaccard"))
+
+
+@register("near_dup_minhash")
+def q_near_dup_minhash(spark, sf_dir):
+    """Approximate candidates, exact verification: a subset of near_dup_pairs (recall is tested)."""
+    p = neardup.near_dup_minhash(_docs(spark, sf_dir))
+    return p.select("id_a", "id_b", round6("jaccard").alias("jaccard"))
+
+
+@register(
+    "near_dup_clusters",
+    "WITH RECURSIVE "
+    + ",\n".join(NEARDUP_CTES)
+    + """,
+edges AS (SELECT id_a AS src, id_b AS dst FROM pairs UNION ALL SELECT id_b AS src, id_a AS dst FROM pairs),
+cc(node, label) AS (SELECT rep, rep FROM reps UNION SELECT e.dst, cc.label FROM cc JOIN edges e ON e.src = cc.node),
+lab AS (SELECT node AS rep, min(label) AS label FROM cc GROUP BY node)
+SELECT sg.doc_id, lab.label AS cluster_id, sg.doc_id = lab.label AS keep FROM sg JOIN reps USING (sig) JOIN lab ON lab.rep = reps.rep""",
+)
+def q_near_dup_clusters(spark, sf_dir):
+    return neardup.near_dup_clusters(_docs(spark, sf_dir)).select("doc_id", "cluster_id", "keep")
