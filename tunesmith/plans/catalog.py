@@ -1202,3 +1202,153 @@ SELECT sg.doc_id, lab.label AS cluster_id, sg.doc_id = lab.label AS keep FROM sg
 )
 def q_near_dup_clusters(spark, sf_dir):
     return neardup.near_dup_clusters(_docs(spark, sf_dir)).select("doc_id", "cluster_id", "keep")
+
+
+# ---------------------------------------------------------------- K, M: batch inference and plug-ins
+
+from tunesmith.operators import infer, serving  # noqa: E402
+
+
+@register("batch_generate", S.with_(S.INSTR_TURNS) + "SELECT row_id, array_to_string(string_split(instruction, ' ')[1:12], ' ') AS reply FROM instr_turns")
+def q_batch_generate(spark, sf_dir):
+    prompts = chat.render_generation_prompt(turn_messages(spark, sf_dir), chat.CHATML).select("row_id", "prompt")
+    return infer.batch_generate(prompts, infer.first_words_model(12)).select("row_id", "reply")
+
+
+@register("udf_generate")
+def q_udf_generate(spark, sf_dir):
+    """M3: a generate plug-in over multi-turn histories (each assistant turn's context)."""
+    h = chat.history_per_turn(V.turns(spark, sf_dir)).withColumnRenamed("history", "messages")
+    prompts = chat.render_generation_prompt(h, chat.CHATML).select("conv_id", "turn", "prompt")
+    return infer.batch_generate(prompts, infer.first_words_model(12)).select("conv_id", "turn", "reply")
+
+
+@register(
+    "strip_prompt",
+    S.with_(*ENCODED_CTES)
+    + """SELECT e.row_id, coalesce(array_to_string(list(v.token ORDER BY e.pos) FILTER (WHERE e.id >= 4), ' '), '') AS reply FROM (
+  SELECT row_id, unnest(ids[1:16]) AS id, unnest(generate_series(1, len(ids[1:16]))) AS pos FROM enc) e JOIN vocab v USING (id) GROUP BY e.row_id""",
+)
+def q_strip_prompt(spark, sf_dir):
+    """Generated sequence = prompt ids + 16 new ids + [eos, pad, pad]; strip and decode the new part."""
+    e = encoded(spark, sf_dir).select("row_id", F.col("input_ids").alias("prompt_ids"))
+    e = e.withColumn("output_ids", F.concat("prompt_ids", F.slice("prompt_ids", 1, 16), F.array(F.lit(tokens.EOS_ID), F.lit(tokens.PAD_ID), F.lit(tokens.PAD_ID))))
+    return infer.strip_and_decode(e, vocab_of(spark, sf_dir)).select("row_id", "reply")
+
+
+@register(
+    "throughput",
+    S.with_(S.REQUESTS)
+    + "SELECT adapter, count(*)::BIGINT AS n, sum(tokens)::BIGINT AS tokens, round(sum(latency), 6) AS elapsed, round(sum(tokens) / greatest(sum(latency), 1e-6), 6) AS tokens_per_sec FROM requests GROUP BY adapter",
+)
+def q_throughput(spark, sf_dir):
+    t = infer.throughput(V.requests(spark, sf_dir), F.col("tokens"), F.col("latency"), ["adapter"])
+    return t.select("adapter", F.col("n").cast("long"), F.col("tokens").cast("long"), round6("elapsed").alias("elapsed"), round6("tokens_per_sec").alias("tokens_per_sec"))
+
+
+ADAPTERS = ("view", "click", "purchase")
+
+
+@register(
+    "route_by_adapter",
+    S.with_(S.REQUESTS)
+    + f"""SELECT event_id, CASE WHEN adapter IN {tuple(ADAPTERS)} THEN adapter ELSE 'base' END AS adapter_used,
+       (CASE WHEN adapter IN {tuple(ADAPTERS)} THEN adapter ELSE 'base' END) || ':' || CAST(user_id AS VARCHAR) AS reply FROM requests""",
+)
+def q_route_by_adapter(spark, sf_dir):
+    r = V.requests(spark, sf_dir).select("event_id", "adapter", F.col("user_id").cast("string").alias("prompt"))
+    out = infer.route_by_adapter(r, {a: infer.tagged_model(a) for a in ADAPTERS}, infer.tagged_model("base"))
+    return out.select("event_id", "adapter_used", "reply")
+
+
+@register("udf_tokenizer", "SELECT doc_id, strlen(text)::BIGINT AS n_ids FROM documents")
+def q_udf_tokenizer(spark, sf_dir):
+    enc = infer.udf_tokenizer(infer.byte_tokenizer)
+    d = V.scan_parquet(spark, sf_dir, "documents")
+    return d.select("doc_id", F.size(enc(F.col("text"))).cast("long").alias("n_ids"))
+
+
+@register("udf_judge", S.with_(*MODEL_CTES) + "SELECT model, row_id, judge::BIGINT AS judge FROM scored_models")
+def q_udf_judge(spark, sf_dir):
+    j = infer.udf_judge(V.two_models(spark, sf_dir), infer.heuristic_judge_py)
+    return j.select("model", "row_id", F.col("judge").cast("long"))
+
+
+@register(
+    "template_registry",
+    S.with_(S.INSTR_TURNS)
+    + f"""SELECT row_id, 'chatml' AS template, {_chatml_sql(_lit('user'), 'instruction')} || {_chatml_sql(_lit('assistant'), 'output')} AS text FROM instr_turns
+UNION ALL SELECT row_id, 'fallback' AS template, '### Instruction:' || chr(10) || instruction || chr(10) || chr(10) || '### Response:' || chr(10) || output || '</s>' AS text FROM instr_turns""",
+)
+def q_template_registry(spark, sf_dir):
+    m = turn_messages(spark, sf_dir)
+    outs = []
+    for name in ("chatml", None):
+        t = chat.template_registry(name)
+        r = chat.render_chat(m, t) if t is not None else chat.render_fallback(m)
+        outs.append(r.select("row_id", F.lit(name or "fallback").alias("template"), "text"))
+    return outs[0].unionByName(outs[1])
+
+
+# ---------------------------------------------------------------- L: serving logs
+
+HOUR_FMT = "yyyy-MM-dd HH:mm:ss"
+US_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def _serving_out(df):
+    return df.select(
+        F.date_format("window_start", HOUR_FMT).alias("window_start"), F.col("n_requests").cast("long"), F.col("n_errors").cast("long"),
+        F.col("tokens").cast("long"), round6("latency_p99").alias("latency_p99"), round6("tokens_per_sec").alias("tokens_per_sec"),
+    )
+
+
+SERVING_AGG = """count(*)::BIGINT AS n_requests, count(*) FILTER (WHERE NOT ok)::BIGINT AS n_errors, sum(tokens)::BIGINT AS tokens,
+       round(quantile_cont(latency, 0.99), 6) AS latency_p99, round(sum(tokens) / greatest(sum(latency), 1e-6), 6) AS tokens_per_sec"""
+
+
+@register(
+    "serving_metrics",
+    S.with_(S.REQUESTS) + f"SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, {SERVING_AGG} FROM requests GROUP BY 1",
+)
+def q_serving_metrics(spark, sf_dir):
+    return _serving_out(serving.serving_metrics(V.requests(spark, sf_dir), "1 hour"))
+
+
+@register(
+    "serving_sliding",
+    S.with_(S.REQUESTS)
+    + f"""SELECT strftime(date_trunc('hour', ts) - k * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_start, {SERVING_AGG}
+FROM requests, range(6) r(k) GROUP BY 1""",
+)
+def q_serving_sliding(spark, sf_dir):
+    return _serving_out(serving.serving_sliding(V.requests(spark, sf_dir), "6 hours", "1 hour"))
+
+
+@register(
+    "queue_depth",
+    S.with_(
+        S.REQUESTS,
+        """ev AS (SELECT event_id, epoch_us(ts) AS t, 1 AS kind, 1 AS d FROM requests
+  UNION ALL SELECT event_id, epoch_us(ts) + CAST(round(latency * 1000000) AS BIGINT) AS t, 0 AS kind, -1 AS d FROM requests)""",
+    )
+    + "SELECT event_id, depth::BIGINT AS depth FROM (SELECT event_id, kind, sum(d) OVER (ORDER BY t, kind, event_id ROWS UNBOUNDED PRECEDING) AS depth FROM ev) WHERE kind = 1",
+)
+def q_queue_depth(spark, sf_dir):
+    return serving.queue_depth(V.requests(spark, sf_dir)).select("event_id", F.col("depth").cast("long"))
+
+
+@register(
+    "chat_sessions",
+    S.with_(
+        S.REQUESTS,
+        """s AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                              OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS new FROM requests)""",
+        "g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM s)",
+    )
+    + """SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start, strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS session_end,
+       count(*)::BIGINT AS n_requests FROM g GROUP BY user_id, sid""",
+)
+def q_chat_sessions(spark, sf_dir):
+    s = serving.chat_sessions(V.requests(spark, sf_dir), "30 minutes")
+    return s.select("user_id", F.date_format("session_start", US_FMT).alias("session_start"), F.date_format("session_end", US_FMT).alias("session_end"), F.col("n_requests").cast("long"))
