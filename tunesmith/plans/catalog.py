@@ -1352,3 +1352,49 @@ def q_queue_depth(spark, sf_dir):
 def q_chat_sessions(spark, sf_dir):
     s = serving.chat_sessions(V.requests(spark, sf_dir), "30 minutes")
     return s.select("user_id", F.date_format("session_start", US_FMT).alias("session_start"), F.date_format("session_end", US_FMT).alias("session_end"), F.col("n_requests").cast("long"))
+
+
+# ---------------------------------------------------------------- streaming forms
+
+from tunesmith.streaming import streams  # noqa: E402
+
+
+@register("stream_jsonl", S.with_(S.INSTR_DOCS, S.CLEANED) + "SELECT row_id, instruction, input, output FROM cleaned")
+def q_stream_jsonl(spark, sf_dir):
+    """Cleaned rows land as JSON-lines files; a file stream picks them up."""
+    rows = clean.clean_rows(V.instr_docs(spark, sf_dir)).select("row_id", "instruction", "input", "output")
+    src = io.write_jsonl(rows, shared_scratch(spark, "jsonl-in"))
+    s = streams.stream_jsonl(spark, src, io.INSTRUCTION_SCHEMA)
+    return streams.run_to_table(s, "stream-jsonl").select("row_id", "instruction", "input", "output")
+
+
+@register("stream_dedupe", "SELECT DISTINCT user_id, event_type, props FROM events")
+def q_stream_dedupe(spark, sf_dir):
+    s = streams.stream_dedupe(streams.stream_table(spark, sf_dir, "events", streams.EVENTS_SCHEMA), ["user_id", "event_type", "props"])
+    return streams.run_to_table(s, "stream-dedupe").select("user_id", "event_type", "props")
+
+
+@register(
+    "stream_serving_metrics",
+    """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*)::BIGINT AS n_requests,
+       count(*) FILTER (WHERE event_type = 'error')::BIGINT AS n_errors, sum(CAST(json_extract_string(props, '$.k') AS BIGINT))::BIGINT AS tokens,
+       round(sum(value), 6) AS latency_sum, round(max(value), 6) AS latency_max
+FROM events GROUP BY date_trunc('hour', ts)
+HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+)
+def q_stream_serving_metrics(spark, sf_dir):
+    s = streams.stream_serving_metrics(streams.stream_table(spark, sf_dir, "events", streams.EVENTS_SCHEMA))
+    r = streams.run_to_table(s, "stream-serving")
+    return r.select(
+        F.date_format("window_start", HOUR_FMT).alias("window_start"), F.col("n_requests").cast("long"), F.col("n_errors").cast("long"),
+        F.col("tokens").cast("long"), round6("latency_sum").alias("latency_sum"), round6("latency_max").alias("latency_max"),
+    )
+
+
+@register("stream_chat_history", "SELECT conv_id, count(*)::BIGINT AS n_messages, max(turn)::BIGINT AS last_turn, max_by(role, turn) AS last_role FROM conversations GROUP BY conv_id")
+def q_stream_chat_history(spark, sf_dir):
+    s = streams.stream_chat_history(streams.stream_table(spark, sf_dir, "conversations", streams.TURNS_SCHEMA), idle_timeout_ms=None)
+    r = streams.run_to_table(s, "stream-history", output_mode="append")
+    # the latest emitted state per conversation (a small per-key reduction of the sink)
+    last = r.groupBy("conv_id").agg(F.max_by(F.struct("n_messages", "last_turn", "last_role"), "n_messages").alias("s"))
+    return last.select("conv_id", F.col("s.n_messages").cast("long").alias("n_messages"), F.col("s.last_turn").cast("long").alias("last_turn"), F.col("s.last_role").alias("last_role"))
