@@ -40,14 +40,29 @@ def f1_from_words(p: Column, r: Column) -> Column:
     )
 
 
-def with_token_f1(df: DataFrame, pred: str, ref: str, out: str = "f1") -> DataFrame:
+def with_token_f1(df: DataFrame, pred: str, ref: str, out: str = "f1", key: str | None = None) -> DataFrame:
     """Multiset word-overlap F1; when either side is empty, 1.0 only if both are.
 
-    The word arrays are materialised as columns first, so the per-word counting
-    lambdas scan an array instead of re-running normalization per word.
+    With a unique ``key`` the multiset overlap is computed as a join of per-(key,
+    word) counts — linear in text length, groups bounded by one row's words —
+    instead of a per-word scan of both arrays inside a lambda (quadratic, fine
+    only for short answers).
     """
     x = df.withColumns({"_p": answer_words(pred), "_r": answer_words(ref)})
-    return x.withColumn(out, f1_from_words(F.col("_p"), F.col("_r"))).drop("_p", "_r")
+    if key is None:
+        return x.withColumn(out, f1_from_words(F.col("_p"), F.col("_r"))).drop("_p", "_r")
+
+    def counts(arr: str, name: str) -> DataFrame:
+        e = x.select(key, explode_values(arr).alias("_word")).filter(F.col("_word").isNotNull())
+        return e.groupBy(key, "_word").agg(F.count(F.lit(1)).alias(name))
+
+    ov = counts("_p", "_cp").join(counts("_r", "_cr"), [key, "_word"]).groupBy(key).agg(F.sum(F.least("_cp", "_cr")).alias("_ov"))
+    y = x.join(ov, key, "left").withColumn("_ov", F.coalesce(F.col("_ov"), F.lit(0)))
+    np_, nr = F.size("_p"), F.size("_r")
+    prec = F.try_divide(F.col("_ov"), np_)
+    rec = F.try_divide(F.col("_ov"), nr)
+    f1 = F.when((np_ == 0) | (nr == 0), (np_ == nr).cast("double")).when(F.col("_ov") == 0, F.lit(0.0)).otherwise(2 * prec * rec / (prec + rec))
+    return y.withColumn(out, f1).drop("_p", "_r", "_ov")
 
 
 def token_f1(pred, ref) -> Column:
@@ -88,8 +103,9 @@ def parse_judge_reply(reply) -> Column:
     return F.when(d == "", F.lit(3)).otherwise(F.least(F.lit(5), F.greatest(F.lit(1), d.cast("int"))))
 
 
-def score_table(df: DataFrame, question="question", reference="reference", answer="answer") -> DataFrame:
-    """One row per example — previews, EM, F1 and the heuristic judge."""
+def score_table(df: DataFrame, question="question", reference="reference", answer="answer", key: str | None = None) -> DataFrame:
+    """One row per example — previews, EM, F1 and the heuristic judge.
+    Pass a unique ``key`` (e.g. ["model", "row_id"] folded into one column) for long texts."""
     x = df.withColumns(
         {
             "question_preview": F.substring(question, 1, 60),
@@ -98,7 +114,7 @@ def score_table(df: DataFrame, question="question", reference="reference", answe
             "em": exact_match(answer, reference),
         }
     )
-    return with_heuristic_judge(with_token_f1(x, answer, reference, "f1"), reference, answer, "judge")
+    return with_heuristic_judge(with_token_f1(x, answer, reference, "f1", key), reference, answer, "judge")
 
 
 def ngram_perplexity(train: DataFrame, test: DataFrame, tokens_col: str = "tokens") -> DataFrame:

@@ -26,7 +26,7 @@ def length_stats(df: DataFrame, length_col: str = "n_tokens", group_cols=()) ->
         F.min(F.when(F.col("_cum") > F.floor(F.col("_n") / 2), F.col(length_col))).cast("long").alias("median_len"),
         F.max(length_col).cast("long").alias("max_len"),
         (F.sum(F.col(length_col) * F.col("_c")) / F.sum("_c")).alias("mean_len"),
-    )
+    ).filter(F.col("n_rows").isNotNull())  # a global aggregate of nothing: no row, like the reference
 
 
 def length_histogram(df: DataFrame, length_col: str = "n_tokens", width: int = 64) -> DataFrame:

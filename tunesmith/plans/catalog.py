@@ -477,7 +477,8 @@ MODEL_CTES = [S.INSTR_TURNS, S.TWO_MODELS, S.SCORED_MODELS]
 
 
 def scored_models(spark, sf_dir):
-    return evals.score_table(V.two_models(spark, sf_dir))
+    m = V.two_models(spark, sf_dir).withColumn("_key", F.concat_ws("|", "model", F.col("row_id").cast("string")))
+    return evals.score_table(m, key="_key").drop("_key")
 
 
 @register(
@@ -499,7 +500,7 @@ def q_exact_match(spark, sf_dir):
     S.with_(*PRED_CTES) + f"SELECT row_id, round({S.f1_of('_p', '_r')}, 6) AS f1 FROM (SELECT *, {S.words('answer')} AS _p, {S.words('reference')} AS _r FROM predictions)",
 )
 def q_token_f1(spark, sf_dir):
-    f = evals.with_token_f1(V.predictions(spark, sf_dir), "answer", "reference", "f1")
+    f = evals.with_token_f1(V.predictions(spark, sf_dir), "answer", "reference", "f1", key="row_id")
     return f.select("row_id", round6("f1").alias("f1"))
 
 
