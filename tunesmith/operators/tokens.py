@@ -51,11 +51,15 @@ def build_vocab(df: DataFrame, tokens_col: str = "tokens", k: int = 32000) -> Da
     return specials.unionByName(ranked)
 
 
-def _collect_vocab(vocab: DataFrame) -> tuple[list[str], list[int]]:
-    n = vocab.count()
-    if n > MAX_LOOKUP_VOCAB:
-        raise ValueError(f"vocabulary of {n} entries exceeds the broadcast bound {MAX_LOOKUP_VOCAB}")
-    rows = vocab.select("token", "id").collect()
+def _collect_vocab(vocab: DataFrame) -> tuple[list[str], list[int]] | None:
+    """The vocabulary as two lists, or None when it exceeds the broadcast bound.
+
+    One bounded collect (at most MAX_LOOKUP_VOCAB + 1 rows) both checks the size
+    and fetches the table, so the vocabulary plan runs once.
+    """
+    rows = vocab.select("token", "id").limit(MAX_LOOKUP_VOCAB + 1).collect()
+    if len(rows) > MAX_LOOKUP_VOCAB:
+        return None
     return [r["token"] for r in rows], [int(r["id"]) for r in rows]
 
 
@@ -93,12 +97,15 @@ def encode(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", out: str
     broadcast-free equi-join with the vocabulary, re-collect per row sorted by
     position (for vocabularies beyond the bound).
     """
-    if method == "auto":
-        method = "lookup" if vocab.count() <= MAX_LOOKUP_VOCAB else "join"
     if method == "join":
         return _encode_join(df, vocab, tokens_col, out)
+    table = _collect_vocab(vocab)
+    if table is None:
+        if method == "lookup":
+            raise ValueError(f"vocabulary exceeds the broadcast bound {MAX_LOOKUP_VOCAB}; use method='join'")
+        return _encode_join(df, vocab, tokens_col, out)
     spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(_collect_vocab(vocab))
+    bc = spark.sparkContext.broadcast(table)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def _encode(s: pd.Series) -> pd.Series:
@@ -127,7 +134,10 @@ def _encode_join(df: DataFrame, vocab: DataFrame, tokens_col: str, out: str) ->
 def ids_to_tokens(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", out: str = "id_tokens") -> DataFrame:
     """Ids -> token strings (vectorized take on a broadcast id -> token array)."""
     spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(_collect_vocab(vocab))
+    table = _collect_vocab(vocab)
+    if table is None:
+        raise ValueError(f"vocabulary exceeds the broadcast bound {MAX_LOOKUP_VOCAB}")
+    bc = spark.sparkContext.broadcast(table)
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def _lookup(s: pd.Series) -> pd.Series:

@@ -630,14 +630,16 @@ def q_judge_length_bias(spark, sf_dir):
 NGRAM_N = 8
 
 
-def _grams_sql(text: str) -> str:
-    w = S.split_ws(f"lower({text})")
+def _grams_sql(w: str) -> str:
+    """Distinct n-grams of the word-list *column* w (a column, so the lambda does not
+    re-evaluate the word split per element)."""
     return f"CASE WHEN len({w}) >= {NGRAM_N} THEN list_distinct(list_transform(range(1, len({w}) - {NGRAM_N} + 2), lambda i: array_to_string({w}[i:i + {NGRAM_N - 1}], ' '))) ELSE [] END"
 
 
-CONTAM_CTE = f"""bg AS (SELECT item_id, unnest({_grams_sql('text')}) AS gram FROM benchmark),
+_WORDS = S.split_ws("lower(text)")
+CONTAM_CTE = f"""bg AS (SELECT item_id, unnest({_grams_sql('w')}) AS gram FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
 sizes AS (SELECT item_id, count(*) AS item_grams FROM bg GROUP BY item_id),
-tg AS (SELECT doc_id, unnest({_grams_sql('text')}) AS gram FROM documents),
+tg AS (SELECT doc_id, unnest({_grams_sql('w')}) AS gram FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
 hits AS (SELECT item_id, doc_id, count(*) AS shared_grams FROM tg JOIN bg USING (gram) GROUP BY item_id, doc_id),
 contam AS (SELECT h.item_id, h.doc_id, h.shared_grams, s.item_grams, h.shared_grams / s.item_grams AS coverage FROM hits h JOIN sizes s USING (item_id))"""
 
@@ -659,7 +661,7 @@ def q_contamination_check(spark, sf_dir):
 
 @register(
     "decontaminate",
-    "WITH " + CONTAM_CTE + "\nSELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM contam WHERE coverage > 0)",
+    "WITH " + CONTAM_CTE + "\nSELECT d.doc_id, d.lang FROM documents d ANTI JOIN (SELECT DISTINCT doc_id FROM contam WHERE coverage > 0) c ON c.doc_id = d.doc_id",
 )
 def q_decontaminate(spark, sf_dir):
     docs = V.scan_parquet(spark, sf_dir, "documents")
