@@ -45,7 +45,8 @@ def queue_depth(requests: DataFrame, id_col: str = "event_id") -> DataFrame:
     (time, kind, id) order comes from the bucketed prefix-sum helper — no range
     join, and no per-day window that would lose requests open across midnight.
     """
-    start_us = F.unix_micros(F.col("ts").cast("timestamp"))
+    # microseconds since the epoch, computed on the zone-less value (no session time zone)
+    start_us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     end_us = start_us + F.round(F.col("latency") * 1_000_000).cast("long")
     r = requests.select(id_col, start_us.alias("_s"), end_us.alias("_e"))
     starts = r.select(id_col, F.col("_s").alias("_t"), F.lit(1).alias("_kind"), F.lit(1).alias("_d"))
