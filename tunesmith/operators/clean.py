@@ -75,7 +75,10 @@ def length_outlier_filter(df: DataFrame, length_col: str, group_cols=(), lo: flo
     bounds = df.groupBy(*group_cols).agg(
         F.percentile(F.col(length_col), F.array(F.lit(lo), F.lit(hi))).alias("_b")
     )
-    joined = df.join(bounds, list(group_cols), "inner") if group_cols else df.join(F.broadcast(bounds), how="inner")
+    if group_cols:
+        joined = df.join(bounds, list(group_cols), "inner")
+    else:  # one row: broadcast it on a constant key (an equi-join, not a cross join)
+        joined = df.withColumn("_one", F.lit(1)).join(F.broadcast(bounds.withColumn("_one", F.lit(1))), "_one").drop("_one")
     return joined.filter(F.col(length_col).between(F.col("_b")[0], F.col("_b")[1])).drop("_b")
 
 

@@ -164,18 +164,20 @@ def decode(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", out: str
 
 def special_tokens(vocab: DataFrame) -> DataFrame:
     """The reserved tokens and the vocabulary size; pad falls back to eos when absent."""
-    size = vocab.agg(F.count(F.lit(1)).alias("vocab_size"))
+    # one-row frames are attached with an equi-join on a constant key (no cross join)
+    size = vocab.agg(F.count(F.lit(1)).alias("vocab_size")).withColumn("_one", F.lit(1))
     roles = vocab.filter(F.col("id") < N_RESERVED)
-    eos = roles.filter(F.col("id") == EOS_ID).select(F.col("token").alias("_eos_tok"), F.col("id").alias("_eos_id"))
-    names = vocab.sparkSession.createDataFrame([(name, i) for name, _, i in SPECIAL_TOKENS], "name string, want int")
-    out = names.join(roles, names.want == roles.id, "left").join(F.broadcast(eos), how="left")
+    eos = roles.filter(F.col("id") == EOS_ID).select(F.col("token").alias("_eos_tok"), F.col("id").alias("_eos_id"), F.lit(1).alias("_one"))
+    names = vocab.sparkSession.createDataFrame([(name, i, 1) for name, _, i in SPECIAL_TOKENS], "name string, want int, _one int")
+    out = names.join(roles, names.want == roles.id, "left").join(F.broadcast(eos), "_one", "left")
     fallback = F.col("name") == "pad"
     out = out.select(
         "name",
+        "_one",
         F.when(F.col("token").isNull() & fallback, F.col("_eos_tok")).otherwise(F.col("token")).alias("token"),
         F.when(F.col("id").isNull() & fallback, F.col("_eos_id")).otherwise(F.col("id")).alias("id"),
     )
-    return out.join(F.broadcast(size), how="left")
+    return out.join(F.broadcast(size), "_one", "left").drop("_one")
 
 
 def token_stats(df: DataFrame, text_col: str = "text", group_cols=("lang",)) -> DataFrame:
