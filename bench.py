@@ -32,9 +32,10 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
 
     from tunesmith.plans import catalog
-    from tunesmith.session import local_session
+    from tunesmith.session import local_session, ship_package
 
     spark = local_session(cores=cpus, shuffle_partitions=max(int(cpus) * 2, 8) if cpus.isdigit() else 16, app="tunesmith-bench")
+    ship_package(spark)
     # warm-up: JVM, Python workers and code generation
     catalog.QUERIES["scan_parquet"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 

@@ -56,3 +56,36 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover - conf always set in practice
         return os.cpu_count() or 8
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tunesmith`` importable in Python workers (``addPyFile`` of a zip, once per app).
+
+    Arrow UDFs and mapInPandas functions refer to helpers in this package; workers
+    started from another directory (or on other machines) need the code shipped.
+    The zip goes next to the checkpoints when that folder is a local path,
+    otherwise to a driver-side temporary file that Spark serves to executors.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    base = ensure_checkpoint_dir(spark)
+    local = base[5:] if base.startswith("file:") else (base if "://" not in base else None)
+    folder = local if local and os.path.isdir(local) else tempfile.mkdtemp(prefix="tunesmith-code-")
+    path = os.path.join(folder, f"tunesmith-{uuid.uuid4().hex[:12]}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
