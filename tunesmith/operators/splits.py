@@ -16,16 +16,22 @@ from pyspark.sql import functions as F
 from tunesmith.plans.ranks import exact_rank, md5_bucket_key, md5_order_key
 
 
-def seeded_shuffle(df: DataFrame, seed: int = 42, id_col: str = "row_id", rank_col: str = "shuffle_rank", total_col: str | None = None) -> DataFrame:
-    """0-based position of each row in the seeded order."""
+def seeded_shuffle(df: DataFrame, seed: int = 42, id_col: str = "row_id", rank_col: str = "shuffle_rank", total_col: str | None = None, ids_source: DataFrame | None = None) -> DataFrame:
+    """0-based position of each row in the seeded order.
+
+    ``ids_source``: optional cheap frame with a superset of the ids in ``id_col``
+    (e.g. the scanned table), used only to place bucket boundaries."""
     keyed = df.withColumn("_h", md5_order_key(seed, id_col))
-    ranked = exact_rank(keyed, [F.col("_h"), F.col(id_col)], md5_bucket_key(F.col("_h")), rank_col=rank_col, total_col=total_col)
+    ranked = exact_rank(
+        keyed, [F.col("_h"), F.col(id_col)], md5_bucket_key(md5_order_key(seed, id_col)), rank_col=rank_col, total_col=total_col,
+        bounds_source=ids_source,
+    )
     return ranked.drop("_h")
 
 
-def split_three_way(df: DataFrame, val_fraction: float = 0.15, test_fraction: float = 0.15, seed: int = 42, id_col: str = "row_id") -> DataFrame:
+def split_three_way(df: DataFrame, val_fraction: float = 0.15, test_fraction: float = 0.15, seed: int = 42, id_col: str = "row_id", ids_source: DataFrame | None = None) -> DataFrame:
     """G1: n_test = floor(n * test), n_val = floor(n * val) in double; test first, then val, rest train."""
-    r = seeded_shuffle(df, seed, id_col, rank_col="_rank", total_col="_n")
+    r = seeded_shuffle(df, seed, id_col, rank_col="_rank", total_col="_n", ids_source=ids_source)
     n = F.col("_n").cast("double")
     n_test = F.floor(n * F.lit(float(test_fraction)))
     n_val = F.floor(n * F.lit(float(val_fraction)))

@@ -43,6 +43,11 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 PREPARED_CTES = [S.INSTR_DOCS, S.CLEANED, S.DEDUPED, S.RENDERED, S.TOKLEN]
 
 
+def doc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All document ids (a superset of every derived row_id): cheap rank-bucket boundaries."""
+    return V.scan_parquet(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"))
+
+
 # ---------------------------------------------------------------- flagship
 
 
@@ -56,7 +61,7 @@ FROM split3 GROUP BY split""",
 )
 def prepare_report(spark, sf_dir):
     """The reference's main preparation pipeline end to end, reported per split."""
-    p = splits.split_three_way(prepared(spark, sf_dir))
+    p = splits.split_three_way(prepared(spark, sf_dir), ids_source=doc_ids(spark, sf_dir))
     r = stats.length_stats(p, "n_tokens", ["split"])
     return r.select("split", F.col("n_rows").cast("long"), "min_len", "median_len", "max_len", round6("mean_len").alias("mean_len"))
 
@@ -174,7 +179,7 @@ def q_render_fallback(spark, sf_dir):
 @register("split_three_way", S.with_(*PREPARED_CTES[:3], S.three_way("deduped")) + "SELECT row_id, split FROM split3")
 def q_split_three_way(spark, sf_dir):
     rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir)))
-    return splits.split_three_way(rows).select("row_id", "split")
+    return splits.split_three_way(rows, ids_source=doc_ids(spark, sf_dir)).select("row_id", "split")
 
 
 @register("split_two_way", S.with_(S.INSTR_DOCS, S.two_way("instr_docs")) + "SELECT row_id, split FROM split2")
@@ -390,7 +395,7 @@ BLOCK = 128
     + "SELECT block_id::BIGINT AS block_id, array_to_string(flatten(list(s[lo - st + 1:hi - st] ORDER BY lo)), ',') AS input_ids FROM pc GROUP BY block_id",
 )
 def q_pack_sequences(spark, sf_dir):
-    b = packing.pack_sequences(encoded(spark, sf_dir), "input_ids", "row_id", BLOCK, tokens.EOS_ID)
+    b = packing.pack_sequences(encoded(spark, sf_dir), "input_ids", "row_id", BLOCK, tokens.EOS_ID, ids_source=doc_ids(spark, sf_dir))
     return b.select("block_id", ids_text("input_ids").alias("input_ids"))
 
 

@@ -38,10 +38,11 @@ def md5_bucket_key(hex_col: Column) -> Column:
     return F.conv(F.substring(hex_col, 1, 13), 16, 10).cast("double")
 
 
-def _bucketize(df: DataFrame, bucket_key: Column, n_buckets: int) -> DataFrame:
+def _bucketize(df: DataFrame, bucket_key: Column, n_buckets: int, bounds_source: DataFrame | None = None) -> DataFrame:
     keyed = df.withColumn("_bk", bucket_key.cast("double"))
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = keyed.approxQuantile("_bk", probs, 1.0 / (4 * n_buckets)) if probs else []
+    sample = keyed if bounds_source is None else bounds_source.select(bucket_key.cast("double").alias("_bk"))
+    bounds = sample.approxQuantile("_bk", probs, 1.0 / (4 * n_buckets)) if probs else []
     splits = [float("-inf")]
     for b in sorted(set(x for x in bounds if x is not None)):
         if b > splits[-1]:
@@ -62,14 +63,21 @@ def exact_rank(
     total_col: str | None = None,
     total_weight_col: str | None = None,
     n_buckets: int | None = None,
+    bounds_source: DataFrame | None = None,
 ) -> DataFrame:
     """Add a 0-based global ``rank_col`` under ``order_cols`` (unique), and optionally
-    the exclusive running sum of ``weight`` (``offset_col``) and the grand totals."""
+    the exclusive running sum of ``weight`` (``offset_col``) and the grand totals.
+
+    ``bounds_source``: a cheaper DataFrame on which ``bucket_key`` can be evaluated
+    (e.g. the id column of the scanned table before filters and dedupe). Bucket
+    boundaries only balance the work — any boundaries give the exact same ranks —
+    so sampling them from a superset of the keys saves a pass over ``df``'s lineage.
+    """
     spark = df.sparkSession
     p = n_buckets or max(4 * default_parallelism(spark), 8)
     p = min(p, MAX_BUCKETS)
     w_expr = weight if weight is not None else F.lit(0)
-    b = _bucketize(df, bucket_key, p).withColumn("_w", w_expr.cast("long"))
+    b = _bucketize(df, bucket_key, p, bounds_source).withColumn("_w", w_expr.cast("long"))
 
     stats = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"), F.sum("_w").alias("_sw"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
