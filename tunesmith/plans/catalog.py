@@ -223,7 +223,8 @@ def encoded(spark, sf_dir):
 
 
 def padded_batch(spark, sf_dir):
-    e = tokens.truncate(encoded(spark, sf_dir), "input_ids", 32).withColumn("batch_id", F.floor(F.col("row_id") / 16).cast("long"))
+    """Whole encoded sequences batched by row_id div 16, padded to each batch's longest row."""
+    e = encoded(spark, sf_dir).withColumn("batch_id", F.floor(F.col("row_id") / 16).cast("long"))
     return tokens.pad(e, "input_ids", "batch_id", pad_id=tokens.EOS_ID, side="right")
 
 

@@ -132,7 +132,7 @@ ENC = """enc AS (
     SELECT row_id, unnest(tokens) AS token, unnest(generate_series(1, len(tokens))) AS pos FROM tok) t
   LEFT JOIN vocab v USING (token) GROUP BY t.row_id)"""
 
-TRUNC_PAD = """trunc AS (SELECT row_id, row_id // 16 AS batch_id, ids[1:32] AS ids FROM enc),
+TRUNC_PAD = """trunc AS (SELECT row_id, row_id // 16 AS batch_id, ids FROM enc),
 padded AS (
   SELECT row_id, batch_id, L,
          ids || list_transform(range(L - len(ids)), lambda x: 2) AS ids,
