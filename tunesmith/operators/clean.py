@@ -66,6 +66,27 @@ def clean_report(df: DataFrame, min_output_chars: int = 1, max_output_chars: int
     )
 
 
+def clean_rows_observed(df: DataFrame, min_output_chars: int = 1, max_output_chars: int = 8000):
+    """B4 + B5 in one pass: returns (cleaned rows, Observation). The kept/dropped counts
+    are gathered by ``df.observe`` while the pipeline runs; read ``obs.get`` after the
+    first action on the returned frame (no second pass over the input)."""
+    from pyspark.sql import Observation
+
+    if "input" not in df.columns:
+        df = df.withColumn("input", F.lit(None).cast("string"))
+    obs = Observation("clean_report")
+    reason = drop_reason(min_output_chars, max_output_chars)
+    observed = df.observe(
+        obs,
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(reason == "kept").alias("kept"),
+        F.count_if(reason == "missing_field").alias("missing_field"),
+        F.count_if(reason == "too_short").alias("too_short"),
+        F.count_if(reason == "too_long").alias("too_long"),
+    )
+    return clean_rows(observed, min_output_chars, max_output_chars), obs
+
+
 def length_outlier_filter(df: DataFrame, length_col: str, group_cols=(), lo: float = 0.01, hi: float = 0.99) -> DataFrame:
     """Drop rows whose length lies outside the per-group [lo, hi] percentiles.
 
