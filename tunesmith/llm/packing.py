@@ -71,9 +71,10 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024, lin
                 )
 
     def group(key: tuple, docs: pd.DataFrame) -> pd.DataFrame:
-        docs = docs.sort_values(["doc_id", "n", "rest"], ignore_index=True)
+        docs = docs.sort_values(["null", "doc_id", "n", "rest"], ignore_index=True)
         out, top = [], int(key[0]) << 32
-        ids_of, n_of = docs["doc_id"].to_numpy(), docs["n"].to_numpy()
+        ids_of = [None if null else d for d, null in zip(docs["doc_id"].tolist(), docs["null"], strict=True)]
+        n_of = docs["n"].to_numpy()
         used = 0
         for d, n, sums in zip(ids_of, n_of, docs["full"], strict=True):
             for k, crc in enumerate(sums):
@@ -82,13 +83,14 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024, lin
         rests = [np.frombuffer(r, dtype=f"<u{w}").astype("<u4") for r, w in zip(docs["rest"], docs["wide"], strict=True)]
         for i, first, n, s, place in assign(np.array([len(r) for r in rests], dtype=np.int64), capacity, linear, quadratic):
             out.append((ids_of[i], int(n_of[i]) - len(rests[i]) + first, n, zlib.crc32(rests[i][first : first + n].tobytes()), n_of[i], top + used + s, place))
-        pieces = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-        return pieces.assign(doc_id=pieces["doc_id"].astype("Int64"))
+        pieces = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"], dtype=object)
+        return pieces.astype({c: "Int64" for c in pieces})  # null ids stay exact integers
 
     groups = n_groups(docs.count(), docs_per_group)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     pieces = rows.mapInArrow(cut, "doc_id long, n long, full array<long>, rest binary, wide int")
     dealt = pieces.withColumn("g", F.pmod(F.xxhash64("doc_id", "rest"), F.lit(groups)).cast("int"))
+    dealt = dealt.withColumn("null", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)))
     return dealt.groupBy("g").applyInPandas(group, PIECES)
 
 
