@@ -6,12 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tunesmith.llm import exact_dedup
+from tunesmith.llm.exact_dedup import op1_exact_dedup
+from tunesmith.llm.langid import op10_language_id
+from tunesmith.llm.mixing import op9_mixing
 from tunesmith.llm.packing import op8_packing
+from tunesmith.llm.sharding import op5_sharding
 from tunesmith.llm.token_output import op7_token_output
+from tunesmith.llm.topk import op6_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op5_sharding": op5_sharding,
+    "op6_top_k": op6_top_k,
     "op7_token_output": op7_token_output,
     "op8_packing": op8_packing,
+    "op9_mixing": op9_mixing,
+    "op10_language_id": op10_language_id,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_exact_dedup": exact_dedup.SQL,
+}

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import read_table, text_of
+from tunesmith.llm.common import read_table, stored, text_of
 from tunesmith.llm.tokens import encoder, tokenizer_path
 from tunesmith.session import shared_scratch
 
@@ -151,9 +151,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     files.select(F.col("content").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
 
 
-def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per document, from the files: doc_id, part, number, file_start (its first id in
-    the file), file_ids (ids in the file, with its first document only), ids (array<int>)."""
+def read_token_files(spark: SparkSession, folder: str, checksums: bool = False) -> DataFrame:
+    """One row per document, from the files: doc_id, part, number, file_start (its first id in the
+    file), file_ids (ids in the file, with its first document only), n_tokens, and its ids
+    (array<int>) or, with ``checksums``, their ids_crc32 instead."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,38 +165,32 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     docs = f.docs[a : a + step]
                     first, sizes = int(docs["start"][0]), docs["n"].astype(np.int64)
                     ids = f.ids_at(first, int(sizes.sum()))
-                    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                    ends = np.cumsum(sizes)
                     n = len(docs)
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "doc_id": pa.array(docs["doc_id"], pa.int64(), mask=docs["null"].astype(bool)),
-                            "part": pa.array(np.full(n, f.part, np.int32)),
-                            "number": pa.array(np.full(n, f.number, np.int32)),
-                            "file_start": pa.array(docs["start"].astype(np.int64)),
-                            "file_ids": pa.array([f.n_ids if a + i == 0 else 0 for i in range(n)], pa.int64()),
-                            "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32))),
-                        }
-                    )
+                    rows = {
+                        "doc_id": pa.array(docs["doc_id"], pa.int64(), mask=docs["null"].astype(bool)),
+                        "part": pa.array(np.full(n, f.part, np.int32)),
+                        "number": pa.array(np.full(n, f.number, np.int32)),
+                        "file_start": pa.array(docs["start"].astype(np.int64)),
+                        "file_ids": pa.array([f.n_ids if a + i == 0 else 0 for i in range(n)], pa.int64()),
+                        "n_tokens": pa.array(sizes),
+                    }
+                    if checksums:
+                        flat = ids.astype("<u4", copy=False)
+                        rows["ids_crc32"] = pa.array([zlib.crc32(flat[e - s : e]) for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)], pa.int64())
+                    else:
+                        rows["ids"] = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.astype(np.int32)))
+                    yield pa.RecordBatch.from_pydict(rows)
 
     raw = spark.read.format("binaryFile").load(folder).select("content")
-    return raw.mapInArrow(unpack, "doc_id long, part int, number int, file_start long, file_ids long, ids array<int>")
+    return raw.mapInArrow(unpack, "doc_id long, part int, number int, file_start long, file_ids long, n_tokens long, " + ("ids_crc32 long" if checksums else "ids array<int>"))
 
 
-def digest(documents: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of what ``read_token_files`` gives. The ids that
-    stand before a file are summed over one row for each file."""
-
-    def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("ids")
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-            ends = np.cumsum([len(x) for x in lists])
-            sums = [zlib.crc32(flat[b - len(x) : b].tobytes()) for x, b in zip(lists, ends, strict=True)]
-            kept = {c: batch.column(c) for c in ("doc_id", "part", "number", "file_start", "file_ids")}
-            yield pa.RecordBatch.from_pydict(kept | {"n_tokens": pa.array([len(x) for x in lists], pa.int64()), "ids_crc32": pa.array(sums, pa.int64())})
-
-    rows = documents.mapInArrow(crc, "doc_id long, part int, number int, file_start long, file_ids long, n_tokens long, ids_crc32 long")
-    files = documents.filter("file_ids > 0").select("part", "number", "file_ids")
+def digest(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of the files below ``folder``. The ids that stand
+    before a file are summed over one row for each file."""
+    rows = stored(read_token_files(spark, folder, checksums=True), "token-checksums")
+    files = rows.filter("file_ids > 0").select("part", "number", "file_ids")
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     base = files.select("part", "number", F.coalesce(F.sum("file_ids").over(before), F.lit(0)).alias("base"))
     return rows.join(base, ["part", "number"]).select("doc_id", (F.col("base") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32")
@@ -205,4 +200,4 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: all documents with byte_bpe_50k.json and end id 2, written and read back."""
     folder = shared_scratch(spark, "op7-files")
     write_token_files(read_table(spark, sf_dir, "documents"), folder, tokenizer_path(), end_id=2)
-    return digest(read_token_files(spark, folder))
+    return digest(spark, folder)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -51,6 +52,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.vocab_size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2") if self.vocab_size <= 1 << 16 else np.dtype("<u4")
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.by_parts = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" and self.tokenizer.normalizer is None
         self.remembered = remembered
@@ -62,7 +64,8 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(BYTE_CHARS))], dtype=self.dtype).tobytes()
+        chars = piece.translate(BYTE_CHARS) if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_CHARS)
+        return array(self.code, [t.id for t in self.model.tokenize(chars)]).tobytes()
 
     def _segment(self, segment: str) -> bytes:
         return b"".join(map(self.by_piece.__getitem__, self.pieces.findall(" " + segment)))
