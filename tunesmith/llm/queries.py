@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunesmith.llm import exact_dedup
+from tunesmith.llm import exact_dedup, line_dedup
 from tunesmith.llm.exact_dedup import op1_exact_dedup
+from tunesmith.llm.jaccard import op3_jaccard_join
 from tunesmith.llm.langid import op10_language_id
+from tunesmith.llm.line_dedup import op2_line_dedup
 from tunesmith.llm.mixing import op9_mixing
 from tunesmith.llm.packing import op8_packing
 from tunesmith.llm.sharding import op5_sharding
@@ -17,6 +19,8 @@ from tunesmith.llm.topk import op6_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_sharding": op5_sharding,
     "op6_top_k": op6_top_k,
     "op7_token_output": op7_token_output,
@@ -27,4 +31,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op2_line_dedup": line_dedup.SQL,
 }
