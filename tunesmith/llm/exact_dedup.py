@@ -76,6 +76,7 @@ def exact_dedup(docs: DataFrame, fingerprint=fingerprint) -> DataFrame:
     best = F.struct(F.col("points"), F.col("doc_id").isNotNull(), -F.coalesce("doc_id", F.lit(0)))
     groups = verified.groupBy("ids").agg(F.count("*").alias("group_size"), F.max(F.struct(best.alias("b"), "doc_id")).alias("m"))
     groups = groups.select(F.col("ids").alias("of"), "group_size", F.col("m.doc_id").alias("keep_id"), F.col("m.b").getField("points").alias("most"))
+    groups = stored(groups, "recipe-groups")  # so that the join below has exchanges of its own, which can be split
     out = verified.join(groups, F.col("ids") == F.col("of"))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("most"))
     return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"))
