@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tunesmith.llm import exact_dedup, line_dedup
 from tunesmith.llm.exact_dedup import op1_exact_dedup
 from tunesmith.llm.jaccard import op3_jaccard_join
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
