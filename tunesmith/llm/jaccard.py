@@ -184,7 +184,8 @@ def jaccard_groups(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5),
             yield pa.RecordBatch.from_pydict({"key": pa.array(keys.reshape(-1)), "cls": batch.column("cls").take(at), "rep": batch.column("rep").take(at)})
 
     keyed = classes.select("cls", "rep", "sig").mapInArrow(bands, "key long, cls binary, rep long")
-    heads = keyed.groupBy("key").agg(F.count("*").alias("held"), F.min("rep").alias("head")).filter("held > 1").select(F.col("key").alias("of"), "head")
+    # Written, so that the join below has exchanges of its own, which AQE can split where a band is crowded.
+    heads = stored(keyed.groupBy("key").agg(F.count("*").alias("held"), F.min("rep").alias("head")).filter("held > 1").select(F.col("key").alias("of"), "head"), "jaccard-heads")
     near = stored(keyed.join(heads, F.col("key") == F.col("of")).select("key", "cls", "rep", "head"), "jaccard-near")
 
     # Blocks of related classes: label = the smallest head that a class, or one it shares a band with, has seen.

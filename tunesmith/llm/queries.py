@@ -15,6 +15,7 @@ from tunesmith.llm.line_dedup import op2_line_dedup
 from tunesmith.llm.mixing import op9_mixing
 from tunesmith.llm.packing import op8_packing
 from tunesmith.llm.sharding import op5_sharding
+from tunesmith.llm.suffix_dedup import op4_suffix_dedup
 from tunesmith.llm.token_output import op7_token_output
 from tunesmith.llm.topk import op6_top_k
 
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_sharding": op5_sharding,
     "op6_top_k": op6_top_k,
     "op7_token_output": op7_token_output,
