@@ -71,10 +71,6 @@ def tokenize(c) -> Column:
     return F.regexp_extract_all(col_(c), F.lit(TOKEN_PATTERN), 0)
 
 
-def word_count(c) -> Column:
-    return F.size(tokenize(c))
-
-
 def ids_text(c) -> Column:
     """array<int> rendered as '1,2,3' (order kept) for stable comparison and display."""
     return F.array_join(col_(c).cast("array<string>"), ",")

@@ -138,6 +138,13 @@ def history_per_turn(turns: DataFrame) -> DataFrame:
     )
 
 
+def turn_key(conv="conv_id", turn="turn") -> Column:
+    """(conv_id, turn) as one bigint: turn in the low 32 bits, conv_id above. Two pairs never
+    share a key; a part that doesn't fit its bits fails the job instead."""
+    fits = F.col(conv).between(0, (1 << 31) - 1) & F.col(turn).between(0, (1 << 32) - 1)
+    return F.when(fits, F.col(conv).cast("long") * F.lit(1 << 32) + F.col(turn)).otherwise(F.raise_error(F.lit("conv_id or turn is too large for one key")).cast("long"))
+
+
 def turns_to_instructions(turns: DataFrame) -> DataFrame:
     """A user turn directly followed by an assistant turn -> instruction row.
 
@@ -148,7 +155,7 @@ def turns_to_instructions(turns: DataFrame) -> DataFrame:
     u = turns.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("instruction"))
     a = turns.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output"))
     return u.join(a, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"),
+        turn_key().alias("row_id"),
         "conv_id",
         "turn",
         "instruction",
@@ -191,13 +198,14 @@ def validate_conversations(turns: DataFrame) -> DataFrame:
     )
 
 
-# Our own grading rubric (wording is ours; the placeholders are filled in order).
+# The request for a grade; the three fields are filled in between the parts.
 JUDGE_RUBRIC_PARTS = (
-    "Grade the assistant's answer with one integer from 1 (wrong or irrelevant) to 5 "
-    "(correct, relevant and clear); 3 means partly correct. Reply with the integer only.\n\nQuestion: ",
-    "\nReference answer: ",
-    "\nAssistant answer: ",
-    "\nScore:",
+    "Below are a task, notes on what a good response contains, and a response. Start from 5 points and take off "
+    "one point for each fact of the notes that the response lacks, two for each statement that contradicts them, "
+    "and one if it leaves the topic; never go below 1. Write nothing but the points that remain.\n\n[task]\n",
+    "\n[notes]\n",
+    "\n[response]\n",
+    "\n[points]\n",
 )
 
 

@@ -90,14 +90,16 @@ def clean_rows_observed(df: DataFrame, min_output_chars: int = 1, max_output_cha
 def length_outlier_filter(df: DataFrame, length_col: str, group_cols=(), lo: float = 0.01, hi: float = 0.99) -> DataFrame:
     """Drop rows whose length lies outside the per-group [lo, hi] percentiles.
 
-    The bounds table has one row per group, so it is aggregated (partial
+    The bounds table has one row per group (a null group is one, too), so it is aggregated (partial
     aggregation) and joined back; with no groups it is a single row.
     """
     bounds = df.groupBy(*group_cols).agg(
         F.percentile(F.col(length_col), F.array(F.lit(lo), F.lit(hi))).alias("_b")
     )
     if group_cols:
-        joined = df.join(bounds, list(group_cols), "inner")
+        few = bounds.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_b")
+        same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group_cols)]
+        joined = df.join(few, same).drop(*[f"_g{i}" for i in range(len(group_cols))])
     else:  # one row: broadcast it on a constant key (an equi-join, not a cross join)
         joined = df.withColumn("_one", F.lit(1)).join(F.broadcast(bounds.withColumn("_one", F.lit(1))), "_one").drop("_one")
     return joined.filter(F.col(length_col).between(F.col("_b")[0], F.col("_b")[1])).drop("_b")

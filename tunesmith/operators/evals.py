@@ -209,39 +209,48 @@ def unswap_verdict(df: DataFrame, verdict_col: str = "verdict") -> DataFrame:
 
 
 def pearson(x: Column, y: Column) -> Column:
-    """Population correlation from moments; null (not an error) when a side is constant."""
-    cov = F.avg(x * y) - F.avg(x) * F.avg(y)
-    return F.try_divide(cov, F.stddev_pop(x) * F.stddev_pop(y))
+    """Correlation over the rows that have both sides; null (not an error) when a side is constant."""
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def judge_length_bias(scores: DataFrame, score_col: str = "judge", text_col: str = "answer") -> DataFrame:
     """Mean answer length per score, plus the score/length correlation overall
-    (rollup: the grand-total row has a null score)."""
+    (rollup: the grand-total row has ``is_total``; a null score alone means rows without one)."""
     x = scores.select(F.col(score_col).alias("score"), F.length(text_col).alias("_len"))
     return x.rollup("score").agg(
+        (F.grouping("score") == 1).alias("is_total"),
         F.count(F.lit(1)).alias("n"),
         F.avg("_len").alias("mean_answer_chars"),
         F.when(F.grouping("score") == 1, pearson(F.col("score").cast("double"), F.col("_len").cast("double"))).alias("corr_score_length"),
     )
 
 
-def with_word_ngrams(df: DataFrame, text_col: str, n: int, out: str = "grams") -> DataFrame:
-    """Distinct lower-cased whitespace-word n-grams of a text."""
-    return df.withColumn("_w", split_ws(F.lower(F.col(text_col)))).withColumn(out, word_ngrams("_w", n)).drop("_w")
-
-
 def contamination_check(train: DataFrame, bench: DataFrame, n: int = 8, train_key: str = "doc_id", bench_key: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item, document) pairs sharing word n-grams, with the share of the item's
-    distinct n-grams found in the document.
+    distinct n-grams found in the document. An item of fewer than n words is one gram, which
+    is looked up among the documents' runs of as many words.
 
-    Both sides are exploded to distinct grams and equi-joined on the gram; AQE
-    broadcasts the benchmark side when its measured size is small and falls back
-    to a shuffle join otherwise. Pair counts aggregate partially after the join.
+    The benchmark's grams become 64-bit hashes; documents keep only grams whose hash is among
+    them before anything is shuffled by text, and the text of the grams decides. AQE broadcasts the
+    hashes when it measures them as small and joins by shuffle otherwise.
     """
-    bg = with_word_ngrams(bench.select(bench_key, text_col), text_col, n, "_g").select(bench_key, explode_values("_g").alias("gram")).filter(F.col("gram").isNotNull())
+    words = bench.select(bench_key, split_ws(F.lower(F.col(text_col))).alias("_w"))
+    short = F.when((F.size("_w") > 0) & (F.size("_w") < n), F.array(F.concat_ws(" ", "_w"))).otherwise(F.array().cast("array<string>"))
+    grams = F.when(F.size("_w") >= n, word_ngrams("_w", n)).otherwise(short)
+    bg = words.select(bench_key, explode_values(grams).alias("gram")).filter(F.col("gram").isNotNull())
     sizes = bg.groupBy(bench_key).agg(F.count(F.lit(1)).alias("item_grams"))
-    tg = with_word_ngrams(train.select(train_key, text_col), text_col, n, "_g").select(train_key, explode_values("_g").alias("gram")).filter(F.col("gram").isNotNull())
-    shared = tg.join(bg, "gram").groupBy(bench_key, train_key).agg(F.count(F.lit(1)).alias("shared_grams"))
+    # Which lengths below n occur: one row of at most n - 1 numbers, attached by a constant key.
+    lengths = words.filter((F.size("_w") > 0) & (F.size("_w") < n)).agg(F.collect_set(F.size("_w")).alias("_lens")).withColumn("_one", F.lit(1))
+    texts = train.select(train_key, F.lower(F.col(text_col)).alias("_t"), F.lit(1).alias("_one")).join(F.broadcast(lengths), "_one")
+    texts = texts.select(train_key, "_lens", split_ws("_t").alias("_w"))
+    none = F.array().cast("array<string>")
+    runs = [word_ngrams("_w", n)] + [F.when(F.array_contains("_lens", k), word_ngrams("_w", k)).otherwise(none) for k in range(1, n)]
+    tg = texts.select(train_key, explode_values(F.concat(*runs)).alias("gram")).filter(F.col("gram").isNotNull())
+    wanted = bg.select("gram").distinct().select(F.col("gram").alias("_gram"))
+    found = tg.join(wanted.select(F.xxhash64("_gram").alias("_hash")).distinct(), F.xxhash64("gram") == F.col("_hash"), "left_semi")
+    shared = found.join(bg, "gram").groupBy(bench_key, train_key).agg(F.count(F.lit(1)).alias("shared_grams"))
     return shared.join(sizes, bench_key).withColumn("coverage", F.col("shared_grams") / F.col("item_grams"))
 
 
@@ -269,7 +278,3 @@ def behaviour_flags(df: DataFrame, text_col: str = "answer", model_col: str = "m
     ]
     aggs += [F.count_if(t.rlike(p)).alias(f"n_{name}") for name, p in rules.items()]
     return df.groupBy(model_col).agg(*aggs)
-
-
-def token_counts(c) -> Column:
-    return F.size(tokenize(c))

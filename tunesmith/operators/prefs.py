@@ -71,7 +71,10 @@ def dpo_metrics(df: DataFrame, beta: float = 0.1) -> DataFrame:
 
 def orpo_metrics(df: DataFrame, lam: float = 0.1, n_col: str = "n_tokens") -> DataFrame:
     """No reference model. On mean token log-probabilities m = logp / n:
-    log odds(m) = m - log(1 - exp(m)); loss = -m_chosen + lam * -log sigmoid(odds ratio)."""
+    log odds(m) = m - log(1 - exp(m)); loss = -m_chosen + lam * -log sigmoid(odds ratio).
+
+    The odds of a mean that isn't below 0 are undefined: such rows count in ``n`` and ``n_invalid``,
+    and the means are over the others."""
     mc = F.col("pi_chosen") / F.col(n_col)
     mr = F.col("pi_rejected") / F.col(n_col)
 
@@ -79,11 +82,12 @@ def orpo_metrics(df: DataFrame, lam: float = 0.1, n_col: str = "n_tokens") -> Da
         return m - F.log1p(-F.exp(m))
 
     ratio = log_odds(mc) - log_odds(mr)
-    r = df.filter((mc < 0) & (mr < 0)).select(
-        (-mc).alias("nll_chosen"), softplus(-ratio).alias("or_loss"), ratio.alias("log_odds_ratio")
-    )
+    valid = F.coalesce((mc < 0) & (mr < 0), F.lit(False))
+    ratio = F.when(valid, ratio)
+    r = df.select(valid.alias("valid"), F.when(valid, -mc).alias("nll_chosen"), softplus(-ratio).alias("or_loss"), ratio.alias("log_odds_ratio"))
     return r.agg(
         F.count(F.lit(1)).alias("n"),
+        F.count_if(~F.col("valid")).alias("n_invalid"),
         F.avg("nll_chosen").alias("nll_chosen"),
         F.avg("or_loss").alias("or_loss"),
         F.avg(F.col("nll_chosen") + F.lit(lam) * F.col("or_loss")).alias("loss"),
@@ -110,14 +114,17 @@ def verifiable_reward(samples: DataFrame, prompt_key: str = "row_id", answer="an
 
 def distillation_rows(prompts: DataFrame, teacher: DataFrame, key=("conv_id", "turn")) -> DataFrame:
     """Teacher outputs joined to prompts become instruction rows (then cleaned and
-    deduplicated); prompts without a teacher output are returned with status 'missing'."""
-    from tunesmith.operators.clean import clean_rows
+    deduplicated); prompts without a teacher output are returned with status 'missing', and
+    those whose row cleaning drops with status 'rejected' (rows that repeat an earlier one go)."""
+    from tunesmith.operators.clean import clean_rows, drop_reason
 
     keys = list(key)
     j = prompts.join(teacher, keys, "left")
     have = j.filter(F.col("output").isNotNull()).drop("status")
     rows = dedupe_exact(clean_rows(have)).withColumn("status", F.lit("ok"))
-    missing = prompts.join(teacher, keys, "left_anti").withColumn("output", F.lit(None).cast("string")).withColumn("status", F.lit("missing"))
+    rejected = have.filter(drop_reason() != "kept").withColumn("status", F.lit("rejected"))
+    rows = rows.unionByName(rejected, allowMissingColumns=True)
+    missing = j.filter(F.col("output").isNull()).drop("output").withColumn("output", F.lit(None).cast("string")).withColumn("status", F.lit("missing"))
     if "input" not in missing.columns:
         missing = missing.withColumn("input", F.lit(""))
     return rows.unionByName(missing, allowMissingColumns=True)

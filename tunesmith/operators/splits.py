@@ -8,7 +8,6 @@ helper, never from a single-task window.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,15 +78,3 @@ def spot_check(df: DataFrame, n: int = 20, seed: int = 42, id_col: str = "row_id
 def head_sample(df: DataFrame, n: int = 20, order_col: str = "row_id") -> DataFrame:
     """First n rows by key."""
     return df.orderBy(order_col).limit(n)
-
-
-def split_sizes(n: int, val_fraction: float = 0.15, test_fraction: float = 0.15) -> tuple[int, int, int]:
-    """Reference arithmetic for tests: (train, val, test)."""
-    n_test = int(n * test_fraction)
-    n_val = int(n * val_fraction)
-    return n - n_test - n_val, n_val, n_test
-
-
-def two_way_sizes(n: int, test_fraction: float = 0.2) -> tuple[int, int]:
-    n_test = math.ceil(n * test_fraction)
-    return n - n_test, n_test

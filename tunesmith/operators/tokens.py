@@ -8,23 +8,19 @@ tokenizer can replace the first two steps (see ``infer.udf_tokenizer``).
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tunesmith.functions.text import explode_values, split_ws
 from tunesmith.functions.text import tokenize as tokenize_col
+from tunesmith.plans.ranks import exact_rank
+from tunesmith.session import stored_once
 
 # Reserved tokens and their ids.
 SPECIAL_TOKENS = (("pad", "<pad>", 0), ("bos", "<s>", 1), ("eos", "</s>", 2), ("unk", "<unk>", 3))
 PAD_ID, BOS_ID, EOS_ID, UNK_ID = 0, 1, 2, 3
 N_RESERVED = len(SPECIAL_TOKENS)
 IGNORE_INDEX = -100
-# A vocabulary up to this size is shipped to executors as a broadcast variable
-# for vectorized lookups; a larger one is joined instead.
-MAX_LOOKUP_VOCAB = 2_000_000
 
 
 def tokenize(df: DataFrame, text_col: str = "text", out: str = "tokens") -> DataFrame:
@@ -32,134 +28,65 @@ def tokenize(df: DataFrame, text_col: str = "text", out: str = "tokens") -> Data
     return df.withColumn(out, tokenize_col(text_col))
 
 
-def build_vocab(df: DataFrame, tokens_col: str = "tokens", k: int = 32000) -> DataFrame:
-    """Top-k tokens by (count desc, token asc) after the reserved ids.
+def build_vocab(df: DataFrame, tokens_col: str = "tokens", k: int | None = None) -> DataFrame:
+    """Every token by (count desc, token asc) after the reserved ids, or the first k of them.
 
     Token counts aggregate partially on the map side (a very common token costs
-    one row per task); the top-k is a TakeOrderedAndProject, so only k rows per
-    task reach the final merge; the window numbers those k rows only.
+    one row per task). Without ``k`` the ids are ranks over buckets of the order; with ``k``
+    a TakeOrderedAndProject sends only k rows per task to the final merge.
     """
     spark = df.sparkSession
     counts = df.select(explode_values(tokens_col).alias("token")).filter(F.col("token").isNotNull()).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.col("n").desc(), F.col("token").asc()).limit(k)
-    ranked = top.select(
-        "token",
-        (F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("token").asc())) + N_RESERVED - 1).cast("int").alias("id"),
-        F.col("n").cast("long").alias("n"),
-    )
+    order = [F.col("n").desc(), F.col("token").asc()]
+    if k is None:
+        # A number that never decreases along the order: the count, then the token's first bytes as a fraction.
+        head = F.rpad(F.hex(F.substring(F.encode("token", "UTF-8"), 1, 6)), 12, "0")
+        fraction = F.conv(head, 16, 10).cast("double") / F.lit(float(1 << 48))
+        counts = stored_once(counts, "vocabulary")
+        ranked = exact_rank(counts, order, -F.col("n").cast("double") + fraction, rank_col="_rank")
+    else:
+        ranked = counts.orderBy(*order).limit(k).withColumn("_rank", F.row_number().over(Window.orderBy(*order)) - 1)
+    ranked = ranked.select("token", (F.col("_rank") + N_RESERVED).cast("int").alias("id"), F.col("n").cast("long").alias("n"))
     specials = spark.createDataFrame([(tok, i, 0) for _, tok, i in SPECIAL_TOKENS], "token string, id int, n long")
     return specials.unionByName(ranked)
 
 
-def _collect_vocab(vocab: DataFrame) -> tuple[list[str], list[int]] | None:
-    """The vocabulary as two lists, or None when it exceeds the broadcast bound.
-
-    One bounded collect (at most MAX_LOOKUP_VOCAB + 1 rows) both checks the size
-    and fetches the table, so the vocabulary plan runs once.
-    """
-    rows = vocab.select("token", "id").limit(MAX_LOOKUP_VOCAB + 1).collect()
-    if len(rows) > MAX_LOOKUP_VOCAB:
-        return None
-    return [r["token"] for r in rows], [int(r["id"]) for r in rows]
-
+def _looked_up(df: DataFrame, table: DataFrame, values_col: str, key: str, found: str, missing, out: str, id_col: str) -> DataFrame:
+    """Each element of an array replaced by ``found`` of the row of ``table`` whose ``key`` equals it.
 
-_LOOKUP_CACHE: dict = {}
+    Elements are joined on their value (AQE broadcasts a table that it measures as small, and splits
+    the partition of a very common value otherwise) and gathered again by the caller's unique
+    ``id_col``, in their order. A null array gives null, an empty one an empty one."""
+    each = df.select(F.col(id_col).alias("_row"), F.posexplode(values_col).alias("_pos", "_value"))
+    met = each.join(table.select(F.col(key).alias("_key"), F.col(found).alias("_found")), F.col("_value") == F.col("_key"), "left")
+    value = F.coalesce("_found", missing) if missing is not None else F.col("_found")
+    rows = met.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_pos", value.alias("_found")))).alias("_all"))
+    rows = rows.select("_row", F.transform("_all", lambda x: x["_found"]).alias("_values"))
+    joined = df.join(rows, F.col(id_col) == F.col("_row"), "left")
+    empty = F.slice("_none", 1, 0)
+    kind = dict(table.dtypes)[found]
+    joined = joined.withColumn("_none", F.array(F.lit(None).cast(kind)))
+    values = F.when(F.col(values_col).isNotNull(), F.coalesce("_values", empty))
+    return joined.withColumn("_values", values).drop("_row", "_none").withColumn(out, F.col("_values")).drop("_values")
 
 
-def _lookup_tables(bc):
-    key = bc.id if hasattr(bc, "id") else id(bc)
-    t = _LOOKUP_CACHE.get(key)
-    if t is None:
-        tokens, ids = bc.value
-        index = pd.Index(tokens)
-        id_arr = np.asarray(ids, dtype=np.int32)
-        max_id = int(id_arr.max()) if len(id_arr) else 0
-        by_id = np.empty(max_id + 1, dtype=object)
-        by_id[:] = None
-        by_id[id_arr] = np.asarray(tokens, dtype=object)
-        t = (index, id_arr, by_id)
-        _LOOKUP_CACHE[key] = t
-    return t
+def encode(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", out: str = "input_ids", id_col: str = "row_id") -> DataFrame:
+    """Token strings -> ids (unknown -> unk), order kept; ``id_col`` must be unique."""
+    return _looked_up(df, vocab, tokens_col, "token", "id", F.lit(UNK_ID), out, id_col)
 
 
-def _split_back(flat: np.ndarray, lengths: np.ndarray) -> list:
-    if len(lengths) == 0:
-        return []
-    return np.split(flat, np.cumsum(lengths)[:-1])
+def ids_to_tokens(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", out: str = "id_tokens", id_col: str = "row_id") -> DataFrame:
+    """Ids -> token strings (an id that the vocabulary lacks -> null)."""
+    return _looked_up(df, vocab, ids_col, "id", "token", None, out, id_col)
 
 
-def encode(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", out: str = "input_ids", method: str = "auto") -> DataFrame:
-    """Token strings -> ids (unknown -> unk), order kept.
-
-    ``lookup`` (default while the vocabulary is within MAX_LOOKUP_VOCAB):
-    the vocabulary is broadcast once and each Arrow batch is encoded with one
-    vectorized hash lookup — no row-per-token shuffle. ``join``: posexplode,
-    broadcast-free equi-join with the vocabulary, re-collect per row sorted by
-    position (for vocabularies beyond the bound).
-    """
-    if method == "join":
-        return _encode_join(df, vocab, tokens_col, out)
-    table = _collect_vocab(vocab)
-    if table is None:
-        if method == "lookup":
-            raise ValueError(f"vocabulary exceeds the broadcast bound {MAX_LOOKUP_VOCAB}; use method='join'")
-        return _encode_join(df, vocab, tokens_col, out)
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(table)
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _encode(s: pd.Series) -> pd.Series:
-        index, id_arr, _ = _lookup_tables(bc)
-        lengths = np.fromiter((0 if v is None else len(v) for v in s), dtype=np.int64, count=len(s))
-        parts = [np.asarray(v, dtype=object) for v in s if v is not None and len(v)]
-        flat = np.concatenate(parts) if parts else np.empty(0, dtype=object)
-        pos = index.get_indexer(flat) if len(flat) else np.empty(0, dtype=np.int64)
-        ids = np.where(pos >= 0, id_arr[np.maximum(pos, 0)] if len(id_arr) else UNK_ID, UNK_ID).astype(np.int32)
-        pieces = _split_back(ids, lengths)
-        return pd.Series([None if v is None else p.tolist() for v, p in zip(s, pieces)])
-
-    return df.withColumn(out, _encode(F.col(tokens_col)))
-
-
-def _encode_join(df: DataFrame, vocab: DataFrame, tokens_col: str, out: str) -> DataFrame:
-    key = "_rowkey"
-    keyed = df.withColumn(key, F.monotonically_increasing_id())
-    exploded = keyed.select(key, F.posexplode(tokens_col).alias("_pos", "token"))
-    looked = exploded.join(vocab.select("token", F.col("id").alias("_id")), "token", "left")
-    back = looked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("_id", F.lit(UNK_ID)).alias("_id")))).alias("_p"))
-    back = back.select(key, F.transform("_p", lambda x: x["_id"]).alias(out))
-    return keyed.join(back, key, "left").withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>"))).drop(key)
-
-
-def ids_to_tokens(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", out: str = "id_tokens") -> DataFrame:
-    """Ids -> token strings (vectorized take on a broadcast id -> token array)."""
-    spark = df.sparkSession
-    table = _collect_vocab(vocab)
-    if table is None:
-        raise ValueError(f"vocabulary exceeds the broadcast bound {MAX_LOOKUP_VOCAB}")
-    bc = spark.sparkContext.broadcast(table)
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def _lookup(s: pd.Series) -> pd.Series:
-        _, _, by_id = _lookup_tables(bc)
-        lengths = np.fromiter((0 if v is None else len(v) for v in s), dtype=np.int64, count=len(s))
-        parts = [np.asarray(v, dtype=np.int64) for v in s if v is not None and len(v)]
-        flat = np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
-        ok = (flat >= 0) & (flat < len(by_id))
-        toks = np.where(ok, by_id[np.clip(flat, 0, max(len(by_id) - 1, 0))] if len(by_id) else None, None)
-        pieces = _split_back(toks, lengths)
-        return pd.Series([None if v is None else list(p) for v, p in zip(s, pieces)])
-
-    return df.withColumn(out, _lookup(F.col(ids_col)))
-
-
-def decode(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", out: str = "decoded", skip_special_tokens: bool = True) -> DataFrame:
+def decode(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", out: str = "decoded", skip_special_tokens: bool = True, id_col: str = "row_id") -> DataFrame:
     """E5: ids -> text (tokens joined by one space); reserved ids dropped when asked."""
     ids = F.col(ids_col)
     if skip_special_tokens:
         ids = F.filter(ids, lambda x: x >= F.lit(N_RESERVED))
     tmp = df.withColumn("_ids", ids)
-    return ids_to_tokens(tmp, vocab, "_ids", "_toks").withColumn(out, F.array_join("_toks", " ")).drop("_ids", "_toks")
+    return ids_to_tokens(tmp, vocab, "_ids", "_toks", id_col).withColumn(out, F.array_join("_toks", " ")).drop("_ids", "_toks")
 
 
 def special_tokens(vocab: DataFrame) -> DataFrame:
@@ -250,9 +177,9 @@ def completion_tokens(df: DataFrame, template, messages_col: str = "messages") -
     return df.withColumn("tokens", toks).withColumn("train_mask", mask)
 
 
-def completion_labels(df: DataFrame, vocab: DataFrame, template, messages_col: str = "messages") -> DataFrame:
+def completion_labels(df: DataFrame, vocab: DataFrame, template, messages_col: str = "messages", id_col: str = "conv_id") -> DataFrame:
     """-100 on every token outside an assistant reply (multi-turn safe)."""
-    t = encode(completion_tokens(df, template, messages_col), vocab, "tokens", "input_ids")
+    t = encode(completion_tokens(df, template, messages_col), vocab, "tokens", "input_ids", id_col)
     return t.withColumn(
         "labels", F.zip_with("input_ids", "train_mask", lambda x, m: F.when(m == 1, x).otherwise(F.lit(IGNORE_INDEX)))
     )

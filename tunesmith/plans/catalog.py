@@ -206,16 +206,22 @@ def q_length_stats(spark, sf_dir):
 from tunesmith.functions.text import ids_text  # noqa: E402
 from tunesmith.operators import packing, tokens  # noqa: E402
 
-VOCAB_K = S.VOCAB_K
-ENCODED_CTES = PREPARED_CTES + [S.TOK, S.VOCAB, S.ENC]
+WHOLE_CTES = [S.WHOLE]
+ENCODED_CTES = WHOLE_CTES + [S.TOK, S.VOCAB, S.ENC]
+
+
+def whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as it is: row_id, text, lang, source and its token length."""
+    d = V.scan_parquet(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text", "lang", "source")
+    return clean.with_token_length(d)
 
 
 def tokenized(spark, sf_dir):
-    return tokens.tokenize(prepared(spark, sf_dir))
+    return tokens.tokenize(whole(spark, sf_dir))
 
 
 def vocab_of(spark, sf_dir):
-    return tokens.build_vocab(tokenized(spark, sf_dir), "tokens", VOCAB_K)
+    return tokens.build_vocab(tokenized(spark, sf_dir))
 
 
 def encoded(spark, sf_dir):
@@ -230,19 +236,29 @@ def padded_batch(spark, sf_dir):
 
 @register(
     "tokenize",
-    S.with_(*PREPARED_CTES, S.TOK) + "SELECT row_id, len(tokens)::BIGINT AS n_tokens, array_to_string(tokens, ' ') AS tokens_text FROM tok",
+    S.with_(*WHOLE_CTES, S.TOK) + "SELECT row_id, len(tokens)::BIGINT AS n_tokens, array_to_string(tokens, ' ') AS tokens_text FROM tok",
 )
 def q_tokenize(spark, sf_dir):
     t = tokenized(spark, sf_dir)
     return t.select("row_id", F.size("tokens").cast("long").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens_text"))
 
 
-@register("build_vocab", S.with_(*PREPARED_CTES, S.TOK, S.VOCAB) + "SELECT token, id::BIGINT AS id, n::BIGINT AS n FROM vocab")
+@register("build_vocab", S.with_(*WHOLE_CTES, S.TOK, S.VOCAB) + "SELECT token, id::BIGINT AS id, n::BIGINT AS n FROM vocab")
 def q_build_vocab(spark, sf_dir):
     v = vocab_of(spark, sf_dir)
     return v.select("token", F.col("id").cast("long"), F.col("n").cast("long"))
 
 
+@register(
+    "build_vocab_top",
+    S.with_(*WHOLE_CTES, S.TOK) + "SELECT token, (row_number() OVER (ORDER BY n DESC, token) + 3)::BIGINT AS id, n::BIGINT AS n FROM (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM tok) GROUP BY token ORDER BY n DESC, token LIMIT 1000)",
+)
+def q_build_vocab_top(spark, sf_dir):
+    """E2 with a size: the 1,000 most frequent tokens."""
+    v = tokens.build_vocab(tokenized(spark, sf_dir), k=1000).filter(F.col("id") >= tokens.N_RESERVED)
+    return v.select("token", F.col("id").cast("long"), F.col("n").cast("long"))
+
+
 @register("encode", S.with_(*ENCODED_CTES) + "SELECT row_id, array_to_string(ids, ',') AS input_ids FROM enc")
 def q_encode(spark, sf_dir):
     return encoded(spark, sf_dir).select("row_id", ids_text("input_ids").alias("input_ids"))
@@ -272,7 +288,7 @@ def q_decode(spark, sf_dir):
 
 @register(
     "special_tokens",
-    S.with_(*PREPARED_CTES, S.TOK, S.VOCAB)
+    S.with_(*WHOLE_CTES, S.TOK, S.VOCAB)
     + """SELECT s.name, v.token, v.id::BIGINT AS id, (SELECT count(*) FROM vocab)::BIGINT AS vocab_size
 FROM (VALUES ('pad', 0), ('bos', 1), ('eos', 2), ('unk', 3)) s(name, want) LEFT JOIN vocab v ON v.id = s.want""",
 )
@@ -316,6 +332,23 @@ def q_pad(spark, sf_dir):
     )
 
 
+@register(
+    "pad_left",
+    S.with_(*ENCODED_CTES)
+    + """SELECT row_id, batch_id::BIGINT AS batch_id, L::BIGINT AS padded_length,
+       array_to_string(list_transform(range(L - len(ids)), lambda x: 0) || ids, ',') AS input_ids,
+       array_to_string(list_transform(range(L - len(ids)), lambda x: 0) || list_transform(range(len(ids)), lambda x: 1), ',') AS attention_mask
+FROM (SELECT row_id, row_id // 16 AS batch_id, ids, max(len(ids)) OVER (PARTITION BY row_id // 16) AS L FROM enc)""",
+)
+def q_pad_left(spark, sf_dir):
+    """E9 for generation: the pad token stands before the sequence."""
+    e = encoded(spark, sf_dir).withColumn("batch_id", F.floor(F.col("row_id") / 16).cast("long"))
+    p = tokens.pad(e, "input_ids", "batch_id", pad_id=tokens.PAD_ID, side="left")
+    return p.select(
+        "row_id", "batch_id", F.col("padded_length").cast("long"), ids_text("input_ids").alias("input_ids"), ids_text("attention_mask").alias("attention_mask")
+    )
+
+
 @register(
     "causal_labels",
     S.with_(*ENCODED_CTES, S.TRUNC_PAD)
@@ -337,7 +370,7 @@ def q_collator_labels(spark, sf_dir):
 
 
 COMPLETION_SQL = S.with_(
-    *PREPARED_CTES,
+    *WHOLE_CTES,
     S.TOK,
     S.VOCAB,
     f"""msg AS (
@@ -427,22 +460,21 @@ def q_packing_efficiency(spark, sf_dir):
 @register(
     "assign_batches",
     S.with_(
-        *PREPARED_CTES[:3],
-        "e AS (SELECT row_id, unnest(range(2)) AS epoch FROM deduped)",
+        *WHOLE_CTES,
+        "e AS (SELECT row_id, unnest(range(2)) AS epoch FROM toklen)",
         "r AS (SELECT epoch, row_id, row_number() OVER (PARTITION BY epoch ORDER BY md5(concat_ws('|', '42', CAST(epoch AS VARCHAR), CAST(row_id AS VARCHAR))), row_id) - 1 AS position FROM e)",
     )
     + "SELECT epoch::BIGINT AS epoch, row_id, position::BIGINT AS position, (position // 4)::BIGINT AS micro_batch, (position // 16)::BIGINT AS step FROM r",
 )
 def q_assign_batches(spark, sf_dir):
-    rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir)))
-    b = packing.assign_batches(rows, n_epochs=2, seed=42, per_device_batch=4, accumulation=4)
+    b = packing.assign_batches(doc_ids(spark, sf_dir), n_epochs=2, seed=42, per_device_batch=4, accumulation=4)
     return b.select(F.col("epoch").cast("long"), "row_id", "position", "micro_batch", "step")
 
 
 @register(
     "dynamic_padding_waste",
     S.with_(
-        *PREPARED_CTES,
+        *WHOLE_CTES,
         f"x AS (SELECT row_id, n_tokens AS len, {S.md5_key(42, 'row_id')} AS h FROM toklen)",
         "rnd AS (SELECT (row_number() OVER (ORDER BY h, row_id) - 1) // 8 AS b, len FROM x)",
         "srt AS (SELECT (row_number() OVER (ORDER BY len, h, row_id) - 1) // 8 AS b, len FROM x)",
@@ -453,7 +485,7 @@ def q_assign_batches(spark, sf_dir):
        round(100.0 * (1.0 - sum(rl) / greatest(sum(m * c), 1)), 6) AS waste_pct FROM summ GROUP BY ordering""",
 )
 def q_dynamic_padding_waste(spark, sf_dir):
-    w = packing.dynamic_padding_waste(prepared(spark, sf_dir), "n_tokens", batch_size=8)
+    w = packing.dynamic_padding_waste(whole(spark, sf_dir), "n_tokens", batch_size=8)
     return w.select(
         F.col("order").alias("ordering"), F.col("n_batches").cast("long"), F.col("real_tokens").cast("long"),
         F.col("padded_tokens").cast("long"), round6("waste_pct").alias("waste_pct"),
@@ -462,14 +494,14 @@ def q_dynamic_padding_waste(spark, sf_dir):
 
 @register(
     "context_coverage",
-    S.with_(*PREPARED_CTES)
+    S.with_(*WHOLE_CTES)
     + """SELECT L::BIGINT AS context_length, count(*) FILTER (WHERE n_tokens <= L)::BIGINT AS rows_fit,
        round(count(*) FILTER (WHERE n_tokens <= L) / count(*), 6) AS row_share,
        round(sum(least(n_tokens, L)) / sum(n_tokens), 6) AS token_share
 FROM toklen, (VALUES (256), (512), (1024), (2048)) v(L) GROUP BY L""",
 )
 def q_context_coverage(spark, sf_dir):
-    c = packing.context_coverage(prepared(spark, sf_dir), "n_tokens", (256, 512, 1024, 2048))
+    c = packing.context_coverage(whole(spark, sf_dir), "n_tokens", (256, 512, 1024, 2048))
     return c.select("context_length", "rows_fit", round6("row_share").alias("row_share"), round6("token_share").alias("token_share"))
 
 
@@ -540,7 +572,7 @@ def q_score_table(spark, sf_dir):
 
 
 NGRAM_SQL = S.with_(
-    *PREPARED_CTES,
+    *WHOLE_CTES,
     S.TOK,
     S.two_way("tok"),
     "tr AS (SELECT tokens FROM split2 WHERE split = 'train')",
@@ -622,15 +654,13 @@ def q_randomize_ab_order(spark, sf_dir):
 @register(
     "judge_length_bias",
     S.with_(*MODEL_CTES)
-    + """SELECT coalesce(judge, 0)::BIGINT AS score, count(*)::BIGINT AS n, round(avg(length(answer)), 6) AS mean_answer_chars,
-       CASE WHEN GROUPING(judge) = 1 THEN round((avg(judge::DOUBLE * length(answer)) - avg(judge::DOUBLE) * avg(length(answer)::DOUBLE))
-            / nullif(stddev_pop(judge::DOUBLE) * stddev_pop(length(answer)::DOUBLE), 0), 6) END AS corr_score_length
+    + """SELECT judge::BIGINT AS score, GROUPING(judge) = 1 AS is_total, count(*)::BIGINT AS n, round(avg(length(answer)), 6) AS mean_answer_chars,
+       CASE WHEN GROUPING(judge) = 1 AND stddev_pop(judge) > 0 AND stddev_pop(length(answer)) > 0 THEN round(corr(judge, length(answer)), 6) END AS corr_score_length
 FROM scored_models GROUP BY ROLLUP (judge)""",
 )
 def q_judge_length_bias(spark, sf_dir):
     b = evals.judge_length_bias(scored_models(spark, sf_dir))
-    # the grand-total row (null score in the rollup) is reported as score 0
-    return b.select(F.coalesce(F.col("score"), F.lit(0)).cast("long").alias("score"), F.col("n").cast("long"), round6("mean_answer_chars").alias("mean_answer_chars"), round6("corr_score_length").alias("corr_score_length"))
+    return b.select(F.col("score").cast("long").alias("score"), "is_total", F.col("n").cast("long"), round6("mean_answer_chars").alias("mean_answer_chars"), round6("corr_score_length").alias("corr_score_length"))
 
 
 NGRAM_N = 8
@@ -643,9 +673,13 @@ def _grams_sql(w: str) -> str:
 
 
 _WORDS = S.split_ws("lower(text)")
-CONTAM_CTE = f"""bg AS (SELECT item_id, unnest({_grams_sql('w')}) AS gram FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
+CONTAM_CTE = f"""bw AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+bg AS (SELECT item_id, unnest(CASE WHEN len(w) BETWEEN 1 AND {NGRAM_N - 1} THEN [array_to_string(w, ' ')] ELSE {_grams_sql('w')} END) AS gram FROM bw),
 sizes AS (SELECT item_id, count(*) AS item_grams FROM bg GROUP BY item_id),
-tg AS (SELECT doc_id, unnest({_grams_sql('w')}) AS gram FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
+lens AS (SELECT DISTINCT len(w) AS k FROM bw WHERE len(w) BETWEEN 1 AND {NGRAM_N - 1}),
+tg AS (SELECT doc_id, unnest({_grams_sql('w')}) AS gram FROM dw
+  UNION SELECT doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS gram FROM dw, lens WHERE len(w) >= k),
 hits AS (SELECT item_id, doc_id, count(*) AS shared_grams FROM tg JOIN bg USING (gram) GROUP BY item_id, doc_id),
 contam AS (SELECT h.item_id, h.doc_id, h.shared_grams, s.item_grams, h.shared_grams / s.item_grams AS coverage FROM hits h JOIN sizes s USING (item_id))"""
 
@@ -755,14 +789,14 @@ def q_dpo_metrics(spark, sf_dir):
     S.with_(
         S.LOGPROBS,
         "mm AS (SELECT pi_chosen / n_tokens AS mc, pi_rejected / n_tokens AS mr FROM logprobs)",
-        "o AS (SELECT -mc AS nll_chosen, (mc - ln(1 - exp(mc))) - (mr - ln(1 - exp(mr))) AS ratio FROM mm WHERE mc < 0 AND mr < 0)",
+        "o AS (SELECT CASE WHEN mc < 0 AND mr < 0 THEN -mc END AS nll_chosen, CASE WHEN mc < 0 AND mr < 0 THEN (mc - ln(1 - exp(mc))) - (mr - ln(1 - exp(mr))) END AS ratio FROM mm)",
     )
-    + f"""SELECT count(*)::BIGINT AS n, round(avg(nll_chosen), 6) AS nll_chosen, round(avg({SOFTPLUS.format(x='(-ratio)')}), 6) AS or_loss,
-       round(avg(nll_chosen + 0.1 * {SOFTPLUS.format(x='(-ratio)')}), 6) AS loss, round(avg((ratio > 0)::DOUBLE), 6) AS accuracy FROM o""",
+    + f"""SELECT count(*)::BIGINT AS n, count(*) FILTER (WHERE ratio IS NULL)::BIGINT AS n_invalid, round(avg(nll_chosen), 6) AS nll_chosen, round(avg(CASE WHEN ratio IS NOT NULL THEN {SOFTPLUS.format(x='(-ratio)')} END), 6) AS or_loss,
+       round(avg(nll_chosen + 0.1 * CASE WHEN ratio IS NOT NULL THEN {SOFTPLUS.format(x='(-ratio)')} END), 6) AS loss, round(avg((ratio > 0)::DOUBLE), 6) AS accuracy FROM o""",
 )
 def q_orpo_metrics(spark, sf_dir):
     d = prefs.orpo_metrics(V.logprobs(spark, sf_dir), lam=0.1)
-    return d.select(F.col("n").cast("long"), *[round6(c).alias(c) for c in d.columns if c != "n"])
+    return d.select(F.col("n").cast("long"), F.col("n_invalid").cast("long"), *[round6(c).alias(c) for c in d.columns if c not in ("n", "n_invalid")])
 
 
 @register(
@@ -798,14 +832,16 @@ def q_verifiable_reward(spark, sf_dir):
    WHERE instruction <> '' AND output <> '' AND length({S.ustrip('output')}) BETWEEN 1 AND 8000)""",
         "okd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sha256(instruction || '||' || '' || '||' || output) ORDER BY conv_id, turn) AS _rn FROM ok) WHERE _rn = 1)",
     )
-    + """SELECT conv_id, turn, 'ok' AS status, instruction, output FROM okd
-UNION ALL SELECT conv_id, turn, 'missing' AS status, instruction, NULL AS output FROM pr WHERE NOT EXISTS (SELECT 1 FROM te WHERE te.conv_id = pr.conv_id AND te.turn = pr.turn)""",
+    + f"""SELECT conv_id, turn, 'ok' AS status, instruction, output FROM okd
+UNION ALL SELECT conv_id, turn, 'rejected' AS status, instruction, output FROM pr JOIN te USING (conv_id, turn)
+   WHERE output IS NOT NULL AND coalesce(instruction = '' OR output = '' OR length({S.ustrip('output')}) NOT BETWEEN 1 AND 8000, true)
+UNION ALL SELECT conv_id, turn, 'missing' AS status, instruction, NULL AS output FROM pr WHERE NOT EXISTS (SELECT 1 FROM te WHERE te.conv_id = pr.conv_id AND te.turn = pr.turn AND te.output IS NOT NULL)""",
 )
 def q_distillation_rows(spark, sf_dir):
     t = V.turns(spark, sf_dir)
     prompts = t.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("instruction"))
     teacher = t.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output"))
-    prompts = prompts.withColumn("row_id", F.col("conv_id") * 1000 + F.col("turn"))
+    prompts = prompts.withColumn("row_id", chat.turn_key())
     d = prefs.distillation_rows(prompts, teacher)
     return d.select("conv_id", "turn", "status", "instruction", "output")
 
@@ -954,12 +990,12 @@ def q_preference_messages(spark, sf_dir):
 
 @register(
     "length_outlier_filter",
-    S.with_(*PREPARED_CTES)
-    + """SELECT t.row_id, t.lang, t.n_tokens FROM toklen t JOIN (SELECT lang, quantile_cont(n_tokens, [0.01, 0.99]) AS b FROM toklen GROUP BY lang) q USING (lang)
+    S.with_(*WHOLE_CTES)
+    + """SELECT t.row_id, t.lang, t.n_tokens FROM toklen t JOIN (SELECT lang, quantile_cont(n_tokens, [0.01, 0.99]) AS b FROM toklen GROUP BY lang) q ON q.lang IS NOT DISTINCT FROM t.lang
 WHERE t.n_tokens BETWEEN q.b[1] AND q.b[2]""",
 )
 def q_length_outlier_filter(spark, sf_dir):
-    f = clean.length_outlier_filter(prepared(spark, sf_dir), "n_tokens", ["lang"], 0.01, 0.99)
+    f = clean.length_outlier_filter(whole(spark, sf_dir), "n_tokens", ["lang"], 0.01, 0.99)
     return f.select("row_id", "lang", "n_tokens")
 
 
@@ -968,22 +1004,20 @@ FALLBACK_LINT = chat.ChatTemplate(name="fallback", prefix={"user": chat.FALLBACK
 
 @register(
     "format_lint",
-    S.with_(*PREPARED_CTES[:4])
+    S.with_(S.INSTR_DOCS, S.RENDERED_ALL)
     + f"""SELECT count(*)::BIGINT AS n_rows, count(*) FILTER (WHERE NOT contains(text, {_lit(chat.FALLBACK_INSTRUCTION_HEADING)}))::BIGINT AS n_missing_markers,
        count(*) FILTER (WHERE NOT ends_with(text, '</s>'))::BIGINT AS n_no_eos,
        count(*) FILTER (WHERE contains(text, '<|im_start|>') OR contains(text, '<|im_end|>'))::BIGINT AS n_foreign_markers FROM rendered""",
 )
 def q_format_lint(spark, sf_dir):
-    rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir)))
-    flagged = clean.format_lint(chat.render_fallback(rows), FALLBACK_LINT, "text", other_markers=("<|im_start|>", "<|im_end|>"))
+    flagged = clean.format_lint(chat.render_fallback(V.instr_docs(spark, sf_dir)), FALLBACK_LINT, "text", other_markers=("<|im_start|>", "<|im_end|>"))
     r = clean.format_lint_report(flagged)
     return r.select(*[F.col(c).cast("long") for c in r.columns])
 
 
-@register("drop_columns", S.with_(*PREPARED_CTES[:4]) + "SELECT row_id, text FROM rendered")
+@register("drop_columns", S.with_(S.INSTR_DOCS, S.RENDERED_ALL) + "SELECT row_id, text FROM rendered")
 def q_drop_columns(spark, sf_dir):
-    rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir)))
-    return clean.drop_columns(chat.render_fallback(rows), ["row_id", "text"])
+    return clean.drop_columns(chat.render_fallback(V.instr_docs(spark, sf_dir)), ["row_id", "text"])
 
 
 @register(
@@ -1021,6 +1055,15 @@ def q_group_split(spark, sf_dir):
     return splits.group_split(d, "source", 0.15, 0.15).select("doc_id", "source", "split")
 
 
+@register(
+    "seeded_shuffle",
+    f"SELECT doc_id AS row_id, (row_number() OVER (ORDER BY {S.md5_key(42, 'doc_id')}, doc_id) - 1)::BIGINT AS position FROM documents",
+)
+def q_seeded_shuffle(spark, sf_dir):
+    """Every row's place in the seeded order."""
+    return splits.seeded_shuffle(doc_ids(spark, sf_dir), rank_col="position").select("row_id", "position")
+
+
 @register("spot_check", S.with_(*PREPARED_CTES[:4]) + f"SELECT row_id, text FROM rendered ORDER BY {S.md5_key(42, 'row_id')}, row_id LIMIT 20")
 def q_spot_check(spark, sf_dir):
     rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir)))
@@ -1037,10 +1080,10 @@ def q_head_sample(spark, sf_dir):
 
 @register(
     "length_histogram",
-    S.with_(*PREPARED_CTES) + "SELECT (n_tokens // 64)::BIGINT AS bin, (n_tokens // 64 * 64)::BIGINT AS bin_start, count(*)::BIGINT AS n_rows FROM toklen GROUP BY ALL",
+    S.with_(*WHOLE_CTES) + "SELECT (n_tokens // 64)::BIGINT AS bin, (n_tokens // 64 * 64)::BIGINT AS bin_start, count(*)::BIGINT AS n_rows FROM toklen GROUP BY ALL",
 )
 def q_length_histogram(spark, sf_dir):
-    h = stats.length_histogram(prepared(spark, sf_dir), "n_tokens", 64)
+    h = stats.length_histogram(whole(spark, sf_dir), "n_tokens", 64)
     return h.select("bin", F.col("bin_start").cast("long"), F.col("n_rows").cast("long"))
 
 
@@ -1105,22 +1148,21 @@ from tunesmith.session import shared_scratch  # noqa: E402
 from tunesmith.sources import io  # noqa: E402
 
 
-@register("read_jsonl", S.with_(S.INSTR_DOCS, S.CLEANED) + "SELECT row_id, instruction, input, output FROM cleaned")
+@register("read_jsonl", S.with_(S.INSTR_DOCS) + "SELECT row_id, instruction, input, output FROM instr_docs")
 def q_read_jsonl(spark, sf_dir):
-    """A1 + A2: cleaned rows written as JSON lines to the shared folder, then read back strictly."""
-    rows = clean.clean_rows(V.instr_docs(spark, sf_dir)).select("row_id", "instruction", "input", "output")
+    """A1 + A2: rows written as JSON lines to the shared folder, then read back strictly."""
+    rows = V.instr_docs(spark, sf_dir).select("row_id", "instruction", "input", "output")
     path = io.write_jsonl(rows, shared_scratch(spark, "jsonl"))
     return io.read_jsonl(spark, path).select("row_id", "instruction", "input", "output")
 
 
 @register(
     "write_jsonl",
-    S.with_(*PREPARED_CTES[:4]) + "SELECT row_id, text, lang, NULL::VARCHAR AS note FROM rendered",
+    S.with_(S.INSTR_DOCS, S.RENDERED_ALL) + "SELECT row_id, text, lang, NULL::VARCHAR AS note FROM rendered",
 )
 def q_write_jsonl(spark, sf_dir):
     """A2: nulls are written as JSON null (not dropped) and read back as null."""
-    rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir)))
-    out = chat.render_fallback(rows).select("row_id", "text", "lang", F.lit(None).cast("string").alias("note"))
+    out = chat.render_fallback(V.instr_docs(spark, sf_dir)).select("row_id", "text", "lang", F.lit(None).cast("string").alias("note"))
     path = io.write_jsonl(out, shared_scratch(spark, "jsonl"))
     import pyspark.sql.types as T
 
@@ -1128,9 +1170,9 @@ def q_write_jsonl(spark, sf_dir):
     return io.read_jsonl(spark, path, schema).select("row_id", "text", "lang", "note")
 
 
-@register("load_sample_dataset", S.with_(S.INSTR_DOCS, S.CLEANED, S.two_way("cleaned")) + "SELECT row_id, split FROM split2")
+@register("load_sample_dataset", S.with_(S.INSTR_DOCS, S.two_way("instr_docs")) + "SELECT row_id, split FROM split2")
 def q_load_sample_dataset(spark, sf_dir):
-    return io.load_sample_dataset(clean.clean_rows(V.instr_docs(spark, sf_dir)), 0.2, 42).select("row_id", "split")
+    return io.load_sample_dataset(V.instr_docs(spark, sf_dir), 0.2, 42).select("row_id", "split")
 
 
 @register("load_preference_dataset", S.with_(*PREF_CTES, VALID_PREFS, S.two_way("valid")) + "SELECT row_id, split FROM split2")
@@ -1152,11 +1194,11 @@ def q_save_splits(spark, sf_dir):
 
 @register(
     "write_shards",
-    S.with_(*PREPARED_CTES[:3])
-    + f"SELECT (_rk % 4)::BIGINT AS shard, count(*)::BIGINT AS n_rows, sum(row_id)::BIGINT AS id_sum FROM (SELECT row_id, row_number() OVER (ORDER BY {S.md5_key(42, 'row_id')}, row_id) - 1 AS _rk FROM deduped) GROUP BY shard",
+    S.with_(S.INSTR_DOCS)
+    + f"SELECT (_rk % 4)::BIGINT AS shard, count(*)::BIGINT AS n_rows, sum(row_id)::BIGINT AS id_sum FROM (SELECT row_id, row_number() OVER (ORDER BY {S.md5_key(42, 'row_id')}, row_id) - 1 AS _rk FROM instr_docs) GROUP BY shard",
 )
 def q_write_shards(spark, sf_dir):
-    rows = clean.dedupe_exact(clean.clean_rows(V.instr_docs(spark, sf_dir))).select("row_id", "instruction", "output")
+    rows = V.instr_docs(spark, sf_dir).select("row_id", "instruction", "output")
     path = io.write_shards(rows, shared_scratch(spark, "shards"), 4)
     back = spark.read.parquet(path)
     return back.groupBy(F.col("shard").cast("long").alias("shard")).agg(F.count(F.lit(1)).cast("long").alias("n_rows"), F.sum("row_id").cast("long").alias("id_sum"))
@@ -1218,30 +1260,35 @@ def q_near_dup_clusters(spark, sf_dir):
 from tunesmith.operators import infer, serving  # noqa: E402
 
 
-@register("batch_generate", S.with_(S.INSTR_TURNS) + "SELECT row_id, array_to_string(string_split(instruction, ' ')[1:12], ' ') AS reply FROM instr_turns")
+@register("batch_generate", S.with_(S.INSTR_TURNS) + "SELECT row_id, instruction AS reply FROM instr_turns")
 def q_batch_generate(spark, sf_dir):
     prompts = chat.render_generation_prompt(turn_messages(spark, sf_dir), chat.CHATML).select("row_id", "prompt")
-    return infer.batch_generate(prompts, infer.first_words_model(12)).select("row_id", "reply")
+    return infer.batch_generate(prompts, infer.echo_model()).select("row_id", "reply")
 
 
-@register("udf_generate")
+@register(
+    "udf_generate",
+    """SELECT a.conv_id, a.turn, coalesce(max_by(u.text, u.turn), '') AS reply
+FROM conversations a LEFT JOIN conversations u ON u.conv_id = a.conv_id AND u.turn < a.turn AND u.role = 'user'
+WHERE a.role = 'assistant' GROUP BY a.conv_id, a.turn""",
+)
 def q_udf_generate(spark, sf_dir):
     """M3: a generate plug-in over multi-turn histories (each assistant turn's context)."""
     h = chat.history_per_turn(V.turns(spark, sf_dir)).withColumnRenamed("history", "messages")
     prompts = chat.render_generation_prompt(h, chat.CHATML).select("conv_id", "turn", "prompt")
-    return infer.batch_generate(prompts, infer.first_words_model(12)).select("conv_id", "turn", "reply")
+    return infer.batch_generate(prompts, infer.echo_model()).select("conv_id", "turn", "reply")
 
 
 @register(
     "strip_prompt",
     S.with_(*ENCODED_CTES)
     + """SELECT e.row_id, coalesce(array_to_string(list(v.token ORDER BY e.pos) FILTER (WHERE e.id >= 4), ' '), '') AS reply FROM (
-  SELECT row_id, unnest(ids[1:16]) AS id, unnest(generate_series(1, len(ids[1:16]))) AS pos FROM enc) e JOIN vocab v USING (id) GROUP BY e.row_id""",
+  SELECT row_id, unnest(ids) AS id, unnest(generate_series(1, len(ids))) AS pos FROM enc) e JOIN vocab v USING (id) GROUP BY e.row_id""",
 )
 def q_strip_prompt(spark, sf_dir):
-    """Generated sequence = prompt ids + 16 new ids + [eos, pad, pad]; strip and decode the new part."""
+    """Generated sequence = prompt ids, the same once more, then [eos, pad, pad]; strip and decode the new part."""
     e = encoded(spark, sf_dir).select("row_id", F.col("input_ids").alias("prompt_ids"))
-    e = e.withColumn("output_ids", F.concat("prompt_ids", F.slice("prompt_ids", 1, 16), F.array(F.lit(tokens.EOS_ID), F.lit(tokens.PAD_ID), F.lit(tokens.PAD_ID))))
+    e = e.withColumn("output_ids", F.concat("prompt_ids", F.col("prompt_ids"), F.array(F.lit(tokens.EOS_ID), F.lit(tokens.PAD_ID), F.lit(tokens.PAD_ID))))
     return infer.strip_and_decode(e, vocab_of(spark, sf_dir)).select("row_id", "reply")
 
 
@@ -1277,9 +1324,13 @@ def q_udf_tokenizer(spark, sf_dir):
     return d.select("doc_id", F.size(enc(F.col("text"))).cast("long").alias("n_ids"))
 
 
-@register("udf_judge", S.with_(*MODEL_CTES) + "SELECT model, row_id, judge::BIGINT AS judge FROM scored_models")
+@register(
+    "udf_judge",
+    S.with_(S.INSTR_TURNS, S.TWO_MODELS)
+    + "SELECT model, row_id, (1 + 4 * least(length(answer), length(reference)) // greatest(length(answer), length(reference), 1))::BIGINT AS judge FROM two_models",
+)
 def q_udf_judge(spark, sf_dir):
-    j = infer.udf_judge(V.two_models(spark, sf_dir), infer.heuristic_judge_py)
+    j = infer.udf_judge(V.two_models(spark, sf_dir), infer.length_judge)
     return j.select("model", "row_id", F.col("judge").cast("long"))
 
 
@@ -1368,19 +1419,24 @@ def q_chat_sessions(spark, sf_dir):
 from tunesmith.streaming import streams  # noqa: E402
 
 
-@register("stream_jsonl", S.with_(S.INSTR_DOCS, S.CLEANED) + "SELECT row_id, instruction, input, output FROM cleaned")
+@register("stream_jsonl", S.with_(S.INSTR_DOCS) + "SELECT row_id, instruction, input, output FROM instr_docs")
 def q_stream_jsonl(spark, sf_dir):
-    """Cleaned rows land as JSON-lines files; a file stream picks them up."""
-    rows = clean.clean_rows(V.instr_docs(spark, sf_dir)).select("row_id", "instruction", "input", "output")
+    """Rows land as JSON-lines files; a file stream picks them up."""
+    rows = V.instr_docs(spark, sf_dir).select("row_id", "instruction", "input", "output")
     src = io.write_jsonl(rows, shared_scratch(spark, "jsonl-in"))
     s = streams.stream_jsonl(spark, src, io.INSTRUCTION_SCHEMA)
     return streams.run_to_table(s, "stream-jsonl").select("row_id", "instruction", "input", "output")
 
 
-@register("stream_dedupe", "SELECT DISTINCT user_id, event_type, props FROM events")
+@register(
+    "stream_dedupe",
+    "SELECT DISTINCT user_id, event_type, props, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start FROM events",
+)
 def q_stream_dedupe(spark, sf_dir):
-    s = streams.stream_dedupe(streams.stream_table(spark, sf_dir, "events", streams.EVENTS_SCHEMA), ["user_id", "event_type", "props"])
-    return streams.run_to_table(s, "stream-dedupe").select("user_id", "event_type", "props")
+    """C6 over four deliveries in time order: a key once in each hour, however the rows are cut into batches."""
+    events = V.scan_parquet(spark, sf_dir, "events")
+    out = streams.run_deliveries(streams.in_time_order(events, 4), lambda s: streams.stream_dedupe(s, ["user_id", "event_type", "props"]), "stream-dedupe")
+    return out.select("user_id", "event_type", "props", F.date_format("window_start", HOUR_FMT).alias("window_start"))
 
 
 @register(
@@ -1388,12 +1444,11 @@ def q_stream_dedupe(spark, sf_dir):
     """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*)::BIGINT AS n_requests,
        count(*) FILTER (WHERE event_type = 'error')::BIGINT AS n_errors, sum(CAST(json_extract_string(props, '$.k') AS BIGINT))::BIGINT AS tokens,
        round(sum(value), 6) AS latency_sum, round(max(value), 6) AS latency_max
-FROM events GROUP BY date_trunc('hour', ts)
-HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+FROM events GROUP BY date_trunc('hour', ts)""",
 )
 def q_stream_serving_metrics(spark, sf_dir):
-    s = streams.stream_serving_metrics(streams.stream_table(spark, sf_dir, "events", streams.EVENTS_SCHEMA))
-    r = streams.run_to_table(s, "stream-serving")
+    events = V.scan_parquet(spark, sf_dir, "events")
+    r = streams.run_deliveries([*streams.in_time_order(events, 4), streams.closing_row(events, "ts", "1 day")], streams.stream_serving_metrics, "stream-serving")
     return r.select(
         F.date_format("window_start", HOUR_FMT).alias("window_start"), F.col("n_requests").cast("long"), F.col("n_errors").cast("long"),
         F.col("tokens").cast("long"), round6("latency_sum").alias("latency_sum"), round6("latency_max").alias("latency_max"),

@@ -84,7 +84,7 @@ def two_way(src: str, seed=42, test=0.2, name="split2", id_col="row_id") -> str:
 
 
 INSTR_TURNS = """instr_turns AS (
-  SELECT u.conv_id * 1000 + u.turn AS row_id, u.conv_id, u.turn, u.text AS instruction, '' AS input, a.text AS output
+  SELECT u.conv_id * 4294967296 + u.turn AS row_id, u.conv_id, u.turn, u.text AS instruction, '' AS input, a.text AS output
   FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
   WHERE u.role = 'user' AND a.role = 'assistant')"""
 
@@ -117,14 +117,16 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-VOCAB_K = 5000
+WHOLE = f"""toklen AS (SELECT doc_id AS row_id, text, lang, source, len({tokenize('text')})::BIGINT AS n_tokens FROM documents)"""
+
+RENDERED_ALL = RENDERED.replace("FROM deduped", "FROM instr_docs")
 
 TOK = f"""tok AS (SELECT row_id, lang, source, text, n_tokens, {tokenize('text')} AS tokens FROM toklen)"""
 
 VOCAB = f"""vocab AS (
   SELECT token, id, n FROM (
     SELECT token, (row_number() OVER (ORDER BY n DESC, token) + 3)::INTEGER AS id, n::BIGINT AS n
-    FROM (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM tok) GROUP BY token ORDER BY n DESC, token LIMIT {VOCAB_K}))
+    FROM (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM tok) GROUP BY token))
   UNION ALL SELECT * FROM (VALUES ('<pad>', 0, 0::BIGINT), ('<s>', 1, 0::BIGINT), ('</s>', 2, 0::BIGINT), ('<unk>', 3, 0::BIGINT)) v(token, id, n))"""
 
 ENC = """enc AS (
@@ -139,9 +141,6 @@ padded AS (
          list_transform(range(len(ids)), lambda x: 1) || list_transform(range(L - len(ids)), lambda x: 0) AS mask
   FROM (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS L FROM trunc))"""
 
-ENCODED_CTES_NAMES = ("TOK", "VOCAB", "ENC")
-
-
 CANDIDATE = """CASE WHEN row_id % 3 = 0 THEN '' ELSE array_to_string(list_filter(string_split(output, ' '), lambda x, i: i % 2 = 1), ' ') END"""
 
 TWO_MODELS = f"""two_models AS (

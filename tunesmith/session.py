@@ -40,6 +40,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tunesmith-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -51,11 +53,17 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tunesmith-out/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored_once(df, name: str):
+    """``df`` written to the shared folder and read back: its lineage runs once, however often it is used."""
+    path = shared_scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - conf always set in practice
-        return os.cpu_count() or 8
+    """The number of shuffle partitions; the cluster's cores if that isn't a number."""
+    value = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(value) if value.isdigit() else spark.sparkContext.defaultParallelism
 
 
 _SHIPPED: set = set()

@@ -56,6 +56,41 @@ def run_to_table(stream: DataFrame, name: str, output_mode: str = "append") -> D
     return spark.read.parquet(out)
 
 
+def in_time_order(events: DataFrame, n: int, ts_col: str = "ts") -> list[DataFrame]:
+    """``events`` cut into n parts by time, as they would arrive."""
+    seconds = F.col(ts_col).cast("timestamp").cast("double")
+    edges = events.select(seconds.alias("_s")).approxQuantile("_s", [i / n for i in range(1, n)], 0.01) if n > 1 else []
+    bounds = [None, *sorted(edges), None]
+    parts = []
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        part = events
+        if low is not None:
+            part = part.filter(seconds >= low)
+        if high is not None:
+            part = part.filter(seconds < high)
+        parts.append(part)
+    return parts
+
+
+def closing_row(events: DataFrame, ts_col: str, after: str) -> DataFrame:
+    """One row of nulls, so far after the last event that the watermark passes every window of the events."""
+    last = events.agg((F.max(ts_col) + F.expr(f"interval {after}")).alias("_last"))
+    return last.select(*[F.col("_last").cast(t).alias(c) if c == ts_col else F.lit(None).cast(t).alias(c) for c, t in events.dtypes])
+
+
+def run_deliveries(parts: list[DataFrame], build, name: str) -> DataFrame:
+    """Deliver ``parts`` one after the other as files of a folder, each followed by a run of the stream
+    ``build`` makes of that folder (a restart that resumes from its checkpoint); the sink as a table."""
+    spark = parts[0].sparkSession
+    src, out = shared_scratch(spark, f"{name}-in"), shared_scratch(spark, f"{name}-sink")
+    for part in parts:
+        part.write.mode("append").parquet(src)
+        stream = build(spark.readStream.schema(part.schema).parquet(src))
+        q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-checkpoint").outputMode("append").trigger(availableNow=True).start()
+        q.awaitTermination()
+    return spark.read.parquet(out)
+
+
 def stream_table(spark: SparkSession, sf_dir: str, table: str, schema: T.StructType) -> DataFrame:
     """A driver parquet table read as a file stream (one table per glob)."""
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
@@ -70,14 +105,23 @@ def with_event_time(events: DataFrame, ts_col: str = "ts") -> DataFrame:
     return events.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
 
 
-def stream_dedupe(events: DataFrame, keys, delay: str = "1 hour", ts_col: str = "ts") -> DataFrame:
-    """The first row per key among rows within ``delay`` of each other (bounded state)."""
-    return with_event_time(events, ts_col).withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(keys))
+def stream_dedupe(events: DataFrame, keys, window: str = "1 hour", delay: str = "1 hour", ts_col: str = "ts") -> DataFrame:
+    """One row per key and event-time window, with ``window_start`` in place of the time.
+
+    Which rows are duplicates depends on keys and times alone, so the result is the same however rows are cut
+    into batches (rows later than ``delay`` are dropped as in any stream with a watermark); the
+    state of a window goes once the watermark has passed its end."""
+    e = with_event_time(events, ts_col).withWatermark(ts_col, delay)
+    # The window takes the place of the time: a stream may have one event-time column.
+    e = e.select(*[c for c in e.columns if c != ts_col], F.window(ts_col, window).alias("_window"))
+    kept = e.dropDuplicates([*keys, "_window"])
+    return kept.withColumn("window_start", F.col("_window.start")).drop("_window")
 
 
 def stream_serving_metrics(events: DataFrame, window: str = "1 hour", delay: str = "1 hour") -> DataFrame:
     """L1 on a stream; a window is emitted once the watermark passes its end, and rows
-    later than the watermark are dropped (append mode)."""
+    later than the watermark are dropped (append mode). A stream that ends needs a ``closing_row``
+    for its last windows."""
     e = with_event_time(events).withWatermark("ts", delay)
     e = e.select(
         "ts",
