@@ -151,11 +151,12 @@ def dedupe_exact(df: DataFrame, order_col: str = "row_id", key_cols=("instructio
     """The first row (lowest ``order_col``) of each key survives.
 
     ``min_by`` over a struct of the row aggregates partially on the map side, so
-    a key holding a third of all rows still shuffles one row per map task.
+    a key holding a third of all rows still shuffles one row per map task. Rows without
+    an id come after those with one; of several without, any one survives.
     """
     cols = df.columns
     keyed = df.withColumn("_key", dedupe_key(key_cols))
-    survivors = keyed.groupBy("_key").agg(F.min_by(F.struct(*cols), F.col(order_col)).alias("_r"))
+    survivors = keyed.groupBy("_key").agg(F.min_by(F.struct(*cols), F.struct(F.col(order_col).isNull(), F.col(order_col))).alias("_r"))
     return survivors.select("_r.*")
 
 

@@ -654,13 +654,14 @@ def q_randomize_ab_order(spark, sf_dir):
 @register(
     "judge_length_bias",
     S.with_(*MODEL_CTES)
-    + """SELECT judge::BIGINT AS score, GROUPING(judge) = 1 AS is_total, count(*)::BIGINT AS n, round(avg(length(answer)), 6) AS mean_answer_chars,
+    + """SELECT coalesce(judge, 0)::BIGINT AS score, GROUPING(judge) = 1 AS is_total, count(*)::BIGINT AS n, round(avg(length(answer)), 6) AS mean_answer_chars,
        CASE WHEN GROUPING(judge) = 1 AND stddev_pop(judge) > 0 AND stddev_pop(length(answer)) > 0 THEN round(corr(judge, length(answer)), 6) END AS corr_score_length
 FROM scored_models GROUP BY ROLLUP (judge)""",
 )
 def q_judge_length_bias(spark, sf_dir):
     b = evals.judge_length_bias(scored_models(spark, sf_dir))
-    return b.select(F.col("score").cast("long").alias("score"), "is_total", F.col("n").cast("long"), round6("mean_answer_chars").alias("mean_answer_chars"), round6("corr_score_length").alias("corr_score_length"))
+    # a null score is shown as 0; is_total tells the total row from rows without a score
+    return b.select(F.coalesce(F.col("score"), F.lit(0)).cast("long").alias("score"), "is_total", F.col("n").cast("long"), round6("mean_answer_chars").alias("mean_answer_chars"), round6("corr_score_length").alias("corr_score_length"))
 
 
 NGRAM_N = 8
@@ -1156,6 +1157,29 @@ def q_read_jsonl(spark, sf_dir):
     return io.read_jsonl(spark, path).select("row_id", "instruction", "input", "output")
 
 
+@register("read_jsonl_rows", S.with_(S.INSTR_DOCS) + "SELECT instruction, input, output, lang, count(*)::BIGINT AS n_rows, count(*)::BIGINT AS n_ids FROM instr_docs GROUP BY ALL")
+def q_read_jsonl_rows(spark, sf_dir):
+    """A1: files without ids and with a further key; every row gets an id of its own."""
+    rows = V.instr_docs(spark, sf_dir).select("instruction", "input", "output", "lang")
+    back = io.read_jsonl_rows(spark, io.write_jsonl(rows, shared_scratch(spark, "jsonl")))
+    grouped = back.groupBy("instruction", "input", "output", "lang")
+    return grouped.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("row_id").alias("n_ids"))
+
+
+@register(
+    "quarantine_jsonl",
+    S.with_(S.INSTR_DOCS) + "SELECT row_id, false AS is_corrupt FROM instr_docs WHERE row_id % 50 <> 0 UNION ALL SELECT -1 AS row_id, true AS is_corrupt FROM instr_docs WHERE row_id % 50 = 0",
+)
+def q_quarantine_jsonl(spark, sf_dir):
+    """A1 with quarantine: every 50th line is cut short; such lines are kept apart, not dropped."""
+    rows = V.instr_docs(spark, sf_dir).select("row_id", "instruction", "input", "output")
+    line = F.to_json(F.struct("row_id", "instruction", "input", "output"))
+    path = shared_scratch(spark, "jsonl-bad")
+    rows.select(F.when(F.col("row_id") % 50 == 0, F.substring(line, 1, 5)).otherwise(line).alias("value")).write.text(path)
+    back = io.read_jsonl(spark, path, quarantine=True)
+    return back.select(F.coalesce("row_id", F.lit(-1)).alias("row_id"), F.col(io.CORRUPT_COL).isNotNull().alias("is_corrupt"))
+
+
 @register(
     "write_jsonl",
     S.with_(S.INSTR_DOCS, S.RENDERED_ALL) + "SELECT row_id, text, lang, NULL::VARCHAR AS note FROM rendered",

@@ -120,9 +120,13 @@ def candidate_answer(output_col: str = "output", id_col: str = "row_id"):
 def two_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(model, row_id, question, reference, answer) for a baseline and a candidate model."""
     t = instr_turns(spark, sf_dir)
-    base = t.select(F.lit("baseline").alias("model"), "row_id", F.col("instruction").alias("question"), F.col("output").alias("reference"), _edited_answer().alias("answer"))
-    cand = t.select(F.lit("candidate").alias("model"), "row_id", F.col("instruction").alias("question"), F.col("output").alias("reference"), candidate_answer().alias("answer"))
-    return base.unionByName(cand)
+    # Both models from one pass over the turns.
+    answers = F.array(
+        F.struct(F.lit("baseline").alias("model"), _edited_answer().alias("answer")),
+        F.struct(F.lit("candidate").alias("model"), candidate_answer().alias("answer")),
+    )
+    both = t.select("row_id", F.col("instruction").alias("question"), F.col("output").alias("reference"), F.inline(answers))
+    return both.select("model", "row_id", "question", "reference", "answer")
 
 
 def judge_replies(spark: SparkSession, sf_dir: str) -> DataFrame:

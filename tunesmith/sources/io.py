@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tunesmith.session import default_parallelism
+
 INSTRUCTION_SCHEMA = T.StructType(
     [
         T.StructField("row_id", T.LongType()),
@@ -22,6 +24,7 @@ PREFERENCE_SCHEMA = T.StructType(
         T.StructField("rejected", T.StringType()),
     ]
 )
+
 CORRUPT_COL = "_corrupt_record"
 
 
@@ -49,6 +52,30 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = INSTRUCTIO
     return reader.option("mode", "FAILFAST").json(path)
 
 
+def read_jsonl_rows(spark: SparkSession, path: str, id_col: str = "row_id") -> DataFrame:
+    """A1 for files without ids: every key of the objects is kept (the schema is inferred in a pass of its own), and
+    rows that come without ``id_col`` get one from their file and line.
+
+    Line numbers need no sort: reading gives consecutive numbers within a block of a file, and
+    the lines before a block are summed over one row for each block. The id holds the file's
+    place among the sorted paths above 40 bits of line number, so it is the same however the files are
+    split. Blank lines are skipped (and counted); a malformed line fails the job.
+    """
+    schema = spark.read.option("mode", "FAILFAST").json(path).schema
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = spark.read.text(path).select("value", at.alias("_at")).withColumn("_n", F.monotonically_increasing_id())
+    blocks = lines.groupBy("_at").agg(F.min("_n").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    before = Window.partitionBy("_at.file").orderBy("_at.block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_base", F.coalesce(F.sum("_lines").over(before), F.lit(0)))
+    blocks = blocks.withColumn("_file", F.dense_rank().over(Window.orderBy("_at.file")))
+    numbered = lines.join(blocks.select(F.col("_at").alias("_of"), "_first", "_base", "_file"), F.col("_at") == F.col("_of"))
+    line = F.col("_file").cast("long") * F.lit(1 << 40) + F.col("_base") + F.col("_n") - F.col("_first")
+    rows = numbered.filter(F.trim("value") != "").select(line.alias("_line"), F.from_json("value", schema, {"mode": "FAILFAST"}).alias("_row")).select("_line", "_row.*")
+    if id_col in schema.names:
+        return rows.withColumn(id_col, F.coalesce(F.col(id_col).cast("long"), F.col("_line"))).drop("_line")
+    return rows.withColumnRenamed("_line", id_col)
+
+
 def write_jsonl(df: DataFrame, path: str) -> str:
     """A2: JSON lines, nulls written (not dropped), non-ASCII unescaped, overwrite."""
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
@@ -71,9 +98,12 @@ def assign_shards(df: DataFrame, n_shards: int, order_col: str = "row_id", seed:
 
 
 def write_shards(df: DataFrame, path: str, n_shards: int, order_col: str = "row_id", seed: int = 42) -> str:
-    """Write disjoint, equal-size shards for data-parallel readers (one folder per shard)."""
+    """Write disjoint, equal-size shards for data-parallel readers (one folder per shard, whose rows
+    are spread over as many writers as there are shuffle partitions for it)."""
     sharded = assign_shards(df, n_shards, order_col, seed)
-    sharded.repartition(n_shards, "shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    writers = max(1, default_parallelism(df.sparkSession) // n_shards)
+    spread = F.pmod(F.xxhash64(order_col), F.lit(writers))
+    sharded.repartition(n_shards * writers, "shard", spread).write.mode("overwrite").partitionBy("shard").parquet(path)
     return path
 
 
