@@ -14,20 +14,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunesmith.plans.ranks import exact_rank, md5_bucket_key
+from tunesmith.session import stored_once
 
 
 def pack_sequences(df: DataFrame, ids_col: str = "input_ids", order_col: str = "row_id", block_size: int = 128, eos_id: int = 2, ids_source: DataFrame | None = None) -> DataFrame:
     """every row followed by EOS, one stream in ``order_col`` order, cut into
     ``block_size`` blocks; the last short block is dropped. -> (block_id, input_ids).
     ``ids_source``: optional cheap frame holding a superset of ``order_col`` values,
-    used only to place rank buckets."""
+    used only to place rank buckets. ``order_col`` must be unique."""
     B = block_size
     x = df.select(order_col, F.concat(F.col(ids_col), F.array(F.lit(eos_id))).alias("_s"))
-    x = x.withColumn("_len", F.size("_s"))
+    # The sequences are computed once; only (key, length) goes through the rank, and offsets come back by key.
+    x = stored_once(x.withColumn("_len", F.size("_s")), "pack-rows")
     r = exact_rank(
-        x, [F.col(order_col)], F.col(order_col), weight=F.col("_len"), offset_col="_start", total_weight_col="_total", rank_col="_rank",
+        x.select(order_col, "_len"), [F.col(order_col)], F.col(order_col), weight=F.col("_len"), offset_col="_start", total_weight_col="_total", rank_col="_rank",
         bounds_source=ids_source,
     )
+    r = x.select(order_col, "_s").join(r, order_col)
     full_blocks = F.floor(F.col("_total") / F.lit(B))
     r = r.withColumn("_end", F.col("_start") + F.col("_len"))
     first = F.floor(F.col("_start") / F.lit(B))
