@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tunesmith.session import default_parallelism, shared_scratch
+from tunesmith.session import shared_scratch
 
 #: The white space of every contract here: [\x20\x09-\x0D].
 WHITE = " \t\n\x0b\x0c\r"
@@ -75,5 +75,21 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def parallelism(spark: SparkSession) -> int:
-    return max(2, default_parallelism(spark))
+def compressed(docs: DataFrame, key: str) -> DataFrame:
+    """``key`` and z: the bytes of ``text``, compressed for the way through a shuffle."""
+
+    def pack(batches):
+        import zstandard
+
+        c = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            z = [c.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_pydict({key: batch.column(key), "z": pa.array(z, pa.binary())})
+
+    return docs.select(key, "text").mapInArrow(pack, f"{key} {dict(docs.dtypes)[key]}, z binary")
+
+
+def decompress(z: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(z)

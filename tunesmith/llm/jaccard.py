@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import read_table, stored, text_of, utf8
+from tunesmith.llm.common import compressed, decompress, read_table, stored, text_of, utf8
 from tunesmith.llm.shingles import mixed, shingles, slices
 
 LAST = (1 << 63) - 1
@@ -174,49 +174,56 @@ def jaccard_groups(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5),
                 yield pa.RecordBatch.from_pydict({"doc": batch.column("doc").slice(a, b - a), "cls": pa.array(cls, pa.binary()), "n": pa.array([len(s) for s in sets], pa.int64()), "sig": pa.array(sigs, pa.binary())})
 
     sketches = stored(rows.mapInArrow(sketch, "doc long, cls binary, n long, sig binary"), "jaccard-sketches")
-    classes = stored(sketches.filter("n > 0").groupBy("cls", "n", "sig").agg(F.min("doc").alias("rep"), F.count("*").alias("weight")), "jaccard-classes")
+    grouped = sketches.filter("n > 0").groupBy("cls", "n", "sig").agg(F.min("doc").alias("rep"), F.count("*").alias("weight"))
+    # A short number for each class; fixed, as the table is written.
+    classes = stored(grouped.withColumn("id", F.monotonically_increasing_id()), "jaccard-classes")
+    known = classes.select("id", "cls", "n", "rep", "weight")
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, VALUES)
             keys = band_keys(sig, band_rows)
             at = pa.array(np.repeat(np.arange(len(sig)), keys.shape[1]))
-            yield pa.RecordBatch.from_pydict({"key": pa.array(keys.reshape(-1)), "cls": batch.column("cls").take(at), "rep": batch.column("rep").take(at)})
+            yield pa.RecordBatch.from_pydict({"key": pa.array(keys.reshape(-1)), "id": batch.column("id").take(at)})
 
-    keyed = classes.select("cls", "rep", "sig").mapInArrow(bands, "key long, cls binary, rep long")
+    keyed = classes.select("id", "sig").mapInArrow(bands, "key long, id long")
     # Written, so that the join below has exchanges of its own, which AQE can split where a band is crowded.
-    heads = stored(keyed.groupBy("key").agg(F.count("*").alias("held"), F.min("rep").alias("head")).filter("held > 1").select(F.col("key").alias("of"), "head"), "jaccard-heads")
-    near = stored(keyed.join(heads, F.col("key") == F.col("of")).select("key", "cls", "rep", "head"), "jaccard-near")
+    heads = stored(keyed.groupBy("key").agg(F.count("*").alias("held"), F.min("id").alias("head")).filter("held > 1").select(F.col("key").alias("of"), "head"), "jaccard-heads")
+    near = stored(keyed.join(heads, F.col("key") == F.col("of")).select("key", "id", "head"), "jaccard-near")
 
     # Blocks of related classes: label = the smallest head that a class, or one it shares a band with, has seen.
-    own = near.groupBy("cls").agg(F.min("head").alias("own"))
-    spread = near.join(own, "cls").groupBy("key").agg(F.min("own").alias("least"))
-    label = near.select("key", "cls").join(spread, "key").groupBy("cls").agg(F.min("least").alias("label"))
-    held = stored(label.join(classes.select("cls", "n", "rep", "weight", "sig"), "cls"), "jaccard-held")
+    own = near.groupBy("id").agg(F.min("head").alias("own"))
+    spread = near.join(own, "id").groupBy("key").agg(F.min("own").alias("least"))
+    label = near.select("key", "id").join(spread, "key").groupBy("id").agg(F.min("least").alias("label"))
+    held = stored(label.join(known, "id"), "jaccard-held")
     room = held.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / block_rows), F.ceil(F.sum("n") * 8 / block_bytes)).alias("parts"))
-    placed = held.join(room, "label").withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")))
+    placed = held.join(room, "label").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
     block = F.xxhash64("label", "part")  # two blocks under one number would only be one larger block
-    blocks = stored(placed.select("cls", block.alias("block"), "n", "rep", "weight", "sig"), "jaccard-blocks")
-    met = near.select("key", "cls").join(blocks.select("cls", "block"), "cls").select("key", "block").distinct()
+    blocks = stored(placed.select("id", "cls", block.alias("block"), "rep", "weight"), "jaccard-blocks")
+    met = near.select("key", "id").join(blocks.select("id", "block"), "id").select("key", "block").distinct()
     other = met.select(F.col("key").alias("k"), F.col("block").alias("other"))
     pairs = met.join(other, (F.col("key") == F.col("k")) & (F.col("block") <= F.col("other"))).select(F.col("block").alias("a"), F.col("other").alias("b")).distinct()
+    sides = pairs.select("a", "b", F.col("a").alias("block"), F.lit(0).alias("side")).union(pairs.filter("a != b").select("a", "b", F.col("b").alias("block"), F.lit(1).alias("side")))
+    # Who meets whom is settled before any set of shingles moves.
+    members = stored(sides.join(blocks, "block").drop("block"), "jaccard-members")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column("text"))
-            for a, b in slices(offsets):
-                sets = [s for s in shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], k) if len(s)]
-                yield pa.RecordBatch.from_pydict({"c": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
+            for content in batch.column("z").to_pylist():
+                data = np.frombuffer(decompress(content), np.uint8)
+                found = shingles(data, np.array([0, len(data)]), k)[0]
+                yield pa.RecordBatch.from_pydict({"c": pa.array([hashlib.blake2b(found.tobytes(), digest_size=16).digest()], pa.binary()), "shingles": pa.array([found.tobytes()], pa.binary())})
 
-    wanted = blocks.select(F.col("rep").alias("doc")).distinct()
-    texts = rows.join(wanted, "doc").select("text").mapInArrow(sets_of, "c binary, shingles binary")
-    whole = stored(blocks.join(texts.dropDuplicates(["c"]), F.col("cls") == F.col("c")).select("block", "rep", "weight", "sig", "shingles"), "jaccard-sets")
-    sides = pairs.select("a", "b", F.col("a").alias("block"), F.lit(0).alias("side")).union(pairs.filter("a != b").select("a", "b", F.col("b").alias("block"), F.lit(1).alias("side")))
+    # The texts are shuffled, compressed, at every size of the other side: one plan for all inputs.
+    wanted = blocks.select(F.col("rep").alias("doc")).distinct().hint("merge")
+    texts = compressed(rows, "doc").join(wanted, "doc").select("z").mapInArrow(sets_of, "c binary, shingles binary")
+    whole = members.join(texts, F.col("cls") == F.col("c")).select("a", "b", "side", "id", "rep", "weight", "shingles")
 
     def verify(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["side", "rep"], ignore_index=True)
-        sig = np.stack([np.frombuffer(s, np.uint32) for s in rows["sig"]])
+        # A class comes twice where rows of one doc_id repeat a text.
+        rows = rows.drop_duplicates(["side", "id"]).sort_values(["side", "rep", "id"], ignore_index=True)
         sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
+        sig = signatures(sets)
         cut = int((rows["side"] == 0).sum())
         same = key[0] == key[1]
         if same:
@@ -230,13 +237,14 @@ def jaccard_groups(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5),
         np.add.at(links, ib, weight[ia])
         some = np.flatnonzero(links)
         stars = _stars(rep, ia, ib)
-        return pd.DataFrame({"rep": [*rep[some].tolist(), *[s[0] for s in stars]], "links": [*links[some].tolist(), *[0] * len(stars)], "root": [*rep[some].tolist(), *[s[1] for s in stars]]}, dtype="int64")
+        ids = rows["id"].to_numpy(np.int64)
+        return pd.DataFrame({"id": [*ids[some].tolist(), *[0] * len(stars)], "links": [*links[some].tolist(), *[0] * len(stars)], "rep": [*rep[some].tolist(), *[s[0] for s in stars]], "root": [*rep[some].tolist(), *[s[1] for s in stars]]}, dtype="int64")
 
-    found = stored(sides.join(whole, "block").drop("block").groupBy("a", "b").applyInPandas(verify, "rep long, links long, root long"), "jaccard-links")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    found = stored(whole.groupBy("a", "b").applyInPandas(verify, "id long, links long, rep long, root long"), "jaccard-links")
+    links = found.filter("links > 0").groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(found.filter("rep != root").select(F.col("rep").alias("u"), F.col("root").alias("v")))
     # A document of several rows may be in several classes; its smallest number stands for all.
-    table = classes.select("cls", "rep", "weight").join(links, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left")
+    table = known.join(links, "id", "left").join(roots, F.col("rep") == F.col("node"), "left")
     table = table.select(F.col("cls").alias("c"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "rep").alias("class"), F.col("weight").alias("copies"))
     out = sketches.select("doc", "cls").join(table, F.col("cls") == F.col("c"), "left")
     back = lambda c: F.when(c != LAST, c)
