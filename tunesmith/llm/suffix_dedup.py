@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import n_groups, read_table, stored, text_of, utf8
+from tunesmith.llm.common import compressed, decompress, n_groups, read_table, stored, text_of, utf8
 from tunesmith.llm.shingles import mixed, slices
 
 LENGTH, GRAM = 100, 24
@@ -151,20 +151,6 @@ def marked(rows: DataFrame, crowd: int) -> DataFrame:
     return some.select("doc", done.alias("d"), open_.alias("o")).groupBy("doc").agg(F.collect_list("d").alias("done"), F.collect_list("o").alias("open"))
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """doc, z: the texts' bytes, compressed for the way."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        c = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            z = [c.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"doc": batch.column("doc"), "z": pa.array(z, pa.binary())})
-
-    return docs.mapInArrow(pack, "doc long, z binary")
-
-
 def front_coded(strings: list[bytes]) -> tuple[list[int], list[bytes]]:
     """Of sorted strings: the length of the prefix shared with the one before, and the rest."""
     lcps, rests, before = [], [], b""
@@ -285,13 +271,10 @@ def open_contexts(docs: DataFrame, marks: DataFrame, length: int) -> DataFrame:
     """gram, many, doc, lo, m, off, bytes of the open stretches."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        z = zstandard.ZstdDecompressor()
         for batch in batches:
             columns: dict[str, list] = {k: [] for k in ("gram", "many", "doc", "lo", "m", "off", "bytes")}
-            for doc, packed_, rows in zip(batch.column("doc").to_pylist(), batch.column("z").to_pylist(), batch.column("open").to_pylist(), strict=True):
-                text = z.decompress(packed_)
+            for doc, content, rows in zip(batch.column("doc").to_pylist(), batch.column("z").to_pylist(), batch.column("open").to_pylist(), strict=True):
+                text = decompress(content)
                 for r in rows:
                     end = r["lo"] + r["m"] - 1 + length
                     if end <= len(text):  # else it is of another row with this doc_id
@@ -303,7 +286,7 @@ def open_contexts(docs: DataFrame, marks: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict(columns, schema=schema)
 
     some = marks.filter(F.size("open") > 0).select(F.col("doc").alias("of"), "open")
-    joined = packed(docs).join(some, F.col("doc") == F.col("of")).select("doc", "z", "open")
+    joined = compressed(docs, "doc").join(some, F.col("doc") == F.col("of")).select("doc", "z", "open")
     return joined.mapInArrow(cut, "gram long, many boolean, doc long, lo long, m int, off int, bytes binary")
 
 
@@ -394,13 +377,10 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, crowd: int = 50_000, row
     gone = whole.unionByName(partly).groupBy("doc").agg(F.flatten(F.collect_list("gone")).alias("gone"))
 
     def lose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        z = zstandard.ZstdDecompressor()
         for batch in batches:
             out: list[tuple[int, int, int, bytes]] = []
             for content, lists in zip(batch.column("z").to_pylist(), batch.column("gone"), strict=True):
-                data = np.frombuffer(z.decompress(content), np.uint8)
+                data = np.frombuffer(decompress(content), np.uint8)
                 if not lists.is_valid or not len(lists.values):
                     out.append((len(data), 0, 0, data.tobytes()))
                     continue
@@ -412,7 +392,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, crowd: int = 50_000, row
             n, removed, spans, kept = zip(*out, strict=True) if out else ((), (), (), ())
             yield pa.RecordBatch.from_pydict({"doc": batch.column("doc"), "n_bytes": pa.array(n, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept": pa.array(kept, pa.binary())})
 
-    joined = packed(rows).join(gone.withColumnRenamed("doc", "of"), F.col("doc") == F.col("of"), "left").select("doc", "z", "gone")
+    joined = compressed(rows, "doc").join(gone.withColumnRenamed("doc", "of"), F.col("doc") == F.col("of"), "left").select("doc", "z", "gone")
     out = joined.mapInArrow(lose, "doc long, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
 
