@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tunesmith.llm.common import read_table, running_total, stored, text_of
 from tunesmith.llm.sharding import _uniform
+from tunesmith.session import default_parallelism
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -100,7 +101,9 @@ def drawn_blocks(mix: DataFrame, block_words: int, shard_slots: int, most: int,
     over = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counted = counted.withColumn("first", F.coalesce(F.sum("n").over(over), F.lit(0)))
     last = F.least(F.col("first") + F.col("n"), F.col("blocks") * most) - 1
-    slots = counted.withColumn("last", last).filter("last >= first").select("source", "blocks", F.explode(F.sequence("first", "last")).alias("j"))
+    # Few rows that become many: dealt to all tasks first (by a fixed number, as their own size says nothing).
+    runs = counted.withColumn("last", last).filter("last >= first").repartition(default_parallelism(mix.sparkSession), "shard", "source")
+    slots = runs.select("source", "blocks", F.explode(F.sequence("first", "last")).alias("j"))
     name = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))
     at = permuted(F.col("j") % F.col("blocks"), F.col("blocks"), F.lit(seed), name, F.floor(F.col("j") / F.col("blocks")))
     return slots.select("source", at.alias("block")).groupBy("source", "block").agg(F.count("*").alias("times"))
@@ -115,7 +118,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, bl
     mixed = stored(targets(sources, weights, float(most)), "mix-targets")
     order = [F.xxhash64(F.lit(seed), "doc_id", "fp", "nth"), F.col("doc_id"), F.col("fp"), F.col("nth")]
     placed = stored(running_total(sizes, ["source"], order, "size", "start"), "mix-placed")
-    times = drawn_blocks(mixed, block_words, shard_slots, most, seed)
+    # Written, so that the join below knows its size (its plan would take it for as small as the draws).
+    times = stored(drawn_blocks(mixed, block_words, shard_slots, most, seed), "mix-times")
     touched = placed.filter("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words))))
     first = F.greatest(F.col("block") * block_words - F.col("start"), F.lit(0))
     end = F.least((F.col("block") + 1) * block_words - F.col("start"), F.col("size"))
