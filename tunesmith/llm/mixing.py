@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunesmith.llm.common import read_table, running_total, stored, text_of
-from tunesmith.llm.sharding import _uniform
+from tunesmith.llm.sharding import _uniform, let
 from tunesmith.session import default_parallelism
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -141,10 +141,16 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     rows = docs.withColumn("_hash", F.xxhash64("text"))
     rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id", "_hash").orderBy("source")))
     met = rows.join(plan, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_fp")) & (F.col("_row") == F.col("_nth")))
-    met = met.withColumn("_words", F.regexp_extract_all("text", F.lit(f"{WORD}{SPACE}*"), F.lit(0)))
-    part = lambda k: F.transform(F.filter("pieces", lambda p: p["times"] >= k), lambda p: F.array_join(F.slice("_words", (p["first"] + 1).cast("int"), p["words"].cast("int")), ""))
     most = F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: F.greatest(a, p["times"]))
-    text = F.array_join(F.transform(F.sequence(F.lit(1).cast("long"), most), lambda k: F.array_join(part(k), "")), "\n")
+
+    def taken(words: Column) -> Column:  # with the words bound once, not computed again for each piece
+        def copy(k: Column) -> Column:
+            pieces = F.filter("pieces", lambda p: p["times"] >= k)
+            return F.array_join(F.transform(pieces, lambda p: F.array_join(F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")), "")), "")
+
+        return F.array_join(F.transform(F.sequence(F.lit(1).cast("long"), most), copy), "\n")
+
+    text = let(F.regexp_extract_all("text", F.lit(f"{WORD}{SPACE}*"), F.lit(0)), taken)
     out = met.withColumn("text", text).withColumn("n_chars", F.length("text").cast(dict(docs.dtypes).get("n_chars", "long")))
     return out.select(*docs.columns)
 
