@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunesmith.functions.text import tokenize, ustrip
+from tunesmith.plans.ranks import exact_percentile
 
 REQUIRED_FIELDS = ("instruction", "output")
 DEDUPE_SEPARATOR = "||"
@@ -90,18 +91,16 @@ def clean_rows_observed(df: DataFrame, min_output_chars: int = 1, max_output_cha
 def length_outlier_filter(df: DataFrame, length_col: str, group_cols=(), lo: float = 0.01, hi: float = 0.99) -> DataFrame:
     """Drop rows whose length lies outside the per-group [lo, hi] percentiles.
 
-    The bounds table has one row per group (a null group is one, too), so it is aggregated (partial
-    aggregation) and joined back; with no groups it is a single row.
+    The bounds come from counts by length, so no task holds a group's lengths. They are one row per group
+    (a null group is one, too) and are joined back; AQE broadcasts them once it has measured them.
     """
-    bounds = df.groupBy(*group_cols).agg(
-        F.percentile(F.col(length_col), F.array(F.lit(lo), F.lit(hi))).alias("_b")
-    )
-    if group_cols:
-        few = bounds.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_b")
-        same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group_cols)]
-        joined = df.join(few, same).drop(*[f"_g{i}" for i in range(len(group_cols))])
-    else:  # one row: broadcast it on a constant key (an equi-join, not a cross join)
-        joined = df.withColumn("_one", F.lit(1)).join(F.broadcast(bounds.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    keys = list(group_cols) or ["_all"]
+    rows = df if group_cols else df.withColumn("_all", F.lit(1))
+    low, high = (exact_percentile(rows, keys, length_col, q, name, resolution=1.0) for q, name in ((lo, "_lo"), (hi, "_hi")))
+    both = low.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], "_lo").join(high.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], "_hi"), [F.col(f"_g{i}").eqNullSafe(F.col(f"_h{i}")) for i in range(len(keys))])
+    same = [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)]
+    joined = rows.join(both.select(*[f"_g{i}" for i in range(len(keys))], F.array("_lo", "_hi").alias("_b")), same)
+    joined = joined.drop("_all", *[f"_g{i}" for i in range(len(keys))])
     return joined.filter(F.col(length_col).between(F.col("_b")[0], F.col("_b")[1])).drop("_b")
 
 

@@ -6,36 +6,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunesmith.plans.ranks import exact_rank
+from tunesmith.plans.ranks import exact_percentile, exact_rank
 
 
-def _metrics():
-    return [
+def _windowed(requests: DataFrame, window, group_cols) -> DataFrame:
+    rows = requests.select(window.alias("w"), *group_cols, "ok", "tokens", "latency")
+    rows = rows.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *group_cols, "ok", "tokens", "latency")
+    keys = ["window_start", "window_end", *group_cols]
+    sums = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_requests"),
         F.count_if(~F.col("ok")).alias("n_errors"),
         F.sum("tokens").alias("tokens"),
-        F.percentile(F.col("latency"), F.lit(0.99)).alias("latency_p99"),
         (F.sum("tokens") / F.greatest(F.sum("latency"), F.lit(1e-6))).alias("tokens_per_sec"),
-    ]
+    )
+    p99 = exact_percentile(rows, keys, "latency", 0.99, "latency_p99").select(*[F.col(k).alias(f"_p{i}") for i, k in enumerate(keys)], "latency_p99")
+    joined = sums.join(p99, [F.col(k).eqNullSafe(F.col(f"_p{i}")) for i, k in enumerate(keys)], "left")
+    return joined.select(*keys, "n_requests", "n_errors", "tokens", "latency_p99", "tokens_per_sec")
 
 
 def serving_metrics(requests: DataFrame, window: str = "1 hour", group_cols=()) -> DataFrame:
-    """L1: tokens/second, p99 latency and errors per tumbling window.
-
-    The exact percentile keeps one count per distinct latency value per window,
-    so its state is bounded by distinct values, not rows."""
-    return requests.groupBy(F.window("ts", window).alias("w"), *group_cols).agg(*_metrics()).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *group_cols,
-        "n_requests", "n_errors", "tokens", "latency_p99", "tokens_per_sec",
-    )
+    """L1: tokens/second, p99 latency and errors per tumbling window."""
+    return _windowed(requests, F.window("ts", window), list(group_cols))
 
 
 def serving_sliding(requests: DataFrame, length: str = "6 hours", slide: str = "1 hour") -> DataFrame:
     """L2: the same metrics over overlapping windows (each row lands in length/slide windows)."""
-    return requests.groupBy(F.window("ts", length, slide).alias("w")).agg(*_metrics()).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        "n_requests", "n_errors", "tokens", "latency_p99", "tokens_per_sec",
-    )
+    return _windowed(requests, F.window("ts", length, slide), [])
 
 
 def queue_depth(requests: DataFrame, id_col: str = "event_id") -> DataFrame:

@@ -102,3 +102,22 @@ def exact_rank(
         out = out.withColumn(total_weight_col, F.col("_total_w"))
     return out.drop("_bucket", "_w", "_base_n", "_base_w", "_total_n", "_total_w")
 
+
+def exact_percentile(df: DataFrame, keys: list[str], value: str, q: float, out: str, resolution: float = 0.01) -> DataFrame:
+    """keys, ``out``: the percentile of ``value`` (linear between ranks) in each group, without holding a group's values.
+
+    Values are counted by bin of ``resolution`` (partial aggregation); running counts over the bins
+    tell which bin holds the two ranks that are needed, and only rows of those bins are ordered."""
+    some = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    some = some.withColumn("_bin", F.floor(F.col("_v") / resolution))
+    bins = some.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    by = Window.partitionBy(*keys)
+    bins = bins.withColumn("_before", F.coalesce(F.sum("_n").over(by.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    bins = bins.withColumn("_at", (F.sum("_n").over(by) - 1) * F.lit(q))
+    low, high = F.floor("_at"), F.ceil("_at")
+    bins = bins.filter((F.col("_before") <= high) & (F.col("_before") + F.col("_n") > low))
+    held = some.join(bins.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_bin").alias("_b"), "_before", "_at"), [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_bin") == F.col("_b")])
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy(*keys, "_bin").orderBy("_v")) - 1
+    ranked = held.withColumn("_rank", rank).filter((F.col("_rank") == low) | (F.col("_rank") == high))
+    share = F.max("_at") - F.floor(F.max("_at"))
+    return ranked.groupBy(*keys).agg((F.min("_v") + (F.max("_v") - F.min("_v")) * share).alias(out))
