@@ -139,9 +139,10 @@ def marked(rows: DataFrame, crowd: int) -> DataFrame:
     by_gram = Window.partitionBy("gram")
     sorted_ = by_gram.orderBy("seg", "doc", "lo")
     of_seg = Window.partitionBy("gram", "seg").orderBy("doc", "lo")
-    seen = rows.withColumn("head", F.first(F.struct("doc", "lo")).over(of_seg))
-    seen = seen.withColumn("before", F.lag(F.struct("seg", "doc", "lo")).over(sorted_))
+    # The windows over a gram come first: their exchange and sort then serve those over its stretches, too.
+    seen = rows.withColumn("before", F.lag(F.struct("seg", "doc", "lo")).over(sorted_))
     seen = seen.withColumn("least", F.min("seg").over(by_gram)).withColumn("most", F.max("seg").over(by_gram)).withColumn("n", F.count("*").over(by_gram))
+    seen = seen.withColumn("head", F.first(F.struct("doc", "lo")).over(of_seg))
     later = (F.col("gram") < 0) | (F.col("head") != F.struct("doc", "lo"))
     # Equal rows of one place (of rows that repeat a doc_id) are sent once.
     once = F.col("before").isNull() | (F.col("before") != F.struct("seg", "doc", "lo"))
