@@ -156,7 +156,7 @@ def components(edges: DataFrame) -> DataFrame:
         state = seen
 
 
-def jaccard_groups(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5), tolerance: float = 1e-9, band_rows: int = 4, block_rows: int = 256, block_bytes: int = 16 << 20) -> DataFrame:
+def jaccard_groups(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5), tolerance: float = 1e-9, band_rows: int = 4, block_rows: int = 256, block_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, class_id, n_links, copies for every row of ``docs`` (doc_id, text)."""
     need = [least_matches(share[0] / share[1], tolerance, n) for n in range(STEP, VALUES + 1, STEP)]
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), text_of().alias("text"))

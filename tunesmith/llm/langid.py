@@ -55,6 +55,20 @@ def subwords(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
             yield ((code + np.uint32(size)) * np.uint32(2654435761)) >> np.uint32(32 - BITS), weight, first
 
 
+def runs_of(rows: list[int], texts: list[str], chars: int = 400_000) -> Iterator[list[int]]:
+    """Runs of rows with about ``chars`` characters, or one longer text: what is hashed at a time."""
+    run: list[int] = []
+    held = 0
+    for i in rows:
+        run.append(i)
+        held += len(texts[i])
+        if held >= chars:
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -170,8 +184,7 @@ def identify(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame
             texts, letters = batch.column("text").to_pylist(), batch.column("_letters").to_pylist()
             names, scores = ["und"] * len(texts), [0.0] * len(texts)
             usable = [i for i, x in enumerate(letters) if x] if model else []
-            for a in range(0, len(usable), 64):
-                some = usable[a : a + 64]
+            for some in runs_of(usable, texts):
                 for i, k, s in zip(some, *model.predict([texts[i] for i in some]), strict=True):
                     names[i], scores[i] = model.languages[k], float(min(1.0, max(0.0, s)))
             gone = [n == "und" or s < model.reject for n, s in zip(names, scores, strict=True)]

@@ -12,7 +12,7 @@ _BYTES = np.random.default_rng(2024).integers(1, 1 << 63, 256, dtype=np.uint64)
 _PLACES = np.random.default_rng(7).integers(1, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
-_SPAN = 1 << 20
+_SPAN = 1 << 18
 
 
 @lru_cache(maxsize=1)
@@ -42,7 +42,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     counts = np.searchsorted(starts, offsets[1:]) - np.searchsorted(starts, offsets[:-1])
     out = np.empty(len(starts), dtype=np.uint64)
     first = 0
-    while first < len(starts):  # about a megabyte at a time, or one longer word
+    while first < len(starts):  # about 256 kB at a time, or one longer word
         last = max(first + 1, int(np.searchsorted(ends, starts[first] + _SPAN, side="right")))
         a, b = starts[first], ends[last - 1]
         size = max(_SPAN, int(b - a))

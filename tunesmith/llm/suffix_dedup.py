@@ -45,26 +45,31 @@ from tunesmith.llm.shingles import mixed, slices
 
 LENGTH, GRAM = 100, 24
 LAST = (1 << 63) - 1
-SPAN = 2 << 20  # bytes that are hashed at a time
+SPAN = 1 << 19  # bytes that are hashed at a time
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTES = np.random.default_rng(4100).integers(1, 1 << 63, 256, dtype=np.uint64)
 _SECOND = np.random.default_rng(4200).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, b, dtype=np.uint64))]) for b in (_BASE, _INVERSE))
 
 
+def _room(n: int) -> int:
+    """The size of the table of powers for n bytes: one for all usual parts, else the next power of two."""
+    return max(2 * SPAN, 1 << n.bit_length())
+
+
 def _sums(data: np.ndarray, table: np.ndarray = _BYTES) -> np.ndarray:
-    power, _ = _powers(max(SPAN + 2 * LENGTH, len(data)))
+    power, _ = _powers(_room(len(data)))
     return np.concatenate([np.zeros(1, np.uint64), np.cumsum(table[data] * power[: len(data)])])
 
 
 def _hash(sums: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Of the bytes [a, b)."""
-    _, inverse = _powers(max(SPAN + 2 * LENGTH, len(sums) - 1))
+    _, inverse = _powers(_room(len(sums) - 1))
     return mixed((sums[b] - sums[a]) * inverse[a])
 
 

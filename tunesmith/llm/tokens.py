@@ -43,7 +43,7 @@ class _Known(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, remembered: int = 1_000_000, longest: int = 48):
+    def __init__(self, path: str, remembered: int = 600_000, longest: int = 48):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -83,6 +83,7 @@ class Encoder:
             out.append(np.frombuffer(head + b"".join(map(ids, parts[1:])), dtype=self.dtype))
             if len(self.by_segment) > self.remembered:
                 self.by_segment.clear()
+            if len(self.by_piece) > self.remembered // 2:
                 self.by_piece.clear()
         return out
 
