@@ -107,6 +107,27 @@ def test_mix_follows_targets(docs_of, block, slots):
         assert abs(taken[s] - want[s]) <= 0.1 * want[s] + 3 * block
 
 
+def test_sources_at_their_cap_are_taken_whole_over_many_shards(docs_of):
+    rows = [(i, "w " * 200, "en", "hot") for i in range(300)]
+    rows += [(1000 + i, "v " * (3 + i), "en", f"small{i:02}") for i in range(30)] + [(2000 + i, "u " * 40, "en", None) for i in range(10)]
+    got = mixing.mix(docs_of(rows), block_words=8, shard_slots=16).collect()
+    hot = sum(r.taken for r in got if r.source == "hot")
+    assert len(got) == len(rows) and {r.source for r in got if r.target < 3 * r.source_size} == {"hot"}
+    assert all(r.taken == 3 * r.size for r in got if r.source != "hot")
+    assert hot == pytest.approx(next(r.target for r in got if r.source == "hot"), rel=1e-2)
+
+
+def test_draws_beyond_the_cap_are_dealt_again(spark):
+    rows = [(f"s{i:03}", 80, 1.0, 238.0) for i in range(40)] + [(None, 80, 1.0, 240.0), ("wide", 8000, 1.0, 8400.0)]
+    table = spark.createDataFrame(rows, "source string, source_size long, weight double, target double")
+    got = mixing.drawn_blocks(table, 8, 16, 3, 5).collect()
+    slots = Counter()
+    for r in got:
+        assert 0 <= r.block < (1000 if r.source == "wide" else 10) and r.times <= 3
+        slots[r.source] += r.times
+    assert sum(slots.values()) == round(40 * 238 / 80 * 10 + 30 + 1050) and slots[None] == 30
+
+
 def test_mixed_text_has_the_taken_words(docs_of):
     rows = mix_rows()
     df = docs_of(rows)

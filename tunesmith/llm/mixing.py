@@ -4,14 +4,16 @@
    is cut into blocks of ``block_words`` words.
 2. Targets: every source gets a share of all words by its weight; no target exceeds ``most``
    times its source, and what is cut off is shared again by weight.
-3. The mix is a row of slots, in output shards of ``shard_slots``. For each shard the number of
-   slots of each source is drawn: the whole part of its expectation, and for the rest a
-   multinomial draw with the remaining fractions as probabilities.
+3. The mix is a row of slots, in output shards of ``shard_slots``. A source whose target is ``most``
+   times its size has ``most`` slots for each of its blocks, without chance. Of the slots that
+   each shard has left, the number of every other source is drawn: the whole part of its
+   expectation, and for the rest a multinomial draw with the remaining fractions as
+   probabilities. A source of few slots strays from its target by chance, up or down.
 4. The j-th slot of a source over all shards takes the block that the source's
    pseudorandom permutation of block numbers gives to j modulo the number of blocks; each
    round through the blocks has a permutation of its own (a swap-or-not shuffle, a
-   bijection on any range). Slots beyond ``most`` rounds stay unfilled, so no word is taken
-   more often.
+   bijection on any range). Draws beyond ``most`` rounds are dealt to the drawn sources that have
+   room, in proportion to it, so no word is taken more often and no slot is lost.
 5. Slots and documents meet by (source, block); a block reaches the documents whose words it holds.
 
 Offsets, draws and joins are dealt by hash bucket or block, never by source; only one row for
@@ -76,10 +78,16 @@ def drawn_blocks(mix: DataFrame, block_words: int, shard_slots: int, most: int,
     """source, block, times: how often each block is taken. ``mix``: one row for each source."""
     blocks = F.ceil(F.col("source_size") / F.lit(float(block_words))).cast("long")
     some = mix.filter("source_size > 0").withColumn("blocks", blocks).withColumn("slots", F.col("target") / F.col("source_size") * F.col("blocks"))
-    one = some.agg(F.sort_array(F.collect_list(F.struct(F.col("source").isNull().alias("no"), "source", "blocks", "slots"))).alias("all"), F.round(F.sum("slots")).cast("long").alias("total"))
+    some = some.withColumn("room", F.col("blocks") * most).withColumn("full", F.col("target") >= F.col("source_size") * F.lit(float(most)))
+    drawn = F.when(~F.col("full"), F.col("slots"))
+    one = some.agg(
+        F.sort_array(F.collect_list(F.when(~F.col("full"), F.struct(F.col("source").isNull().alias("no"), "source", "room", "slots")))).alias("all"),
+        F.round(F.sum("slots")).cast("long").alias("total"),
+        F.round(F.sum(drawn)).cast("long").alias("left"),
+    )
     shards = F.ceil(F.col("total") / F.lit(float(shard_slots))).cast("long")
-    one = one.filter("total > 0").withColumn("shards", shards)
-    edge = lambda k: F.floor(F.col("total") * k / F.col("shards"))
+    one = one.filter("left > 0").withColumn("shards", shards)
+    edge = lambda k: F.floor(F.col("left") * k / F.col("shards"))
     shard = one.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"))
     shard = shard.withColumn("n", edge(F.col("shard") + 1) - edge(F.col("shard")))
     sum_slots = F.aggregate("all", F.lit(0.0), lambda a, s: a + s["slots"])
@@ -96,13 +104,20 @@ def drawn_blocks(mix: DataFrame, block_words: int, shard_slots: int, most: int,
     shard = shard.withColumn("draws", draws)
     picked = F.transform("draws", lambda d: F.least(F.size(F.filter("ends", lambda e: e <= d)), F.size("ends") - 1))
     shard = stored(shard.withColumn("picked", picked).select("shard", "all", "whole", "picked"), "mix-draws")
-    counts = F.transform(F.col("all"), lambda s, i: F.struct(s["source"].alias("source"), s["blocks"].alias("blocks"), (F.element_at("whole", i + 1) + F.size(F.filter("picked", lambda p: p == i))).alias("n")))
-    counted = shard.select("shard", F.inline(counts))
-    over = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    counted = counted.withColumn("first", F.coalesce(F.sum("n").over(over), F.lit(0)))
-    last = F.least(F.col("first") + F.col("n"), F.col("blocks") * most) - 1
+    counts = F.transform(F.col("all"), lambda s, i: F.struct(s["source"].alias("source"), s["room"].alias("room"), (F.element_at("whole", i + 1) + F.size(F.filter("picked", lambda p: p == i))).alias("n")))
+    counted = shard.select(F.inline(counts)).groupBy("source", "room").agg(F.sum("n").alias("n"))
+    # One row for each source: what was drawn beyond a source's room goes to places in the room of the others.
+    every, until = Window.partitionBy(), Window.orderBy(F.col("source").isNull(), "source")
+    counted = counted.withColumn("free", F.greatest(F.col("room") - F.col("n"), F.lit(0)))
+    counted = counted.withColumn("over", F.sum(F.greatest(F.col("n") - F.col("room"), F.lit(0))).over(every)).withColumn("places", F.sum("free").over(every)).withColumn("end", F.sum("free").over(until.rowsBetween(Window.unboundedPreceding, 0)))
+    dealt = lambda at: F.expr(f"cast(over as decimal(19, 0)) * cast({at} as decimal(19, 0)) div cast(places as decimal(19, 0))")
+    more = F.when(F.col("places") > 0, dealt("end") - dealt("end - free")).otherwise(0)
+    dealt_to = counted.select(F.col("source").alias("_source"), F.least(F.col("n") + more, F.col("room")).alias("n"))
+    some = some.join(dealt_to, F.col("source").eqNullSafe(F.col("_source")), "left")
+    some = some.withColumn("n", F.when(F.col("full"), F.col("room")).otherwise(F.coalesce("n", F.lit(0)))).filter("n > 0")
     # Few rows that become many: dealt to all tasks first (by a fixed number, as their own size says nothing).
-    runs = counted.withColumn("last", last).filter("last >= first").repartition(default_parallelism(mix.sparkSession), "shard", "source")
+    runs = some.select("source", "blocks", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(shard_slots).cast("long"))).alias("first"))
+    runs = runs.withColumn("last", F.least(F.col("first") + shard_slots, F.col("n")) - 1).repartition(default_parallelism(mix.sparkSession), "first", "source")
     slots = runs.select("source", "blocks", F.explode(F.sequence("first", "last")).alias("j"))
     name = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))
     at = permuted(F.col("j") % F.col("blocks"), F.col("blocks"), F.lit(seed), name, F.floor(F.col("j") / F.col("blocks")))
