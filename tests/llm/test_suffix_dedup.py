@@ -69,6 +69,30 @@ def test_empty_nulls_and_repeats(docs_of):
     assert sorted((str(r.doc_id), r.n_removed) for r in got) == [("5", 0), ("5", 0), ("7", 0), ("None", 400)]
 
 
+@pytest.mark.parametrize("crowd", [50_000, 1])
+def test_rows_that_share_a_doc_id_lose_their_own_bytes_only(docs_of, crowd):
+    rng = np.random.default_rng(9)
+    text = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    passage, other = text(300), text(260)
+    rows = [(1, passage + text(200)), (2, other)]
+    rows += [(i, text(40 + 7 * j) + p[:-j] + text(350)) for i in (None, 7) for j, p in enumerate((passage, other, passage), 1)]
+    rows += [(None, text(900)), (7, text(900)), (7, rows[-1][1])]
+    first = {}
+    for d, t in rows:
+        for p in range(len(t) - 99):
+            at = (d is None, d or 0, p)
+            first[t[p : p + 100]] = min(first.get(t[p : p + 100], at), at)
+    want = []
+    for d, t in rows:
+        gone = np.zeros(len(t), bool)
+        for p in range(len(t) - 99):
+            if first[t[p : p + 100]] != (d is None, d or 0, p):
+                gone[p : p + 100] = True
+        want.append((str(d), len(t), int(gone.sum()), "".join(np.array(list(t))[~gone])))
+    got = S.suffix_dedup(docs_of(rows), crowd=crowd).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, bytes(r.kept).decode()) for r in got) == sorted(want)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.text("ab", max_size=12).map(str.encode), max_size=9), min_size=1, max_size=6))
 def test_loser_tree_merges_and_gives_lcps(runs):

@@ -75,8 +75,8 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def compressed(docs: DataFrame, key: str) -> DataFrame:
-    """``key`` and z: the bytes of ``text``, compressed for the way through a shuffle."""
+def compressed(docs: DataFrame, *keys: str) -> DataFrame:
+    """``keys`` and z: the bytes of ``text``, compressed for the way through a shuffle."""
 
     def pack(batches):
         import zstandard
@@ -84,9 +84,9 @@ def compressed(docs: DataFrame, key: str) -> DataFrame:
         c = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             z = [c.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({key: batch.column(key), "z": pa.array(z, pa.binary())})
+            yield pa.RecordBatch.from_pydict({k: batch.column(k) for k in keys} | {"z": pa.array(z, pa.binary())})
 
-    return docs.select(key, "text").mapInArrow(pack, f"{key} {dict(docs.dtypes)[key]}, z binary")
+    return docs.select(*keys, "text").mapInArrow(pack, ", ".join([*(f"{k} {dict(docs.dtypes)[k]}" for k in keys), "z binary"]))
 
 
 def decompress(z: bytes) -> bytes:

@@ -23,9 +23,10 @@ isn't needed: any string of 100 bytes contains a *minimizer*, the leftmost of it
 Stretches are compared by 112 bits of hash, left contexts by 64 bits within a run of equal right
 contexts. Texts travel compressed, once to give the open suffixes and once to lose bytes.
 
-Null text is empty. Rows that repeat a doc_id are one document: only a smaller start is
-earlier among them, so fully equal rows all stay. A null doc_id comes last. Texts shorter than
-``length`` lose nothing. An empty table gives no rows; other columns are never read.
+Null text is empty. Rows that repeat a doc_id have one place in the order: only a smaller start is
+earlier among them, so fully equal rows all stay. Each loses bytes of its own text only: where
+ids repeat, rows are told apart by ``fp``, a hash of the text (else 0). A null doc_id comes last.
+Texts shorter than ``length`` lose nothing. An empty table gives no rows; other columns are never read.
 """
 
 from __future__ import annotations
@@ -113,16 +114,16 @@ def _chunks(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
 
 
 def anchored(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """gram, seg, doc, lo, m, off; gram is negative for stretches that have an equal one before them in their batch."""
+    """gram, seg, doc, fp, lo, m, off; gram is negative for stretches that have an equal one before them in their batch."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
-            doc = batch.column("doc").to_numpy(zero_copy_only=False)
+            doc, fp = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("doc", "fp"))
             found = []
             for a, part, at, before in _chunks(data, offsets, length):
                 s = stretches(part, at, length)
-                found.append({"doc": doc[a + s["row"]], "lo": s["lo"] + before, "m": s["m"], "off": s["off"], "gram": s["gram"], "seg": s["seg"]})
+                found.append({"doc": doc[a + s["row"]], "fp": fp[a + s["row"]], "lo": s["lo"] + before, "m": s["m"], "off": s["off"], "gram": s["gram"], "seg": s["seg"]})
             if not found:
                 continue
             s = {k: np.concatenate([f[k] for f in found]) for k in found[0]}
@@ -134,27 +135,27 @@ def anchored(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             of = head[np.cumsum(np.concatenate([[True], (g[1:] != g[:-1]) | (e[1:] != e[:-1])])) - 1][1:][(g[1:] == g[:-1]) & (e[1:] == e[:-1])] if len(order) else order
             later = again[(s["doc"][again] != s["doc"][of]) | (s["lo"][again] != s["lo"][of])]
             s["gram"][later] = -1 - (mixed((s["doc"][later] * 1000003 + s["lo"][later]).view(np.uint64)) >> np.uint64(2)).view(np.int64)
-            yield pa.RecordBatch.from_pydict({k: pa.array(s[k].astype(np.int32 if k in ("m", "off") else np.int64)) for k in ("gram", "seg", "doc", "lo", "m", "off")})
+            yield pa.RecordBatch.from_pydict({k: pa.array(s[k].astype(np.int32 if k in ("m", "off") else np.int64)) for k in ("gram", "seg", "doc", "fp", "lo", "m", "off")})
 
-    return docs.mapInArrow(scan, "gram long, seg long, doc long, lo long, m int, off int")
+    return docs.mapInArrow(scan, "gram long, seg long, doc long, fp long, lo long, m int, off int")
 
 
 def marked(rows: DataFrame, crowd: int) -> DataFrame:
-    """For each document, its stretches that go (done: lo, m) and its open ones (open: lo, m, off, gram, many)."""
+    """For each document (doc, fp), its stretches that go (done: lo, m) and its open ones (open: lo, m, off, gram, many)."""
     by_gram = Window.partitionBy("gram")
-    sorted_ = by_gram.orderBy("seg", "doc", "lo")
+    sorted_ = by_gram.orderBy("seg", "doc", "lo", "fp")
     of_seg = Window.partitionBy("gram", "seg").orderBy("doc", "lo")
     # The windows over a gram come first: their exchange and sort then serve those over its stretches, too.
-    seen = rows.withColumn("before", F.lag(F.struct("seg", "doc", "lo")).over(sorted_))
+    seen = rows.withColumn("before", F.lag(F.struct("seg", "doc", "lo", "fp")).over(sorted_))
     seen = seen.withColumn("least", F.min("seg").over(by_gram)).withColumn("most", F.max("seg").over(by_gram)).withColumn("n", F.count("*").over(by_gram))
     seen = seen.withColumn("head", F.first(F.struct("doc", "lo")).over(of_seg))
     later = (F.col("gram") < 0) | (F.col("head") != F.struct("doc", "lo"))
-    # Equal rows of one place (of rows that repeat a doc_id) are sent once.
-    once = F.col("before").isNull() | (F.col("before") != F.struct("seg", "doc", "lo"))
-    some = seen.filter(later | (once & (F.col("least") != F.col("most"))))
+    # Equal rows of one place (of rows that repeat a doc_id and a text) are sent once.
+    once = F.col("before").isNull() | (F.col("before") != F.struct("seg", "doc", "lo", "fp"))
+    some = seen.filter(once & (later | (F.col("least") != F.col("most"))))
     done = F.when(later, F.struct("lo", "m"))
     open_ = F.when(~later, F.struct("lo", "m", "off", "gram", (F.col("n") > crowd).alias("many")))
-    return some.select("doc", done.alias("d"), open_.alias("o")).groupBy("doc").agg(F.collect_list("d").alias("done"), F.collect_list("o").alias("open"))
+    return some.select("doc", "fp", done.alias("d"), open_.alias("o")).groupBy("doc", "fp").agg(F.collect_list("d").alias("done"), F.collect_list("o").alias("open"))
 
 
 def front_coded(strings: list[bytes]) -> tuple[list[int], list[bytes]]:
@@ -265,39 +266,40 @@ def later_windows(lcp: np.ndarray, left: np.ndarray, off: np.ndarray, m: np.ndar
     return gone
 
 
-def _intervals(doc: np.ndarray, at: np.ndarray, gone: np.ndarray, length: int = LENGTH) -> pd.DataFrame:
-    """doc, a, b: the bytes covered by the windows that go; ``at`` is the place of each suffix."""
+def _intervals(doc: np.ndarray, fp: np.ndarray, at: np.ndarray, gone: np.ndarray, length: int = LENGTH) -> pd.DataFrame:
+    """doc, fp, a, b: the bytes covered by the windows that go; ``at`` is the place of each suffix."""
     edge = np.diff(np.pad(gone, ((0, 0), (1, 1))).astype(np.int8), axis=1)
     row, first = np.nonzero(edge == 1)
     _, end = np.nonzero(edge == -1)
-    return pd.DataFrame({"doc": doc[row], "a": at[row] - (end - 1), "b": at[row] - first + length})
+    return pd.DataFrame({"doc": doc[row], "fp": fp[row], "a": at[row] - (end - 1), "b": at[row] - first + length})
 
 
 def open_contexts(docs: DataFrame, marks: DataFrame, length: int) -> DataFrame:
-    """gram, many, doc, lo, m, off, bytes of the open stretches."""
+    """gram, many, doc, fp, lo, m, off, bytes of the open stretches."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: dict[str, list] = {k: [] for k in ("gram", "many", "doc", "lo", "m", "off", "bytes")}
-            for doc, content, rows in zip(batch.column("doc").to_pylist(), batch.column("z").to_pylist(), batch.column("open").to_pylist(), strict=True):
+            columns: dict[str, list] = {k: [] for k in ("gram", "many", "doc", "fp", "lo", "m", "off", "bytes")}
+            for doc, fp, content, rows in zip(*(batch.column(k).to_pylist() for k in ("doc", "fp", "z", "open")), strict=True):
                 text = decompress(content)
                 for r in rows:
                     end = r["lo"] + r["m"] - 1 + length
-                    if end <= len(text):  # else it is of another row with this doc_id
+                    if end <= len(text):  # else two texts of this doc_id share a hash
                         for k in ("gram", "many", "lo", "m", "off"):
                             columns[k].append(r[k])
                         columns["doc"].append(doc)
+                        columns["fp"].append(fp)
                         columns["bytes"].append(text[r["lo"] : end])
-            schema = pa.schema([("gram", pa.int64()), ("many", pa.bool_()), ("doc", pa.int64()), ("lo", pa.int64()), ("m", pa.int32()), ("off", pa.int32()), ("bytes", pa.binary())])
+            schema = pa.schema([("gram", pa.int64()), ("many", pa.bool_()), ("doc", pa.int64()), ("fp", pa.int64()), ("lo", pa.int64()), ("m", pa.int32()), ("off", pa.int32()), ("bytes", pa.binary())])
             yield pa.RecordBatch.from_pydict(columns, schema=schema)
 
-    some = marks.filter(F.size("open") > 0).select(F.col("doc").alias("of"), "open")
-    joined = compressed(docs, "doc").join(some, F.col("doc") == F.col("of")).select("doc", "z", "open")
-    return joined.mapInArrow(cut, "gram long, many boolean, doc long, lo long, m int, off int, bytes binary")
+    some = marks.filter(F.size("open") > 0).select(F.col("doc").alias("of"), F.col("fp").alias("of_fp"), "open")
+    joined = compressed(docs, "doc", "fp").join(some, (F.col("doc") == F.col("of")) & (F.col("fp") == F.col("of_fp"))).select("doc", "fp", "z", "open")
+    return joined.mapInArrow(cut, "gram long, many boolean, doc long, fp long, lo long, m int, off int, bytes binary")
 
 
 def merged_windows(contexts: DataFrame, rows_per_merge: int, length: int) -> DataFrame:
-    """doc, a, b of the windows that go, by front-coded runs and loser trees."""
+    """doc, fp, a, b of the windows that go, by front-coded runs and loser trees."""
     parts = n_groups(contexts.count(), rows_per_merge)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +310,7 @@ def merged_windows(contexts: DataFrame, rows_per_merge: int, length: int) -> Dat
             rows = pd.concat(held, ignore_index=True)
             rows["suffix"] = [b[o:] for b, o in zip(rows["bytes"], rows["off"], strict=True)]
             rows["left"] = [b[:o][::-1] for b, o in zip(rows["bytes"], rows["off"], strict=True)]
-            out: dict[str, list] = {k: [] for k in ("part", "lcps", "rests", "ends", "lefts", "docs", "ats", "ms", "offs")}
+            out: dict[str, list] = {k: [] for k in ("part", "lcps", "rests", "ends", "lefts", "docs", "fps", "ats", "ms", "offs")}
             for part, run in rows.groupby("part", sort=False):
                 run = run.sort_values("suffix")
                 lcps, rests = front_coded(run["suffix"].tolist())
@@ -317,11 +319,11 @@ def merged_windows(contexts: DataFrame, rows_per_merge: int, length: int) -> Dat
                 out["rests"].append(b"".join(rests))
                 out["ends"].append(np.cumsum([len(r) for r in rests]).astype("<i4").tobytes())
                 out["lefts"].append(b"".join(x.ljust(length, b"\0") for x in run["left"]))
-                for k, v in (("docs", run["doc"]), ("ats", run["lo"] + run["off"]), ("ms", run["m"]), ("offs", run["off"])):
+                for k, v in (("docs", run["doc"]), ("fps", run["fp"]), ("ats", run["lo"] + run["off"]), ("ms", run["m"]), ("offs", run["off"])):
                     out[k].append(v.to_numpy().astype("<i8").tobytes())
             # The left contexts are mostly padding, so each run's are compressed.
             out["lefts"] = [zlib.compress(x, 1) for x in out["lefts"]]
-            return pa.RecordBatch.from_pydict(out, schema=pa.schema([("part", pa.int32())] + [(k, pa.binary()) for k in ("lcps", "rests", "ends", "lefts", "docs", "ats", "ms", "offs")]))
+            return pa.RecordBatch.from_pydict(out, schema=pa.schema([("part", pa.int32())] + [(k, pa.binary()) for k in ("lcps", "rests", "ends", "lefts", "docs", "fps", "ats", "ms", "offs")]))
 
         for batch in batches:
             held.append(batch.to_pandas())
@@ -340,47 +342,49 @@ def merged_windows(contexts: DataFrame, rows_per_merge: int, length: int) -> Dat
         start = np.cumsum([0, *sizes])
         merged = [(start[run] + place, k) for run, place, _, k in merge_runs(coded)]
         at, lcp = (np.array(x, dtype=np.int64) for x in zip(*merged, strict=True))
-        ints = {k: np.concatenate([np.frombuffer(x, "<i8") for x in rows[k]])[at] for k in ("docs", "ats", "ms", "offs")}
+        ints = {k: np.concatenate([np.frombuffer(x, "<i8") for x in rows[k]])[at] for k in ("docs", "fps", "ats", "ms", "offs")}
         left = np.concatenate([np.frombuffer(zlib.decompress(x), np.uint8).reshape(-1, length) for x in rows["lefts"]])[at]
         by = np.lexsort((ints["ats"], ints["docs"]))
         new = np.concatenate([[True], (np.diff(ints["docs"][by]) != 0) | (np.diff(ints["ats"][by]) != 0)])
         order = np.empty(len(by), dtype=np.int64)
         order[by] = np.cumsum(new)  # equal places have equal ranks
         gone = later_windows(lcp, left, ints["offs"], ints["ms"], order, length)
-        return _intervals(ints["docs"], ints["ats"], gone, length)
+        return _intervals(ints["docs"], ints["fps"], ints["ats"], gone, length)
 
     dealt = contexts.withColumn("part", F.pmod(F.xxhash64("gram"), F.lit(parts)).cast("int"))
-    schema = "part int, lcps binary, rests binary, ends binary, lefts binary, docs binary, ats binary, ms binary, offs binary"
-    return dealt.select("part", "doc", "lo", "m", "off", "bytes").mapInArrow(runs, schema).groupBy("part").applyInPandas(merge, "doc long, a long, b long")
+    schema = "part int, lcps binary, rests binary, ends binary, lefts binary, docs binary, fps binary, ats binary, ms binary, offs binary"
+    return dealt.select("part", "doc", "fp", "lo", "m", "off", "bytes").mapInArrow(runs, schema).groupBy("part").applyInPandas(merge, "doc long, fp long, a long, b long")
 
 
 def counted_windows(contexts: DataFrame, length: int) -> DataFrame:
-    """doc, a, b of the windows that go, for grams of too many rows: each window by 128 bits of hash."""
+    """doc, fp, a, b of the windows that go, for grams of too many rows: each window by 128 bits of hash."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, lo, m, content in zip(*(batch.column(k).to_pylist() for k in ("doc", "lo", "m", "bytes")), strict=True):
+            for doc, fp, lo, m, content in zip(*(batch.column(k).to_pylist() for k in ("doc", "fp", "lo", "m", "bytes")), strict=True):
                 data, place = np.frombuffer(content, np.uint8), np.arange(m)
                 hashes = [_hash(_sums(data, t), place, place + length).view(np.int64) for t in (_BYTES, _SECOND)]
-                yield pa.RecordBatch.from_pydict({"h": pa.array(hashes[0]), "i": pa.array(hashes[1]), "doc": pa.array(np.full(m, doc)), "a": pa.array(lo + place)})
+                yield pa.RecordBatch.from_pydict({"h": pa.array(hashes[0]), "i": pa.array(hashes[1]), "doc": pa.array(np.full(m, doc)), "fp": pa.array(np.full(m, fp)), "a": pa.array(lo + place)})
 
-    windows = stored(contexts.select("doc", "lo", "m", "bytes").mapInArrow(explode, "h long, i long, doc long, a long"), "suffix-windows")
+    windows = stored(contexts.select("doc", "fp", "lo", "m", "bytes").mapInArrow(explode, "h long, i long, doc long, fp long, a long"), "suffix-windows")
     heads = stored(windows.groupBy("h", "i").agg(F.min(F.struct("doc", "a")).alias("head"), F.count("*").alias("n")).filter("n > 1"), "suffix-heads")
     met = windows.join(heads, ["h", "i"]).filter(F.col("head") != F.struct("doc", "a"))
-    return met.select("doc", "a", (F.col("a") + length).alias("b"))
+    return met.select("doc", "fp", "a", (F.col("a") + length).alias("b"))
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, crowd: int = 50_000, rows_per_merge: int = 20_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary) for every row of ``docs`` (doc_id, text)."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), text_of().alias("text"))
+    repeated = not rows.groupBy("doc").count().filter("count > 1").isEmpty()
+    rows = rows.withColumn("fp", F.xxhash64("text") if repeated else F.lit(0).cast("long"))
     marks = stored(marked(anchored(rows, length), crowd), "suffix-marks")
     contexts = stored(open_contexts(rows, marks, length), "suffix-contexts")
     parts = merged_windows(contexts.filter("NOT many"), rows_per_merge, length)
     if not contexts.filter("many").isEmpty():
         parts = parts.unionByName(counted_windows(contexts.filter("many"), length))
-    whole = marks.select("doc", F.transform("done", lambda s: F.struct(s["lo"].alias("a"), (s["lo"] + s["m"] - 1 + length).alias("b"))).alias("gone"))
-    partly = stored(parts, "suffix-parts").groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("gone"))
-    gone = whole.unionByName(partly).groupBy("doc").agg(F.flatten(F.collect_list("gone")).alias("gone"))
+    whole = marks.select("doc", "fp", F.transform("done", lambda s: F.struct(s["lo"].alias("a"), (s["lo"] + s["m"] - 1 + length).alias("b"))).alias("gone"))
+    partly = stored(parts, "suffix-parts").groupBy("doc", "fp").agg(F.collect_set(F.struct("a", "b")).alias("gone"))
+    gone = whole.unionByName(partly).groupBy("doc", "fp").agg(F.flatten(F.collect_list("gone")).alias("gone"))
 
     def lose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -398,7 +402,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, crowd: int = 50_000, row
             n, removed, spans, kept = zip(*out, strict=True) if out else ((), (), (), ())
             yield pa.RecordBatch.from_pydict({"doc": batch.column("doc"), "n_bytes": pa.array(n, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept": pa.array(kept, pa.binary())})
 
-    joined = compressed(rows, "doc").join(gone.withColumnRenamed("doc", "of"), F.col("doc") == F.col("of"), "left").select("doc", "z", "gone")
+    gone = gone.withColumnsRenamed({"doc": "of", "fp": "of_fp"})
+    joined = compressed(rows, "doc", "fp").join(gone, (F.col("doc") == F.col("of")) & (F.col("fp") == F.col("of_fp")), "left").select("doc", "z", "gone")
     out = joined.mapInArrow(lose, "doc long, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
 
