@@ -81,6 +81,21 @@ def test_empty_nulls_and_repeats(docs_of):
     assert sorted((str(r.doc_id), r.class_id, r.n_links, r.copies) for r in got) == [("5", 5, 2, 3), ("5", 5, 2, 3), ("6", 6, 0, 1), ("None", 5, 2, 3)]
 
 
+def test_rows_that_share_a_doc_id_are_grouped_by_their_texts(docs_of):
+    text = lambda name, end="": " ".join(f"{name}{i}" for i in range(40)) + end
+    rows = [(5, text("a")), (None, text("a", " more")), (None, text("b")), (None, text("c")), (None, text("c", " more")), (None, None), (None, " ")]
+    rows += [(7, text("d")), (7, text("e")), (8, text("d", " more")), (9, text("f")), (9, text("f"))]
+    got = jaccard.jaccard_groups(docs_of(rows)).collect()
+    assert sorted((str(r.doc_id), str(r.class_id), r.n_links, r.copies) for r in got) == sorted(
+        [("5", "5", 1, 1), ("None", "5", 1, 1), ("None", "None", 0, 1), ("7", "7", 1, 1), ("7", "7", 0, 1), ("8", "7", 1, 1)] + [("None", "None", 1, 1)] * 2 + [("None", "None", 0, 1)] * 2 + [("9", "9", 1, 2)] * 2
+    )
+    kept = [(r.doc_id, r.text) for r in jaccard.representative_documents(docs_of(rows)).collect()]
+    c = [x for x in kept if x[1] in (text("c"), text("c", " more"))]
+    assert len(c) == 1 and c[0][0] is None
+    want = [(5, text("a")), (None, text("b")), (None, None), (None, " "), (7, text("d")), (7, text("e")), (9, text("f"))]
+    assert sorted((x for x in kept if x not in c), key=str) == sorted(want, key=str)
+
+
 def test_a_long_chain_is_one_group(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(500)] + [(1000, 1001)], "u long, v long")
     got = {r.node: r.root for r in jaccard.components(edges).collect()}

@@ -23,9 +23,10 @@ Result for each document: class_id (the smallest doc_id of its group), n_links (
 copies counted) and copies (documents with an equal set, itself included).
 
 Texts of one to four words have one shingle of all words; texts without words (null ones,
-too) have no links and are their own class. Rows that repeat a doc_id are one document's
-parts: each has its links, and their groups are joined. A null doc_id is numbered last
-and given back as null. An empty table gives no rows; other columns are never read.
+too) have no links and are their own class. Rows that repeat a doc_id are told apart by a hash of
+their text, and so are null doc_ids: such rows share a group only if their texts are linked, and
+groups may then have the same class_id. A null doc_id is numbered last and given back as null
+(a group of only null ids has class_id null). An empty table gives no rows; other columns are never read.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ from tunesmith.llm.common import compressed, decompress, read_table, stored, tex
 from tunesmith.llm.shingles import mixed, shingles, slices
 
 LAST = (1 << 63) - 1
+WORD = r"[^\x20\x09-\x0D]"
 VALUES, STEP = 128, 16
 _SEEDS = np.random.default_rng(99).integers(1, 1 << 63, (2, VALUES), dtype=np.uint64) | np.uint64(1)
 
@@ -123,9 +125,9 @@ def linked_pairs(sig_a, sets_a, sig_b, sets_b, same: bool, share: tuple[int, int
     return ia[keep], ib[keep]
 
 
-def _stars(rep: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """(member, smallest rep) of each connected set of the links."""
-    root = np.arange(len(rep))
+def _stars(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """(member, smallest id) of each connected set of the links."""
+    root = np.arange(len(ids))
     while True:  # smallest number by links, then by pointer
         before = root.copy()
         np.minimum.at(root, a, root[b])
@@ -133,9 +135,9 @@ def _stars(rep: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int
         root = root[root]
         if (root == before).all():
             break
-    smallest = np.full(len(rep), LAST, dtype=np.int64)
-    np.minimum.at(smallest, root, rep)
-    return [(int(r), int(s)) for r, s in zip(rep, smallest[root], strict=True) if r != s]
+    smallest = np.full(len(ids), LAST, dtype=np.int64)
+    np.minimum.at(smallest, root, ids)
+    return [(int(i), int(s)) for i, s in zip(ids, smallest[root], strict=True) if i != s]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -156,10 +158,11 @@ def components(edges: DataFrame) -> DataFrame:
         state = seen
 
 
-def jaccard_groups(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5), tolerance: float = 1e-9, band_rows: int = 4, block_rows: int = 256, block_bytes: int = 8 << 20) -> DataFrame:
-    """doc_id, class_id, n_links, copies for every row of ``docs`` (doc_id, text)."""
+def _classes(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5), tolerance: float = 1e-9, band_rows: int = 4, block_rows: int = 256, block_bytes: int = 8 << 20) -> tuple[DataFrame, DataFrame]:
+    """doc, cls of every row of ``docs`` (doc_id, text), and for each class c: n_links, copies, and the
+    first document of its group (class: its number, fp: the hash of its text)."""
     need = [least_matches(share[0] / share[1], tolerance, n) for n in range(STEP, VALUES + 1, STEP)]
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), text_of().alias("text"))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), text_of().alias("text")).withColumn("fp", F.xxhash64("text"))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,13 +174,14 @@ def jaccard_groups(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5),
                 cls, sigs = [None] * len(sets), [None] * len(sets)
                 for i, s in zip(full, sig, strict=True):
                     cls[i], sigs[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), s.tobytes()
-                yield pa.RecordBatch.from_pydict({"doc": batch.column("doc").slice(a, b - a), "cls": pa.array(cls, pa.binary()), "n": pa.array([len(s) for s in sets], pa.int64()), "sig": pa.array(sigs, pa.binary())})
+                yield pa.RecordBatch.from_pydict({"doc": batch.column("doc").slice(a, b - a), "fp": batch.column("fp").slice(a, b - a), "cls": pa.array(cls, pa.binary()), "n": pa.array([len(s) for s in sets], pa.int64()), "sig": pa.array(sigs, pa.binary())})
 
-    sketches = stored(rows.mapInArrow(sketch, "doc long, cls binary, n long, sig binary"), "jaccard-sketches")
-    grouped = sketches.filter("n > 0").groupBy("cls", "n", "sig").agg(F.min("doc").alias("rep"), F.count("*").alias("weight"))
+    sketches = stored(rows.mapInArrow(sketch, "doc long, fp long, cls binary, n long, sig binary"), "jaccard-sketches")
+    grouped = sketches.filter("n > 0").groupBy("cls", "n", "sig").agg(F.min(F.struct("doc", "fp")).alias("first"), F.count("*").alias("weight"))
+    grouped = grouped.select("cls", "n", "sig", F.col("first.doc").alias("rep"), F.col("first.fp").alias("fp"), "weight")
     # A short number for each class; fixed, as the table is written.
     classes = stored(grouped.withColumn("id", F.monotonically_increasing_id()), "jaccard-classes")
-    known = classes.select("id", "cls", "n", "rep", "weight")
+    known = classes.select("id", "cls", "n", "rep", "fp", "weight")
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,13 +203,13 @@ def jaccard_groups(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5),
     room = held.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / block_rows), F.ceil(F.sum("n") * 8 / block_bytes)).alias("parts"))
     placed = held.join(room, "label").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
     block = F.xxhash64("label", "part")  # two blocks under one number would only be one larger block
-    blocks = stored(placed.select("id", "cls", block.alias("block"), "rep", "weight"), "jaccard-blocks")
+    blocks = stored(placed.select("id", "cls", block.alias("block"), "rep", "fp", "weight"), "jaccard-blocks")
     met = near.select("key", "id").join(blocks.select("id", "block"), "id").select("key", "block").distinct()
     other = met.select(F.col("key").alias("k"), F.col("block").alias("other"))
     pairs = met.join(other, (F.col("key") == F.col("k")) & (F.col("block") <= F.col("other"))).select(F.col("block").alias("a"), F.col("other").alias("b")).distinct()
     sides = pairs.select("a", "b", F.col("a").alias("block"), F.lit(0).alias("side")).union(pairs.filter("a != b").select("a", "b", F.col("b").alias("block"), F.lit(1).alias("side")))
     # Who meets whom is settled before any set of shingles moves.
-    members = stored(sides.join(blocks, "block").drop("block"), "jaccard-members")
+    members = stored(sides.join(blocks.drop("rep", "fp"), "block").drop("block"), "jaccard-members")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,13 +219,13 @@ def jaccard_groups(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5),
                 yield pa.RecordBatch.from_pydict({"c": pa.array([hashlib.blake2b(found.tobytes(), digest_size=16).digest()], pa.binary()), "shingles": pa.array([found.tobytes()], pa.binary())})
 
     # The texts are shuffled, compressed, at every size of the other side: one plan for all inputs.
-    wanted = blocks.select(F.col("rep").alias("doc")).distinct().hint("merge")
-    texts = compressed(rows, "doc").join(wanted, "doc").select("z").mapInArrow(sets_of, "c binary, shingles binary")
-    whole = members.join(texts, F.col("cls") == F.col("c")).select("a", "b", "side", "id", "rep", "weight", "shingles")
+    wanted = blocks.select(F.col("rep").alias("doc"), "fp").distinct().hint("merge")
+    texts = compressed(rows, "doc", "fp").join(wanted, ["doc", "fp"]).select("z").mapInArrow(sets_of, "c binary, shingles binary")
+    whole = members.join(texts, F.col("cls") == F.col("c")).select("a", "b", "side", "id", "weight", "shingles")
 
     def verify(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         # A class comes twice where rows of one doc_id repeat a text.
-        rows = rows.drop_duplicates(["side", "id"]).sort_values(["side", "rep", "id"], ignore_index=True)
+        rows = rows.drop_duplicates(["side", "id"]).sort_values(["side", "id"], ignore_index=True)
         sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
         sig = signatures(sets)
         cut = int((rows["side"] == 0).sum())
@@ -231,30 +235,45 @@ def jaccard_groups(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5),
         else:
             ia, ib = linked_pairs(sig[:cut], sets[:cut], sig[cut:], sets[cut:], False, share, need)
             ib = ib + cut
-        rep, weight = rows["rep"].to_numpy(np.int64), rows["weight"].to_numpy(np.int64)
-        links = np.zeros(len(rep), dtype=np.int64)
+        ids, weight = rows["id"].to_numpy(np.int64), rows["weight"].to_numpy(np.int64)
+        links = np.zeros(len(ids), dtype=np.int64)
         np.add.at(links, ia, weight[ib])
         np.add.at(links, ib, weight[ia])
         some = np.flatnonzero(links)
-        stars = _stars(rep, ia, ib)
-        ids = rows["id"].to_numpy(np.int64)
-        return pd.DataFrame({"id": [*ids[some].tolist(), *[0] * len(stars)], "links": [*links[some].tolist(), *[0] * len(stars)], "rep": [*rep[some].tolist(), *[s[0] for s in stars]], "root": [*rep[some].tolist(), *[s[1] for s in stars]]}, dtype="int64")
+        stars = _stars(ids, ia, ib)
+        return pd.DataFrame({"id": [*ids[some].tolist(), *[s[0] for s in stars]], "links": [*links[some].tolist(), *[0] * len(stars)], "root": [*ids[some].tolist(), *[s[1] for s in stars]]}, dtype="int64")
 
-    found = stored(whole.groupBy("a", "b").applyInPandas(verify, "id long, links long, rep long, root long"), "jaccard-links")
+    found = stored(whole.groupBy("a", "b").applyInPandas(verify, "id long, links long, root long"), "jaccard-links")
     links = found.filter("links > 0").groupBy("id").agg(F.sum("links").alias("links"))
-    roots = components(found.filter("rep != root").select(F.col("rep").alias("u"), F.col("root").alias("v")))
-    # A document of several rows may be in several classes; its smallest number stands for all.
-    table = known.join(links, "id", "left").join(roots, F.col("rep") == F.col("node"), "left")
-    table = table.select(F.col("cls").alias("c"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "rep").alias("class"), F.col("weight").alias("copies"))
-    out = sketches.select("doc", "cls").join(table, F.col("cls") == F.col("c"), "left")
+    roots = components(found.filter("id != root").select(F.col("id").alias("u"), F.col("root").alias("v")))
+    # Only linked classes are in a group of several; written, so that the join below can be split where a group is large.
+    linked = known.join(links, "id", "left").join(roots, F.col("id") == F.col("node"), "left").withColumn("group", F.coalesce("root", "id"))
+    linked = stored(linked.select("group", "cls", "rep", "fp", "weight", "links"), "jaccard-linked")
+    firsts = stored(linked.filter("links > 0").groupBy("group").agg(F.min(F.struct("rep", "fp")).alias("first")).withColumnRenamed("group", "of"), "jaccard-firsts")
+    first = F.coalesce("first", F.struct("rep", "fp"))
+    table = linked.join(firsts, F.col("group") == F.col("of"), "left")
+    table = table.select(F.col("cls").alias("c"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.col("weight").alias("copies"), first["rep"].alias("class"), first["fp"].alias("fp"))
+    return sketches.select("doc", "cls"), table
+
+
+def jaccard_groups(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, class_id, n_links, copies for every row of ``docs`` (doc_id, text)."""
+    rows, table = _classes(docs, **options)
+    out = rows.join(table, F.col("cls") == F.col("c"), "left")
     back = lambda c: F.when(c != LAST, c)
     return out.select(back(F.col("doc")).alias("doc_id"), back(F.coalesce("class", "doc")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("copies", F.lit(1)).cast("long").alias("copies"))
 
 
 def representative_documents(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id, with its own columns."""
-    keep = jaccard_groups(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*docs.columns)
+    """One row of each group, the one with the smallest doc_id (then hash of the text, then of the row),
+    with its own columns. Rows without words are groups of their own and all stay."""
+    _, table = _classes(docs, **options)
+    keep = table.select(F.col("class").alias("_class"), F.col("fp").alias("_of")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_doc"), F.xxhash64(text_of()).alias("_fp"), text_of().rlike(WORD).alias("_words"), F.xxhash64(*docs.columns).alias("_hash"))
+    # Copies under one id meet by partial aggregation, before the join.
+    one = rows.filter("_words").groupBy("_doc", "_fp").agg(F.min_by("_row", "_hash").alias("_row"))
+    kept = one.join(keep, (F.col("_doc") == F.col("_class")) & (F.col("_fp") == F.col("_of")), "left_semi").select("_row.*")
+    return kept.unionByName(rows.filter("NOT _words").select("_row.*"))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
