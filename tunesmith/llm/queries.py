@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tunesmith.llm import exact_dedup, line_dedup
+from tunesmith.llm import exact_dedup, line_dedup, resample
 from tunesmith.llm.exact_dedup import op1_exact_dedup
 from tunesmith.llm.jaccard import op3_jaccard_join
 from tunesmith.llm.langid import op10_language_id
 from tunesmith.llm.line_dedup import op2_line_dedup
 from tunesmith.llm.mixing import op9_mixing
 from tunesmith.llm.packing import op8_packing
+from tunesmith.llm.resample import op13_importance_resampling
 from tunesmith.llm.sharding import op5_sharding
 from tunesmith.llm.suffix_dedup import op4_suffix_dedup
 from tunesmith.llm.token_output import op7_token_output
@@ -30,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op13_importance_resampling": op13_importance_resampling,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op2_line_dedup": line_dedup.SQL,
+    "op13_importance_resampling": resample.SQL,
 }
