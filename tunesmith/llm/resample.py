@@ -242,11 +242,11 @@ features AS MATERIALIZED (
   SELECT side, row, f FROM (
     SELECT side, row, unnest(w) AS f FROM worded
     UNION ALL
-    SELECT side, row, unnest(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) FROM worded WHERE len(w) > 1)),
+    SELECT side, row, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM worded WHERE len(w) > 1)),
 hashed AS MATERIALIZED (
   SELECT f, xor(list_reduce(
-      list_transform(range(len(h) // 2), i -> ('0x' || h[2 * i + 1 : 2 * i + 2])::UBIGINT),
-      (c, b) -> xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::UBIGINT), 4294967295::UBIGINT) % 10000 AS bucket
+      list_transform(range(len(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::UBIGINT),
+      lambda c, b: xor(t[((xor(c, b) & 255) + 1)::BIGINT], c >> 8), 4294967295::UBIGINT), 4294967295::UBIGINT) % 10000 AS bucket
   FROM (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM features)), crc_table),
 placed AS MATERIALIZED (SELECT side, row, bucket FROM features JOIN hashed USING (f)),
 counts AS (SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM placed GROUP BY bucket),
