@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tunesmith.llm import exact_dedup, line_dedup, resample
+from tunesmith.llm import exact_dedup, lexical, line_dedup, resample
 from tunesmith.llm.exact_dedup import op1_exact_dedup
 from tunesmith.llm.jaccard import op3_jaccard_join
 from tunesmith.llm.langid import op10_language_id
+from tunesmith.llm.lexical import op12_lexical_search
 from tunesmith.llm.line_dedup import op2_line_dedup
 from tunesmith.llm.mixing import op9_mixing
 from tunesmith.llm.packing import op8_packing
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op12_lexical_search": op12_lexical_search,
     "op13_importance_resampling": op13_importance_resampling,
     "pipeline": corpus_pipeline.run,
 }
@@ -38,5 +40,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op2_line_dedup": line_dedup.SQL,
+    "op12_lexical_search": lexical.SQL,
     "op13_importance_resampling": resample.SQL,
 }
