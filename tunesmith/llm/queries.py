@@ -15,6 +15,7 @@ from tunesmith.llm.lexical import op12_lexical_search
 from tunesmith.llm.line_dedup import op2_line_dedup
 from tunesmith.llm.mixing import op9_mixing
 from tunesmith.llm.packing import op8_packing
+from tunesmith.llm.ppm import op11_lm_scoring
 from tunesmith.llm.resample import op13_importance_resampling
 from tunesmith.llm.sharding import op5_sharding
 from tunesmith.llm.suffix_dedup import op4_suffix_dedup
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op11_lm_scoring": op11_lm_scoring,
     "op12_lexical_search": op12_lexical_search,
     "op13_importance_resampling": op13_importance_resampling,
     "pipeline": corpus_pipeline.run,
