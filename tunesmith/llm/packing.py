@@ -56,13 +56,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024, lin
         enc = encoder(tokenizer)
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 64):
-                rows = [np.concatenate([ids.astype("<u4"), end]) for ids in enc.encode(texts[at : at + 64])]
+            for at, flat, offsets in enc.encode_column(batch.column("text")):
+                rows = [np.concatenate([flat[a:b], end], dtype="<u4") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 full = [len(ids) // capacity for ids in rows]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "doc_id": batch.column("doc_id").slice(at, 64),
+                        "doc_id": batch.column("doc_id").slice(at, len(rows)),
                         "n": pa.array([len(ids) for ids in rows], pa.int64()),
                         "full": pa.array([[zlib.crc32(ids[k * capacity : (k + 1) * capacity].tobytes()) for k in range(n)] for ids, n in zip(rows, full, strict=True)], pa.list_(pa.int64())),
                         "rest": pa.array([ids[n * capacity :].astype(enc.dtype).tobytes() for ids, n in zip(rows, full, strict=True)], pa.binary()),

@@ -134,11 +134,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
         for batch in batches:
             ids_of = batch.column("doc_id").to_pylist()
-            texts = batch.column("text").to_pylist()
-            for first in range(0, len(texts), 64):
-                for d, ids in zip(ids_of[first : first + 64], enc.encode(texts[first : first + 64]), strict=True):
-                    held.append((d, np.concatenate([ids.astype(np.uint32), end])))
-                    size += len(ids) + 1
+            for first, ids, offsets in enc.encode_column(batch.column("text")):
+                for i, (at, to) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+                    held.append((ids_of[first + i], np.concatenate([ids[at:to], end], dtype=np.uint32)))
+                    size += to - at + 1
                 if size >= ids_per_file:
                     yield flush()
                     held, size, number = [], 0, number + 1

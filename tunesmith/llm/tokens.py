@@ -15,35 +15,48 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _CUT = re.compile(r" (?=\S)")
-_ODD = re.compile(r" (?:\s|$)")
 _LOADED: dict[str, Encoder] = {}
 # Fixed values of byte-level pre-tokenizers: their pattern, and the character that stands for each byte
 # (itself where it is printable, else the next free one from 256 on).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARS = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
+SPACE = chr(BYTE_CHARS[0x20])
 
 
-class _Known(dict):
-    """Remembered ids; a key that is missing is encoded by ``make`` and, unless too long, kept."""
+class Generations:
+    """Remembered ids of segments, in a young and an old generation of about ``limit`` bytes each. A full young
+    generation becomes the old one, so what is in use all the time stays."""
 
-    def __init__(self, make, longest: int):
-        super().__init__()
-        self.make, self.longest = make, longest
+    ENTRY = 220  # bytes of an entry beside its characters
 
-    def __missing__(self, key: str) -> bytes:
-        ids = self.make(key)
-        if len(key) <= self.longest:
-            self[key] = ids
-        return ids
+    def __init__(self, limit: int):
+        self.limit, self.size = limit, 0
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.keep(key, found)
+        return found
+
+    def keep(self, key: str, ids: bytes) -> None:
+        self.young[key] = ids
+        self.size += self.ENTRY + len(key) + len(ids)
+        if self.size > self.limit:
+            self.young, self.old, self.size = {}, self.young, 0
 
 
 class Encoder:
-    def __init__(self, path: str, remembered: int = 600_000, longest: int = 48):
+    def __init__(self, path: str, remembered: int = 48 << 20, longest: int = 48):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -55,37 +68,122 @@ class Encoder:
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.by_parts = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" and self.tokenizer.normalizer is None
-        self.remembered = remembered
+        self.longest = longest
         self.pieces = regex.compile(PIECES)
-        self.by_piece = _Known(self._piece, longest)
-        self.by_segment = _Known(self._segment, longest)
+        self.segments = Generations(remembered)
+        self.short = Generations(remembered // 16)  # pieces that end a segment: punctuation, numbers
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        chars = piece.translate(BYTE_CHARS) if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_CHARS)
+        if piece.isascii():
+            # Of printable ASCII only the space is written by another character.
+            chars = piece.replace(" ", SPACE) if piece.isprintable() else piece.translate(BYTE_CHARS)
+        else:
+            chars = piece.encode().decode("latin-1").translate(BYTE_CHARS)
         return array(self.code, [t.id for t in self.model.tokenize(chars)]).tobytes()
 
+    def _tail(self, piece: str) -> bytes:
+        ids = self.short.get(piece)
+        if ids is None:
+            ids = self._piece(piece)
+            if len(piece) <= self.longest:
+                self.short.keep(piece, ids)
+        return ids
+
     def _segment(self, segment: str) -> bytes:
-        return b"".join(map(self.by_piece.__getitem__, self.pieces.findall(" " + segment)))
+        """The ids of a segment that stands after a space and is not remembered."""
+        if segment.isalpha():  # letters alone are one piece
+            if segment.isascii():
+                return array(self.code, [t.id for t in self.model.tokenize(SPACE + segment)]).tobytes()
+            return self._piece(" " + segment)
+        first, *others = self.pieces.findall(" " + segment)
+        # What a segment begins with is often remembered as a segment of its own.
+        ids = self.segments.get(first[1:]) if len(first) > 1 else None
+        if ids is None:
+            ids = self._piece(first)
+        return ids + b"".join(map(self._tail, others))
+
+    def _ids(self, segments: list[str]) -> list[bytes]:
+        """The ids of distinct segments."""
+        out = list(map(self.segments.young.get, segments))
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            segment = segments[i]
+            out[i] = ids = self.segments.get(segment) or self._segment(segment)
+            if len(segment) <= self.longest and segment not in self.segments.young:
+                self.segments.keep(segment, ids)
+        return out
+
+    def encode_column(self, texts: pa.Array, part_bytes: int = 8 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(first row, ids, offsets) for runs of about ``part_bytes`` of a string column: row first + i has
+        ids[offsets[i]:offsets[i + 1]], as the library gives them without special tokens; null has none."""
+        texts = texts.cast(pa.large_string())
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < len(texts):
+            before = int(sizes[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(sizes, before + part_bytes, side="right")))
+            yield first, *self._part(texts.slice(first, last - first))
+            first = last
+
+    def _part(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = pc.fill_null(texts, "")
+        n = len(texts)
+        lists = pc.split_pattern(texts, " ")
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)
+        heads = np.concatenate([[0], ends])[:n].astype(np.int64)  # places of the texts' first segments, which stand after no space
+        coded = pc.dictionary_encode(pc.list_flatten(lists))
+        where, segments = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        within = np.ones(len(where), bool)
+        within[heads] = False
+
+        alone = np.full(n, not self.by_parts)
+        for a in self.added:
+            alone |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+        # A space before white space or the end belongs to no segment: such texts are cut by a pattern.
+        loose = np.array([not x or x[0].isspace() for x in segments], bool)
+        cut = np.zeros(n, bool)
+        cut[np.searchsorted(ends, np.flatnonzero(within & loose[where]), side="right")] = True
+
+        special = alone | cut
+        usable = within & ~np.repeat(special, np.diff(np.concatenate([[0], ends])))
+        needed = np.zeros(len(segments), bool)
+        needed[where[usable]] = True
+        pool = [b""] * len(segments)
+        at = np.flatnonzero(needed).tolist()
+        for i, ids in zip(at, self._ids([segments[i] for i in at]), strict=True):
+            pool[i] = ids
+        # Special texts keep their place: their first segment stands for all of their ids, the others for none.
+        nothing, begins = len(pool), {}
+        pool.append(b"")
+        where[~usable] = nothing
+        first = coded.indices.to_numpy()[heads]
+        for i, kind in enumerate(zip(alone.tolist(), cut.tolist(), strict=True)):
+            if any(kind):
+                text = texts[i].as_py()
+                parts = [] if kind[0] else _CUT.split(text)
+                where[heads[i]] = len(pool)
+                pool.append(self._whole(text) if kind[0] else self._head(parts[0]) + b"".join(self._ids(parts[1:])))
+                continue
+            head = int(first[i])
+            if head not in begins:
+                begins[head] = len(pool)
+                pool.append(self._head(segments[head]))
+            where[heads[i]] = begins[head]
+
+        lengths = np.array([len(x) for x in pool], np.int64) // self.dtype.itemsize
+        flat, starts, each = np.frombuffer(b"".join(pool), self.dtype), np.cumsum(lengths) - lengths, lengths[where]
+        upto = np.concatenate([[0], np.cumsum(each)])
+        ids = flat[np.repeat(starts[where] - upto[:-1], each) + np.arange(upto[-1])]
+        return ids, upto[np.concatenate([[0], ends])]
+
+    def _head(self, segment: str) -> bytes:
+        return b"".join(map(self._tail, self.pieces.findall(segment)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as the library gives them without special tokens."""
-        ids, known = self.by_segment.__getitem__, self.by_piece.__getitem__
-        out = []
-        for t in texts:
-            if not self.by_parts or any(a in t for a in self.added):
-                out.append(np.frombuffer(self._whole(t), dtype=self.dtype))
-                continue
-            parts = _CUT.split(t) if _ODD.search(t) else t.split(" ")
-            head = b"".join(map(known, self.pieces.findall(parts[0])))
-            out.append(np.frombuffer(head + b"".join(map(ids, parts[1:])), dtype=self.dtype))
-            if len(self.by_segment) > self.remembered:
-                self.by_segment.clear()
-            if len(self.by_piece) > self.remembered // 2:
-                self.by_piece.clear()
-        return out
+        return [ids[a:b] for _, ids, offsets in self.encode_column(pa.array(texts, pa.string())) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
 
 
 def encoder(path: str) -> Encoder:
