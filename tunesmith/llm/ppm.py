@@ -33,6 +33,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -134,6 +135,13 @@ def _bodies(starts: np.ndarray, order: int) -> np.ndarray:
     return (starts[1:, None] - order + np.arange(order)).ravel()
 
 
+def sorted_bodies(keys: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """``keys`` without the places ``spread``, sorted; in place."""
+    keys[spread] = np.uint64(0xFFFFFFFFFFFFFFFF)  # windows have fewer bits
+    keys.sort()
+    return keys[: len(keys) - len(spread)]
+
+
 META = np.dtype([("row", "<i8"), ("n", "<i8"), ("doc_id", "<i8"), ("null", "?"), ("train", "?"), ("ends", "?")])
 
 
@@ -151,13 +159,15 @@ def chunks(docs: DataFrame, order: int, n_shards: int, chunk_bytes: int) -> Data
             meta = np.array(p.meta, META)
             out = [(TEXTS, -1, _shrunk(data.tobytes()), meta.tobytes(), p.ended)]
             ends = np.cumsum(meta["n"])
-            keys = windows(data, order) << np.uint64(1)
+            keys = windows(data, order)
+            keys <<= np.uint64(1)
             keys |= np.repeat(meta["train"], meta["n"])[order:]
-            keys = np.delete(keys, _bodies(np.concatenate([[0], ends[:-1]]), order))
-            keys.sort()
-            at = distinct(keys >> np.uint64(1))
-            counts = np.add.reduceat(keys & np.uint64(1), at) if len(at) else keys
-            keys = keys[at] >> np.uint64(1)
+            keys = sorted_bodies(keys, _bodies(np.concatenate([[0], ends[:-1]]), order))
+            train = (keys & np.uint64(1)).astype(np.uint8)
+            keys >>= np.uint64(1)
+            at = distinct(keys)
+            counts = np.add.reduceat(train, at, dtype=np.uint64)
+            keys = keys[at]
             shard = shard_of(keys, order, n_shards)
             by = np.argsort(shard, kind="stable")
             cuts = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=n_shards))])
@@ -388,32 +398,33 @@ def finished(table: DataFrame, replies: DataFrame, order: int, n_shards: int, to
                 data, meta = np.frombuffer(_grown(r["a"]), np.uint8), np.frombuffer(r["b"], META)
                 starts = np.concatenate([[0], np.cumsum(meta["n"])])
                 spread = _bodies(starts[:-1], order)
-                keys = np.delete(windows(data, order), spread)
-                keys.sort()
+                keys = sorted_bodies(windows(data, order), spread)
                 keys = keys[distinct(keys)]
                 shard, logs = shard_of(keys, order, n_shards), np.empty(len(keys))
                 for s, values in shards.items():
                     logs[shard == s] = values
-                each = np.zeros(len(data))
+                place, each = pd.Index(keys), np.zeros(len(data), np.float32)
                 for a in range(0, len(data) - order, STEP):
                     b = min(a + STEP, len(data) - order)
-                    at = np.searchsorted(keys, windows(data, order, a, b))
-                    each[order + a : order + b] = logs[np.minimum(at, len(keys) - 1)]
+                    each[order + a : order + b] = logs[place.get_indexer(windows(data, order, a, b))]
                 each[order + spread] = 0.0
-                scores = np.add.reduceat(each, starts[:-1])
+                scores = np.add.reduceat(each, starts[:-1], dtype=np.float64)
+                del place, each, keys
                 # The words in the order in which the chunk listed them.
-                raw, some = data.tobytes(), []
-                for s, n in zip(starts[:-1].tolist(), meta["n"].tolist(), strict=True):
-                    some.append(raw[s + order : s + n].split())
+                raw, distinct_words = data.tobytes(), set()
+                bodies = [(s + order, s + n) for s, n in zip(starts[:-1].tolist(), meta["n"].tolist(), strict=True)]
+                for s, e in bodies:
+                    distinct_words.update(raw[s:e].split())
                 groups: list[list[bytes]] = [[] for _ in range(n_shards)]
-                for w in sorted({w for x in some for w in x}):
+                for w in sorted(distinct_words):
                     groups[zlib.crc32(w) % n_shards].append(w)
                 listed = [w for g in groups for w in g]
                 counts = np.concatenate([np.empty(0, np.uint64), *(found[s] for s in sorted(found))])
                 value = dict(zip(listed, base(counts.astype(np.float64)).tolist(), strict=True))
                 new = {w for w, c in zip(listed, counts.tolist(), strict=True) if not c}
                 n_tokens, n_known, sums = [], [], []
-                for x, last in zip(some, meta["ends"].tolist(), strict=True):
+                for (s, e), last in zip(bodies, meta["ends"].tolist(), strict=True):
+                    x = raw[s:e].split()
                     n_tokens.append(len(x) + last)
                     n_known.append(len(x) - sum(map(new.__contains__, x)) + (last and ends > 0))
                     sums.append(sum(map(value.__getitem__, x)) + (end_base if last else 0.0))
