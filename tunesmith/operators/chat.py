@@ -139,10 +139,10 @@ def history_per_turn(turns: DataFrame) -> DataFrame:
 
 
 def turn_key(conv="conv_id", turn="turn") -> Column:
-    """(conv_id, turn) as one bigint: turn in the low 32 bits, conv_id above. Two pairs never
-    share a key; a part that doesn't fit its bits fails the job instead."""
-    fits = F.col(conv).between(0, (1 << 31) - 1) & F.col(turn).between(0, (1 << 32) - 1)
-    return F.when(fits, F.col(conv).cast("long") * F.lit(1 << 32) + F.col(turn)).otherwise(F.raise_error(F.lit("conv_id or turn is too large for one key")).cast("long"))
+    """(conv_id, turn) as one number, conv_id * 2^32 + turn, as a decimal that holds it for every 64-bit conv_id (hashed and
+    negative ones too). Two pairs never share a key; a turn that isn't between 0 and 2^32 - 1 fails the job instead."""
+    key = (F.col(conv).cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col(turn).cast("decimal(10,0)")).cast("decimal(31,0)")
+    return F.when(F.col(turn).between(0, (1 << 32) - 1), key).when(F.col(turn).isNull() | F.col(conv).isNull(), F.lit(None)).otherwise(F.raise_error(F.lit("turn is too large for a key")).cast("decimal(31,0)"))
 
 
 def turns_to_instructions(turns: DataFrame) -> DataFrame:

@@ -1453,36 +1453,76 @@ def q_stream_jsonl(spark, sf_dir):
 
 
 @register(
-    "stream_dedupe",
+    "stream_dedupe_windows",
     "SELECT DISTINCT user_id, event_type, props, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start FROM events",
 )
-def q_stream_dedupe(spark, sf_dir):
-    """C6 over four deliveries in time order: a key once in each hour, however the rows are cut into batches."""
+def q_stream_dedupe_windows(spark, sf_dir):
+    """C6 by fixed windows over four deliveries in time order: a key once in each hour, however the rows are cut into batches."""
     events = V.scan_parquet(spark, sf_dir, "events")
-    out = streams.run_deliveries(streams.in_time_order(events, 4), lambda s: streams.stream_dedupe(s, ["user_id", "event_type", "props"]), "stream-dedupe")
+    out = streams.run_deliveries(streams.in_time_order(events, 4), lambda s: streams.stream_dedupe_windows(s, ["user_id", "event_type", "props"]), "stream-dedupe-windows")
     return out.select("user_id", "event_type", "props", F.date_format("window_start", HOUR_FMT).alias("window_start"))
 
 
+@register(
+    "stream_dedupe",
+    """WITH RECURSIVE e AS (SELECT row_number() OVER () AS row, *, min(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts RANGE BETWEEN INTERVAL 6 HOUR FOLLOWING AND UNBOUNDED FOLLOWING) AS after FROM events),
+firsts AS (
+  SELECT user_id, event_type, min(ts) AS ts FROM e WHERE ts IS NOT NULL GROUP BY ALL
+  UNION
+  SELECT e.user_id, e.event_type, e.after FROM firsts f JOIN e ON e.user_id IS NOT DISTINCT FROM f.user_id AND e.event_type IS NOT DISTINCT FROM f.event_type AND e.ts = f.ts WHERE e.after IS NOT NULL)
+SELECT user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, min(event_id) AS event_id FROM firsts JOIN events USING (user_id, event_type, ts) GROUP BY ALL
+UNION ALL SELECT user_id, event_type, NULL, event_id FROM events WHERE ts IS NULL""",
+)
+def q_stream_dedupe(spark, sf_dir):
+    """C6 over four deliveries in time order: a user's first event of a type, then none of it for six hours."""
+    events = V.scan_parquet(spark, sf_dir, "events")
+    parts = [*streams.in_time_order(events, 4), streams.closing_row(events, "ts", "2 days")]
+    out = streams.run_deliveries(parts, lambda s: streams.stream_dedupe(s, ["user_id", "event_type"], hold_seconds=6 * 3600), "stream-dedupe")
+    return out.select("user_id", "event_type", F.date_format("ts", US_FMT).alias("ts"), "event_id")
+
+
 @register(
     "stream_serving_metrics",
     """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*)::BIGINT AS n_requests,
        count(*) FILTER (WHERE event_type = 'error')::BIGINT AS n_errors, sum(CAST(json_extract_string(props, '$.k') AS BIGINT))::BIGINT AS tokens,
-       round(sum(value), 6) AS latency_sum, round(max(value), 6) AS latency_max
+       round(sum(value), 6) AS latency_sum, round(max(value), 6) AS latency_max,
+       round(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) / greatest(sum(value), 1e-6), 6) AS tokens_per_sec, true AS p99_within
 FROM events GROUP BY date_trunc('hour', ts)""",
 )
 def q_stream_serving_metrics(spark, sf_dir):
+    """L5 over five deliveries; the 99th percentiles of its sketches are held against exact ranks of the log."""
     events = V.scan_parquet(spark, sf_dir, "events")
     r = streams.run_deliveries([*streams.in_time_order(events, 4), streams.closing_row(events, "ts", "1 day")], streams.stream_serving_metrics, "stream-serving")
-    return r.select(
+    asked = r.select("window_start", F.lit(0.99).alias("prob"), F.col("latency_p99").alias("value"))
+    log = events.select(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("window_start"), F.col("value").alias("latency"))
+    held = stats.within_rank(log, asked, "latency", ["window_start"]).select("window_start", F.col("within").alias("p99_within"))
+    return r.join(held, "window_start").select(
         F.date_format("window_start", HOUR_FMT).alias("window_start"), F.col("n_requests").cast("long"), F.col("n_errors").cast("long"),
         F.col("tokens").cast("long"), round6("latency_sum").alias("latency_sum"), round6("latency_max").alias("latency_max"),
+        round6("tokens_per_sec").alias("tokens_per_sec"), "p99_within",
     )
 
 
-@register("stream_chat_history", "SELECT conv_id, count(*)::BIGINT AS n_messages, max(turn)::BIGINT AS last_turn, max_by(role, turn) AS last_role FROM conversations GROUP BY conv_id")
+@register(
+    "stream_chat_history",
+    """SELECT conv_id, count(*)::BIGINT AS n_messages, max(turn)::BIGINT AS last_turn, max_by(role, turn) AS last_role, string_agg(role, ',' ORDER BY turn) AS roles
+FROM conversations GROUP BY conv_id""",
+)
 def q_stream_chat_history(spark, sf_dir):
-    s = streams.stream_chat_history(streams.stream_table(spark, sf_dir, "conversations", streams.TURNS_SCHEMA), idle_timeout_ms=None)
-    r = streams.run_to_table(s, "stream-history", output_mode="append")
-    # the latest emitted state per conversation (a small per-key reduction of the sink)
-    last = r.groupBy("conv_id").agg(F.max_by(F.struct("n_messages", "last_turn", "last_role"), "n_messages").alias("s"))
-    return last.select("conv_id", F.col("s.n_messages").cast("long").alias("n_messages"), F.col("s.last_turn").cast("long").alias("last_turn"), F.col("s.last_role").alias("last_role"))
+    """L6 over five deliveries in time order: the histories as the idle timeout closes them."""
+    turns = V.chat_log(spark, sf_dir)
+    parts = [*streams.in_time_order(turns, 4), streams.closing_row(turns, "ts", "1 day")]
+    r = streams.run_deliveries(parts, streams.stream_chat_history, "stream-history")
+    return r.filter("closed").select("conv_id", F.col("n_messages").cast("long"), F.col("last_turn").cast("long"), "last_role", "roles")
+
+
+@register(
+    "length_quantiles",
+    f"WITH t AS (SELECT lang, len({S.tokenize('text')}) AS n_tokens FROM documents) SELECT lang, prob, count(n_tokens)::BIGINT AS n_rows, true AS within FROM t, (VALUES (0.5::DOUBLE), (0.9::DOUBLE), (0.99::DOUBLE)) v(prob) GROUP BY lang, prob",
+)
+def q_length_quantiles(spark, sf_dir):
+    """H2: quantiles of token lengths by language from sketches, held against exact ranks."""
+    rows = whole(spark, sf_dir)
+    q = stats.length_quantiles(rows, "n_tokens", group_cols=["lang"])
+    held = stats.within_rank(rows, q.drop("n_rows"), "n_tokens", ["lang"])
+    return q.join(held.select(F.col("lang").alias("_lang"), F.col("prob").alias("_prob"), "within"), F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("prob") == F.col("_prob"))).select("lang", "prob", F.col("n_rows").cast("long"), "within")

@@ -31,11 +31,17 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_parquet(spark, sf_dir, "conversations")
 
 
+def chat_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns with a time: a minute apart within a conversation, whose start depends on its id."""
+    start = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, pmod(conv_id, 7200))")
+    return turns(spark, sf_dir).withColumn("ts", start + F.expr("make_dt_interval(0, 0, cast(turn AS int), 0)"))
+
+
 def instr_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user turn directly followed by an assistant turn -> instruction row."""
     from tunesmith.operators.chat import turns_to_instructions
 
-    return turns_to_instructions(turns(spark, sf_dir))
+    return turns_to_instructions(turns(spark, sf_dir)).withColumn("row_id", F.col("row_id").cast("long"))
 
 
 def _edited_answer(output_col: str = "output", id_col: str = "row_id"):
