@@ -2,9 +2,9 @@
 
 The byte-level pre-tokenizer never joins a space that stands before a non-space
 character with what is left of it, so a text may be cut there and its segments
-encoded alone. Most segments repeat; each worker remembers the ids of those it has
-seen, cuts new ones into the pre-tokenizer's pieces, and gives the byte-pair model of
-the tokenizers library each new piece once. Texts in which the string of an added
+encoded alone. Most segments repeat: Arrow makes a dictionary of those of some MB of text, each worker
+remembers the ids of a bounded number of them, cuts the others into the pre-tokenizer's pieces, and gives
+those to the byte-pair model of the tokenizers library. Texts in which the string of an added
 token occurs are encoded whole by the library, since that string is cut out before
 the pre-tokenizer runs; so are all texts if the file has another pre-tokenizer or a
 normalizer.
@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import os
 import re
+import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -29,34 +31,96 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARS = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
 SPACE = chr(BYTE_CHARS[0x20])
+PLAIN_FIRST = frozenset(range(0x21, 0x7F))  # bytes with which no white space begins
 
 
-class Generations:
-    """Remembered ids of segments, in a young and an old generation of about ``limit`` bytes each. A full young
+class Pieces:
+    """Remembered ids of pieces, in a young and an old generation of at most ``limit`` entries. A full young
     generation becomes the old one, so what is in use all the time stays."""
 
-    ENTRY = 220  # bytes of an entry beside its characters
-
     def __init__(self, limit: int):
-        self.limit, self.size = limit, 0
+        self.limit = limit
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def get(self, key: str) -> bytes | None:
-        found = self.young.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.keep(key, found)
-        return found
+    def get(self, key: str, make) -> bytes:
+        ids = self.young.get(key)
+        if ids is None:
+            ids = self.old.get(key)
+            if ids is None:
+                ids = make(key)
+            if len(self.young) >= self.limit:
+                self.young, self.old = {}, self.young
+            self.young[key] = ids
+        return ids
 
-    def keep(self, key: str, ids: bytes) -> None:
-        self.young[key] = ids
-        self.size += self.ENTRY + len(key) + len(ids)
-        if self.size > self.limit:
-            self.young, self.old, self.size = {}, self.young, 0
+
+class Segments:
+    """Remembered ids of segments, two generations of at most ``limit`` entries each, as arrays: some 60 bytes an
+    entry. An entry is found by a 64-bit hash (of this process) and must have the same checksum."""
+
+    def __init__(self, limit: int, dtype: np.dtype):
+        self.limit, self.dtype = limit, dtype
+        self.young = self.old = self._none()
+
+    def _none(self) -> tuple:
+        return pd.Index(np.empty(0, np.int64)), np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, self.dtype)
+
+    @staticmethod
+    def _find(generation: tuple, h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        index, check = generation[:2]
+        if not len(index):
+            return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+        at = index.get_indexer(h)
+        return at, (at >= 0) & (check[at] == c)
+
+    def ids_of(self, segments: list[bytes], make, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, lengths, pool) of distinct segments; ``make(segments)`` gives the ids of those not remembered."""
+        n = len(segments)
+        h, c = np.fromiter(map(hash, segments), np.int64, n), np.fromiter(map(zlib.crc32, segments), np.uint32, n)
+        starts, lengths, pools, base = np.zeros(n, np.int64), np.zeros(n, np.int64), [], 0
+        missing, promoted = np.arange(n), np.empty(0, np.int64)
+        for generation in (self.young, self.old):
+            at, hit = self._find(generation, h[missing], c[missing])
+            some, at = missing[hit], at[hit]
+            starts[some], lengths[some] = generation[2][at] + base, generation[3][at]
+            pools.append(generation[4])
+            base += len(generation[4])
+            missing = missing[~hit]
+            promoted = some
+        made = make([segments[i] for i in missing.tolist()])
+        lengths[missing] = np.fromiter(map(len, made), np.int64, len(made)) // self.dtype.itemsize
+        starts[missing] = base + np.cumsum(lengths[missing]) - lengths[missing]
+        pool = np.concatenate([*pools, np.frombuffer(b"".join(made), self.dtype)])
+        small = np.array([len(segments[i]) <= longest for i in missing.tolist()], bool)
+        self._keep(np.concatenate([promoted, missing[small]]), h, c, starts, lengths, pool)
+        return starts, lengths, pool
+
+    def _keep(self, new: np.ndarray, h: np.ndarray, c: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pool: np.ndarray) -> None:
+        _, first = np.unique(h[new], return_index=True)  # two segments of one hash: only one is remembered
+        new = new[first]
+        new = new[self.young[0].get_indexer(h[new]) < 0] if len(self.young[0]) else new
+        if not len(new):
+            return
+        index, check, at, size, ids = self.young
+        added = spans(starts[new], lengths[new])
+        each = lengths[new]
+        self.young = (
+            pd.Index(np.concatenate([index.to_numpy(), h[new]])), np.concatenate([check, c[new]]), np.concatenate([at, len(ids) + np.cumsum(each) - each]),
+            np.concatenate([size, each]), np.concatenate([ids, pool[added]]),
+        )
+        if len(self.young[0]) > self.limit:
+            self.young, self.old = self._none(), self.young
+
+
+def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... (lengths[0] of them), starts[1], ..."""
+    upto = np.cumsum(lengths)
+    return np.repeat(starts - (upto - lengths), lengths) + np.arange(int(upto[-1]) if len(upto) else 0)
 
 
 class Encoder:
-    def __init__(self, path: str, remembered: int = 48 << 20, longest: int = 48):
+    def __init__(self, path: str, remembered: int = 800_000, longest: int = 48):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -70,8 +134,8 @@ class Encoder:
         self.by_parts = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" and self.tokenizer.normalizer is None
         self.longest = longest
         self.pieces = regex.compile(PIECES)
-        self.segments = Generations(remembered)
-        self.short = Generations(remembered // 16)  # pieces that end a segment: punctuation, numbers
+        self.segments = Segments(remembered, self.dtype)
+        self.parts = Pieces(remembered // 32)  # pieces of segments that are more than letters
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
@@ -84,35 +148,19 @@ class Encoder:
             chars = piece.encode().decode("latin-1").translate(BYTE_CHARS)
         return array(self.code, [t.id for t in self.model.tokenize(chars)]).tobytes()
 
-    def _tail(self, piece: str) -> bytes:
-        ids = self.short.get(piece)
-        if ids is None:
-            ids = self._piece(piece)
-            if len(piece) <= self.longest:
-                self.short.keep(piece, ids)
-        return ids
+    def _several(self, text: str) -> bytes:
+        """The ids of a stretch that begins at a piece's border."""
+        return b"".join([self.parts.get(p, self._piece) if len(p) <= self.longest else self._piece(p) for p in self.pieces.findall(text)])
 
-    def _segment(self, segment: str) -> bytes:
-        """The ids of a segment that stands after a space and is not remembered."""
-        if segment.isalpha():  # letters alone are one piece
-            if segment.isascii():
-                return array(self.code, [t.id for t in self.model.tokenize(SPACE + segment)]).tobytes()
-            return self._piece(" " + segment)
-        first, *others = self.pieces.findall(" " + segment)
-        # What a segment begins with is often remembered as a segment of its own.
-        ids = self.segments.get(first[1:]) if len(first) > 1 else None
-        if ids is None:
-            ids = self._piece(first)
-        return ids + b"".join(map(self._tail, others))
-
-    def _ids(self, segments: list[str]) -> list[bytes]:
-        """The ids of distinct segments."""
-        out = list(map(self.segments.young.get, segments))
-        for i in [i for i, ids in enumerate(out) if ids is None]:
-            segment = segments[i]
-            out[i] = ids = self.segments.get(segment) or self._segment(segment)
-            if len(segment) <= self.longest and segment not in self.segments.young:
-                self.segments.keep(segment, ids)
+    def _segments(self, segments: list[bytes]) -> list[bytes]:
+        """The ids of segments that stand after a space."""
+        out = []
+        for raw in segments:
+            if raw.isalpha():  # ASCII letters alone are one piece
+                out.append(array(self.code, [t.id for t in self.model.tokenize(SPACE + raw.decode())]).tobytes())
+                continue
+            segment = raw.decode()
+            out.append(self._piece(" " + segment) if segment.isalpha() else self._several(" " + segment))
         return out
 
     def encode_column(self, texts: pa.Array, part_bytes: int = 8 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -134,7 +182,7 @@ class Encoder:
         ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)
         heads = np.concatenate([[0], ends])[:n].astype(np.int64)  # places of the texts' first segments, which stand after no space
         coded = pc.dictionary_encode(pc.list_flatten(lists))
-        where, segments = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        where, segments = coded.indices.to_numpy().astype(np.int64), coded.dictionary.cast(pa.large_binary()).to_pylist()
         within = np.ones(len(where), bool)
         within[heads] = False
 
@@ -142,7 +190,7 @@ class Encoder:
         for a in self.added:
             alone |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
         # A space before white space or the end belongs to no segment: such texts are cut by a pattern.
-        loose = np.array([not x or x[0].isspace() for x in segments], bool)
+        loose = np.array([not x or x[0] not in PLAIN_FIRST and x.decode()[0].isspace() for x in segments], bool)
         cut = np.zeros(n, bool)
         cut[np.searchsorted(ends, np.flatnonzero(within & loose[where]), side="right")] = True
 
@@ -150,36 +198,37 @@ class Encoder:
         usable = within & ~np.repeat(special, np.diff(np.concatenate([[0], ends])))
         needed = np.zeros(len(segments), bool)
         needed[where[usable]] = True
-        pool = [b""] * len(segments)
-        at = np.flatnonzero(needed).tolist()
-        for i, ids in zip(at, self._ids([segments[i] for i in at]), strict=True):
-            pool[i] = ids
-        # Special texts keep their place: their first segment stands for all of their ids, the others for none.
-        nothing, begins = len(pool), {}
-        pool.append(b"")
-        where[~usable] = nothing
+        at = np.flatnonzero(needed)
+        starts, lengths = np.zeros(len(segments), np.int64), np.zeros(len(segments), np.int64)
+        starts[at], lengths[at], pool = self.segments.ids_of([segments[i] for i in at.tolist()], self._segments, self.longest)
+
+        # A text's first segment stands after no space. Those of special texts stand for all of their ids, their others for none.
+        own, begins = [b""], {}
+        where[~usable] = nothing = len(segments)
         first = coded.indices.to_numpy()[heads]
         for i, kind in enumerate(zip(alone.tolist(), cut.tolist(), strict=True)):
             if any(kind):
                 text = texts[i].as_py()
-                parts = [] if kind[0] else _CUT.split(text)
-                where[heads[i]] = len(pool)
-                pool.append(self._whole(text) if kind[0] else self._head(parts[0]) + b"".join(self._ids(parts[1:])))
+                where[heads[i]] = nothing + len(own)
+                own.append(self._whole(text) if kind[0] else self._cut_text(text))
                 continue
             head = int(first[i])
             if head not in begins:
-                begins[head] = len(pool)
-                pool.append(self._head(segments[head]))
+                begins[head] = nothing + len(own)
+                own.append(self._several(segments[head].decode()))
             where[heads[i]] = begins[head]
+        more = np.fromiter(map(len, own), np.int64, len(own)) // self.dtype.itemsize
+        starts = np.concatenate([starts, len(pool) + np.cumsum(more) - more])
+        lengths = np.concatenate([lengths, more])
+        pool = np.concatenate([pool, np.frombuffer(b"".join(own), self.dtype)])
 
-        lengths = np.array([len(x) for x in pool], np.int64) // self.dtype.itemsize
-        flat, starts, each = np.frombuffer(b"".join(pool), self.dtype), np.cumsum(lengths) - lengths, lengths[where]
+        each = lengths[where]
         upto = np.concatenate([[0], np.cumsum(each)])
-        ids = flat[np.repeat(starts[where] - upto[:-1], each) + np.arange(upto[-1])]
-        return ids, upto[np.concatenate([[0], ends])]
+        return pool[spans(starts[where], each)], upto[np.concatenate([[0], ends])]
 
-    def _head(self, segment: str) -> bytes:
-        return b"".join(map(self._tail, self.pieces.findall(segment)))
+    def _cut_text(self, text: str) -> bytes:
+        head, *rest = _CUT.split(text)
+        return b"".join([self._several(head), *self._segments([x.encode() for x in rest])])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as the library gives them without special tokens."""
