@@ -125,3 +125,40 @@ def test_language_id_without_labels(docs_of):
     assert langid.fit(df) is None
     assert [tuple(r) for r in langid.identify(df, None, []).collect()] == [("und", 0.0, True)] * 2
     assert langid.identify(df.filter("doc_id < 0"), None, ["doc_id"]).count() == 0
+
+
+def test_sample_has_many_ids_and_own_columns_stay(docs_of):
+    rows = [(i, t, lang) for i, t, lang in language_rows()]
+    hot = [(3, f"{t} {k}", "aa") for k, (_, t, _) in enumerate(rows * 4)] + [(5, "ting and", "aa")] * 400
+    df = docs_of(rows + hot).withColumn("score", F.lit(7)).withColumn("lang_pred", F.lit("mine")).withColumn("rejected", F.lit("no"))
+    model = langid.fit(df, sample_rows=300)
+    assert model.languages == ["aa", "bb", "cc"]
+    kept = langid.identified_documents(df, sample_rows=300)
+    assert kept.columns == df.columns
+    assert [tuple(r) for r in kept.select("score", "lang_pred", "rejected").distinct().collect()] == [(7, "mine", "no")]
+
+
+def naive_prediction(model, text):
+    """Subword by subword: logits of each, averaged; then the softmax."""
+    folded = bytes(b if b >= 128 else (b + 32 if 65 <= b <= 90 else (b if 97 <= b <= 122 else 32)) for b in b" " + text.encode() + b"    ")
+    total, n = np.zeros(len(model.languages)), 0
+    for size in langid.SIZES:
+        for i in range(len(folded) - 4):
+            if folded[i : i + 2] == b"  ":
+                continue
+            code = int.from_bytes(folded[i : i + size], "big") & 0xFFFFFFFF
+            total += model.logits[(((code + size) * 2654435761) & 0xFFFFFFFF) >> (32 - langid.BITS)]
+            n += 1
+    z = total / max(n, 1) + model.bias
+    p = np.exp(z - z.max())
+    return model.languages[int(p.argmax())], float((p / p.sum()).max())
+
+
+def test_predictions_equal_a_naive_version(docs_of):
+    df = docs_of(language_rows())
+    model = langid.fit(df)
+    texts = [t for _, t, _ in language_rows()[:40]] + ["Kuva, TALO 12!", "a", "мир and sata", "x\n\ny"]
+    best, scores = model.predict(texts)
+    for t, k, s in zip(texts, best, scores, strict=True):
+        name, score = naive_prediction(model, t)
+        assert model.languages[k] == name and abs(s - score) < 1e-4

@@ -147,3 +147,11 @@ def test_mix_of_nothing(docs_of):
 
 def test_crc(spark):
     assert spark.range(1).select(F.crc32(F.lit("añ").cast("binary"))).first()[0] == zlib.crc32("añ".encode())
+
+
+def test_mixed_documents_with_clashing_columns(docs_of):
+    df = docs_of([(i, "some words of a text " * 5, "en", f"s{i % 2}") for i in range(20)])
+    for c in ("pieces", "fp", "nth", "taken", "size", "block"):
+        df = df.withColumn(c, F.lit("x"))
+    got = mixing.mixed_documents(df, block_words=4, shard_slots=8)
+    assert got.columns == df.columns and {r.pieces for r in got.collect()} == {"x"}

@@ -76,3 +76,11 @@ def test_chunks_are_the_text_and_resynchronise(spark):
     a, b = (r[0] for r in df.select(exact_dedup.chunks_of(F.col("t"))).collect())
     assert "".join(a) == text and len(a) > 10
     assert len(set(a) & set(b)) > len(a) - 4
+
+
+def test_repeated_rows_under_one_fingerprint(spark):
+    """Equal rows share a key; all contents share one fingerprint."""
+    rows = [(1, "alpha"), (1, "alpha"), (2, "beta"), (3, "alpha ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = exact_dedup.exact_dedup(df, lambda chunk: F.length(chunk) * 0)
+    assert sorted(((r.doc_id, r.group_size) for r in got.collect())) == [(1, 3), (1, 3), (2, 1), (3, 3)]

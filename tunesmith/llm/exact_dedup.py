@@ -57,7 +57,7 @@ def verified_recipes(docs: DataFrame, recipes: DataFrame, fingerprint=fingerprin
     # Some fingerprints stand for several contents: number those, and rewrite the recipes by content.
     hit = chunks.join(shared, "fp")
     several = hit.select("fp", "chunk").distinct().groupBy("fp").agg(F.sort_array(F.collect_list("chunk")).alias("all"))
-    fixed = hit.join(several, "fp").select("row", "pos", (F.array_position("all", F.col("chunk")) - 1).cast("int").alias("variant"))
+    fixed = hit.join(several, "fp").select("row", "pos", (F.array_position("all", F.col("chunk")) - 1).cast("int").alias("variant")).distinct()  # equal rows share a key
     per_row = fixed.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("pos", "variant"))).alias("variants"))
     numbered = recipes.join(per_row, "row", "left").withColumn("variants", F.coalesce("variants", F.expr("map()").cast("map<int,int>")))
     return numbered.withColumn("ids", F.transform("fps", lambda f, i: F.struct(f.alias("fp"), F.coalesce(F.element_at("variants", i), F.lit(0)).alias("variant")))).drop("variants")

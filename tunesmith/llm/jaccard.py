@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from tunesmith.llm.common import compressed, decompress, read_table, stored, text_of, utf8
 from tunesmith.llm.shingles import mixed, shingles, slices
+from tunesmith.plans.components import components
 
 LAST = (1 << 63) - 1
 WORD = r"[^\x20\x09-\x0D]"
@@ -140,25 +141,7 @@ def _stars(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int
     return [(int(i), int(s)) for i, s in zip(ids, smallest[root], strict=True) if i != s]
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, root: the smallest node of each connected component of ``edges`` (u, v), u != v."""
-    e = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "component-edges")
-    state = None
-    while True:
-        both = e.union(e.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("m", "u").alias("m"))
-        large = both.join(least, F.col("u") == F.col("w")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w")
-        small = large.join(down, F.col("u") == F.col("w")).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = stored(small.union(down.select("w", "m")).distinct(), "component-edges")
-        # Each component is a star around its smallest node once nothing changes any more.
-        seen = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == state:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = seen
-
-
-def _classes(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5), tolerance: float = 1e-9, band_rows: int = 4, block_rows: int = 256, block_bytes: int = 8 << 20) -> tuple[DataFrame, DataFrame]:
+def _classes(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5), tolerance: float = 1e-9, band_rows: int = 4, block_rows: int = 256, block_bytes: int = 4 << 20) -> tuple[DataFrame, DataFrame]:
     """doc, cls of every row of ``docs`` (doc_id, text), and for each class c: n_links, copies, and the
     first document of its group (class: its number, fp: the hash of its text)."""
     need = [least_matches(share[0] / share[1], tolerance, n) for n in range(STEP, VALUES + 1, STEP)]

@@ -5,8 +5,8 @@ other than letters count as one space, hashed into ``BUCKETS`` rows of an embedd
 table. A document is the average of the embeddings of all its subwords (whole text); a linear
 softmax layer over it gives the language. Both are trained by stochastic gradient descent in numpy.
 
-Training reads a bounded sample: the ``sample_rows`` labelled rows with the smallest hash
-of doc_id among those whose crc32(doc_id as text) mod 3 is not 1 (the rows with remainder 1
+Training reads a bounded sample: ``sample_rows`` distinct labelled rows by the hash
+of doc_id, text and lang among those whose crc32(doc_id as text) mod 3 is not 1 (the rows with remainder 1
 are held out). Remainder 2 trains; remainder 0 calibrates: a temperature makes the
 softmax a probability, and a document is rejected when its score is below the
 ``reject_share`` quantile of the scores of calibration rows that were predicted right (at most
@@ -150,9 +150,16 @@ def remainder() -> Column:
 def fit(docs: DataFrame, sample_rows: int = 3000, **options) -> Model | None:
     """The model of the sample described above; at most ``sample_rows`` bags reach the driver."""
     spark = docs.sparkSession
-    labelled = docs.select("doc_id", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (remainder() != 1))
-    chosen = labelled.select(F.col("doc_id").cast("long").alias("doc_id")).orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id").limit(sample_rows).collect()
-    ids = spark.createDataFrame([(i,) for i in sorted({r.doc_id for r in chosen})], "doc_id long")
+    lettered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"), remainder().cast("long").alias("fold"))
+    lettered = lettered.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.col("fold") != 1) & F.col("text").rlike(r"\p{L}"))
+    lettered = lettered.withColumn("of", F.xxhash64("text")).withColumn("place", F.xxhash64(F.lit(29), "doc_id", "of", "lang"))
+    # Distinct rows in the order of their hashes, from a range of hashes that holds some times as many rows as wanted.
+    keys = lettered.select("place", "doc_id", "of", "lang")
+    n = keys.count()
+    if n > 20 * sample_rows:
+        keys = keys.filter(F.pmod("place", F.lit(1 << 30)) < F.lit(int(20 * sample_rows / n * (1 << 30))))
+    chosen = keys.distinct().orderBy("place", "doc_id", "of", "lang").limit(sample_rows).collect()
+    places = spark.createDataFrame([(r.place, r.doc_id, r.of, r.lang) for r in chosen], "place long, doc_id long, of long, lang string")
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,43 +168,48 @@ def fit(docs: DataFrame, sample_rows: int = 3000, **options) -> Model | None:
                 {"doc_id": batch.column("doc_id"), "lang": batch.column("lang"), "fold": batch.column("fold"), "at": pa.array([a for a, _ in found], pa.list_(pa.int32())), "share": pa.array([s for _, s in found], pa.list_(pa.float32()))}
             )
 
-    lettered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"), remainder().cast("long").alias("fold")).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # At most sample_rows ids: a bounded broadcast.
-    found = lettered.join(F.broadcast(ids), "doc_id").mapInArrow(bags, "doc_id long, lang string, fold long, at array<int>, share array<float>").toArrow()
+    # At most sample_rows keys: a bounded broadcast. Rows that repeat a text under one id and language are one.
+    sample = lettered.join(F.broadcast(places), ["place", "doc_id", "of", "lang"]).dropDuplicates(["place", "doc_id", "of", "lang"])
+    found = sample.select("doc_id", "text", "lang", "fold").mapInArrow(bags, "doc_id long, lang string, fold long, at array<int>, share array<float>").toArrow()
     columns = [found.column(c).to_pylist() for c in ("doc_id", "lang", "fold")]
     lists = [[x.values.to_numpy() for x in found.column(c)] for c in ("at", "share")]
-    rows = sorted(zip(*columns, *lists, strict=True), key=lambda r: (r[0], r[1], len(r[3]), r[3].tobytes()))[: 2 * sample_rows]
+    rows = sorted(zip(*columns, *lists, strict=True), key=lambda r: (r[0], r[1], len(r[3]), r[3].tobytes()))
     return train([r[1:] for r in rows], **options)
 
 
-def identify(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with lang_pred, score and rejected (which replace columns of these names)."""
+NAMES = ("lang_pred", "score", "rejected")
+
+
+def identify(docs: DataFrame, model: Model | None, keep: list[str], names: tuple[str, str, str] = NAMES) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with language, score and whether it is rejected, under ``names`` (which replace columns
+    of these names)."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)  # BUCKETS x languages floats
-    keep = [c for c in keep if c not in ("lang_pred", "score", "rejected")]
-    rows = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"), *([] if "text" in keep else ["text"]))
-    schema = rows.select(*keep).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    keep = [c for c in keep if c not in names]
+    rows = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"), F.col("text").alias("_text"))
+    schema = rows.select(*keep).schema.add(names[0], "string").add(names[1], "double").add(names[2], "boolean")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            texts, letters = batch.column("text").to_pylist(), batch.column("_letters").to_pylist()
-            names, scores = ["und"] * len(texts), [0.0] * len(texts)
+            texts, letters = batch.column("_text").to_pylist(), batch.column("_letters").to_pylist()
+            found, scores = ["und"] * len(texts), [0.0] * len(texts)
             usable = [i for i, x in enumerate(letters) if x] if model else []
             for some in runs_of(usable, texts):
                 for i, k, s in zip(some, *model.predict([texts[i] for i in some]), strict=True):
-                    names[i], scores[i] = model.languages[k], float(min(1.0, max(0.0, s)))
-            gone = [n == "und" or s < model.reject for n, s in zip(names, scores, strict=True)]
-            columns = [batch.column(c) for c in keep] + [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(gone, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score", "rejected"])
+                    found[i], scores[i] = model.languages[k], float(min(1.0, max(0.0, s)))
+            gone = [n == "und" or s < model.reject for n, s in zip(found, scores, strict=True)]
+            columns = [batch.column(c) for c in keep] + [pa.array(found, pa.string()), pa.array(scores, pa.float64()), pa.array(gone, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])
 
     return rows.mapInArrow(predict, schema)
 
 
 def identified_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents that are not rejected, with their own columns."""
-    out = identify(docs, fit(docs, **options), docs.columns)
-    return out.filter(~F.col("rejected")).select(*docs.columns)
+    names = tuple(f"_language_id_{n}" for n in NAMES)
+    out = identify(docs, fit(docs, **options), docs.columns, names)
+    return out.filter(~F.col(names[2])).select(*docs.columns)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -152,15 +152,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, bl
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents with the text that the mix takes of each: its taken words in order, and once
     more, on a new line, those taken twice, and so on. Documents of which nothing is taken go."""
-    plan = mix(docs, **options).filter("taken > 0").select(F.col("doc_id").alias("_doc"), F.col("fp").alias("_fp"), F.col("nth").alias("_nth"), "pieces")
+    plan = mix(docs, **options).filter("taken > 0").select(F.col("doc_id").alias("_doc"), F.col("fp").alias("_fp"), F.col("nth").alias("_nth"), F.col("pieces").alias("_pieces"))
     rows = docs.withColumn("_hash", F.xxhash64("text"))
     rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id", "_hash").orderBy("source")))
     met = rows.join(plan, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_fp")) & (F.col("_row") == F.col("_nth")))
-    most = F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: F.greatest(a, p["times"]))
+    most = F.aggregate("_pieces", F.lit(0).cast("long"), lambda a, p: F.greatest(a, p["times"]))
 
     def taken(words: Column) -> Column:  # with the words bound once, not computed again for each piece
         def copy(k: Column) -> Column:
-            pieces = F.filter("pieces", lambda p: p["times"] >= k)
+            pieces = F.filter("_pieces", lambda p: p["times"] >= k)
             return F.array_join(F.transform(pieces, lambda p: F.array_join(F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")), "")), "")
 
         return F.array_join(F.transform(F.sequence(F.lit(1).cast("long"), most), copy), "\n")

@@ -163,7 +163,7 @@ class Encoder:
             out.append(self._piece(" " + segment) if segment.isalpha() else self._several(" " + segment))
         return out
 
-    def encode_column(self, texts: pa.Array, part_bytes: int = 8 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def encode_column(self, texts: pa.Array, part_bytes: int = 4 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids, offsets) for runs of about ``part_bytes`` of a string column: row first + i has
         ids[offsets[i]:offsets[i + 1]], as the library gives them without special tokens; null has none."""
         texts = texts.cast(pa.large_string())
