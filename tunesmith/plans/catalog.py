@@ -1145,7 +1145,7 @@ def q_metric_uncertainty(spark, sf_dir):
 
 # ---------------------------------------------------------------- A: remaining sources and sinks
 
-from tunesmith.session import shared_scratch  # noqa: E402
+from tunesmith.session import shared_scratch, stored_once  # noqa: E402
 from tunesmith.sources import io  # noqa: E402
 
 
@@ -1258,13 +1258,42 @@ def q_near_dup_pairs(spark, sf_dir):
     return p.select("id_a", "id_b", F.col("inter").cast("long"), F.col("union").cast("long"), round6("jaccard").alias("jaccard"))
 
 
+@register(
+    "near_dup_links",
+    S.with_(
+        *NEARDUP_CTES,
+        "n AS (SELECT rep, count(*) AS copies FROM sg JOIN reps USING (sig) GROUP BY rep)",
+        "e AS (SELECT id_a AS x, id_b AS y FROM pairs UNION ALL SELECT id_b, id_a FROM pairs)",
+        "l AS (SELECT x AS rep, sum(n.copies) AS links FROM e JOIN n ON n.rep = e.y GROUP BY x)",
+    )
+    + """SELECT sg.doc_id, n.rep, n.copies::BIGINT AS copies, (n.copies - 1 + coalesce(l.links, 0))::BIGINT AS n_links
+FROM sg JOIN reps USING (sig) JOIN n ON n.rep = reps.rep LEFT JOIN l ON l.rep = n.rep""",
+)
+def q_near_dup_links(spark, sf_dir):
+    """C3, one row for each document."""
+    return neardup.near_dup_links(_docs(spark, sf_dir))
+
+
 @register("near_dup_minhash")
 def q_near_dup_minhash(spark, sf_dir):
-    """Approximate candidates, exact verification: a subset of near_dup_pairs (recall is tested)."""
+    """Approximate candidates, exact verification: a subset of near_dup_pairs (``near_dup_recall`` says how much of it)."""
     p = neardup.near_dup_minhash(_docs(spark, sf_dir))
     return p.select("id_a", "id_b", round6("jaccard").alias("jaccard"))
 
 
+@register(
+    "near_dup_recall",
+    S.with_(*NEARDUP_CTES) + "SELECT count(*)::BIGINT AS n_pairs, true AS recall_ok, 0::BIGINT AS n_wrong FROM pairs",
+)
+def q_near_dup_recall(spark, sf_dir):
+    """C4 against C3: whether MinHash finds at least 0.9 of the pairs, and how many pairs it reports that are none."""
+    exact = stored_once(neardup.near_dup_pairs(_docs(spark, sf_dir)).select("id_a", "id_b"), "near-dup-exact")
+    found = neardup.near_dup_minhash(_docs(spark, sf_dir)).select("id_a", "id_b", F.lit(1).alias("found"))
+    both = exact.withColumn("exact", F.lit(1)).join(found, ["id_a", "id_b"], "full")
+    n, hit = F.sum(F.coalesce("exact", F.lit(0))), F.count_if(F.col("exact").isNotNull() & F.col("found").isNotNull())
+    return both.agg(F.coalesce(n, F.lit(0)).cast("long").alias("n_pairs"), (hit >= F.lit(0.9) * F.coalesce(n, F.lit(0))).alias("recall_ok"), F.count_if(F.col("exact").isNull()).cast("long").alias("n_wrong"))
+
+
 @register(
     "near_dup_clusters",
     "WITH RECURSIVE "
