@@ -103,21 +103,42 @@ def exact_rank(
     return out.drop("_bucket", "_w", "_base_n", "_base_w", "_total_n", "_total_w")
 
 
-def exact_percentile(df: DataFrame, keys: list[str], value: str, q: float, out: str, resolution: float = 0.01) -> DataFrame:
+def exact_percentile(df: DataFrame, keys: list[str], value: str, q: float, out: str, resolution: float = 0.01, panes: list[str] | None = None, regroup=None) -> DataFrame:
     """keys, ``out``: the percentile of ``value`` (linear between ranks) in each group, without holding a group's values.
 
     Values are counted by bin of ``resolution`` (partial aggregation); running counts over the bins
-    tell which bin holds the two ranks that are needed, and only rows of those bins are ordered."""
-    some = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    tell which bins hold the two ranks that are needed. Of these bins alone the distinct values are counted, and ranked by
+    their counts: a value that very many rows hold is one row from the map side on, and no rows are sorted.
+
+    With ``panes`` the rows are counted by these columns, and ``regroup`` turns counted rows (panes and others) into rows of
+    ``keys`` (panes kept): overlapping groups are merged from the counts of their panes, and rows themselves are never copied."""
+    panes = keys if panes is None else panes
+    regroup = regroup or (lambda counted: counted)
+    some = df.filter(F.col(value).isNotNull()).select(*panes, F.col(value).cast("double").alias("_v"))
     some = some.withColumn("_bin", F.floor(F.col("_v") / resolution))
-    bins = some.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    by_pane = regroup(some.groupBy(*panes, "_bin").agg(F.count(F.lit(1)).alias("_n")))
     by = Window.partitionBy(*keys)
+    bins = by_pane.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_n"))
     bins = bins.withColumn("_before", F.coalesce(F.sum("_n").over(by.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     bins = bins.withColumn("_at", (F.sum("_n").over(by) - 1) * F.lit(q))
     low, high = F.floor("_at"), F.ceil("_at")
-    bins = bins.filter((F.col("_before") <= high) & (F.col("_before") + F.col("_n") > low))
-    held = some.join(bins.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_bin").alias("_b"), "_before", "_at"), [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_bin") == F.col("_b")])
-    rank = F.col("_before") + F.row_number().over(Window.partitionBy(*keys, "_bin").orderBy("_v")) - 1
-    ranked = held.withColumn("_rank", rank).filter((F.col("_rank") == low) | (F.col("_rank") == high))
+    bins = bins.filter((F.col("_before") <= high) & (F.col("_before") + F.col("_n") > low)).drop("_n")
+    # Which bins of which panes are needed: as few rows as groups, times two.
+    needed = _joined(by_pane.select(*dict.fromkeys([*panes, *keys]), "_bin"), bins.select(*keys, "_bin"), [*keys, "_bin"]).select(*panes, "_bin").distinct()
+    counted = _joined(some, needed, [*panes, "_bin"]).groupBy(*panes, "_bin", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    values = regroup(counted).groupBy(*keys, "_bin", "_v").agg(F.sum("_c").alias("_c"))
+    held = _joined(values, bins, [*keys, "_bin"])
+    upto = F.col("_before") + F.sum("_c").over(Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = held.withColumn("_upto", upto)
+    # A value stands at the ranks from _upto - _c to _upto - 1.
+    at = lambda rank: F.max(F.when((F.col("_upto") - F.col("_c") <= rank) & (F.col("_upto") > rank), F.col("_v")))
     share = F.max("_at") - F.floor(F.max("_at"))
-    return ranked.groupBy(*keys).agg((F.min("_v") + (F.max("_v") - F.min("_v")) * share).alias(out))
+    ends = ranked.groupBy(*keys).agg(at(low).alias("_low"), at(high).alias("_high"), share.alias("_share"))
+    return ends.select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).alias(out))
+
+
+def _joined(rows: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` with what ``few`` adds to its rows of equal ``on`` (nulls are equal); its columns come once."""
+    renamed = few.select(*[F.col(c).alias(f"_on{i}") for i, c in enumerate(on)], *[c for c in few.columns if c not in on])
+    met = rows.join(renamed, [F.col(c).eqNullSafe(F.col(f"_on{i}")) for i, c in enumerate(on)])
+    return met.drop(*[f"_on{i}" for i in range(len(on))])
