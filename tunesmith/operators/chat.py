@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MESSAGE_TYPE = "array<struct<role:string,content:string>>"
@@ -126,8 +126,6 @@ def assemble_conversations(turns: DataFrame) -> DataFrame:
 
 def history_per_turn(turns: DataFrame) -> DataFrame:
     """One row per assistant turn with every message before it (what the model saw)."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
     hist = turns.withColumn("_h", F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))).over(w))
     return hist.filter(F.col("role") == "assistant").select(
@@ -138,6 +136,47 @@ def history_per_turn(turns: DataFrame) -> DataFrame:
     )
 
 
+def conversation_segments(turns: DataFrame, size: int = 256) -> DataFrame:
+    """D6 for conversations of any length: a conversation as a chain of segments, (conv_id, segment, messages, n_before).
+
+    A segment holds the messages whose turn numbers lie in [segment * size, (segment + 1) * size), in order, so
+    at most ``size`` where turns don't repeat; ``n_before`` is how many messages come before it. Segments are grouped by
+    (conv_id, segment), so a conversation of very many turns is built by many tasks; what runs along a conversation is a window
+    over the counts of its segments, a row for each ``size`` messages. Turns without a number come first."""
+    placed = turns.select("conv_id", F.coalesce(F.floor(F.col("turn") / size), F.lit(NO_SEGMENT)).alias("segment"), F.struct("turn", "role", F.col("text").alias("content")).alias("_m"))
+    grouped = placed.groupBy("conv_id", "segment").agg(F.array_sort(F.collect_list("_m")).alias("_t"))
+    before = Window.partitionBy("conv_id").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    # Counted before the messages are there: only (conv_id, segment, count) passes the window.
+    counts = placed.groupBy("conv_id", "segment").agg(F.count(F.lit(1)).alias("_n")).withColumn("n_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    few = counts.select(F.col("conv_id").alias("_conv"), F.col("segment").alias("_segment"), "n_before")
+    # Merged, so that the segments are never sent to the tasks that hold the counts of one conversation.
+    met = grouped.join(few.hint("merge"), F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("segment") == F.col("_segment")))
+    messages = F.transform("_t", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"), x["turn"].alias("turn")))
+    return met.select("conv_id", "segment", messages.alias("messages"), "n_before")
+
+
+NO_SEGMENT = -(1 << 62)
+
+
+def history_references(turns: DataFrame, size: int = 256) -> DataFrame:
+    """D7 for conversations of any length: one row per assistant turn whose history is a reference, (conv_id, turn, segment, end, n_history, reply).
+
+    The history of the turn is every ``conversation_segments`` of the conversation before ``segment`` and the first ``end`` messages
+    of that one, ``n_history`` in all; so a turn costs one row however long its history is. ``history_of`` reads one back."""
+    inside = F.posexplode("messages").alias("end", "_m")
+    rows = conversation_segments(turns, size).select("conv_id", "segment", "n_before", inside).filter(F.col("_m.role") == "assistant")
+    return rows.select("conv_id", F.col("_m.turn").alias("turn"), "segment", F.col("end"), (F.col("n_before") + F.col("end")).alias("n_history"), F.col("_m.content").alias("reply"))
+
+
+def history_of(segments: DataFrame, reference, window: int | None = None) -> DataFrame:
+    """(place, role, content) of the history that one row of ``history_references`` names, its last ``window`` messages if given."""
+    mine = segments.filter(F.col("conv_id").eqNullSafe(F.lit(reference["conv_id"])) & (F.col("segment") <= F.lit(reference["segment"])))
+    rows = mine.select("n_before", F.posexplode("messages").alias("_p", "_m"))
+    placed = rows.select((F.col("n_before") + F.col("_p")).alias("place"), F.col("_m.role").alias("role"), F.col("_m.content").alias("content"))
+    first = 0 if window is None else max(0, reference["n_history"] - window)
+    return placed.filter((F.col("place") < F.lit(reference["n_history"])) & (F.col("place") >= F.lit(first)))
+
+
 def turn_key(conv="conv_id", turn="turn") -> Column:
     """(conv_id, turn) as one number, conv_id * 2^32 + turn, as a decimal that holds it for every 64-bit conv_id (hashed and
     negative ones too). Two pairs never share a key; a turn that isn't between 0 and 2^32 - 1 fails the job instead."""

@@ -124,18 +124,34 @@ def metric_uncertainty(df: DataFrame, metric_col: str, group_cols=(), z: float =
     )
 
 
-def bootstrap_means(df: DataFrame, metric_col: str, id_col: str = "row_id", n_boot: int = 100, seed: int = 42) -> DataFrame:
-    """H7 bootstrap: md5-derived Poisson(1) weights per (replicate, row); one mean per replicate.
-
-    The replicate index is a small fixed-size array exploded next to each row,
-    so each row is read once and weights need no random state.
-    """
-    reps = F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("rep")
-    u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("rep").cast("string"), F.col(id_col).cast("string"))), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
+def bootstrap_weights(id_col: str, n_boot: int, seed: int) -> Column:
+    """array<double>: the Poisson(1) weight of a row in each replicate, from an md5 of "<seed>|<replicate>|<id>"."""
     # Poisson(1) by inverse CDF over its first terms (P(k > 8) < 1e-5).
     cdf = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(9)]
-    w = F.lit(9)
-    for k in reversed(range(9)):
-        w = F.when(u < F.lit(cdf[k]), F.lit(k)).otherwise(w)
-    x = df.select(id_col, metric_col, reps).withColumn("_w", w)
-    return x.groupBy("rep").agg((F.sum(F.col(metric_col) * F.col("_w")) / F.sum("_w")).alias("mean"))
+
+    def weight(rep):
+        u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), rep.cast("string"), F.col(id_col).cast("string"))), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
+        # How many of the bounds lie at or below u; the bounds are a literal.
+        return F.size(F.filter(F.lit(cdf), lambda bound: bound <= u)).cast("double")
+
+    return F.transform(F.sequence(F.lit(0), F.lit(n_boot - 1)), weight)
+
+
+def bootstrap_means(df: DataFrame, metric_col: str, id_col: str = "row_id", n_boot: int = 100, seed: int = 42, group_cols=()) -> DataFrame:
+    """H7 bootstrap: md5-derived Poisson(1) weights per (replicate, row); group, rep, mean per replicate.
+
+    A row carries its weights as one array, and one aggregate adds up all replicates at once (combined on the map side):
+    rows are not copied for the replicates, weights need no random state, and a lost task computes the same
+    ones again. Rows without a metric don't count; a replicate that draws no row is left out."""
+    w = df.filter(F.col(metric_col).isNotNull()).select(*group_cols, F.col(metric_col).cast("double").alias("_m"), bootstrap_weights(id_col, n_boot, seed).alias("_w"))
+    sums = w.groupBy(*group_cols).agg(*[F.sum(F.col("_w")[k]).alias(f"_w{k}") for k in range(n_boot)], *[F.sum(F.col("_w")[k] * F.col("_m")).alias(f"_s{k}") for k in range(n_boot)])
+    each = sums.select(*group_cols, F.posexplode(F.array(*[F.struct(F.col(f"_w{k}").alias("w"), F.col(f"_s{k}").alias("s")) for k in range(n_boot)])).alias("rep", "_p"))
+    return each.filter("_p.w > 0").select(*group_cols, "rep", (F.col("_p.s") / F.col("_p.w")).alias("mean"))
+
+
+def bootstrap_interval(df: DataFrame, metric_col: str, id_col: str = "row_id", n_boot: int = 100, seed: int = 42, group_cols=(), level: float = 0.95) -> DataFrame:
+    """H7: group, n_boot, and the percentile interval (linear between ranks) of the replicate means."""
+    tail = (1 - level) / 2
+    means = bootstrap_means(df, metric_col, id_col, n_boot, seed, group_cols)
+    q = F.percentile("mean", F.array(F.lit(tail), F.lit(1 - tail)))  # over n_boot values for each group
+    return means.groupBy(*group_cols).agg(F.count("mean").alias("n_boot"), q.alias("_q")).select(*group_cols, "n_boot", F.col("_q")[0].alias("ci_low"), F.col("_q")[1].alias("ci_high"))

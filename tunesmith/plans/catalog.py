@@ -7,6 +7,7 @@ bigint and doubles rounded to 6 places, so both engines hash the same values.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -744,6 +745,17 @@ def q_preference_split(spark, sf_dir):
     return prefs.preference_split(v).select("row_id", "split")
 
 
+@register(
+    "preference_split_by_prompt",
+    S.with_(*PREF_CTES, VALID_PREFS)
+    + f"""SELECT row_id, CASE WHEN ('0x' || substr({S.md5_key(42, 'prompt')}, 1, 13))::BIGINT / 4503599627370496.0 < 0.2::DOUBLE THEN 'test' ELSE 'train' END AS split FROM valid""",
+)
+def q_preference_split_by_prompt(spark, sf_dir):
+    """J2 without leaks: all pairs of a prompt in one split."""
+    v = prefs.validate_preferences(V.preferences(spark, sf_dir))
+    return prefs.preference_split(v, by_prompt=True).select("row_id", "split")
+
+
 @register(
     "preference_truncate",
     S.with_(
@@ -944,6 +956,30 @@ def q_history_per_turn(spark, sf_dir):
     )
 
 
+@register(
+    "conversation_segments",
+    """SELECT conv_id, segment::BIGINT AS segment, n::BIGINT AS n_messages, roles, chars::BIGINT AS n_chars, coalesce(sum(n) OVER (PARTITION BY conv_id ORDER BY segment ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS n_before
+FROM (SELECT conv_id, turn // 3 AS segment, count(*) AS n, string_agg(role, ',' ORDER BY turn) AS roles, sum(length(text)) AS chars FROM conversations GROUP BY ALL)""",
+)
+def q_conversation_segments(spark, sf_dir):
+    """D6 in segments of three turns."""
+    c = chat.conversation_segments(V.turns(spark, sf_dir), size=3)
+    chars = F.aggregate("messages", F.lit(0).cast("long"), lambda a, m: a + F.length(m["content"]))
+    return c.select("conv_id", F.col("segment").cast("long"), F.size("messages").cast("long").alias("n_messages"), F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"), chars.alias("n_chars"), F.col("n_before").cast("long"))
+
+
+@register(
+    "history_references",
+    """SELECT conv_id, turn::BIGINT AS turn, segment::BIGINT AS segment, "end"::BIGINT AS "end", n_history::BIGINT AS n_history, reply FROM (
+  SELECT conv_id, turn, role, text AS reply, turn // 3 AS segment, row_number() OVER (PARTITION BY conv_id, turn // 3 ORDER BY turn) - 1 AS "end", row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS n_history FROM conversations)
+WHERE role = 'assistant'""",
+)
+def q_history_references(spark, sf_dir):
+    """D7 by reference into segments of three turns."""
+    h = chat.history_references(V.turns(spark, sf_dir), size=3)
+    return h.select("conv_id", *[F.col(c).cast("long") for c in ("turn", "segment", "end", "n_history")], "reply")
+
+
 @register("turns_to_instructions", S.with_(S.INSTR_TURNS) + "SELECT row_id, instruction, output FROM instr_turns")
 def q_turns_to_instructions(spark, sf_dir):
     return V.instr_turns(spark, sf_dir).select("row_id", "instruction", "output")
@@ -1355,6 +1391,21 @@ def q_throughput(spark, sf_dir):
     return t.select("adapter", F.col("n").cast("long"), F.col("tokens").cast("long"), round6("elapsed").alias("elapsed"), round6("tokens_per_sec").alias("tokens_per_sec"))
 
 
+@register(
+    "throughput_non_pad",
+    S.with_(*ENCODED_CTES, S.TRUNC_PAD)
+    + """SELECT batch_id::BIGINT AS batch_id, count(*)::BIGINT AS n, sum(L)::BIGINT AS padded_tokens, sum(list_sum(mask))::BIGINT AS tokens, round(sum(L) / 1000, 6) AS elapsed,
+       round(sum(list_sum(mask)) / greatest(sum(L) / 1000, 1e-6), 6) AS tokens_per_sec FROM padded GROUP BY batch_id""",
+)
+def q_throughput_non_pad(spark, sf_dir):
+    """K3 without pad tokens: a batch takes a millisecond for each position; only positions that aren't padding count as tokens."""
+    p = padded_batch(spark, sf_dir).withColumn("_real", F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x))
+    t = infer.throughput(p, F.col("_real"), F.col("padded_length") / 1000, ["batch_id"]).withColumnRenamed("batch_id", "_batch")
+    all_positions = p.groupBy("batch_id").agg(F.sum("padded_length").alias("padded_tokens"))
+    t = t.join(all_positions, F.col("_batch") == F.col("batch_id"))
+    return t.select(F.col("batch_id").cast("long"), F.col("n").cast("long"), F.col("padded_tokens").cast("long"), F.col("tokens").cast("long"), round6("elapsed").alias("elapsed"), round6("tokens_per_sec").alias("tokens_per_sec"))
+
+
 ADAPTERS = ("view", "click", "purchase")
 
 
@@ -1555,3 +1606,30 @@ def q_length_quantiles(spark, sf_dir):
     q = stats.length_quantiles(rows, "n_tokens", group_cols=["lang"])
     held = stats.within_rank(rows, q.drop("n_rows"), "n_tokens", ["lang"])
     return q.join(held.select(F.col("lang").alias("_lang"), F.col("prob").alias("_prob"), "within"), F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("prob") == F.col("_prob"))).select("lang", "prob", F.col("n_rows").cast("long"), "within")
+
+
+# ---------------------------------------------------------------- H7: bootstrap
+
+_POISSON = " ".join(f"WHEN u < {sum(math.exp(-1) / math.factorial(i) for i in range(k + 1))!r}::DOUBLE THEN {k}" for k in range(9))
+BOOTSTRAP_CTES = [
+    f"""boot AS (SELECT lang, rep, sum(w * m) / sum(w) AS mean FROM (
+  SELECT lang, rep, m, CASE {_POISSON} ELSE 9 END AS w FROM (
+    SELECT lang, rep, n_chars::DOUBLE AS m, ('0x' || substr(md5('42|' || rep || '|' || doc_id), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM documents, range(100) r(rep)))
+GROUP BY lang, rep HAVING sum(w) > 0)"""
+]
+
+
+@register("bootstrap_means", S.with_(*BOOTSTRAP_CTES) + "SELECT lang, rep::BIGINT AS rep, round(mean, 6) AS mean FROM boot")
+def q_bootstrap_means(spark, sf_dir):
+    """H7: mean characters by language in a hundred replicates."""
+    b = stats.bootstrap_means(_docs(spark, sf_dir), "n_chars", "doc_id", 100, 42, ["lang"])
+    return b.select("lang", F.col("rep").cast("long"), round6("mean").alias("mean"))
+
+
+@register(
+    "bootstrap_interval",
+    S.with_(*BOOTSTRAP_CTES) + "SELECT lang, count(mean)::BIGINT AS n_boot, round(quantile_cont(mean, 0.025), 6) AS ci_low, round(quantile_cont(mean, 0.975), 6) AS ci_high FROM boot GROUP BY lang",
+)
+def q_bootstrap_interval(spark, sf_dir):
+    b = stats.bootstrap_interval(_docs(spark, sf_dir), "n_chars", "doc_id", 100, 42, ["lang"])
+    return b.select("lang", F.col("n_boot").cast("long"), round6("ci_low").alias("ci_low"), round6("ci_high").alias("ci_high"))
