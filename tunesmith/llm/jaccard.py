@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import compressed, decompress, read_table, stored, text_of, utf8
+from tunesmith.llm.common import compressed, decompress, read_table, stored, text_of, tidied, utf8
 from tunesmith.llm.shingles import mixed, shingles, slices
 from tunesmith.plans.components import components
 
@@ -159,7 +159,7 @@ def _classes(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5), toler
                     cls[i], sigs[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), s.tobytes()
                 yield pa.RecordBatch.from_pydict({"doc": batch.column("doc").slice(a, b - a), "fp": batch.column("fp").slice(a, b - a), "cls": pa.array(cls, pa.binary()), "n": pa.array([len(s) for s in sets], pa.int64()), "sig": pa.array(sigs, pa.binary())})
 
-    sketches = stored(rows.mapInArrow(sketch, "doc long, fp long, cls binary, n long, sig binary"), "jaccard-sketches")
+    sketches = stored(rows.mapInArrow(tidied(sketch), "doc long, fp long, cls binary, n long, sig binary"), "jaccard-sketches")
     grouped = sketches.filter("n > 0").groupBy("cls", "n", "sig").agg(F.min(F.struct("doc", "fp")).alias("first"), F.count("*").alias("weight"))
     grouped = grouped.select("cls", "n", "sig", F.col("first.doc").alias("rep"), F.col("first.fp").alias("fp"), "weight")
     # A short number for each class; fixed, as the table is written.
@@ -173,7 +173,7 @@ def _classes(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5), toler
             at = pa.array(np.repeat(np.arange(len(sig)), keys.shape[1]))
             yield pa.RecordBatch.from_pydict({"key": pa.array(keys.reshape(-1)), "id": batch.column("id").take(at)})
 
-    keyed = classes.select("id", "sig").mapInArrow(bands, "key long, id long")
+    keyed = classes.select("id", "sig").mapInArrow(tidied(bands), "key long, id long")
     # Written, so that the join below has exchanges of its own, which AQE can split where a band is crowded.
     heads = stored(keyed.groupBy("key").agg(F.count("*").alias("held"), F.min("id").alias("head")).filter("held > 1").select(F.col("key").alias("of"), "head"), "jaccard-heads")
     near = stored(keyed.join(heads, F.col("key") == F.col("of")).select("key", "id", "head"), "jaccard-near")
@@ -203,7 +203,7 @@ def _classes(docs: DataFrame, k: int = 5, share: tuple[int, int] = (4, 5), toler
 
     # The texts are shuffled, compressed, at every size of the other side: one plan for all inputs.
     wanted = blocks.select(F.col("rep").alias("doc"), "fp").distinct().hint("merge")
-    texts = compressed(rows, "doc", "fp").join(wanted, ["doc", "fp"]).select("z").mapInArrow(sets_of, "c binary, shingles binary")
+    texts = compressed(rows, "doc", "fp").join(wanted, ["doc", "fp"]).select("z").mapInArrow(tidied(sets_of), "c binary, shingles binary")
     whole = members.join(texts, F.col("cls") == F.col("c")).select("a", "b", "side", "id", "weight", "shingles")
 
     def verify(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import read_table
+from tunesmith.llm.common import read_table, tidied
 
 BITS = 16
 BUCKETS = 1 << BITS
@@ -170,7 +170,7 @@ def fit(docs: DataFrame, sample_rows: int = 3000, **options) -> Model | None:
 
     # At most sample_rows keys: a bounded broadcast. Rows that repeat a text under one id and language are one.
     sample = lettered.join(F.broadcast(places), ["place", "doc_id", "of", "lang"]).dropDuplicates(["place", "doc_id", "of", "lang"])
-    found = sample.select("doc_id", "text", "lang", "fold").mapInArrow(bags, "doc_id long, lang string, fold long, at array<int>, share array<float>").toArrow()
+    found = sample.select("doc_id", "text", "lang", "fold").mapInArrow(tidied(bags), "doc_id long, lang string, fold long, at array<int>, share array<float>").toArrow()
     columns = [found.column(c).to_pylist() for c in ("doc_id", "lang", "fold")]
     lists = [[x.values.to_numpy() for x in found.column(c)] for c in ("at", "share")]
     rows = sorted(zip(*columns, *lists, strict=True), key=lambda r: (r[0], r[1], len(r[3]), r[3].tobytes()))
@@ -202,7 +202,7 @@ def identify(docs: DataFrame, model: Model | None, keep: list[str], names: tuple
             columns = [batch.column(c) for c in keep] + [pa.array(found, pa.string()), pa.array(scores, pa.float64()), pa.array(gone, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])
 
-    return rows.mapInArrow(predict, schema)
+    return rows.mapInArrow(tidied(predict), schema)
 
 
 def identified_documents(docs: DataFrame, **options) -> DataFrame:

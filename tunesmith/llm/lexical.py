@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import n_groups, read_table, stored
+from tunesmith.llm.common import n_groups, read_table, stored, tidied
 from tunesmith.llm.words import terms, texts_of
 from tunesmith.session import shared_scratch
 
@@ -165,7 +165,7 @@ def build_index(docs: DataFrame) -> Index:
 
     spark = docs.sparkSession
     folder = shared_scratch(spark, "lexical-index")
-    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(make, INDEX)
+    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidied(make), INDEX)
     made.write.partitionBy("kind").option("compression", "zstd").parquet(folder)
     table = spark.read.schema(INDEX).parquet(folder)
     vocabulary = table.filter("kind = 2").groupBy("term").agg(F.sum("df").alias("df"))

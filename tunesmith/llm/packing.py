@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import n_groups, read_table, text_of
+from tunesmith.llm.common import n_groups, read_table, text_of, tidied
 from tunesmith.llm.tokens import encoder, tokenizer_path
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -87,7 +87,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024, lin
 
     groups = n_groups(docs.count(), docs_per_group)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    pieces = rows.mapInArrow(cut, "doc_id long, n long, full array<long>, rest binary, wide int")
+    pieces = rows.mapInArrow(tidied(cut), "doc_id long, n long, full array<long>, rest binary, wide int")
     dealt = pieces.withColumn("g", F.pmod(F.xxhash64("doc_id", "rest"), F.lit(groups)).cast("int"))
     dealt = dealt.withColumn("null", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)))
     return dealt.groupBy("g").applyInPandas(group, PIECES)

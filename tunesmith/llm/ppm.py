@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import n_groups, read_table, stored, text_of
+from tunesmith.llm.common import n_groups, read_table, stored, text_of, tidied
 from tunesmith.llm.words import texts_of, words
 
 ORDER = 5
@@ -210,7 +210,7 @@ def chunks(docs: DataFrame, order: int, n_shards: int, chunk_bytes: int) -> Data
         if held.data:
             yield from flush(held)
 
-    return docs.mapInArrow(run, "kind int, chunk long, shard int, a binary, b binary, ended long")
+    return docs.mapInArrow(tidied(run), "kind int, chunk long, shard int, a binary, b binary, ended long")
 
 
 # ------------------------------------------------------------------ model
@@ -334,7 +334,7 @@ def window_model(table: DataFrame, order: int, n_shards: int) -> DataFrame:
             )
 
     mine = table.filter(F.col("kind") == WINDOWS).select("shard", "a", "b")
-    return mine.repartition(n_shards, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, a binary, b binary, pairs array<long>, pair_counts array<long>")
+    return mine.repartition(n_shards, "shard").sortWithinPartitions("shard").mapInArrow(tidied(run), "shard int, a binary, b binary, pairs array<long>, pair_counts array<long>")
 
 
 def word_model(table: DataFrame, n_shards: int) -> DataFrame:
@@ -352,7 +352,7 @@ def word_model(table: DataFrame, n_shards: int) -> DataFrame:
             )
 
     mine = table.filter(F.col("kind") == WORDS).select("shard", "a", "b")
-    return mine.repartition(n_shards, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, a binary, b binary, distinct long, total long")
+    return mine.repartition(n_shards, "shard").sortWithinPartitions("shard").mapInArrow(tidied(run), "shard int, a binary, b binary, distinct long, total long")
 
 
 # ------------------------------------------------------------------ answers
@@ -373,7 +373,7 @@ def answers(table: DataFrame, model: DataFrame, kind: int, n_shards: int, make,
     asked = table.filter(F.col("kind") == kind).select("shard", "chunk", "a", F.lit(None).cast("binary").alias("b"))
     known = model.select("shard", F.lit(-1).cast("long").alias("chunk"), "a", "b")
     together = known.unionByName(asked).repartition(n_shards, "shard").sortWithinPartitions("shard", "chunk")
-    return together.mapInArrow(run, "kind int, chunk long, shard int, a binary")
+    return together.mapInArrow(tidied(run), "kind int, chunk long, shard int, a binary")
 
 
 def finished(table: DataFrame, replies: DataFrame, order: int, n_shards: int, totals: tuple[int, int, int]) -> DataFrame:
@@ -438,7 +438,7 @@ def finished(table: DataFrame, replies: DataFrame, order: int, n_shards: int, to
 
     texts = table.filter(F.col("kind") == TEXTS).select("kind", "chunk", "shard", "a", "b")
     together = replies.withColumn("b", F.lit(None).cast("binary")).unionByName(texts).repartition("chunk").sortWithinPartitions("chunk", "kind", "shard")
-    pieces = together.mapInArrow(run, "row long, doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
+    pieces = together.mapInArrow(tidied(run), "row long, doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
     sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
     return pieces.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("train").alias("train"), *sums).drop("row")
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import read_table, stored
+from tunesmith.llm.common import read_table, stored, tidied
 from tunesmith.llm.words import terms, texts_of
 from tunesmith.plans.ranks import exact_rank
 
@@ -70,7 +70,7 @@ def bucket_counts(texts: DataFrame, buckets: int) -> np.ndarray:
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int64()), "n": pa.array(held[at])})
 
-    found = texts.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    found = texts.select("text").mapInArrow(tidied(count), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(buckets, np.int64)
     out[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     return out
@@ -112,7 +112,7 @@ def scored(docs: DataFrame, gains: np.ndarray, seed: int, min_words: int) -> Dat
             if columns:
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return rows.mapInArrow(score, schema)
+    return rows.mapInArrow(tidied(score), schema)
 
 
 KEY = ("a", "b", "c")

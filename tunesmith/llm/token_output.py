@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import read_table, stored, text_of
+from tunesmith.llm.common import read_table, stored, text_of, tidied
 from tunesmith.llm.tokens import encoder, tokenizer_path
 from tunesmith.session import shared_scratch
 
@@ -146,7 +146,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     dealt = rows.repartitionByRange(*([partitions] if partitions else []), "doc_id").sortWithinPartitions("doc_id")
-    files = dealt.mapInArrow(encode, "content binary")
+    files = dealt.mapInArrow(tidied(encode), "content binary")
     files.select(F.col("content").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
 
 
@@ -182,7 +182,7 @@ def read_token_files(spark: SparkSession, folder: str, checksums: bool = False)
                     yield pa.RecordBatch.from_pydict(rows)
 
     raw = spark.read.format("binaryFile").load(folder).select("content")
-    return raw.mapInArrow(unpack, "doc_id long, part int, number int, file_start long, file_ids long, n_tokens long, " + ("ids_crc32 long" if checksums else "ids array<int>"))
+    return raw.mapInArrow(tidied(unpack), "doc_id long, part int, number int, file_start long, file_ids long, n_tokens long, " + ("ids_crc32 long" if checksums else "ids array<int>"))
 
 
 def digest(spark: SparkSession, folder: str) -> DataFrame:

@@ -120,7 +120,7 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    def __init__(self, path: str, remembered: int = 800_000, longest: int = 48):
+    def __init__(self, path: str, remembered: int = 400_000, longest: int = 48):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
