@@ -3,6 +3,8 @@ n-gram language-model perplexity and benchmark contamination."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -280,3 +282,68 @@ def behaviour_flags(df: DataFrame, text_col: str = "answer", model_col: str = "m
     ]
     aggs += [F.count_if(t.rlike(p)).alias(f"n_{name}") for name, p in rules.items()]
     return df.groupBy(model_col).agg(*aggs)
+
+
+# ---------------------------------------------------------------- I14: flags learned from labels
+
+#: Buckets of hashed word n-grams: the bound of a flag model, whatever the size of the texts.
+FLAG_BUCKETS = 1 << 20
+_ASCII = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _bucket(gram: Column) -> Column:
+    return F.conv(F.substring(F.md5(gram.cast("binary")), 1, 5), 16, 10).cast("int")
+
+
+def _gram_rows(df: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """keys and bucket, once for each bucket of a row's words and pairs of neighbouring words (letters and digits, A-Z lower-cased)."""
+    words = F.regexp_extract_all(F.translate(F.coalesce(F.col(text_col), F.lit("")), *_ASCII), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    listed = df.select(*keys, words.alias("_w"))
+    following = F.transform(F.arrays_zip(F.slice("_w", 1, F.greatest(F.size("_w") - 1, F.lit(0))).alias("a"), F.slice("_w", 2, F.greatest(F.size("_w") - 1, F.lit(0))).alias("b")), lambda p: F.concat_ws(" ", p["a"], p["b"]))
+    grams = listed.select(*keys, F.concat("_w", following).alias("_g"))
+    buckets = grams.select(*keys, F.array_distinct(F.transform("_g", _bucket)).alias("_b"))
+    return buckets.select(*keys, explode_values("_b").alias("bucket")).filter(F.col("bucket").isNotNull())
+
+
+def fit_flags(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", min_rows: int = 5, strength: int = 10, z: int = 8) -> tuple[DataFrame, int]:
+    """A linear model over hashed word n-grams, (bucket, weight) and the weight of every text, from all labelled rows.
+
+    A bucket's weight is 1000 times the log ratio of its shares in the rows with label 1 and label 0, each smoothed towards
+    its share in all by ``strength`` rows. Buckets in fewer than ``min_rows`` rows have none, nor have those whose rows with label 1
+    are within ``z`` standard deviations of what chance gives: over many buckets their noise would outweigh the others. Training is one aggregate
+    with partial sums over buckets; the model has ``FLAG_BUCKETS`` rows at most. Null labels don't count."""
+    rows = labelled.filter(F.col(label_col).isin(0, 1)).select(text_col, F.col(label_col).cast("long").alias("_y"))
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_y"), F.lit(0)).alias("n1")).first()
+    n1, n0 = float(total.n1), float(total.n - total.n1)
+    held = _gram_rows(rows, ["_y"], text_col).groupBy("bucket").agg(F.count(F.lit(1)).alias("_c"), F.sum("_y").alias("_c1")).filter(F.col("_c") >= min_rows)
+    share = n1 / max(n0 + n1, 1.0)
+    off = F.col("_c1") - F.col("_c") * share
+    held = held.filter(off * off > F.col("_c") * F.lit(z * z * share * (1 - share)))
+    all_share = F.col("_c") / F.lit(max(n0 + n1, 1.0)) * strength
+    ratio = ((F.col("_c1") + all_share) / F.lit(n1 + strength)) / ((F.col("_c") - F.col("_c1") + all_share) / F.lit(n0 + strength))
+    base = math.floor(1000 * math.log((n1 + 1) / (n0 + 1)))
+    return held.select("bucket", F.floor(F.lit(1000) * F.log(ratio)).cast("long").alias("weight")), base
+
+
+def flag_scores(df: DataFrame, model: tuple[DataFrame, int], keys: list[str], text_col: str = "text") -> DataFrame:
+    """keys, score of each row, over 0 if the model sees it as label 1. ``keys`` identify a row; the weights, at most ``FLAG_BUCKETS``
+    rows, are broadcast, so the grams of a text meet on their own task before they are summed."""
+    weights, base = model
+    sums = _gram_rows(df, keys, text_col).join(F.broadcast(weights), "bucket").groupBy(*keys).agg(F.sum("weight").alias("_s"))
+    sums = sums.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_s")
+    scored = df.select(*keys).join(sums, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], "left")
+    return scored.select(*keys, (F.coalesce("_s", F.lit(0)) + F.lit(base)).alias("score"))
+
+
+def learned_flags(df: DataFrame, model: tuple[DataFrame, int], text_col: str = "answer", model_col: str = "model", key: str = "row_id") -> DataFrame:
+    """Per model, the answers and how many of them the learned flag marks."""
+    scored = flag_scores(df, model, [model_col, key], text_col)
+    return scored.groupBy(model_col).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("score") > 0).alias("n_flagged"), F.sum("score").alias("score_sum"))
+
+
+def flag_quality(scored: DataFrame, label_col: str = "toxic") -> DataFrame:
+    """One row: how many labelled rows were flagged rightly and wrongly."""
+    flagged, y = F.col("score") > 0, F.col(label_col) == 1
+    return scored.filter(F.col(label_col).isin(0, 1)).agg(
+        F.count_if(flagged & y).alias("n_hit"), F.count_if(flagged & ~y).alias("n_false"), F.count_if(~flagged & y).alias("n_missed"), F.count_if(~flagged & ~y).alias("n_clean")
+    )

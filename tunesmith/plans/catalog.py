@@ -725,6 +725,55 @@ def q_behaviour_flags(spark, sf_dir):
     return f.select("model", *[F.col(c).cast("long") for c in f.columns if c != "model"])
 
 
+HELD_OUT = f"('0x' || substr({S.md5_key(42, 'doc_id')}, 1, 13))::BIGINT / 4503599627370496.0 < 0.2::DOUBLE"
+FLAG_CTES = [
+    """texts AS (SELECT 'd' AS kind, doc_id AS id, text, toxic, """
+    + HELD_OUT
+    + """ AS held FROM documents JOIN labels USING (doc_id)
+  UNION ALL SELECT model, row_id, answer, NULL, NULL FROM two_models)""",
+    r"""worded AS (SELECT *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\p{L}\p{N}]+') AS w FROM texts)""",
+    """grams AS (SELECT DISTINCT kind, id, toxic, held, ('0x' || substr(md5(g), 1, 5))::INT AS bucket FROM (
+  SELECT kind, id, toxic, held, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM worded))""",
+    "counts AS (SELECT count(*)::DOUBLE AS n, sum(toxic)::DOUBLE AS n1 FROM texts WHERE NOT held)",
+    """weights AS (SELECT bucket, floor(1000 * ln(((c1 + c / n * 10) / (n1 + 10)) / ((c - c1 + c / n * 10) / (n - n1 + 10))))::BIGINT AS weight
+  FROM (SELECT bucket, count(*) AS c, sum(toxic) AS c1 FROM grams WHERE NOT held GROUP BY bucket HAVING count(*) >= 5), counts
+  WHERE (c1 - c * (n1 / n)) * (c1 - c * (n1 / n)) > c * (64 * (n1 / n) * (1 - n1 / n)))""",
+    """flags AS (SELECT t.kind, t.id, t.toxic, t.held, coalesce(s.s, 0) + floor(1000 * ln((n1 + 1) / (n - n1 + 1)))::BIGINT AS score
+  FROM texts t LEFT JOIN (SELECT kind, id, sum(weight) AS s FROM grams JOIN weights USING (bucket) GROUP BY kind, id) s ON s.kind = t.kind AND s.id = t.id, counts)""",
+]
+
+
+def _labelled(spark, sf_dir):
+    """The labelled documents and whether each is held out (a fifth, by its id)."""
+    d = V.scan_parquet(spark, sf_dir, "documents").select("doc_id", "text").join(V.scan_parquet(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id")
+    return splits.group_split(d, "doc_id", 0.0, 0.2).withColumn("held", F.col("split") == "test")
+
+
+@register(
+    "flag_quality",
+    S.with_(S.INSTR_TURNS, S.TWO_MODELS, *FLAG_CTES)
+    + """SELECT count(*) FILTER (WHERE score > 0 AND toxic = 1)::BIGINT AS n_hit, count(*) FILTER (WHERE score > 0 AND toxic = 0)::BIGINT AS n_false,
+       count(*) FILTER (WHERE score <= 0 AND toxic = 1)::BIGINT AS n_missed, count(*) FILTER (WHERE score <= 0 AND toxic = 0)::BIGINT AS n_clean FROM flags WHERE held""",
+)
+def q_flag_quality(spark, sf_dir):
+    """The flag learned from four fifths of the labels, on the other fifth."""
+    rows = _labelled(spark, sf_dir)
+    scored = evals.flag_scores(rows.filter("held"), evals.fit_flags(rows.filter("NOT held")), ["doc_id", "toxic"])
+    r = evals.flag_quality(scored)
+    return r.select(*[F.col(c).cast("long") for c in r.columns])
+
+
+@register(
+    "learned_flags",
+    S.with_(S.INSTR_TURNS, S.TWO_MODELS, *FLAG_CTES)
+    + "SELECT kind AS model, count(*)::BIGINT AS n, count(*) FILTER (WHERE score > 0)::BIGINT AS n_flagged, sum(score)::BIGINT AS score_sum FROM flags WHERE kind <> 'd' GROUP BY kind",
+)
+def q_learned_flags(spark, sf_dir):
+    """Answers that the learned flag marks, by model."""
+    f = evals.learned_flags(V.two_models(spark, sf_dir), evals.fit_flags(_labelled(spark, sf_dir).filter("NOT held")))
+    return f.select("model", *[F.col(c).cast("long") for c in ("n", "n_flagged", "score_sum")])
+
+
 # ---------------------------------------------------------------- J: preference data
 
 PREF_CTES = [S.INSTR_TURNS, S.PREFERENCES]
