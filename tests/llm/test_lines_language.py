@@ -73,7 +73,7 @@ def test_documents_come_and_go(docs_of):
     a = line_dedup.build(docs_of(old))
     both = line_dedup.insert(a, docs_of(new))
     assert state(both) == state(line_dedup.build(docs_of(old + new)))
-    assert digest(line_dedup.without_lost_lines(docs_of(old + new), line_dedup.lost_keys(both, both.postings))) == brute(old + new)
+    assert digest(line_dedup.without_lost_lines(docs_of(old + new), line_dedup.lost_postings(both, both.postings))) == brute(old + new)
     assert state(line_dedup.delete(both, docs_of(new).select("doc_id"))) == state(a)
     later = line_dedup.delete(both, docs_of(old).select("doc_id"))
     assert state(later) == state(line_dedup.build(docs_of(new)))
@@ -81,7 +81,7 @@ def test_documents_come_and_go(docs_of):
 
 def test_filters_in_rounds(docs_of):
     index = line_dedup.build(docs_of(ROWS))
-    got = line_dedup.without_lost_lines(docs_of(ROWS), line_dedup.lost_keys(index, index.postings, round_bytes=300))
+    got = line_dedup.without_lost_lines(docs_of(ROWS), line_dedup.lost_postings(index, index.postings, round_bytes=300))
     assert digest(got) == brute(ROWS)
 
 
@@ -162,3 +162,33 @@ def test_predictions_equal_a_naive_version(docs_of):
     for t, k, s in zip(texts, best, scores, strict=True):
         name, score = naive_prediction(model, t)
         assert model.languages[k] == name and abs(s - score) < 1e-4
+
+
+def test_a_round_reads_its_folder(docs_of, monkeypatch):
+    monkeypatch.setattr(line_dedup, "PART_SHARDS", 8)
+    index = line_dedup.build(docs_of(ROWS))
+    lost = line_dedup.lost_postings(index, index.postings)
+    plan = lost._jdf.queryExecution().executedPlan().toString()
+    filters = [x for x in plan.split("\n") if "PartitionFilters" in x and "(part" in x]
+    assert len(filters) == 4
+    assert digest(line_dedup.without_lost_lines(docs_of(ROWS), lost)) == brute(ROWS)
+    old, new = rows(0, 30), rows(100, 30)
+    both = line_dedup.insert(line_dedup.build(docs_of(old)), docs_of(new))
+    assert digest(line_dedup.without_lost_lines(docs_of(old + new), line_dedup.lost_postings(both, both.postings))) == brute(old + new)
+
+
+def test_many_rows_without_ids(docs_of):
+    """A third of the rows have no id: each loses its own shared lines only, and the lists follow the texts."""
+    shared = [f"a line that is shared {i}" for i in range(6)]
+    named = [(i, "\n".join([shared[i % 6], f"line of its own {i}"])) for i in range(40)]
+    nameless = [(None, "\n".join([shared[i % 6], f"only in a nameless row {i}", f"only in a nameless row {i}"])) for i in range(20)] + [(None, None), (3, "x\n" + shared[0])]
+    df = docs_of(named + nameless)
+    index = line_dedup.build(df)
+    got = line_dedup.without_lost_lines(df, line_dedup.lost_postings(index, index.postings)).collect()
+    assert len(got) == 62
+    for r in got:
+        if r.doc_id is None and r.text is not None:
+            lines = r.text.split("\n")
+            assert r._n_dropped == 1 and len(lines) == 2 and lines[0] == lines[1]
+        elif r.text is not None and r.doc_id >= 6:
+            assert r._n_dropped == 1 and r.text == f"line of its own {r.doc_id}"

@@ -14,13 +14,14 @@ only counts of keys in the changed documents and filters in which a key crossed
 and two documents change. To deduplicate, each document's keys are first looked up in the
 filter of their shard, in the task that reads them; only those that may be shared are
 joined with ``refs``, which decides exactly. Filters reach the tasks in rounds of at most
-``round_bytes``, each round reading only the postings of its shards.
+``round_bytes``. The postings of more than ``PART_SHARDS`` shards are written in folders of as many shards each, and a
+round reads the folder of its shards alone.
 
 No key is handled by one task: counting is a partial aggregate, and the joins on key are plain
 joins whose large partitions AQE splits. Shards hold distinct keys.
 
 Null or empty text is one empty line. Rows of one doc_id are one document; null doc_ids are one
-document that comes after all others. Lines are separated by \\n alone. An empty table
+document that comes after all others. Such rows get the lost keys of their own text only, not a list for all of them. Lines are separated by \\n alone. An empty table
 gives no rows. Texts of documents that lose nothing are returned as they are.
 """
 
@@ -36,12 +37,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import WHITE, n_groups, read_table, stored, text_of
+from tunesmith.llm.common import WHITE, n_groups, read_table, stored, text_of, tidied
+from tunesmith.session import shared_scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWER = str.maketrans(UPPER, LOWER)
 LAST = (1 << 63) - 1  # stands for a null doc_id
 SLOTS = 4
+PART_SHARDS = 32
 
 
 class CuckooFilter:
@@ -149,11 +152,24 @@ def filters_of(refs: DataFrame, shards: int) -> DataFrame:
     return refs.filter("n_docs > 1").select("shard", "key").groupBy("shard").applyInPandas(build, "shard int, filter binary")
 
 
+def laid_out(postings: DataFrame, shards: int) -> DataFrame:
+    """``postings`` as a written table: in one folder for each ``PART_SHARDS`` shards, if there are more."""
+    rows = postings.select("shard", "key", "doc")
+    if shards <= PART_SHARDS:
+        return stored(rows.withColumn("part", F.lit(0)), "line-postings")
+    # Rebalanced: files of about the advised size for each folder, large folders split over tasks.
+    path = shared_scratch(rows.sparkSession, "line-postings")
+    placed = rows.withColumn("part", F.floor(F.col("shard") / PART_SHARDS).cast("int"))
+    placed.hint("rebalance", "part").write.partitionBy("part").parquet(path)
+    return rows.sparkSession.read.schema(placed.schema).parquet(path)
+
+
 def build(docs: DataFrame, least: int = 10, keys_per_shard: int = 200_000, least_shards: int = 32) -> LineIndex:
     """The index of ``docs``: as many shards as hold about ``keys_per_shard`` lines each."""
     rows = stored(postings_of(docs, 1, least).distinct().drop("shard"), "line-keys")
     shards = max(least_shards, n_groups(rows.count(), keys_per_shard))
-    postings = rows.select(F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"), "key", "doc")
+    sharded = rows.select(F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"), "key", "doc")
+    postings = laid_out(sharded, shards) if shards > PART_SHARDS else sharded.withColumn("part", F.lit(0))
     refs = stored(counted(postings), "line-refs")
     return LineIndex(postings, refs, stored(filters_of(refs, shards), "line-filters"), shards)
 
@@ -186,14 +202,14 @@ def insert(index: LineIndex, docs: DataFrame, least: int = 10) -> LineIndex:
     merged = both.select("shard", "key", (F.coalesce("n_docs", F.lit(0)) + F.coalesce("came", F.lit(0))).alias("n_docs"), F.least("first_doc", "first").alias("first_doc"), F.coalesce("n_docs", F.lit(0)).alias("old"))
     merged = stored(merged, "line-refs")
     crossed = merged.filter("old < 2 AND n_docs > 1").select("shard", "key", F.lit(True).alias("up"))
-    return _updated(index, merged.drop("old"), crossed, stored(index.postings.unionByName(new.select("shard", "key", "doc")), "line-keys"))
+    return _updated(index, merged.drop("old"), crossed, laid_out(index.postings.select("shard", "key", "doc").unionByName(new.select("shard", "key", "doc")), index.shards))
 
 
 def delete(index: LineIndex, docs: DataFrame) -> LineIndex:
     """The index after the documents whose doc_id is in ``docs`` have gone."""
     ids = docs.select(doc_number().alias("doc")).distinct()
     going = index.postings.join(ids, "doc", "left_semi").select("shard", "key", "doc")
-    left = stored(index.postings.join(ids, "doc", "left_anti").select("shard", "key", "doc"), "line-keys")
+    left = laid_out(index.postings.join(ids, "doc", "left_anti").select("shard", "key", "doc"), index.shards)
     went = stored(counted(going).select("shard", "key", F.col("n_docs").alias("went"), F.col("first_doc").alias("gone")), "line-went")
     # A key whose first document goes gets the next one from the postings that are left.
     heirs = counted(left.join(went.select("shard", "key"), ["shard", "key"], "left_semi")).select("shard", "key", F.col("first_doc").alias("heir"))
@@ -204,20 +220,21 @@ def delete(index: LineIndex, docs: DataFrame) -> LineIndex:
     return _updated(index, refs.filter("n_docs > 0").drop("old"), crossed, left)
 
 
-def lost_keys(index: LineIndex, postings: DataFrame, round_bytes: int = 32 << 20) -> DataFrame:
-    """doc, keys: the keys whose lines a document loses."""
+def lost_postings(index: LineIndex, postings: DataFrame, round_bytes: int = 32 << 20) -> DataFrame:
+    """doc, key: the keys whose lines a document loses. ``postings``: those of the index, or some of them."""
     spark = postings.sparkSession
-    sizes = index.filters.select("shard", F.octet_length("filter").alias("bytes")).orderBy("shard").collect()
-    rounds: list[list[int]] = []
-    held = round_bytes
+    sizes = index.filters.select("shard", F.octet_length("filter").alias("bytes")).orderBy("shard").collect()  # a row for each shard
+    rounds: list[tuple[int, list[int]]] = []
+    held = 0
     for r in sizes:
-        if held + r.bytes > round_bytes:
-            rounds.append([])
+        part = r.shard // PART_SHARDS if index.shards > PART_SHARDS else 0
+        if not rounds or rounds[-1][0] != part or held + r.bytes > round_bytes:
+            rounds.append((part, []))
             held = 0
-        rounds[-1].append(r.shard)
+        rounds[-1][1].append(r.shard)
         held += r.bytes
-    hits = spark.createDataFrame([], postings.schema)
-    for shards in rounds:
+    hits = spark.createDataFrame([], "shard int, key binary, doc long")
+    for part, shards in rounds:
         found = index.filters.filter(F.col("shard").isin(shards)).toArrow()
         sent = spark.sparkContext.broadcast(dict(zip(found.column("shard").to_pylist(), found.column("filter").to_pylist(), strict=True)))  # at most round_bytes, or one filter
 
@@ -233,15 +250,25 @@ def lost_keys(index: LineIndex, postings: DataFrame, round_bytes: int = 32 << 20
                         may[of] = filters[s].may_hold(keys[of])
                 yield batch.filter(pa.array(may))
 
-        hits = hits.unionByName(postings.filter(F.col("shard").isin(shards)).mapInArrow(screen, postings.schema))
+        mine = postings.filter((F.col("part") == part) & F.col("shard").isin(shards)).select("shard", "key", "doc")
+        hits = hits.unionByName(mine.mapInArrow(tidied(screen), hits.schema))
     shared = index.refs.filter("n_docs > 1").select(F.col("key").alias("of"), "first_doc")
-    lost = hits.join(shared, F.col("key") == F.col("of")).filter("doc != first_doc")
-    return lost.groupBy("doc").agg(F.collect_list("key").alias("keys"))
+    return hits.join(shared, F.col("key") == F.col("of")).filter("doc != first_doc").select("doc", "key")
 
 
 def without_lost_lines(docs: DataFrame, lost: DataFrame) -> DataFrame:
-    """``docs`` with text lacking the lost lines, and _n_lines and _n_dropped."""
-    joined = docs.withColumn("_doc", doc_number()).join(lost.withColumnRenamed("keys", "_keys").withColumnRenamed("doc", "_of"), F.col("_doc") == F.col("_of"), "left").drop("_doc", "_of")
+    """``docs`` with text lacking the lines of its ``lost`` keys (doc, key), and _n_lines and _n_dropped."""
+    rows = docs.withColumn("_doc", doc_number())
+    # Several rows under one number get lists by their texts: few numbers, but possibly of very many rows.
+    several = stored(rows.groupBy("_doc").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select(F.col("_doc").alias("_several")), "line-several")
+    lost = stored(lost, "line-lost")
+    marked = rows.join(several, F.col("_doc") == F.col("_several"), "left").withColumn("_at", F.when(F.col("_several").isNotNull(), F.xxhash64(text_of())).otherwise(F.lit(0))).drop("_several")
+    single = lost.join(several, F.col("doc") == F.col("_several"), "left_anti").groupBy("doc").agg(F.collect_list("key").alias("_keys")).select("doc", F.lit(0).cast("long").alias("at"), "_keys")
+    lines = F.array_distinct(F.transform(F.split(text_of(), "\n", -1), lambda k: F.unhex(F.md5(line_key(k)))))
+    own = rows.join(several, F.col("_doc") == F.col("_several"), "left_semi").select("_doc", F.xxhash64(text_of()).alias("at"), lines.alias("_l")).distinct()
+    own = own.select("_doc", "at", F.explode("_l").alias("_key")).join(lost, (F.col("_doc") == F.col("doc")) & (F.col("_key") == F.col("key")))
+    lists = single.unionByName(own.groupBy("doc", "at").agg(F.collect_list("key").alias("_keys"))).withColumnsRenamed({"doc": "_of", "at": "_of_at"})
+    joined = marked.join(lists, (F.col("_doc") == F.col("_of")) & (F.col("_at") == F.col("_of_at")), "left").drop("_doc", "_at", "_of", "_of_at")
     joined = joined.withColumn("_n_lines", F.size(F.split(text_of(), "\n", -1)).cast("long"))
     schema = joined.drop("_keys").withColumn("_n_dropped", F.lit(0).cast("long")).schema
     at = docs.columns.index("text")
@@ -260,13 +287,13 @@ def without_lost_lines(docs: DataFrame, lost: DataFrame) -> DataFrame:
                 columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(gone)], names=schema.names)
 
-    return joined.mapInArrow(drop, schema)
+    return joined.mapInArrow(tidied(drop), schema)
 
 
 def line_dedup(docs: DataFrame, least: int = 10) -> DataFrame:
     """All ``docs`` with their kept lines as text, and _n_lines and _n_dropped."""
     index = build(docs, least)
-    return without_lost_lines(docs, lost_keys(index, index.postings))
+    return without_lost_lines(docs, lost_postings(index, index.postings))
 
 
 def deduplicated_documents(docs: DataFrame) -> DataFrame:

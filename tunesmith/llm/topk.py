@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -106,15 +107,22 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, bu
     # Ranges of the squared norm; a range of many rows is split by a hash of the id.
     cuts = rows.stat.approxQuantile("norm2", [i / buckets for i in range(1, buckets)], 0.01 / buckets) if buckets > 1 else []
     edges = sorted(set(cuts))
-    norm_range = F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]), lambda e: F.col("norm2") >= e)) if edges else F.lit(0)
-    ranged = rows.withColumn("range", norm_range.cast("int"))
+
+    def with_range(some: DataFrame) -> DataFrame:
+        if not edges:
+            return some.withColumn("range", F.lit(0))
+        # A binary search, however many ranges there are.
+        at = Bucketizer(splits=[float("-inf"), *edges, float("inf")], inputCol="of_norm2", outputCol="of_range")
+        return at.transform(some.withColumn("of_norm2", F.col("norm2").cast("double"))).withColumn("range", F.col("of_range").cast("int")).drop("of_norm2", "of_range")
+
+    ranged = with_range(rows)
     sizes = ranged.groupBy("dim", "range").agg(F.count("*").alias("n"))
     ranged = ranged.join(sizes, ["dim", "range"])
     cut = F.pmod(F.xxhash64("vec_id", "v"), F.ceil(F.col("n") / F.lit(float(bucket_rows))))
-    items = ranged.select("vec_id", "v", "dim", "range", cut.cast("int").alias("cut"))
+    items = ranged.select("vec_id", "v", "dim", "range", cut.cast("int").alias("cut"), "norm2")
     queries = rows.filter(is_query & F.col("vec_id").isNotNull())
     blocks = n_groups(queries.count(), query_rows)
-    queries = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "dim", norm_range.cast("int").alias("range"), F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(blocks)).cast("int").alias("block"))
+    queries = with_range(queries).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "dim", "range", "norm2", F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(blocks)).cast("int").alias("block"))
 
     def meet(queries: DataFrame, buckets: DataFrame, name: str) -> DataFrame:
         """Each row of ``queries`` (query_id, q, bound, block, dim, range, cut) against its bucket."""
@@ -128,19 +136,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, bu
 
         keys = ["dim", "range", "cut", "block"]
         wanted = queries.select(*keys).distinct()
-        left = buckets.join(wanted, ["dim", "range", "cut"]).select(*[F.col(c).alias(f"of_{c}") for c in keys], "v", F.col("vec_id").isNull().alias("null"), F.coalesce("vec_id", F.lit(0)).alias("id"))
+        left = buckets.drop("norm2").join(wanted, ["dim", "range", "cut"]).select(*[F.col(c).alias(f"of_{c}") for c in keys], "v", F.col("vec_id").isNull().alias("null"), F.coalesce("vec_id", F.lit(0)).alias("id"))
         return stored(left.groupBy(*[f"of_{c}" for c in keys]).cogroup(queries.groupBy(*keys)).applyInPandas(task, HITS), name)
 
     none = F.lit(-(1 << 62))
-    cells = stored(items.groupBy("dim", "range", "cut").count(), "topk-buckets")
+    cells = stored(items.groupBy("dim", "range", "cut").agg(F.max("norm2").alias("most")), "topk-buckets")
     longest = cells.groupBy("dim").agg(F.max(F.struct("range", F.col("cut").alias("cut"))).alias("m")).select("dim", "m.range", "m.cut")
     own = cells.select("dim", "range", "cut").filter("cut = 0")
     seeds = queries.drop("range").join(longest, "dim").unionByName(queries.join(own, ["dim", "range"])).distinct()
     first = meet(seeds.withColumn("bound", none), items, "topk-first")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     seen = first.distinct().withColumn("r", F.row_number().over(best)).filter(F.col("r") == k).select("query_id", F.col("score").alias("bound"))
-    everywhere = queries.drop("range").join(seen, "query_id", "left").withColumn("bound", F.coalesce("bound", none)).join(cells.select("dim", "range", "cut"), "dim")
-    hits = meet(everywhere, items, "topk-hits")
+    everywhere = queries.drop("range").join(seen, "query_id", "left").withColumn("bound", F.coalesce("bound", none)).join(cells, "dim")
+    # A bucket whose longest vector can't reach the bound is left out before any vector moves (with room for rounding).
+    reach = F.sqrt(F.col("norm2").cast("double")) * F.sqrt(F.col("most").cast("double")) * (1 + 1e-9)
+    hits = meet(everywhere.filter((F.col("bound") <= 0) | (F.col("bound") <= reach)).drop("most"), items, "topk-hits")
     ranked = hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     nameless = F.col("vec_id") == F.lit(int(np.iinfo(np.int64).min))
     return ranked.select("query_id", "rank", F.when(~nameless, F.col("vec_id")).alias("vec_id"), "score")
