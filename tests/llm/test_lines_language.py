@@ -141,7 +141,7 @@ def test_sample_has_many_ids_and_own_columns_stay(docs_of):
 def naive_prediction(model, text):
     """Subword by subword: logits of each, averaged; then the softmax."""
     folded = bytes(b if b >= 128 else (b + 32 if 65 <= b <= 90 else (b if 97 <= b <= 122 else 32)) for b in b" " + text.encode() + b"    ")
-    total, n = np.zeros(len(model.languages)), 0
+    total, n = np.zeros(len(model.languages) + 1), 0
     for size in langid.SIZES:
         for i in range(len(folded) - 4):
             if folded[i : i + 2] == b"  ":
@@ -151,7 +151,8 @@ def naive_prediction(model, text):
             n += 1
     z = total / max(n, 1) + model.bias
     p = np.exp(z - z.max())
-    return model.languages[int(p.argmax())], float((p / p.sum()).max())
+    best = int(p[:-1].argmax())
+    return model.languages[best], float((p / p.sum())[best])
 
 
 def test_predictions_equal_a_naive_version(docs_of):
@@ -192,3 +193,20 @@ def test_many_rows_without_ids(docs_of):
             assert r._n_dropped == 1 and len(lines) == 2 and lines[0] == lines[1]
         elif r.text is not None and r.doc_id >= 6:
             assert r._n_dropped == 1 and r.text == f"line of its own {r.doc_id}"
+
+
+def test_what_is_no_learned_language_is_rejected(docs_of):
+    """Two languages in Latin script: another script and random letters go, clean held-out rows stay."""
+    rng = np.random.default_rng(11)
+    words = {"aa": ["ting", "thon", "ersh", "and", "oft", "wheren"], "bb": ["kuva", "joki", "talo", "yksi", "sata", "kaksi"]}
+    clean = [(i, " ".join(rng.choice(words[n], rng.integers(15, 60))), n) for i in range(600) for n in [list(words)[i % 2]]]
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    noise = [(5000 + i, " ".join("".join(rng.choice(letters, 5)) for _ in range(40)), None) for i in range(40)]
+    foreign = [(6000 + i, " ".join(rng.choice(["чай", "дом", "лес", "мир", "сад"], 40)), None) for i in range(40)]
+    df = docs_of(clean + noise + foreign)
+    got = langid.identify(df, langid.fit(df), ["doc_id"]).withColumn("held", langid.remainder() == 1).collect()
+    held = [r for r in got if r.held and r.doc_id < 5000]
+    assert len(held) > 100 and sum(not r.rejected for r in held) >= 0.99 * len(held)
+    assert sum(r.rejected for r in got if 5000 <= r.doc_id < 6000) >= 36
+    assert sum(r.rejected for r in got if r.doc_id >= 6000) == 40
+    assert all(r.lang_pred in ("aa", "bb") for r in got)

@@ -7,13 +7,14 @@ softmax layer over it gives the language. Both are trained by stochastic gradien
 
 Training reads a bounded sample: ``sample_rows`` distinct labelled rows by the hash
 of doc_id, text and lang among those whose crc32(doc_id as text) mod 3 is not 1 (the rows with remainder 1
-are held out). Remainder 2 trains; remainder 0 calibrates: a temperature makes the
+are held out). Each sample text enters once more with its characters shuffled, as a class of background that
+is never predicted. Remainder 2 trains; remainder 0 calibrates: a temperature makes the
 softmax a probability, and a document is rejected when its score is below the
-``reject_share`` quantile of the scores of calibration rows that were predicted right (at most
-``reject_below``). Only text and language of sample rows enter the model.
+``reject_share`` quantile of the scores of calibration rows that were predicted right, so about that share of documents in
+a learned language goes. Only text and language of sample rows enter the model.
 
 As the layer is linear, prediction needs only each bucket's logits (a table of BUCKETS x
-languages, which is sent to the tasks) and averages them over a text.
+classes, which is sent to the tasks) and averages them over a text.
 
 ``lang_pred`` is ``und``, with score 0, for null texts, texts without a letter, and if no
 labelled row was found. Null doc_ids are never held out nor trained on; rows that repeat are
@@ -22,6 +23,7 @@ predicted alike; an empty table gives no rows; other columns are never read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -72,7 +74,7 @@ def runs_of(rows: list[int], texts: list[str], chars: int = 400_000) -> Iterator
 @dataclass
 class Model:
     languages: list[str]
-    logits: np.ndarray  # BUCKETS x languages, the temperature already applied
+    logits: np.ndarray  # BUCKETS x (languages, background), the temperature already applied
     bias: np.ndarray
     reject: float
 
@@ -87,7 +89,7 @@ class Model:
         z = total.astype(np.float64) / np.maximum(weights, 1.0)[:, None] + self.bias
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        best = p.argmax(axis=1)
+        best = p[:, : len(self.languages)].argmax(axis=1)
         return best, p[np.arange(len(best)), best]
 
 
@@ -98,18 +100,24 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     return at.astype(np.int32), (counts[at] / max(1.0, counts.sum())).astype(np.float32)
 
 
-def train(rows: list[tuple[str, int, np.ndarray, np.ndarray]], dim: int = 16, epochs: int = 12, rate: float = 2.0, reject_share: float = 0.001, reject_below: float = 0.4, seed: int = 1) -> Model | None:
-    """``rows``: (language, remainder, buckets, shares). Remainder 2 trains, the others calibrate."""
+def shuffled(text: str) -> str:
+    """The characters of a text in an order that depends on the text alone: what is no language."""
+    chars = np.array(list(text))
+    return "".join(np.random.default_rng(zlib.crc32(text.encode())).permutation(chars))
+
+
+def train(rows: list[tuple[str | None, int, np.ndarray, np.ndarray]], dim: int = 16, epochs: int = 12, rate: float = 0.5, reject_share: float = 0.001, seed: int = 1) -> Model | None:
+    """``rows``: (language, remainder, buckets, shares); language None is background. Remainder 2 trains, the others calibrate."""
     rows = [r for r in rows if len(r[2])]
-    languages = sorted({r[0] for r in rows})
+    languages = sorted({r[0] for r in rows if r[0] is not None})
     if not languages:
         return None
-    y = {name: i for i, name in enumerate(languages)}
+    y = {name: i for i, name in enumerate([*languages, None])}
     learn = [r for r in rows if r[1] == 2] or rows
     learn += [next(r for r in rows if r[0] == name) for name in sorted(set(languages) - {r[0] for r in learn})]
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1.0 / dim, 1.0 / dim, (BUCKETS, dim))
-    layer, bias = np.zeros((dim, len(languages))), np.zeros(len(languages))
+    layer, bias = np.zeros((dim, len(y))), np.zeros(len(y))
     steps, done = epochs * len(learn), 0
     for _ in range(epochs):
         for i in rng.permutation(len(learn)):
@@ -138,8 +146,8 @@ def train(rows: list[tuple[str, int, np.ndarray, np.ndarray]], dim: int = 16, ep
     temperature = min(np.geomspace(0.05, 20, 61), key=loss)
     s = np.exp((z - z.max(axis=1, keepdims=True)) / temperature)
     s /= s.sum(axis=1, keepdims=True)
-    correct = s.max(axis=1)[s.argmax(axis=1) == right]
-    reject = min(reject_below, float(np.quantile(correct, reject_share))) if len(correct) else 0.0
+    correct = s.max(axis=1)[(s.argmax(axis=1) == right) & (right < len(languages))]
+    reject = float(np.quantile(correct, reject_share)) if len(correct) else 0.0
     return Model(languages, (logits / temperature).astype(np.float32), bias / temperature, reject)
 
 
@@ -148,7 +156,7 @@ def remainder() -> Column:
 
 
 def fit(docs: DataFrame, sample_rows: int = 3000, **options) -> Model | None:
-    """The model of the sample described above; at most ``sample_rows`` bags reach the driver."""
+    """The model of the sample described above; at most twice ``sample_rows`` bags reach the driver."""
     spark = docs.sparkSession
     lettered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"), remainder().cast("long").alias("fold"))
     lettered = lettered.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.col("fold") != 1) & F.col("text").rlike(r"\p{L}"))
@@ -163,17 +171,19 @@ def fit(docs: DataFrame, sample_rows: int = 3000, **options) -> Model | None:
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [bag(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column("doc_id"), "lang": batch.column("lang"), "fold": batch.column("fold"), "at": pa.array([a for a, _ in found], pa.list_(pa.int32())), "share": pa.array([s for _, s in found], pa.list_(pa.float32()))}
-            )
+            texts = batch.column("text").to_pylist()
+            for some, lang in ((texts, batch.column("lang")), (map(shuffled, texts), pa.nulls(len(texts), pa.string()))):
+                found = [bag(t) for t in some]
+                yield pa.RecordBatch.from_pydict(
+                    {"doc_id": batch.column("doc_id"), "lang": lang, "fold": batch.column("fold"), "at": pa.array([a for a, _ in found], pa.list_(pa.int32())), "share": pa.array([s for _, s in found], pa.list_(pa.float32()))}
+                )
 
     # At most sample_rows keys: a bounded broadcast. Rows that repeat a text under one id and language are one.
     sample = lettered.join(F.broadcast(places), ["place", "doc_id", "of", "lang"]).dropDuplicates(["place", "doc_id", "of", "lang"])
     found = sample.select("doc_id", "text", "lang", "fold").mapInArrow(tidied(bags), "doc_id long, lang string, fold long, at array<int>, share array<float>").toArrow()
     columns = [found.column(c).to_pylist() for c in ("doc_id", "lang", "fold")]
     lists = [[x.values.to_numpy() for x in found.column(c)] for c in ("at", "share")]
-    rows = sorted(zip(*columns, *lists, strict=True), key=lambda r: (r[0], r[1], len(r[3]), r[3].tobytes()))
+    rows = sorted(zip(*columns, *lists, strict=True), key=lambda r: (r[1] is None, r[0], r[1] or "", len(r[3]), r[3].tobytes()))
     return train([r[1:] for r in rows], **options)
 
 
