@@ -7,8 +7,8 @@ softmax layer over it gives the language. Both are trained by stochastic gradien
 
 Training reads a bounded sample: ``sample_rows`` distinct labelled rows by the hash
 of doc_id, text and lang among those whose crc32(doc_id as text) mod 3 is not 1 (the rows with remainder 1
-are held out). Each sample text enters once more with its characters shuffled, as a class of background that
-is never predicted. Remainder 2 trains; remainder 0 calibrates: a temperature makes the
+are held out). One in ``BACKGROUND`` sample texts enters once more with its characters shuffled, as a class of background
+that is never predicted. Remainder 2 trains; remainder 0 calibrates: a temperature makes the
 softmax a probability, and a document is rejected when its score is below the
 ``reject_share`` quantile of the scores of calibration rows that were predicted right, so about that share of documents in
 a learned language goes. Only text and language of sample rows enter the model.
@@ -37,6 +37,7 @@ from tunesmith.llm.common import read_table, tidied
 BITS = 16
 BUCKETS = 1 << BITS
 SIZES = (2, 3, 4)
+BACKGROUND = 4
 _PAD = b"    "
 _FOLD = np.array([b if b >= 128 else (b + 32 if 65 <= b <= 90 else (b if 97 <= b <= 122 else 32)) for b in range(256)], dtype=np.uint32)
 
@@ -156,7 +157,7 @@ def remainder() -> Column:
 
 
 def fit(docs: DataFrame, sample_rows: int = 3000, **options) -> Model | None:
-    """The model of the sample described above; at most twice ``sample_rows`` bags reach the driver."""
+    """The model of the sample described above; at most ``sample_rows`` bags and their shuffled ones reach the driver."""
     spark = docs.sparkSession
     lettered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"), remainder().cast("long").alias("fold"))
     lettered = lettered.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.col("fold") != 1) & F.col("text").rlike(r"\p{L}"))
@@ -172,11 +173,14 @@ def fit(docs: DataFrame, sample_rows: int = 3000, **options) -> Model | None:
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for some, lang in ((texts, batch.column("lang")), (map(shuffled, texts), pa.nulls(len(texts), pa.string()))):
-                found = [bag(t) for t in some]
-                yield pa.RecordBatch.from_pydict(
-                    {"doc_id": batch.column("doc_id"), "lang": lang, "fold": batch.column("fold"), "at": pa.array([a for a, _ in found], pa.list_(pa.int32())), "share": pa.array([s for _, s in found], pa.list_(pa.float32()))}
-                )
+            noise = [i for i, t in enumerate(texts) if zlib.crc32(t.encode()) % BACKGROUND == 0]
+            every = [*map(bag, texts), *(bag(shuffled(texts[i])) for i in noise)]
+            at, share = [a for a, _ in every], [s for _, s in every]
+            rows = batch.select(["doc_id", "lang", "fold"]).to_pylist()
+            rows += [rows[i] | {"lang": None} for i in noise]
+            yield pa.RecordBatch.from_pydict(
+                {"doc_id": pa.array([r["doc_id"] for r in rows], pa.int64()), "lang": pa.array([r["lang"] for r in rows], pa.string()), "fold": pa.array([r["fold"] for r in rows], pa.int64()), "at": pa.array(at, pa.list_(pa.int32())), "share": pa.array(share, pa.list_(pa.float32()))}
+            )
 
     # At most sample_rows keys: a bounded broadcast. Rows that repeat a text under one id and language are one.
     sample = lettered.join(F.broadcast(places), ["place", "doc_id", "of", "lang"]).dropDuplicates(["place", "doc_id", "of", "lang"])
