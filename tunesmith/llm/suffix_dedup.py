@@ -16,8 +16,9 @@ isn't needed: any string of 100 bytes contains a *minimizer*, the leftmost of it
    for each loser, the length of the prefix it shares with what beat it, so known
    prefixes are never compared again, and gives the merged order with its LCP array;
 4. windows that start d bytes before the gram are equal where LCP >= 100 - d and the d bytes to
-   the left agree; all but the first go. Grams with more than ``crowd`` rows don't
-   meet in one task: their windows are counted by 128-bit hashes with partial aggregation;
+   the left agree; all but the first go. The suffixes of grams with more than ``crowd`` rows aren't
+   merged in one task: their windows are counted by 128-bit hashes with partial aggregation (the rows of a gram do pass
+   one task in step 2, as numbers, without their texts);
 5. stretches and windows become removed runs of each document.
 
 Stretches are compared by 112 bits of hash, left contexts by 64 bits within a run of equal right
