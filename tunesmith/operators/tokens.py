@@ -8,19 +8,26 @@ tokenizer can replace the first two steps (see ``infer.udf_tokenizer``).
 
 from __future__ import annotations
 
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunesmith.functions.text import explode_values, split_ws
 from tunesmith.functions.text import tokenize as tokenize_col
 from tunesmith.plans.ranks import exact_rank
-from tunesmith.session import stored_once
+from tunesmith.session import bounded_batches, stored_once
 
 # Reserved tokens and their ids.
 SPECIAL_TOKENS = (("pad", "<pad>", 0), ("bos", "<s>", 1), ("eos", "</s>", 2), ("unk", "<unk>", 3))
 PAD_ID, BOS_ID, EOS_ID, UNK_ID = 0, 1, 2, 3
 N_RESERVED = len(SPECIAL_TOKENS)
 IGNORE_INDEX = -100
+#: Rows of a vocabulary at most that reach every task when arrays are looked up in it.
+HEAD = 1 << 18
 
 
 def tokenize(df: DataFrame, text_col: str = "text", out: str = "tokens") -> DataFrame:
@@ -48,45 +55,132 @@ def build_vocab(df: DataFrame, tokens_col: str = "tokens", k: int | None = None)
         ranked = counts.orderBy(*order).limit(k).withColumn("_rank", F.row_number().over(Window.orderBy(*order)) - 1)
     ranked = ranked.select("token", (F.col("_rank") + N_RESERVED).cast("int").alias("id"), F.col("n").cast("long").alias("n"))
     specials = spark.createDataFrame([(tok, i, 0) for _, tok, i in SPECIAL_TOKENS], "token string, id int, n long")
-    return specials.unionByName(ranked)
+    return stored_once(specials.unionByName(ranked), "vocabulary")  # read several times
+
+
+def _flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All elements of the lists, and the n + 1 offsets of the lists among them; a null list has none."""
+    return lists.flatten(), np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
+
+
+def _lists(offsets: np.ndarray, values: pa.Array, nulls: pa.Array | None = None) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values, mask=nulls)
+
+
+def _known(lists: pa.Array, keys: pa.Array, found: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The elements replaced by ``found`` at their place in ``keys`` (null where they have none), and the lists' offsets."""
+    flat, offsets = _flat(lists)
+    return found.take(pc.index_in(flat.cast(keys.type), value_set=keys)), offsets
+
 
+def _unknown(lists: pa.Array, keys: pa.Array, found: pa.Array) -> pa.Array:
+    """Of each list the elements that ``keys`` lacks, and their positions."""
+    flat, offsets = _flat(lists)
+    at = np.flatnonzero(pc.is_null(pc.index_in(flat.cast(keys.type), value_set=keys)).to_numpy(zero_copy_only=False))
+    row = np.searchsorted(offsets, at, side="right") - 1
+    cuts = np.searchsorted(at, offsets)
+    pos = pa.array((at - offsets[row]).astype(np.int32))
+    return pa.StructArray.from_arrays([_lists(cuts, pos), _lists(cuts, flat.take(pa.array(at)))], names=["pos", "value"])
 
-def _looked_up(df: DataFrame, table: DataFrame, values_col: str, key: str, found: str, missing, out: str, id_col: str) -> DataFrame:
+
+def _patched(known: pa.Array, offsets: np.ndarray, pos: pa.Array, more: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``known`` with the lists ``more`` in place of what it lacks at the positions ``pos`` (one may come several times)."""
+    at, cuts = _flat(pos)
+    row = np.repeat(np.arange(len(pos)), np.diff(cuts))
+    there = np.flatnonzero(pc.is_valid(known).to_numpy(zero_copy_only=False))
+    places = np.concatenate([there, offsets[row] + at.to_numpy(zero_copy_only=False)])
+    both = pa.concat_arrays([known.take(pa.array(there)), more.flatten().cast(known.type)])
+    order = np.argsort(places, kind="stable")
+    return both.take(pa.array(order)), np.searchsorted(places[order], offsets)
+
+
+def _head(table: DataFrame, key: str, found: str) -> tuple[pa.Array, pa.Array, bool]:
+    """Keys of one row among those with the lowest ids, what they give, and whether that is not the whole table."""
+    low = (F.col("id") >= 0) & (F.col("id") < HEAD) & F.col(key).isNotNull() & F.col(found).isNotNull()
+    rows = table.filter(low).select(F.col(key).alias("key"), F.col(found).alias("found")).limit(HEAD).toArrow()  # at most HEAD rows
+    every = table.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    twice = [k for k, n in Counter(rows.column("key").to_pylist()).items() if n > 1]
+    if every > rows.num_rows:  # a key may also have a row beyond the head
+        spark = table.sparkSession
+        ours = spark.createDataFrame(rows.select(["key"])).distinct()
+        beyond = table.filter(~F.coalesce(low, F.lit(False))).select(F.col(key).alias("key"))
+        twice += [r["key"] for r in beyond.join(F.broadcast(ours), "key", "left_semi").distinct().collect()]
+    if twice:
+        rows = rows.filter(pc.invert(pc.is_in(rows.column("key"), value_set=pa.array(twice, rows.column("key").type))))
+    return rows.column("key").combine_chunks(), rows.column("found").combine_chunks(), every > rows.num_rows
+
+
+def _looked_up(df: DataFrame, table: DataFrame, values_col: str, key: str, found: str, missing, out: str, id_col: str, ids_source: DataFrame | None = None) -> DataFrame:
     """Each element of an array replaced by ``found`` of the row of ``table`` whose ``key`` equals it.
 
-    Elements are joined on their value (AQE broadcasts a table that it measures as small, and splits
-    the partition of a very common value otherwise) and gathered again by the caller's unique
-    ``id_col``, in their order. A null array gives null, an empty one an empty one."""
-    each = df.select(F.col(id_col).alias("_row"), F.posexplode(values_col).alias("_pos", "_value"))
-    met = each.join(table.select(F.col(key).alias("_key"), F.col(found).alias("_found")), F.col("_value") == F.col("_key"), "left")
-    value = F.coalesce("_found", missing) if missing is not None else F.col("_found")
-    rows = met.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_pos", value.alias("_found")))).alias("_all"))
-    rows = rows.select("_row", F.transform("_all", lambda x: x["_found"]).alias("_values"))
-    joined = df.join(rows, F.col(id_col) == F.col("_row"), "left")
-    empty = F.slice("_none", 1, 0)
-    kind = dict(table.dtypes)[found]
-    joined = joined.withColumn("_none", F.array(F.lit(None).cast(kind)))
-    values = F.when(F.col(values_col).isNotNull(), F.coalesce("_values", empty))
-    return joined.withColumn("_values", values).drop("_row", "_none").withColumn(out, F.col("_values")).drop("_values")
-
-
-def encode(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", out: str = "input_ids", id_col: str = "row_id") -> DataFrame:
+    The ``HEAD`` rows of the lowest ids (the most frequent tokens, so nearly all elements) reach every task, which replaces
+    them in place. Only elements that these lack are joined with the whole ``table``, gathered by the caller's unique ``id_col`` and put
+    in their places; ids travel for that, not strings. A null array gives null, an empty one an empty one.
+
+    Of rows that share an id each gets the elements of all of them, by position; rows of no id get none.
+    ``ids_source``: a cheaper frame with the ids of ``df``, which says whether ids are shared."""
+    spark = df.sparkSession
+    bounded_batches(spark)
+    kind = {"int": "int", "bigint": "long"}.get(dict(table.dtypes)[found], dict(table.dtypes)[found])
+    of = dict(df.dtypes)[values_col].removeprefix("array<").removesuffix(">")
+    keys, values, more = _head(table, key, found)
+    sent = spark.sparkContext.broadcast((keys, values, None if missing is None else pa.scalar(missing, values.type)))
+
+    def replace(lists: pa.Array) -> pa.Array:
+        got, offsets = _known(lists, *sent.value[:2])
+        # Where more is to come, what is missing stays null for now.
+        return _lists(offsets, got if more or sent.value[2] is None else got.fill_null(sent.value[2]), lists.is_null())
+
+    def unknown(lists: pa.Array) -> pa.Array:
+        return _unknown(lists, *sent.value[:2])
+
+    def complete(lists: pa.Array, pos: pa.Array, rest: pa.Array) -> pa.Array:
+        got, offsets = _flat(lists) if first else _known(lists, *sent.value[:2])
+        got, offsets = _patched(got, offsets, pos, rest)
+        return _lists(offsets, got if sent.value[2] is None else got.fill_null(sent.value[2]), lists.is_null())
+
+    if not more:
+        looked = df.withColumn("_values", F.arrow_udf(replace, f"array<{kind}>")(F.col(values_col)))
+    else:
+        first = kind != "string"
+        each = df.select(F.col(id_col).alias("_row"), F.arrow_udf(unknown, f"struct<pos: array<int>, value: array<{of}>>")(F.col(values_col)).alias("_u"))
+        each = each.filter(F.col("_row").isNotNull()).select("_row", explode_values(F.arrays_zip("_u.pos", "_u.value")).alias("_e")).filter(F.col("_e").isNotNull()).select("_row", F.col("_e.pos").alias("_pos"), F.col("_e.value").alias("_value"))
+        met = each.join(table.select(F.col(key).alias("_key"), F.col(found).alias("_found")), F.col("_value") == F.col("_key"), "left")
+        rest = met.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_pos", "_found"))).alias("_all"))
+        rest = rest.select("_row", F.col("_all._pos").alias("_at"), F.col("_all._found").alias("_more"))
+        carried = df.withColumn("_carried", F.arrow_udf(replace, f"array<{kind}>")(F.col(values_col)) if first else F.col(values_col))
+        joined = carried.join(rest, F.col(id_col) == F.col("_row"), "left")
+        looked = joined.withColumn("_values", F.arrow_udf(complete, f"array<{kind}>")("_carried", "_at", "_more")).drop("_row", "_carried", "_at", "_more")
+    ids = df.select(id_col) if ids_source is None else ids_source.select(id_col)
+    shared = stored_once(ids.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select(F.col(id_col).alias("_shared")), "lookup-shared")
+    value = F.when(F.col(id_col).isNull(), F.slice("_values", 1, 0)).otherwise(F.col("_values"))
+    if not shared.isEmpty():
+        own = df.join(shared, F.col(id_col) == F.col("_shared"), "left_semi").select(F.col(id_col).alias("_row"), F.posexplode(values_col).alias("_pos", "_value"))
+        own = own.join(table.select(F.col(key).alias("_key"), F.col(found).alias("_found")), F.col("_value") == F.col("_key"), "left")
+        element = F.col("_found") if missing is None else F.coalesce("_found", F.lit(missing))
+        own = own.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_pos", element.alias("_found")))).alias("_all")).select("_row", F.col("_all._found").alias("_together"))
+        looked = looked.join(own, F.col(id_col) == F.col("_row"), "left").drop("_row")
+        value = F.when(F.col("_values").isNotNull() & F.col("_together").isNotNull(), F.col("_together")).otherwise(value)
+    return looked.withColumn(out, value).drop("_values", "_together")
+
+
+def encode(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", out: str = "input_ids", id_col: str = "row_id", ids_source: DataFrame | None = None) -> DataFrame:
     """Token strings -> ids (unknown -> unk), order kept; ``id_col`` must be unique."""
-    return _looked_up(df, vocab, tokens_col, "token", "id", F.lit(UNK_ID), out, id_col)
+    return _looked_up(df, vocab, tokens_col, "token", "id", UNK_ID, out, id_col, ids_source)
 
 
-def ids_to_tokens(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", out: str = "id_tokens", id_col: str = "row_id") -> DataFrame:
+def ids_to_tokens(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", out: str = "id_tokens", id_col: str = "row_id", ids_source: DataFrame | None = None) -> DataFrame:
     """Ids -> token strings (an id that the vocabulary lacks -> null)."""
-    return _looked_up(df, vocab, ids_col, "id", "token", None, out, id_col)
+    return _looked_up(df, vocab, ids_col, "id", "token", None, out, id_col, ids_source)
 
 
-def decode(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", out: str = "decoded", skip_special_tokens: bool = True, id_col: str = "row_id") -> DataFrame:
+def decode(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", out: str = "decoded", skip_special_tokens: bool = True, id_col: str = "row_id", ids_source: DataFrame | None = None) -> DataFrame:
     """E5: ids -> text (tokens joined by one space); reserved ids dropped when asked."""
     ids = F.col(ids_col)
     if skip_special_tokens:
         ids = F.filter(ids, lambda x: x >= F.lit(N_RESERVED))
     tmp = df.withColumn("_ids", ids)
-    return ids_to_tokens(tmp, vocab, "_ids", "_toks", id_col).withColumn(out, F.array_join("_toks", " ")).drop("_ids", "_toks")
+    return ids_to_tokens(tmp, vocab, "_ids", "_toks", id_col, ids_source).withColumn(out, F.array_join("_toks", " ")).drop("_ids", "_toks")
 
 
 def special_tokens(vocab: DataFrame) -> DataFrame:
