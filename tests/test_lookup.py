@@ -1,9 +1,12 @@
-"""Looking arrays up in a vocabulary whose head alone reaches the tasks."""
+"""Looking arrays up in a vocabulary whose head alone reaches the tasks, and bootstrap weights over batches."""
+
+import hashlib
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
-from tunesmith.operators import tokens
+from tunesmith.operators import stats, tokens
 
 ROWS = [(1, ["a", "b", "z", "a"]), (2, []), (3, None), (4, ["c", None, "d", "a"]), (5, ["d"] * 40 + ["q"])]
 IDS = {"a": 4, "b": 5, "c": 6, "d": 7}
@@ -38,3 +41,26 @@ def test_a_vocabulary_that_is_all_head_is_looked_up_without_rows_for_tokens(spar
     df = spark.createDataFrame(ROWS, "row_id long, tokens array<string>")
     plan = tokens.encode(df, vocab_of(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and "Exchange" not in plan
+
+
+def test_bootstrap_weights_by_group_and_batch(spark, monkeypatch):
+    monkeypatch.setattr(stats, "DRAWN_ROWS", 3)
+    rows = [(i if i else None, float(i % 7), ["x", None, "y"][i % 3]) for i in range(20)] + [(99, None, "x")]
+    df = spark.createDataFrame(rows, "row_id long, m double, g string")
+    means = stats.bootstrap_means(df, "m", n_boot=5, group_cols=["g"])
+    got = {(r.g, r.rep): r["mean"] for r in means.collect()}
+    cdf = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(9)]
+
+    def weight(rep, i):
+        u = int(hashlib.md5("|".join(["42", str(rep), *([] if i is None else [str(i)])]).encode()).hexdigest()[:13], 16) / 16**13
+        return sum(b <= u for b in cdf)
+
+    want = {}
+    for g in ("x", None, "y"):
+        for rep in range(5):
+            own = [(weight(rep, i), m) for i, m, h in rows if h == g and m is not None]
+            if sum(w for w, _ in own):
+                want[g, rep] = sum(w * m for w, m in own) / sum(w for w, _ in own)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    plan = means._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan  # drawn in the tasks by batches

@@ -3,11 +3,18 @@ windows run over already-aggregated, small frames (length histograms)."""
 
 from __future__ import annotations
 
+import hashlib
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows whose bootstrap weights a task holds at a time.
+DRAWN_ROWS = 2048
+
 
 def length_stats(df: DataFrame, length_col: str = "n_tokens", group_cols=()) -> DataFrame:
     """H1: min, upper median (sorted[n // 2]), max and mean of lengths; no row when empty.
@@ -124,29 +131,47 @@ def metric_uncertainty(df: DataFrame, metric_col: str, group_cols=(), z: float =
     )
 
 
-def bootstrap_weights(id_col: str, n_boot: int, seed: int) -> Column:
-    """array<double>: the Poisson(1) weight of a row in each replicate, from an md5 of "<seed>|<replicate>|<id>"."""
+def bootstrap_weights(ids: list[str | None], n_boot: int, seed: int) -> np.ndarray:
+    """(rows, n_boot): the Poisson(1) weight of a row in each replicate, from an md5 of "<seed>|<replicate>|<id>" ("<seed>|<replicate>" of no id)."""
     # Poisson(1) by inverse CDF over its first terms (P(k > 8) < 1e-5).
     cdf = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(9)]
-
-    def weight(rep):
-        u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), rep.cast("string"), F.col(id_col).cast("string"))), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
-        # How many of the bounds lie at or below u; the bounds are a literal.
-        return F.size(F.filter(F.lit(cdf), lambda bound: bound <= u)).cast("double")
-
-    return F.transform(F.sequence(F.lit(0), F.lit(n_boot - 1)), weight)
+    begun = [hashlib.md5(f"{seed}|{rep}".encode()) for rep in range(n_boot)]
+    digests = []
+    for tail in ids:
+        tail = b"" if tail is None else f"|{tail}".encode()
+        for h in begun:
+            h = h.copy()
+            h.update(tail)
+            digests.append(h.digest()[:8])
+    u = (np.frombuffer(b"".join(digests), ">u8") >> np.uint64(12)).astype(np.float64) / float(16**13)
+    # How many of the bounds lie at or below u.
+    return np.searchsorted(cdf, u, side="right").astype(np.float64).reshape(len(ids), n_boot)
 
 
 def bootstrap_means(df: DataFrame, metric_col: str, id_col: str = "row_id", n_boot: int = 100, seed: int = 42, group_cols=()) -> DataFrame:
     """H7 bootstrap: md5-derived Poisson(1) weights per (replicate, row); group, rep, mean per replicate.
 
-    A row carries its weights as one array, and one aggregate adds up all replicates at once (combined on the map side):
-    rows are not copied for the replicates, weights need no random state, and a lost task computes the same
+    Tasks draw the weights of some rows at a time and add them up by group; of these only the sums travel: rows are
+    not copied for the replicates, weights need no random state, and a lost task computes the same
     ones again. Rows without a metric don't count; a replicate that draws no row is left out."""
-    w = df.filter(F.col(metric_col).isNotNull()).select(*group_cols, F.col(metric_col).cast("double").alias("_m"), bootstrap_weights(id_col, n_boot, seed).alias("_w"))
-    sums = w.groupBy(*group_cols).agg(*[F.sum(F.col("_w")[k]).alias(f"_w{k}") for k in range(n_boot)], *[F.sum(F.col("_w")[k] * F.col("_m")).alias(f"_s{k}") for k in range(n_boot)])
-    each = sums.select(*group_cols, F.posexplode(F.array(*[F.struct(F.col(f"_w{k}").alias("w"), F.col(f"_s{k}").alias("s")) for k in range(n_boot)])).alias("rep", "_p"))
-    return each.filter("_p.w > 0").select(*group_cols, "rep", (F.col("_p.s") / F.col("_p.w")).alias("mean"))
+    groups = list(group_cols)
+    rows = df.filter(F.col(metric_col).isNotNull()).select(*groups, F.col(metric_col).cast("double").alias("_m"), F.col(id_col).cast("string").alias("_id"))
+    schema = rows.select(*groups, F.array(F.lit(0.0)).alias("_w"), F.array(F.lit(0.0)).alias("_s")).schema
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, len(whole), DRAWN_ROWS):
+                batch = whole.slice(first, DRAWN_ROWS)
+                w, m = bootstrap_weights(batch.column("_id").to_pylist(), n_boot, seed), batch.column("_m").to_numpy(zero_copy_only=False)
+                held = pa.Table.from_batches([batch]).select(groups).append_column("_at", pa.array(np.arange(len(batch)))).append_column("_all", pa.array(np.zeros(len(batch), np.int8)))
+                held = held.group_by([*groups, "_all"]).aggregate([("_at", "list")])
+                own = [np.asarray(x) for x in held.column("_at_list").to_pylist()]
+                totals = [pa.array([f(x).tolist() for x in own], pa.list_(pa.float64())) for f in (lambda x: w[x].sum(0), lambda x: m[x] @ w[x])]
+                yield pa.RecordBatch.from_arrays([*(held.column(g).combine_chunks() for g in groups), *totals], names=schema.names)
+
+    each = rows.mapInArrow(sums, schema).select(*groups, F.posexplode(F.arrays_zip("_w", "_s")).alias("rep", "_p"))
+    total = each.groupBy(*groups, "rep").agg(F.sum("_p._w").alias("_w"), F.sum("_p._s").alias("_s"))
+    return total.filter("_w > 0").select(*groups, "rep", (F.col("_s") / F.col("_w")).alias("mean"))
 
 
 def bootstrap_interval(df: DataFrame, metric_col: str, id_col: str = "row_id", n_boot: int = 100, seed: int = 42, group_cols=(), level: float = 0.95) -> DataFrame:
