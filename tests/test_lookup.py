@@ -1,4 +1,4 @@
-"""Looking arrays up in a vocabulary whose head alone reaches the tasks, and bootstrap weights over batches."""
+"""Looking arrays up in a vocabulary whose head alone reaches the tasks, tokenizer plug-ins and bootstrap weights over batches."""
 
 import hashlib
 import math
@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tunesmith.operators import stats, tokens
+from tunesmith.operators import infer, stats, tokens
 
 ROWS = [(1, ["a", "b", "z", "a"]), (2, []), (3, None), (4, ["c", None, "d", "a"]), (5, ["d"] * 40 + ["q"])]
 IDS = {"a": 4, "b": 5, "c": 6, "d": 7}
@@ -43,6 +43,16 @@ def test_a_vocabulary_that_is_all_head_is_looked_up_without_rows_for_tokens(spar
     assert "Generate" not in plan and "Exchange" not in plan
 
 
+def test_tokenizer_batches_are_bounded_by_bytes(spark):
+    """3,000 texts of 20,000 bytes are far more than one batch may hold."""
+    held = lambda: lambda text: list(text.encode())
+    df = spark.range(0, 3000, 1, 1).select("id", F.when(F.col("id") % 1000 != 7, F.repeat(F.lit("ab"), 10_000)).alias("text"))
+    got = df.select("id", infer.udf_tokenizer(held)("text").alias("ids")).select("id", F.size("ids").alias("n"), F.col("ids")[1].alias("second"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 16 << 20
+    assert got.groupBy("n", "second").count().orderBy("n").collect()[-1]["count"] == 2997
+    assert got.filter("n = 20000 AND second = 98").count() == 2997 and got.filter("second IS NULL").count() == 3
+
+
 def test_bootstrap_weights_by_group_and_batch(spark, monkeypatch):
     monkeypatch.setattr(stats, "DRAWN_ROWS", 3)
     rows = [(i if i else None, float(i % 7), ["x", None, "y"][i % 3]) for i in range(20)] + [(99, None, "x")]
