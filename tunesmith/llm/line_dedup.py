@@ -34,6 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,8 @@ _LOWER = str.maketrans(UPPER, LOWER)
 LAST = (1 << 63) - 1  # stands for a null doc_id
 SLOTS = 4
 PART_SHARDS = 32
+#: Bytes of a batch of texts that lose lines: beside the shuffled texts on the heap, a worker should hold little.
+TEXT_BYTES = 4 << 20
 
 
 class CuckooFilter:
@@ -272,19 +275,23 @@ def without_lost_lines(docs: DataFrame, lost: DataFrame) -> DataFrame:
     joined = joined.withColumn("_n_lines", F.size(F.split(text_of(), "\n", -1)).cast("long"))
     schema = joined.drop("_keys").withColumn("_n_dropped", F.lit(0).cast("long")).schema
     at = docs.columns.index("text")
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BYTES))
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, keys = batch.column("text").to_pylist(), batch.column("_keys").to_pylist()
-            gone = np.zeros(len(texts), dtype=np.int64)
-            for i, own in enumerate(keys):
-                if own:
-                    drop, lines = set(own), (texts[i] or "").split("\n")
-                    kept = [x for x in lines if hashlib.md5(x.strip(WHITE).translate(_LOWER).encode()).digest() not in drop]
-                    gone[i], texts[i] = len(lines) - len(kept), "\n".join(kept)
+            texts, keys = batch.column("text"), batch.column("_keys")
+            gone = np.zeros(len(batch), dtype=np.int64)
+            changed: dict[int, str] = {}  # only texts that lose a line become Python strings, one at a time
+            for i in np.flatnonzero(pc.fill_null(pc.list_value_length(keys), 0).to_numpy(zero_copy_only=False)):
+                drop, lines = set(keys[i].as_py()), (texts[i].as_py() or "").split("\n")
+                kept = [x for x in lines if hashlib.md5(x.strip(WHITE).translate(_LOWER).encode()).digest() not in drop]
+                if len(kept) < len(lines):
+                    gone[i], changed[i] = len(lines) - len(kept), "\n".join(kept)
             columns = [batch.column(c) for c in schema.names[:-1]]
-            if gone.any():
-                columns[at] = pa.array(texts, columns[at].type)
+            if changed:
+                mask = np.zeros(len(batch), dtype=bool)
+                mask[list(changed)] = True
+                columns[at] = pc.replace_with_mask(texts, pa.array(mask), pa.array(changed.values(), texts.type))
             yield pa.RecordBatch.from_arrays([*columns, pa.array(gone)], names=schema.names)
 
     return joined.mapInArrow(tidied(drop), schema)
