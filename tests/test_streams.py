@@ -78,6 +78,21 @@ def test_first_of_a_key_over_window_borders_however_cut(spark, n):
     assert state_of(progress)[-1]["numRowsTotal"] <= 2
 
 
+@pytest.mark.parametrize("n", [1, 5])
+def test_keys_share_their_state_in_groups(spark, n):
+    """300 keys (numbers and texts, null or not) in 4 groups, rows in no order within a delivery: some state for each group, not for each key."""
+    rng = random.Random(7)
+    names = [(f"{i % 20}" if i % 20 else None, [0.0, -0.0, float("nan"), None][i // 20 % 4], i // 80 or None) for i in range(400)]
+    rows = [(1000 + i, None if i % 97 == 0 else minutes(rng.randrange(600)), *rng.choice(names)) for i in range(2500)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, a string, b double, c long")
+    parts = [*streams.in_time_order(events, n), streams.closing_row(events, "ts", "1 day")]
+    progress = []
+    out = streams.run_deliveries(parts, lambda s: streams.stream_dedupe(s, ["a", "b", "c"], 3600, "30 minutes", groups=4), "t-groups", progress)
+    keyed = [(i, ts, (a, str(abs(b)) if b is not None else None, c)) for i, ts, a, b, c in rows]
+    assert sorted(r.event_id for r in out.collect()) == sorted(i for i, _ in brute_first(keyed, 3600))
+    assert max(s["numRowsTotal"] for s in state_of(progress)) <= 4 * (2 + n)
+
+
 def test_quantile_sketches_merge_and_keep_their_error(spark):
     df = spark.range(60_000).select((F.col("id") % 3).alias("g"), F.pmod(F.xxhash64("id"), F.lit(1_000_003)).cast("double").alias("v"), (F.col("id") % 7).alias("part")).repartition(4)
     df = df.unionByName(spark.createDataFrame([(9, None, 0)], "g long, v double, part long"))

@@ -7,11 +7,12 @@ shared checkpoint folder, so a restarted query resumes exactly once.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
@@ -143,40 +144,49 @@ NEVER = -(1 << 62)
 
 
 class FirstOfKey(StatefulProcessor):
-    """Rows (us, row) of a key in the order of their time: a row is kept unless one of the key was kept less
-    than ``hold_us`` before it. Rows wait until the watermark passes them, as an earlier one may still come.
+    """Rows (key, us, row) of a group of keys, those of each key in the order of their time: a row is kept unless one of its key was
+    kept less than ``hold_us`` before it. Rows wait until the watermark passes them, as an earlier one may still come.
 
-    ``mark`` holds the time up to which a kept row covers the key, and the time of the first waiting row; the key's one timer
-    stands at the latter, or without waiting rows at the former."""
+    ``waiting`` holds what came at a time as one entry (JSON: key -> [[us, row], ...]), written once and removed when all of it has been
+    judged. ``mark`` holds (JSON) [entry, earliest waiting time, time up to which it has been judged] of each entry, and the times up to which
+    kept rows cover their keys. The group's one timer stands at the earliest waiting time, or without waiting rows at the last of the latter."""
 
     def __init__(self, hold_us: int):
         self.hold_us = hold_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "us long, row string")
-        self.mark = handle.getValueState("mark", "until long, first long")
+        self.waiting = handle.getMapState("waiting", "entry long", "rows string")
+        self.mark = handle.getValueState("mark", "entries string, covered string")
+
+    def _marks(self) -> tuple[list, dict]:
+        held = self.mark.get() if self.mark.exists() else None
+        return (json.loads(held[0]), json.loads(held[1])) if held else ([], {})
 
     @staticmethod
-    def _timer(until: int, first: int) -> int | None:
-        us = until if first == NEVER else first
-        return None if us == NEVER else -(-us // 1000)
+    def _timer(entries: list, covered: dict) -> int | None:
+        us = min((first for _, first, _ in entries), default=None) if entries else max(covered.values(), default=None)
+        return None if us is None else -(-us // 1000)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        new = []
+        entries, covered = self._marks()
+        before, n = self._timer(entries, covered), len(entries)
         for pdf in rows:
             untimed = pdf["us"].isna()
             if untimed.any():
                 yield pdf.loc[untimed, ["us", "row"]]
-            new += zip(pdf.loc[~untimed, "us"].astype("int64").tolist(), pdf.loc[~untimed, "row"].tolist(), strict=True)
-        if not new:
+            new: dict[str, list] = {}
+            times = pdf.loc[~untimed, "us"].astype("int64").tolist()
+            for k, us, row in zip(pdf.loc[~untimed, "key"].tolist(), times, pdf.loc[~untimed, "row"].tolist(), strict=True):
+                new.setdefault(k, []).append((us, row))
+            if new:
+                entry = entries[-1][0] + 1 if entries else 0
+                self.waiting.updateValue((entry,), (json.dumps(new, ensure_ascii=False),))
+                entries.append((entry, min(times), NEVER))
+        if len(entries) == n:
             return
-        self.waiting.appendList(new)
-        until, first = self.mark.get() if self.mark.exists() else (NEVER, NEVER)
-        earliest = min(us for us, _ in new)
-        earliest = earliest if first == NEVER else min(first, earliest)
-        before, after = self._timer(until, first), self._timer(until, earliest)
-        self.mark.update((until, earliest))
+        self.mark.update((json.dumps(entries), json.dumps(covered, ensure_ascii=False)))
+        after = self._timer(entries, covered)
         if before != after:
             if before is not None:
                 self.handle.deleteTimer(before)
@@ -184,42 +194,63 @@ class FirstOfKey(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        until, _ = self.mark.get() if self.mark.exists() else (NEVER, NEVER)
-        held = [(int(us), row) for us, row in self.waiting.get()] if self.waiting.exists() else []
-        left, kept = [x for x in held if x[0] > passed], []
-        for us, row in sorted(x for x in held if x[0] <= passed):
-            if us >= until:
-                kept.append((us, row))
-                until = us + self.hold_us
-        if len(left) < len(held):
-            self.waiting.clear()
-            if left:
-                self.waiting.put(left)
-        until, first = until if until > passed else NEVER, min((us for us, _ in left), default=NEVER)
-        timer = self._timer(until, first)
+        entries, covered = self._marks()
+        left, due, kept = [], {}, []
+        for entry, first, judged in entries:
+            if first > passed:
+                left.append((entry, first, judged))
+                continue
+            later = []
+            for k, each in json.loads(self.waiting.getValue((entry,))[0]).items():
+                due.setdefault(k, []).extend((us, row) for us, row in each if judged < us <= passed)
+                later += [us for us, _ in each if us > passed]
+            if later:
+                left.append((entry, min(later), passed))
+            else:
+                self.waiting.removeKey((entry,))
+        for k, each in due.items():
+            until = covered.get(k, NEVER)
+            for us, row in sorted(each):
+                if us >= until:
+                    kept.append((us, row))
+                    until = us + self.hold_us
+            covered[k] = until
+        covered = {k: until for k, until in covered.items() if until > passed}
+        timer = self._timer(left, covered)
         if timer is None:
             self.mark.clear()
         else:
-            self.mark.update((until, first))
+            self.mark.update((json.dumps(left), json.dumps(covered, ensure_ascii=False)))
             self.handle.registerTimer(timer)
         if kept:
             yield pd.DataFrame(kept, columns=["us", "row"])
 
 
-def stream_dedupe(events: DataFrame, keys, hold_seconds: int = 3600, delay: str = "1 hour", ts_col: str = "ts") -> DataFrame:
+def _key_text(events: DataFrame, keys) -> Column:
+    """One text for the keys of a row, the same for exactly those rows that ``groupBy`` would put together."""
+    kinds = dict(events.dtypes)
+    cols = [F.when(F.col(k) == 0, F.lit(0).cast(kinds[k])).otherwise(F.col(k)) if kinds[k] in ("float", "double") else F.col(k) for k in keys]  # -0.0
+    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return F.to_json(F.struct(*[c.alias(f"key_{i}") for i, c in enumerate(cols)]), exact)
+
+
+def stream_dedupe(events: DataFrame, keys, hold_seconds: int = 3600, delay: str = "1 hour", ts_col: str = "ts", groups: int = 1 << 12) -> DataFrame:
     """The first row of a key, and no other until ``hold_seconds`` after it; the next row starts anew.
 
     Rows are judged in the order of their event time once the watermark (``delay`` behind the latest time) has passed
     them, so the result is the same however rows are cut into batches, and a repeat just after a full hour goes as well. Of
-    rows of a key and time the first by the JSON text of its other columns stays. The state of a key is what waits and two times; it goes by a
+    rows of a key and time the first by the JSON text of its other columns stays. The state of a key is what waits and a time; it goes by a
     timer. Rows without a time are kept as they are, rows later than ``delay`` are dropped, and a stream that ends needs a
-    ``closing_row`` for its last rows (which itself is never passed)."""
+    ``closing_row`` for its last rows (which itself is never passed).
+
+    Keys share their state and timer in ``groups`` groups by a hash, so a batch costs some calls to the state store for each group it touches, not for
+    each key. What a group has waiting must fit a Python worker: take more groups for more keys (fixed for a checkpoint)."""
     e = with_event_time(events, ts_col).withWatermark(ts_col, delay)
     row = F.struct(*[c for c in e.columns if c != ts_col])
     schema = e.select(row.alias("r")).schema["r"].dataType
-    names = [f"key_{i}" for i in range(len(keys))]
-    packed = e.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(ts_col).alias("seen"), F.unix_micros(ts_col).alias("us"), F.to_json(row).alias("row"))  # names without a leading underscore, which pandas would not get
-    kept = packed.groupBy(*names).transformWithStateInPandas(FirstOfKey(hold_seconds * 1_000_000), "us long, row string", "Append", "EventTime")
+    packed = e.select(_key_text(e, keys).alias("key"), F.col(ts_col).alias("seen"), F.unix_micros(ts_col).alias("us"), F.to_json(row).alias("row"))  # names without a leading underscore, which pandas would not get
+    packed = packed.select(F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group"), "key", "seen", "us", "row")
+    kept = packed.groupBy("group").transformWithStateInPandas(FirstOfKey(hold_seconds * 1_000_000), "us long, row string", "Append", "EventTime")
     kept = kept.withColumn("_r", F.from_json("row", schema))
     return kept.select(*[F.col("_r").getField(c).alias(c) if c != ts_col else F.timestamp_micros("us").alias(c) for c in e.columns])
 
