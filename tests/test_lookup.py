@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +45,39 @@ def test_a_vocabulary_that_is_all_head_is_looked_up_without_rows_for_tokens(spar
     assert "Generate" not in plan and "Exchange" not in plan
 
 
+LISTS = [[1, 2, 1, 2, None, None, None], [], None, [4], [2, 1], [1, 2], [None, None]]
+
+
+@pytest.mark.parametrize("most", [1, 4, 1000])
+def test_pairs_are_counted_a_bounded_number_at_a_time(monkeypatch, most):
+    monkeypatch.setattr(tokens, "PAIRS", most)
+    sent, read = [], []
+
+    def batches():
+        for x in LISTS:
+            read.append(x)
+            yield pa.record_batch([pa.array([x], pa.list_(pa.int32()))], names=["ids"])
+
+    for b in tokens._pair_counts(batches()):
+        sent.append((len(read), [tuple(r.values()) for r in b.to_pylist()]))
+    total = Counter()
+    for _, rows in sent:
+        assert len({r[:2] for r in rows}) == len(rows)
+        for context, following, n in rows:
+            total[context, following] += n
+    assert total == Counter(p for x in LISTS for p in zip(x or [], (x or [])[1:]))
+    assert [at for at, _ in sent] == {1: [1, 5, 6, 7], 4: [1, 7], 1000: [7]}[most]
+
+
+def test_next_token_pairs_holds_no_row_for_each_pair_before_the_shuffle(spark):
+    df = spark.createDataFrame([(x,) for x in LISTS], "ids array<bigint>")
+    counts = tokens.next_token_pairs(df, "ids")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Aggregate" not in plan[plan.index("Exchange") :]
+    assert sorted(map(tuple, counts.collect()), key=str) == [(1, 2, 3), (2, 1, 2), (2, None, 1), (None, None, 3)]
+    assert counts.dtypes == [("context_id", "bigint"), ("next_id", "bigint"), ("n", "bigint")]
+
+
 def test_tokenizer_batches_are_bounded_by_bytes(spark):
     """3,000 texts of 20,000 bytes are far more than one batch may hold."""
     held = lambda: lambda text: list(text.encode())

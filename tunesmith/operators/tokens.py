@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tunesmith.functions.text import explode_values, split_ws
 from tunesmith.functions.text import tokenize as tokenize_col
 from tunesmith.plans.ranks import exact_rank
-from tunesmith.session import bounded_batches, stored_once
+from tunesmith.session import bounded_batches, default_parallelism, stored_once
 
 # Reserved tokens and their ids.
 SPECIAL_TOKENS = (("pad", "<pad>", 0), ("bos", "<s>", 1), ("eos", "</s>", 2), ("unk", "<unk>", 3))
@@ -28,6 +28,8 @@ N_RESERVED = len(SPECIAL_TOKENS)
 IGNORE_INDEX = -100
 #: Rows of a vocabulary at most that reach every task when arrays are looked up in it.
 HEAD = 1 << 18
+#: Pairs of neighbours that a task counts at a time.
+PAIRS = 1 << 22
 
 
 def tokenize(df: DataFrame, text_col: str = "text", out: str = "tokens") -> DataFrame:
@@ -279,9 +281,42 @@ def completion_labels(df: DataFrame, vocab: DataFrame, template, messages_col: s
     )
 
 
+def _neighbours(lists: pa.Array) -> pa.Table:
+    """Each element of a list with the next one."""
+    flat, offsets = _flat(lists)
+    last = np.zeros(len(flat), bool)
+    last[offsets[1:][np.diff(offsets) > 0] - 1] = True
+    at = np.flatnonzero(~last)
+    return pa.table({"context_id": flat.take(pa.array(at)), "next_id": flat.take(pa.array(at + 1))})
+
+
+def _pair_counts(batches):
+    """Counts of the pairs in every ``PAIRS`` pairs or a few more, in the order of the pairs (which shuffles to fewer bytes)."""
+
+    def counted() -> list[pa.RecordBatch]:
+        got = pa.concat_tables(held).group_by(["context_id", "next_id"], use_threads=False).aggregate([([], "count_all")])
+        got = got.sort_by([("context_id", "ascending"), ("next_id", "ascending")]).combine_chunks()
+        return got.rename_columns(["context_id", "next_id", "n"]).to_batches(max_chunksize=1 << 16)
+
+    held, n = [], 0
+    for batch in batches:
+        held.append(_neighbours(batch.column(0)))
+        n += len(held[-1])
+        if n >= PAIRS:
+            yield from counted()
+            held, n = [], 0
+    if n:
+        yield from counted()
+
+
 def next_token_pairs(df: DataFrame, ids_col: str = "input_ids") -> DataFrame:
-    """(context id, next id) counts — the label at t is the input at t + 1."""
-    n = F.size(ids_col)
-    pairs = F.arrays_zip(F.slice(ids_col, 1, n - 1).alias("context_id"), F.slice(ids_col, 2, n - 1).alias("next_id"))
-    x = df.filter(n > 1).select(F.explode(pairs).alias("p"))
-    return x.groupBy(F.col("p.context_id").alias("context_id"), F.col("p.next_id").alias("next_id")).agg(F.count(F.lit(1)).alias("n"))
+    """(context id, next id) counts — the label at t is the input at t + 1.
+
+    Tasks count ``PAIRS`` pairs at a time, so their memory doesn't grow with the pairs they meet and nothing is
+    spilled for it; the counts are dealt out by pair and added up. Most pairs are rare, so little more is sent than by a whole task's counts."""
+    bounded_batches(df.sparkSession)
+    kind = df.schema[ids_col].dataType.elementType.simpleString()
+    counts = df.select(ids_col).mapInArrow(_pair_counts, f"context_id {kind}, next_id {kind}, n long")
+    # Dealt out first: else each task would add up its counts once more, in memory that grows with its pairs.
+    dealt = counts.repartition(default_parallelism(df.sparkSession), "context_id", "next_id")
+    return dealt.groupBy("context_id", "next_id").agg(F.sum("n").alias("n"))
