@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import ctypes
 import math
-from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tunesmith.session import shared_scratch
+from tunesmith.session import release_memory, shared_scratch, tidied  # noqa: F401
 
 #: The white space of every contract here: [\x20\x09-\x0D].
 WHITE = " \t\n\x0b\x0c\r"
@@ -65,26 +63,6 @@ def running_total(df: DataFrame, keys: list[str], order: list, weight: str, out:
     return joined.withColumn(out, F.col("_base") + F.coalesce(F.sum(weight).over(inner), F.lit(0))).drop("_b", "_bb", "_base", *[f"_k{i}" for i in range(len(keys))])
 
 
-def release_memory() -> None:
-    """Give memory that this process has freed back to the system: workers live on between tasks, beside the executor's heap."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
-def tidied(task: Callable) -> Callable:
-    """``task`` (a generator over batches), with ``release_memory`` when it ends."""
-
-    def run(batches: Iterator) -> Iterator:
-        try:
-            yield from task(batches)
-        finally:
-            release_memory()
-
-    return run
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the n + 1 offsets of its rows; null is empty."""
     if isinstance(column, pa.ChunkedArray):
